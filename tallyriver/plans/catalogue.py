@@ -700,8 +700,7 @@ def stream_sliding_metrics(spark, sf):
 def stream_enriched_events(spark, sf):
     """The main stream: session numbers from keyed state, dimension lookup, all derived columns."""
     out, state = shared_folder(spark, "stream"), shared_folder(spark, "state")
-    SS.use_rocksdb(spark)
-    numbered = SS.stream_session_numbers(X.events_stream(spark, sf), tie=["event_id"], ttl=None)
+    numbered = SS.stream_session_numbers(X.events_stream(spark, sf), tie=["event_id"])
     lookup = J.Lookup(lambda: X.demographics(spark, sf), ttl=300, check=Q.require_unique)
     writer = SR.event_writer(lookup, SK.parquet_writer(out), points=False)
     _drain(lambda: SK.start_sink(numbered, writer, "append", "available", state))

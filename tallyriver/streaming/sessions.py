@@ -2,43 +2,81 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_BUCKETS = 1024
+_STATE = "sessions array<string>, counts array<bigint>, seen array<bigint>"
 
 
 def use_rocksdb(spark: SparkSession) -> None:
-    """Choose the state store that ``stream_session_numbers`` needs. Call before the start."""
+    """Keep the state of queries started from now on in RocksDB, for state larger than memory."""
     spark.conf.set(STATE_PROVIDER, ROCKSDB)
 
 
-class _SessionCounter(StatefulProcessor):
-    """Keeps one count per session and continues it in every micro-batch."""
-
-    def __init__(self, order: Sequence[str], ttl_ms: int | None):
-        self._order, self._ttl_ms = list(order), ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = T.StructType([T.StructField("n", T.LongType())])
-        self._count = handle.getValueState("count", schema, ttlDurationMs=self._ttl_ms)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
-        batch = batch.sort_values(self._order, kind="stable", na_position="first", ignore_index=True)
-        before = self._count.get()[0] if self._count.exists() else 0
-        batch["session_event_number"] = range(before + 1, before + 1 + len(batch))
-        self._count.update((before + len(batch),))
-        yield batch
-
-    def close(self) -> None:
-        pass
+_NESTED = (T.StructType, T.MapType, T.ArrayType)
+
+
+def _carried(field: T.StructField) -> T.StructField:
+    """The type in which a column passes through pandas without loss."""
+    if isinstance(field.dataType, (T.LongType, T.TimestampType, *_NESTED)):
+        return T.StructField(field.name, T.StringType())
+    return field
+
+
+def _packed(field: T.StructField) -> Column:
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.TimestampType):
+        column = F.unix_micros(column).cast("string")
+    elif isinstance(field.dataType, T.LongType):
+        column = column.cast("string")
+    elif isinstance(field.dataType, _NESTED):
+        column = F.to_json(column)
+    return column.alias(field.name)
+
+
+def _unpacked(field: T.StructField) -> Column:
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.TimestampType):
+        column = F.timestamp_micros(column.cast("bigint"))
+    elif isinstance(field.dataType, T.LongType):
+        column = column.cast("bigint")
+    elif isinstance(field.dataType, _NESTED):
+        column = F.from_json(column, field.dataType)
+    return column.alias(field.name)
+
+
+def _counter(session: str, ts: str, tie: Sequence[str], numeric: Sequence[str], ttl_us: int | None):
+    """Number one bucket's events of a micro-batch and carry its sessions' counts on."""
+
+    def number(key, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(batches), ignore_index=True).drop(columns="__bucket")
+        order = [pd.to_numeric(rows[c]) if c in numeric else rows[c] for c in (ts, *tie)]
+        keys = pd.concat(order, axis=1)
+        ranked = keys.sort_values(list(keys.columns), kind="stable", na_position="first").index
+        rows = rows.loc[ranked].reset_index(drop=True)
+        moments = pd.to_numeric(rows[ts]).fillna(0).astype("int64")
+        names, counts, seen = state.get if state.exists else ([], [], [])
+        known = pd.Index(list(names), dtype=object)
+        before = pd.DataFrame({"n": list(counts), "at": list(seen)}, index=known, dtype="int64")
+        grouped = rows.groupby(session, sort=False)
+        offsets = rows[session].map(before["n"]).fillna(0).astype("int64")
+        rows["session_event_number"] = grouped.cumcount() + 1 + offsets
+        batch = pd.DataFrame({"n": grouped.size(), "at": moments.groupby(rows[session], sort=False).max()})
+        after = pd.concat([before, batch]).groupby(level=0, sort=False).agg({"n": "sum", "at": "max"}).astype("int64")
+        if ttl_us is not None:
+            after = after[after["at"] >= after["at"].max() - ttl_us]
+        state.update((after.index.tolist(), after["n"].tolist(), after["at"].tolist()))
+        yield rows
+
+    return number
 
 
 def stream_session_numbers(
@@ -47,27 +85,36 @@ def stream_session_numbers(
     ts: str = "timestamp",
     tie: Sequence[str] = (),
     ttl: float | None = 24 * 3600,
+    buckets: int = STATE_BUCKETS,
 ) -> DataFrame:
     """Running event number per session over all micro-batches, and the start flag.
 
     Within a micro-batch the order is exact; an event that comes in a later
-    batch gets a later number even if it is older. The state is one count per
-    session, dropped ``ttl`` seconds after the session's last event. With a
-    ``ttl`` Spark goes on running batches to expire state, so use ``ttl=None``
-    with the "available" trigger, which would not end otherwise. A task holds one session's events of one micro-batch, so limit the batches with
-    ``maxOffsetsPerTrigger`` or ``maxFilesPerTrigger``. Events without a
-    session bypass the state and get no number.
-
-    Needs the RocksDB state store (see ``use_rocksdb``).
+    batch gets a later number even if it is older. Events without a session
+    bypass the state and get no number.
+
+    The state is a count per session. Sessions share state rows by hash, as
+    one call into Python per session would cost far more than numbering them;
+    use more ``buckets`` for many sessions, and never change their number on
+    an existing checkpoint. A count is dropped when the newest event of its
+    bucket is ``ttl`` seconds younger than the session's last event.
+
+    A task holds one bucket's events of one micro-batch, so limit the batches
+    with ``maxOffsetsPerTrigger`` or ``maxFilesPerTrigger``.
     """
-    schema = T.StructType([*df.schema.fields, T.StructField("session_event_number", T.LongType())])
-    keyed = df.filter(F.col(session).isNotNull())
-    numbered = keyed.groupBy(session).transformWithStateInPandas(
-        statefulProcessor=_SessionCounter([ts, *tie], None if ttl is None else int(ttl * 1000)),
-        outputStructType=schema,
-        outputMode="append",
-        timeMode="None" if ttl is None else "ProcessingTime",
+    fields = df.schema.fields
+    numeric = [ts, *[f.name for f in fields if f.name in tie and isinstance(f.dataType, T.LongType)]]
+    output = T.StructType([*map(_carried, fields), T.StructField("session_event_number", T.LongType())])
+    bucket = F.pmod(F.xxhash64(session), F.lit(buckets)).cast("int").alias("__bucket")
+    keyed = df.filter(F.col(session).isNotNull()).select(*map(_packed, fields), bucket)
+    numbered = keyed.groupBy("__bucket").applyInPandasWithState(
+        _counter(session, ts, tie, numeric, None if ttl is None else int(ttl * 1_000_000)),
+        output,
+        _STATE,
+        "append",
+        GroupStateTimeout.NoTimeout,
     )
+    numbered = numbered.select(*map(_unpacked, fields), "session_event_number")
     loose = df.filter(F.col(session).isNull()).withColumn("session_event_number", F.lit(None).cast("bigint"))
     starts = F.when(F.col("session_event_number") == 1, 1).otherwise(0)
     return numbered.unionByName(loose).withColumn("is_session_start", starts)

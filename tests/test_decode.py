@@ -1,0 +1,129 @@
+"""Decoding of hand-written records."""
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from tallyriver.operators import events as E
+from tallyriver.operators import quality as Q
+from tallyriver.schemas import ENVELOPE_SCHEMA, EVENT_SCHEMA, avro_schema
+from tallyriver.sinks.tables import to_kafka_records
+from tallyriver.sources import events as S
+
+LINES = [
+    '{"event_type":"click","user_id":1,"campaign_id":"SUMMER2024","timestamp":"2024-01-01T10:00:00.123456",'
+    '"session_id":"sess_1","product_id":"PROD_1","page_url":"/product/1","user_agent":"x","ip_address":"1.2.3.4"}',
+    '{"event_type":"purchase","user_id":2,"campaign_id":"FALL2024","timestamp":"2024-01-01T10:00:01.5","order_id":"ORD_1",'
+    '"units":2,"unit_price":50.0,"total_amount":100.0,"currency":"USD","payment_method":"card",'
+    '"shipping_address":{"country":"US","state":"CA"}}',
+    '{"event_type":"click","user_id":3,"timestamp":"2024-01-01T00:00:00"}',
+    '{"event_type":"view","user_id":4,"timestamp":"2024-01-01T00:00:00Z"}',
+    "{bad",
+    '{"event_type":"click","user_id":"x","timestamp":"2024-01-01T00:00:00"}',
+    '{"user_id":5,"timestamp":"2024-01-01T00:00:00"}',
+    '{"event_type":"refund","user_id":6,"timestamp":"not a time"}',
+    '{"event_type":"cart_add","user_id":7,"timestamp":"2024-01-01T00:00:00","metadata":{"a":1,"b":"two"}}',
+    None,
+    "[1, 2]",
+]
+
+
+def envelope(spark, lines=LINES):
+    rows = [
+        (b"7", line.encode() if line is not None else None, "user_events", 0, i, datetime(2024, 1, 1))
+        for i, line in enumerate(lines)
+    ]
+    return spark.createDataFrame(rows, ENVELOPE_SCHEMA)
+
+
+def decoded(spark):
+    return {r["offset"]: r for r in S.events_from_envelope(envelope(spark)).collect()}
+
+
+def test_complete_events(spark):
+    rows = decoded(spark)
+    assert rows[0].timestamp == datetime(2024, 1, 1, 10, 0, 0, 123456)
+    assert (rows[0].session_id, rows[0].page_url, rows[0].order_id) == ("sess_1", "/product/1", None)
+    assert (rows[1].units, rows[1].unit_price, rows[1].total_amount) == (2, 50.0, 100.0)
+    assert (rows[1].shipping_address.country, rows[1].shipping_address.city) == ("US", None)
+    assert (rows[1].year, rows[1].month, rows[1].day, rows[1].hour) == (2024, 1, 1, 10)
+
+
+def test_time_forms(spark):
+    rows = decoded(spark)
+    assert rows[2].timestamp == datetime(2024, 1, 1)
+    assert rows[3].timestamp == datetime(2024, 1, 1)
+    assert rows[7].timestamp is None
+
+
+def test_events_without_type_are_dropped(spark):
+    assert set(decoded(spark)) == {0, 1, 2, 3, 5, 7, 8}
+
+
+def test_bad_field_becomes_null_and_is_cleaned(spark):
+    events = S.events_from_envelope(envelope(spark))
+    assert decoded(spark)[5].user_id is None
+    kept = {r["offset"] for r in E.clean_events(events).select("offset").collect()}
+    assert kept == {0, 1, 2, 3, 8}
+
+
+def test_metadata_values_are_text(spark):
+    assert decoded(spark)[8].metadata == {"a": "1", "b": "two"}
+
+
+def test_split_bad(spark):
+    good, bad = Q.split_bad(S.project_envelope(envelope(spark)))
+    reasons = {r["offset"]: r["error_reason"] for r in bad.collect()}
+    assert reasons == {4: "malformed json", 6: "missing event_type", 9: "missing value", 10: "malformed json"}
+    assert {r["offset"]: r["raw_value"] for r in bad.collect()}[4] == "{bad"
+    assert good.count() + bad.count() == len(LINES)
+    assert set(EVENT_SCHEMA.names) <= set(good.columns)
+
+
+def test_json_is_parsed_once(spark):
+    plan = S.events_from_envelope(envelope(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_kafka_records(spark):
+    rows = spark.createDataFrame([(1, "a"), (None, "b")], "user_id int, event_type string")
+    records = to_kafka_records(rows).collect()
+    assert [r["key"] for r in records] == ["1", None]
+    text = spark.createDataFrame([("",)], "user_id string")
+    assert to_kafka_records(text).first()["key"] is None
+
+
+def test_round_trip(spark):
+    events = S.events_from_envelope(envelope(spark), derived=False).select(*EVENT_SCHEMA.names)
+    records = to_kafka_records(events.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")))
+    again = S.events_from_envelope(
+        records.select(
+            F.col("key").cast("binary").alias("key"),
+            F.col("value").cast("binary").alias("value"),
+            F.lit("t").alias("topic"),
+            F.lit(0).alias("partition"),
+            F.lit(0).cast("bigint").alias("offset"),
+            F.current_timestamp().alias("timestamp"),
+        ),
+        derived=False,
+    ).select(*EVENT_SCHEMA.names)
+    key = lambda r: (r.user_id is None, r.user_id or 0)
+    assert sorted(events.collect(), key=key) == sorted(again.collect(), key=key)
+
+
+def test_schema_check(spark):
+    events = S.events_from_envelope(envelope(spark))
+    verdict = Q.schema_check(events.drop("units"))
+    assert verdict["is_valid"] is False and verdict["missing_columns"] == ["units"]
+    assert "offset" in verdict["extra_columns"]
+    assert Q.schema_check(events)["is_valid"]
+
+
+def test_avro_schema_text():
+    import json
+
+    record = json.loads(avro_schema())
+    types = {f["name"]: f["type"] for f in record["fields"]}
+    assert types["event_type"] == "string" and types["units"] == ["null", "int"]
+    assert types["metadata"] == ["null", {"type": "map", "values": "string"}]
+    assert [f["name"] for f in types["shipping_address"][1]["fields"]] == ["country", "state", "city", "postal_code"]

@@ -1,0 +1,115 @@
+"""The upsert against sequential application, and the reports."""
+
+from datetime import date
+from decimal import ROUND_HALF_UP, Decimal
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from tallyriver.operators import summary as U
+from tallyriver.schemas import EVENT_SUMMARY_SCHEMA, SUMMARY_KEYS
+from tallyriver.streaming import upsert as SU
+
+CENT = Decimal("0.01")
+STEP = EVENT_SUMMARY_SCHEMA.simpleString()[7:-1].replace(":", " ") + ", step bigint"
+
+
+def row(campaign, events, users, revenue, avg, rate):
+    day = date(2024, 1, 1)
+    return (day, 3, "click", campaign, None, events, users, Decimal(revenue).quantize(CENT), Decimal(avg).quantize(CENT), Decimal(rate).quantize(Decimal("0.0001")))
+
+
+def sequential(target, deltas, literal):
+    """One delta after the other, as the rule says."""
+    table = {r[:5]: list(r[5:]) for r in target}
+    for d in deltas:
+        key, (events, users, revenue, avg, rate) = d[:5], d[5:]
+        if key not in table:
+            table[key] = [events, users, revenue, avg, rate]
+            continue
+        old = table[key]
+        old[0] += events
+        old[1] = max(old[1], users)
+        old[2] += revenue
+        top, bottom = (old[2] + revenue, old[0] + events) if literal else (old[2], old[0])
+        old[3] = (top / max(bottom, 1)).quantize(CENT, ROUND_HALF_UP)
+        old[4] = rate
+    return {k: tuple(v) for k, v in table.items()}
+
+
+def applied(spark, target, deltas, literal):
+    frame = spark.createDataFrame([(*d, i) for i, d in enumerate(deltas)], STEP)
+    old = spark.createDataFrame(target, EVENT_SUMMARY_SCHEMA) if target else None
+    out = U.upsert_summary(old, frame, "step", literal)
+    return {tuple(r)[:5]: tuple(r)[5:] for r in out.collect()}
+
+
+money = st.integers(0, 10_000).map(lambda c: Decimal(c) / 100)
+rows = st.builds(
+    row, st.sampled_from(["a", "b", None]), st.integers(0, 9), st.integers(0, 9), money, money,
+    st.integers(0, 10_000).map(lambda c: Decimal(c) / 10_000),
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(rows, max_size=3, unique_by=lambda r: r[3]), st.lists(rows, min_size=1, max_size=12), st.booleans())
+def test_fold_equals_sequential_application(spark, target, deltas, literal):
+    assert applied(spark, target, deltas, literal) == sequential(target, deltas, literal)
+
+
+def test_null_keys_merge(spark):
+    deltas = [row(None, 1, 1, 10, 10, 0), row(None, 1, 2, 20, 20, "0.5")]
+    (values,) = applied(spark, [], deltas, False).values()
+    assert values == (2, 2, Decimal("30.00"), Decimal("15.00"), Decimal("0.5000"))
+
+
+def test_literal_average_counts_the_last_delta_twice(spark):
+    deltas = [row("a", 1, 1, 10, 10, 0), row("a", 1, 1, 20, 20, 0)]
+    (values,) = applied(spark, [], deltas, True).values()
+    assert values[3] == Decimal("16.67")
+
+
+def test_campaign_summary_without_rows_is_zero(spark):
+    campaigns = spark.createDataFrame(
+        [("a", "A", "regular", None, None, None, None), ("b", "B", "regular", None, None, None, None)],
+        "id string, name string, type string, start_date date, end_date date, budget decimal(10,2), target_audience string",
+    )
+    summary = spark.createDataFrame([row("a", 2, 1, 5, 1, "0.5"), row(None, 9, 1, 5, 1, 0)], EVENT_SUMMARY_SCHEMA)
+    out = {r.id: (r.total_events, r.total_revenue, r.avg_conversion_rate) for r in U.campaign_summary(campaigns, summary).collect()}
+    assert out == {"a": (2, Decimal("5.00"), Decimal("0.50000000")), "b": (0, 0, 0)}
+
+
+def test_replayed_batches_count_once(spark, tmp_path, events, demographics):
+    from tallyriver.operators import enrichment as J
+    from tallyriver.operators import events as E
+    from tallyriver.operators import metrics as M
+
+    path = str(tmp_path / "summary")
+    shaped = E.with_business_metrics(J.enrich(events, demographics)).persist()
+    halves = [shaped.filter("event_id % 2 = 0"), shaped.filter("event_id % 2 = 1")]
+    write = SU.upsert_writer(path)
+    for i, half in enumerate(halves):
+        write(half, i)
+    write(halves[1], 1)
+
+    deltas = [M.hourly_rollup(h).selectExpr("*", f"{i} as step") for i, h in enumerate(halves)]
+    wanted = U.upsert_summary(None, deltas[0].unionByName(deltas[1]), "step")
+
+    def same():
+        got = SU.read_summary(spark, path)
+        assert got.exceptAll(wanted).isEmpty() and wanted.exceptAll(got).isEmpty()
+
+    same()
+    assert SU.compact_summary(spark, path) == 1
+    same()
+    write(halves[0], 2)
+    again = SU.read_summary(spark, path).agg({"total_events": "sum"}).first()[0]
+    assert again == shaped.count() + halves[0].count()
+    assert SU.compact_summary(spark, path) == 2
+    assert SU.read_summary(spark, path).agg({"total_events": "sum"}).first()[0] == again
+    assert set(SUMMARY_KEYS) <= set(SU.read_summary(spark, path).columns)
+
+
+def test_empty_summary(spark, tmp_path):
+    assert SU.read_summary(spark, str(tmp_path / "none")).count() == 0
+    assert SU.compact_summary(spark, str(tmp_path / "none")) is None
