@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyriver.operators.quality import QualityError, quality_gate, require_quality, validate_demographics
-from tallyriver.schemas import DEMOGRAPHICS_SCHEMA
+from tallyriver.schemas import DEMOGRAPHICS_REQUIRED, DEMOGRAPHICS_SCHEMA
 from tallyriver.sinks.tables import overwrite_table
 from tallyriver.sources.tables import read_demographics_csv
 from tallyriver.storage import path_exists, rename_path
@@ -92,21 +92,24 @@ def profile(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str], exa
 def refresh_demographics(spark: SparkSession, csv: str, target: str, gate: bool = True) -> dict:
     """Reload the dimension from CSV and publish it only if every check passes.
 
-    The new data is staged beside the target, verified there, and moved into
-    place at the end. A failed check raises and leaves the target as it was.
-    The replaced data stays beside the target, at the path returned as
-    ``previous``.
+    The new data is staged beside the target, so that the CSV is parsed once,
+    checked there, and moved into place at the end. A failed check raises and
+    leaves the target as it was. The replaced data stays beside the target, at
+    the path returned as ``previous``.
     """
     incoming = read_demographics_csv(spark, csv)
-    verdict = validate_demographics(incoming).first().asDict()
-    if not verdict["is_valid"]:
-        raise QualityError(f"demographics are not valid: {verdict}")
+    missing = [c for c in DEMOGRAPHICS_REQUIRED if c not in incoming.columns]
+    if missing:
+        raise QualityError(f"demographics lack columns: {missing}")
     run = uuid.uuid4().hex
     staged_path = f"{target.rstrip('/')}__staged_{run}"
     wanted = [c for c in DEMOGRAPHICS_SCHEMA.names if c in incoming.columns]
     overwrite_table(incoming.select(*wanted), staged_path)
 
     staged = spark.read.parquet(staged_path)
+    verdict = validate_demographics(staged).first().asDict()
+    if not verdict["is_valid"]:
+        raise QualityError(f"demographics are not valid: {verdict}")
     checks = {r["statistic"]: r["value"] for r in verify_load(staged).collect()}
     stats_frame = load_statistics(staged)
     if gate:

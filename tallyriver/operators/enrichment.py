@@ -103,6 +103,7 @@ class Lookup:
     def refresh(self) -> DataFrame:
         fresh = self._read().persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            fresh.count()  # fills the cache, and with it the exact size for the join's choice
             if self._check is not None:
                 self._check(fresh)
         except Exception:

@@ -92,7 +92,7 @@ def minute_metrics(
     slide: str | None = None,
     distinct: str = "exact",
     ts: str = "timestamp",
-    rsd: float = 0.02,
+    rsd: float = 0.05,
 ) -> DataFrame:
     """Events, distinct users, average and total amount per window and event type."""
     return _minute_columns(_grouped(df, MINUTE_KEYS, ts, window, slide, distinct, rsd))
@@ -103,7 +103,7 @@ def campaign_analytics(
     window: str = "5 minutes",
     distinct: str = "exact",
     ts: str = "timestamp",
-    rsd: float = 0.02,
+    rsd: float = 0.05,
 ) -> DataFrame:
     """Events, users, clicks, purchases, revenue and ratios per window, campaign and country.
 

@@ -233,7 +233,9 @@ def read_points(
 
 
 def _escape(text: Column) -> Column:
-    return F.regexp_replace(text, r"([,= \\])", r"\\$1")
+    for sign in ("\\", ",", "=", " "):
+        text = F.replace(text, F.lit(sign), F.lit("\\" + sign))
+    return text
 
 
 def point_lines(points: DataFrame) -> DataFrame:
@@ -243,7 +245,9 @@ def point_lines(points: DataFrame) -> DataFrame:
     """
 
     def quoted(value: Column) -> Column:
-        return F.concat(F.lit('"'), F.regexp_replace(value, r'(["\\])', r"\\$1"), F.lit('"'))
+        for sign in ("\\", '"'):
+            value = F.replace(value, F.lit(sign), F.lit("\\" + sign))
+        return F.concat(F.lit('"'), value, F.lit('"'))
 
     def pairs(column: str, form: Callable[[Column], Column]) -> Column:
         return F.transform(

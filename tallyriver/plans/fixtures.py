@@ -103,7 +103,8 @@ def demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def campaigns(spark: SparkSession) -> DataFrame:
-    text = spark.createDataFrame(list(CAMPAIGNS), [*CAMPAIGNS_SCHEMA.names])
+    rows = ", ".join(str(row) for row in CAMPAIGNS)
+    text = spark.sql(f"select * from values {rows} as c({', '.join(CAMPAIGNS_SCHEMA.names)})")
     return text.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CAMPAIGNS_SCHEMA])
 
 

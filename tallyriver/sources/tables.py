@@ -59,7 +59,7 @@ def read_query(spark: SparkSession, options: Mapping[str, str], sql: str) -> Dat
 def lookup_by_ids(df: DataFrame, ids: Sequence | DataFrame, column: str = "id") -> DataFrame:
     """Rows whose id is among ``ids``: a list, or a frame whose first column holds them."""
     if isinstance(ids, DataFrame):
-        wanted = ids.select(F.col(ids.columns[0]).alias(column))
+        wanted = ids.select(F.col(ids.columns[0]).alias(column)).distinct()
         return df.join(wanted, column, "left_semi")
     if not ids:
         return df.filter(F.lit(False))

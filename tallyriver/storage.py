@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
