@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyriver.functions.columns import flag
@@ -22,58 +22,65 @@ def _tie_break(df: DataFrame, tie: Sequence[str] | None) -> list[str]:
     return ["event_id"] if "event_id" in df.columns else []
 
 
-def _number_in_slices(
-    df: DataFrame, session: str, ts: str, tie: list[str], hot_rows: int, nulls: bool
-) -> DataFrame:
+def _too_large(df: DataFrame, keys: list[str], ts: str, limit: int, name: str) -> DataFrame:
+    """Groups above ``limit`` rows with the start and the width of their slices of time."""
+    micros = F.unix_micros(F.col(ts))
+    sizes = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__rows"), F.min(micros).alias(f"{name}_from"), F.max(micros).alias("__to")
+    )
+    slices = F.ceil(F.col("__rows") / F.lit(limit)) * SLICES_PER_LIMIT
+    width = F.floor((F.col("__to") - F.col(f"{name}_from")) / slices) + 1
+    return sizes.filter(F.col("__rows") > limit).select(*keys, f"{name}_from", width.alias(f"{name}_width"))
+
+
+def _slice(ts: str, name: str) -> Column:
+    """Number of a row's slice: 0 outside large groups, -1 for rows without time, which come first."""
+    micros = F.unix_micros(F.col(ts))
+    part = F.floor((micros - F.col(f"{name}_from")) / F.col(f"{name}_width"))
+    return F.when(F.col(f"{name}_width").isNull(), 0).when(micros.isNull(), -1).otherwise(part)
+
+
+def _number_in_slices(df: DataFrame, session: str, ts: str, tie: list[str], hot_rows: int) -> DataFrame:
     """Number each session's rows in time order, hot sessions in slices of time.
 
-    A session above ``hot_rows`` is cut into slices of equal width. Rows are
-    numbered inside their slice, and the counts of the earlier slices are
-    added. Of n rows there are fewer than n / hot_rows hot sessions, so that
-    list is safe to broadcast. The offsets join on the keys by which the rows
-    are already partitioned and sorted, so the rows are shuffled once.
+    A session above ``hot_rows`` is cut into slices of equal width, and a
+    slice still above it, as events crowd at some times, is cut once more.
+    Rows are numbered inside their slice, and the counts of the earlier
+    slices are added.
+
+    Of n rows there are fewer than n / hot_rows large sessions and as many
+    large slices, so both lists are safe to broadcast. The offsets join on the
+    keys by which the rows are already partitioned and sorted, so the rows are
+    shuffled once.
     """
-    micros = F.unix_micros(F.col(ts))
-    sizes = df.groupBy(F.col(session).alias("__session")).agg(
-        F.count(F.lit(1)).alias("__rows"),
-        F.min(micros).alias("__from"),
-        F.max(micros).alias("__to"),
-    )
-    slices = F.ceil(F.col("__rows") / F.lit(hot_rows)) * SLICES_PER_LIMIT
-    hot = sizes.filter(F.col("__rows") > hot_rows).select(
-        "__session",
-        "__from",
-        (F.floor((F.col("__to") - F.col("__from")) / slices) + 1).alias("__width"),
-    )
-    same = F.col(session).eqNullSafe(F.col("__session"))
-    # Rows without a time come first, as in any ascending sort.
-    position = F.when(micros.isNull(), -1).otherwise(F.floor((micros - F.col("__from")) / F.col("__width")))
-    sliced = (
-        df.join(F.broadcast(hot), same, "left")
-        .withColumn("__slice", F.when(F.col("__width").isNotNull(), position).otherwise(F.lit(0)))
-        .drop("__session", "__from", "__width")
-    )
+    # NULL sessions form a group of their own, so the key is made comparable
+    key = [F.coalesce(F.col(session).cast("string"), F.lit("")).alias("__key"), F.col(session).isNull().alias("__none")]
+    first, both = ["__key", "__none"], ["__key", "__none", "__coarse"]
+    rows = df.select("*", *key)
+    hot = _too_large(rows.select(*first, ts), first, ts, hot_rows, "__a")
+    coarse = rows.join(F.broadcast(hot), first, "left").withColumn("__coarse", _slice(ts, "__a"))
+    in_hot = rows.select(*first, ts).join(F.broadcast(hot), first, "inner").withColumn("__coarse", _slice(ts, "__a"))
+    crowded = _too_large(in_hot, both, ts, hot_rows, "__b")
+
+    parts = [*both, "__fine"]
+    sliced = coarse.join(F.broadcast(crowded), both, "left").withColumn("__fine", _slice(ts, "__b"))
     counts = (
-        df.select(session, ts)
-        .join(F.broadcast(hot), same, "inner")
-        .groupBy("__session", position.alias("__part"))
+        in_hot.join(F.broadcast(crowded), both, "left")
+        .withColumn("__fine", _slice(ts, "__b"))
+        .groupBy(*parts)
         .agg(F.count(F.lit(1)).alias("__rows"))
     )
-    earlier = Window.partitionBy("__session").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__session", "__part", F.sum("__rows").over(earlier).alias("__before")).filter(
-        F.col("__before").isNotNull()
-    )
-    inside = Window.partitionBy(session, "__slice").orderBy(ts, *tie)
-    if not nulls:
-        same = F.col(session) == F.col("__session")
+    earlier = Window.partitionBy(*first).orderBy("__coarse", "__fine").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*parts, F.sum("__rows").over(earlier).alias("__before")).filter(F.col("__before").isNotNull())
+    inside = Window.partitionBy(*parts).orderBy(ts, *tie)
+    number = F.col("__number") + F.coalesce(F.col("__before"), F.lit(0))
+    # the session travels once, as the key
+    back = F.when(~F.col("__none"), F.col("__key")).cast(df.schema[session].dataType).alias(session)
     return (
-        sliced.withColumn("__number", F.row_number().over(inside))
-        .join(offsets, same & (F.col("__slice") == F.col("__part")), "left")
-        .withColumn(
-            "session_event_number",
-            (F.col("__number") + F.coalesce(F.col("__before"), F.lit(0))).cast("bigint"),
-        )
-        .drop("__session", "__part", "__before", "__slice", "__number")
+        sliced.select(*[c for c in df.columns if c != session], *parts)
+        .withColumn("__number", F.row_number().over(inside))
+        .join(offsets, parts, "left")
+        .select(*[back if c == session else c for c in df.columns], number.cast("bigint").alias("session_event_number"))
     )
 
 
@@ -105,7 +112,7 @@ def with_session_numbers(
         window = Window.partitionBy(session).orderBy(ts, *order)
         numbered = keyed.withColumn("session_event_number", F.row_number().over(window).cast("bigint"))
     else:
-        numbered = _number_in_slices(keyed, session, ts, order, hot_rows, null_session == "group")
+        numbered = _number_in_slices(keyed, session, ts, order, hot_rows)
     if null_session == "skip":
         loose = df.filter(F.col(session).isNull())
         numbered = numbered.unionByName(

@@ -91,7 +91,7 @@ def test_no_slice_is_much_larger_than_the_limit(spark):
     rows = [(i, "hot", START + timedelta(seconds=i)) for i in range(2000)]
     df = spark.createDataFrame(rows, SCHEMA)
     plan = W.with_session_numbers(df, hot_rows=100)._jdf.queryExecution().optimizedPlan().toString()
-    assert "__slice" in plan
+    assert "__coarse" in plan and "__fine" in plan
     assert numbered(df, hot_rows=100) == brute_force(rows)
 
 
