@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from tallyriver.streaming.sinks import BatchWriter, batch_folder
 
 Merge = Callable[[DataFrame], DataFrame]
+FILES_PER_DATE = 8
 
 
 def complete_writer(merge: Merge, write: BatchWriter) -> BatchWriter:
@@ -38,7 +39,9 @@ def update_writer(path: str, keys: Sequence[str], merge: Merge, write: BatchWrit
     def merged(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         dated = batch.withColumn("window_date", F.to_date("window.start"))
-        dated.write.mode("overwrite").partitionBy("window_date").parquet(batch_folder(path, batch_id))
+        # a few files per date, however many state partitions there are
+        spread = dated.repartition("window_date", F.pmod("user_bucket", F.lit(FILES_PER_DATE)))
+        spread.write.mode("overwrite").partitionBy("window_date").parquet(batch_folder(path, batch_id))
         kept = spark.read.schema(_stored(dated)).parquet(path).filter(F.col("batch_id") <= batch_id)
         current = kept.filter(F.col("batch_id") == batch_id)
         touched = current.select("window_date", "window", *keys).distinct()

@@ -16,14 +16,17 @@ from tallyriver.streaming.sinks import BatchWriter
 _PROGRESS = "batch_id bigint, records bigint, seconds double"
 
 
-def event_writer(lookup: Lookup, write: BatchWriter, ts: str = "timestamp", points: bool = True) -> BatchWriter:
+def event_writer(
+    lookup: Lookup, write: BatchWriter, ts: str = "timestamp", points: bool = True, salts: int = 1
+) -> BatchWriter:
     """Enrich and transform each micro-batch with a dimension that is kept fresh, and write it.
 
     The stream must already carry session numbers (``stream_session_numbers``).
+    ``salts`` spreads hot users where the dimension is too large to broadcast.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        events = transform_events(enrich(batch, lookup.get(), ts), ts)
+        events = transform_events(enrich(batch, lookup.get(), ts, salts=salts), ts)
         write(event_points(events, ts) if points else events, batch_id)
 
     return handle
