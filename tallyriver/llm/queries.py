@@ -5,9 +5,16 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallyriver.llm import bpe
 from tallyriver.llm.jaccard import jaccard_components
+from tallyriver.llm.language import fit_language, with_language
+from tallyriver.llm.licenses import license_labels, scan_licenses
+from tallyriver.llm.quality import fit_quality, with_quality
+from tallyriver.llm.text import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +29,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+@query
+def op4_license_scan(spark, sf_dir):
+    """License phrases and rules found in every document."""
+    return license_labels(scan_licenses(table(spark, sf_dir, "documents")))
+
+
 @query
 def op5_ngram_jaccard_join(spark, sf_dir):
     """Documents that share four fifths of their five-word shingles, by component."""
@@ -48,3 +61,32 @@ select doc_id, len(s)::bigint as n_shingles,
        coalesce((select min(other) from reach r where r.doc_id = sets.doc_id), doc_id) as component_id
 from sets
 """
+
+
+QUALITY_THRESHOLD = 0.3
+
+
+@query
+def op6_quality_classifier(spark, sf_dir):
+    """Every document's probability of being good, by a model of the labelled rows outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_quality(docs, table(spark, sf_dir, "labels"))
+    scored = with_quality(docs.select("doc_id", "text"), model)
+    predicted = (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
+
+
+@query
+def op8_byte_bpe(spark, sf_dir):
+    """Every document's token ids and the bytes decoded from them, as digests."""
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, pattern)
+    return bpe.digests(bpe.decode(encoded, path, pattern))
+
+
+@query
+def op10_language_id(spark, sf_dir):
+    """Every document's language, by a network trained on rows outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    found = with_language(docs.select("doc_id", "text"), fit_language(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

@@ -76,3 +76,20 @@ def shingle_set(text: bytes | None, size: int = SHINGLE_WORDS) -> np.ndarray:
     if not text:
         return np.empty(0, np.uint64)
     return distinct(shingle_hashes(word_hashes(words(text)), size))
+
+
+def bounded_sample(rows: DataFrame, id_col: str, max_rows: int) -> DataFrame:
+    """About ``max_rows`` rows (never over twice as many), chosen by the hash of an id: all rows if there are fewer.
+
+    The choice depends on the ids and the number of rows alone. Rows without an id are never chosen.
+    """
+    scale = 1_000_000_000
+    total = rows.filter(F.col(id_col).isNotNull()).count()
+    share = min(scale, -(-scale * max_rows // max(total, 1)))
+    return rows.filter(F.pmod(F.xxhash64(id_col), F.lit(scale)) < share).filter(F.col(id_col).isNotNull()).limit(2 * max_rows)
+
+
+def with_columns_from(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
+    """``batch`` with further columns; those of the same name are replaced."""
+    kept = {name: batch.column(name) for name in batch.schema.names if name not in columns}
+    return pa.RecordBatch.from_pydict({**kept, **columns})
