@@ -13,6 +13,7 @@ from tallyriver.llm import bpe
 from tallyriver.llm.jaccard import jaccard_components
 from tallyriver.llm.language import fit_language, with_language
 from tallyriver.llm.licenses import license_labels, scan_licenses
+from tallyriver.llm.lines import dedup_lines
 from tallyriver.llm.quality import fit_quality, with_quality
 from tallyriver.llm.text import held_out
 
@@ -29,6 +30,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+@query
+def op2_line_dedup(spark, sf_dir):
+    """Every document without the lines that it shares with two other documents, as a digest."""
+    kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLES["op2_line_dedup"] = r"""
+with lines as (
+    select doc_id, unnest(l) as line, generate_subscripts(l, 1) as i
+    from (select doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents)),
+keyed as (
+    select *, regexp_replace(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', '') as key
+    from lines),
+hot as (
+    select key, max(doc_id) as last from keyed where length(key) >= 20 group by key having count(distinct doc_id) >= 3),
+marked as (select k.*, h.key is not null and h.last <> k.doc_id as gone from keyed k left join hot h on h.key = k.key)
+select doc_id, count(*)::bigint as n_lines, count(*) filter (gone)::bigint as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
+from marked group by doc_id
+"""
+
+
 @query
 def op4_license_scan(spark, sf_dir):
     """License phrases and rules found in every document."""

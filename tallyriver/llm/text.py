@@ -90,6 +90,6 @@ def bounded_sample(rows: DataFrame, id_col: str, max_rows: int) -> DataFrame:
 
 
 def with_columns_from(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
-    """``batch`` with further columns; those of the same name are replaced."""
-    kept = {name: batch.column(name) for name in batch.schema.names if name not in columns}
+    """``batch`` with further columns at its end; those of the same name are replaced in their place."""
+    kept = {name: columns.get(name, batch.column(name)) for name in batch.schema.names}
     return pa.RecordBatch.from_pydict({**kept, **columns})
