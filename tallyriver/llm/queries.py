@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyriver.llm import bpe
+from tallyriver.llm.credentials import PATTERNS, SCOPE, credential_digest, find_credentials
+from tallyriver.llm.decontamination import find_leaks
 from tallyriver.llm.jaccard import jaccard_components
 from tallyriver.llm.language import fit_language, with_language
 from tallyriver.llm.licenses import license_labels, scan_licenses
@@ -30,6 +32,51 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+@query
+def op1_secret_scan(spark, sf_dir):
+    """Secrets of every document, weak parts only beside their complement."""
+    return credential_digest(find_credentials(table(spark, sf_dir, "documents")))
+
+
+def _secret_sql() -> str:
+    found = " union all ".join(
+        f"select doc_id, {n} as kind, '{kind}' as name, unnest(regexp_extract_all(text, $${p}$$)) as whole,"
+        f" unnest({f'regexp_extract_all(text, $${p}$$, 1)' if kind == 'assign' else f'regexp_extract_all(text, $${p}$$)'}) as value,"
+        f" unnest(list_resize(string_split_regex(text, $${p}$$), len(regexp_extract_all(text, $${p}$$)))) as gap,"
+        f" unnest(range(1, len(regexp_extract_all(text, $${p}$$)) + 1)) as i from documents"
+        for n, (kind, p) in enumerate(PATTERNS.items())
+    )
+    return f"""
+with found as ({found}),
+placed as (
+    select doc_id, kind, name, length(whole) as size,
+           sum(length(gap) + length(whole)) over (partition by doc_id, kind order by i) as stop,
+           case name when 'assign' then length(value) >= 8 when 'access' then length(whole) >= 16
+               when 'opaque' then regexp_matches(whole, '[0-9]') and regexp_matches(whole, '[A-Za-z]') else true end as ok,
+           case when name in ('access', 'identifier') then 'identifier' when name = 'endpoint' then 'endpoint'
+               else 'secret' end as role
+    from found),
+spans as (select doc_id, kind, name, role, (stop - size)::bigint as start, stop::bigint as stop from placed where ok),
+free as (
+    select * from spans a where kind < 3 or not exists (
+        select 1 from spans b where b.kind < 3 and b.doc_id = a.doc_id and b.start < a.stop and b.stop > a.start)),
+kept as (
+    select * from free a where kind < 3 or exists (
+        select 1 from free b where b.doc_id = a.doc_id and b.role <> a.role and 'secret' in (a.role, b.role)
+        and b.start <= a.stop + {SCOPE} and b.stop >= a.start - {SCOPE})),
+texts as (
+    select doc_id, kind, start, name || ':' || start || ':' || stop as t, name from kept)
+select d.doc_id, count(*) filter (name = 'assign')::bigint as n_assign, count(*) filter (name = 'access')::bigint as n_access,
+       count(*) filter (name = 'hex')::bigint as n_hex,
+       sha256(coalesce(string_agg(t, ',' order by start, kind) filter (kind < 3), '')) as base_sha256,
+       coalesce(string_agg(t, ',' order by start, kind), '') as spans
+from documents d left join texts using (doc_id) group by d.doc_id
+"""
+
+
+ORACLES["op1_secret_scan"] = _secret_sql()
+
+
 @query
 def op2_line_dedup(spark, sf_dir):
     """Every document without the lines that it shares with two other documents, as a digest."""
@@ -101,6 +148,28 @@ def op6_quality_classifier(spark, sf_dir):
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
 
 
+@query
+def op7_benchmark_decontamination(spark, sf_dir):
+    """Documents that hold four fifths of the shingles of a benchmark item."""
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op7_benchmark_decontamination"] = r"""
+with words as (
+    select kind, id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') as w
+    from (select 'doc' as kind, doc_id as id, text from documents
+          union all select 'item', item_id, text from benchmark)),
+shingles as (
+    select distinct kind, id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+        else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as g
+    from words),
+sizes as (select id, count(*)::bigint as n from shingles where kind = 'item' group by id)
+select d.id as doc_id, i.id as item_id, n as n_shingles, count(*)::bigint as n_shared, count(*) / n as containment
+from shingles d join shingles i on d.g = i.g and d.kind = 'doc' and i.kind = 'item' join sizes s on s.id = i.id
+group by d.id, i.id, n having 100 * count(*) >= 80 * n
+"""
+
+
 @query
 def op8_byte_bpe(spark, sf_dir):
     """Every document's token ids and the bytes decoded from them, as digests."""
