@@ -16,6 +16,7 @@ from tallyriver.llm.jaccard import jaccard_components
 from tallyriver.llm.language import fit_language, with_language
 from tallyriver.llm.licenses import license_labels, scan_licenses
 from tallyriver.llm.lines import dedup_lines
+from tallyriver.llm.neighbours import build_index, search
 from tallyriver.llm.quality import fit_quality, with_quality
 from tallyriver.llm.text import held_out
 
@@ -178,6 +179,13 @@ def op8_byte_bpe(spark, sf_dir):
     return bpe.digests(bpe.decode(encoded, path, pattern))
 
 
+@query
+def op9_nearest_neighbours(spark, sf_dir):
+    """The five nearest vectors of every fiftieth one."""
+    rows = table(spark, sf_dir, "embeddings")
+    return search(build_index(rows), rows.filter(F.col("vec_id") % 50 == 0))
+
+
 @query
 def op10_language_id(spark, sf_dir):
     """Every document's language, by a network trained on rows outside the held-out fold."""
