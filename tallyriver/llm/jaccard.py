@@ -2,8 +2,9 @@
 
 1. One pass hashes every text to its set, names the set's class (copies share it) and counts shingles in a fixed
    number of hash buckets. The bucket loads give the global order: shingles of crowded buckets come last.
-2. Every class sends the first shingles of its ordered set (the prefix that any partner must share one of).
-   Classes that meet at a shingle are joined to a star; connected stars are candidate groups.
+2. Every class sends the first shingles of its ordered set. A partner may miss ``spare`` of them at most, and twice
+   as many and one are sent, so a class stays a candidate only while at least ``spare`` of its shingles are met by
+   other candidates. Candidates that meet at a shingle are joined to a star; connected stars are candidate groups.
 3. The full sets of each group are stored in a trie. Every set walks the trie, sharing the overlap counted on
    common paths; subtrees that cannot reach the needed overlap by their remaining lengths are cut, and so are
    subtrees whose sets are all linked with the walking set already.
@@ -28,6 +29,9 @@ from tallyriver.storage import shared_folder
 BUCKETS = 1 << 18
 SLICES = 16
 GROUP_TOKENS = 4_000_000
+#: From this place on (twice the mean load) a shingle's classes are dealt out in parts.
+CROWDED = 4
+REFINEMENTS = 2
 
 
 def class_name(shingles: np.ndarray) -> int:
@@ -104,7 +108,7 @@ def _prefix_pass(size: int, percent: int, order: np.ndarray):
                     continue
                 seen.add(name)
                 place = order[(shingles % np.uint64(buckets)).astype(np.int64)]
-                first = np.lexsort((shingles, place))[: n - _needed(n, percent) + 1]
+                first = np.lexsort((shingles, place))[: 2 * (n - _needed(n, percent)) + 1]
                 tokens.append(shingles[first].view(np.int64))
                 places.append(place[first])
                 names.append(np.full(len(first), name, np.int64))
@@ -219,6 +223,16 @@ def linked(names: list[int], sets: list[np.ndarray], percent: int) -> list[tuple
     return [(name, least[trie.find(i)]) for i, name in enumerate(order) if least[trie.find(i)] != name]
 
 
+def _met(rows: DataFrame) -> DataFrame:
+    """Rows ``token, place, class, part`` whose token another class has too; crowded tokens are taken to have one."""
+    dealt = rows.repartition("token", "part").dropDuplicates(["token", "part", "place", "class"])
+    both = dealt.withColumns({f: F.expr(f"{f}(class) over (partition by token, part)") for f in ("min", "max")})
+    kept = both.filter((F.col("place") >= CROWDED) | F.expr("min <> max")).select("token", "part", "place", "class")
+    path = shared_folder(rows.sparkSession, "met")
+    kept.write.parquet(path)
+    return rows.sparkSession.read.schema(kept.schema).parquet(path)
+
+
 def _set_pass(size: int):
     """Texts of candidates to their sets; rows whose text is not of the class that called for them go."""
 
@@ -288,7 +302,7 @@ def jaccard_components(
     """
     spark = docs.sparkSession
     source = renamed(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("bigint"))
-    passed, starred = shared_folder(spark, "sets"), shared_folder(spark, "stars")
+    passed = shared_folder(spark, "sets")
     fields = "id bigint, n bigint, class bigint, slice int, loads binary"
     source.mapInArrow(_sets_pass(size, buckets), fields).write.parquet(passed)
     seen = spark.read.schema(fields).parquet(passed)
@@ -303,15 +317,15 @@ def jaccard_components(
 
     # a crowded shingle's classes meet in parts, one for each multiple of the mean load, and the parts meet again
     prefixes = source.select("text").mapInArrow(_prefix_pass(size, percent, order), "token bigint, place smallint, class bigint")
-    parts = F.when(F.col("place") >= 4, F.ceil(F.pow(F.lit(2.0), F.col("place") / 4))).otherwise(F.lit(1))
-    prefixes = prefixes.withColumn("part", F.pmod(F.xxhash64("class"), parts))
-    dealt = prefixes.repartition("token", "part").withColumn(
-        "head", F.expr("min(class) over (partition by token, part)")
-    )
-    dealt = dealt.filter("class <> head or place >= 4").select("token", "part", "place", "class", "head")
-    dealt.write.parquet(starred)
-    met = spark.read.schema("token bigint, part bigint, place smallint, class bigint, head bigint").parquet(starred)
-    heads = met.filter("place >= 4 and class = head").select("token", "head").distinct()
+    parts = F.when(F.col("place") >= CROWDED, F.ceil(F.pow(F.lit(2.0), F.col("place") / 4))).otherwise(F.lit(1))
+    met = _met(prefixes.withColumn("part", F.pmod(F.xxhash64("class"), parts)))
+    spare = F.col("n") - F.ceil(F.col("n") * percent / 100)
+    needs = classes.groupBy("class").agg(F.min("n").alias("n")).select("class", F.greatest(F.lit(1), spare).alias("spare"))
+    for _ in range(REFINEMENTS):
+        counts = met.groupBy("class").agg(F.count(F.lit(1)).alias("k")).join(needs, "class")
+        met = _met(met.join(counts.filter("k >= spare").select("class"), "class", "left_semi"))
+    met = met.withColumn("head", F.expr("min(class) over (partition by token, part)"))
+    heads = met.filter((F.col("place") >= CROWDED) & F.expr("class = head")).select("token", "head")
     tops = heads.groupBy("token").agg(F.min("head").alias("top"))
     stars = met.filter("class <> head").select(F.col("class").alias("a"), F.col("head").alias("b"))
     stars = stars.union(heads.join(tops, "token").filter("head <> top").select(F.col("head"), F.col("top")))
