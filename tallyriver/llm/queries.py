@@ -19,6 +19,7 @@ from tallyriver.llm.lines import dedup_lines
 from tallyriver.llm.neighbours import build_index, search
 from tallyriver.llm.quality import fit_quality, with_quality
 from tallyriver.llm.text import held_out
+from tallyriver.llm.urls import Rule, filter_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -102,6 +103,22 @@ from marked group by doc_id
 """
 
 
+# The rules (verdict, host, path).
+URL_RULES = [
+    Rule("allow", "org", "/"),
+    Rule("block", "example.org", "/es/"),
+    Rule("block", "example.org", "/en/1"),
+    Rule("allow", "com", "/fr/"),
+    Rule("block", "com", "/de/"),
+]
+
+
+@query
+def op3_url_filter(spark, sf_dir):
+    """Host, path, rule and verdict of every page's url."""
+    return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 @query
 def op4_license_scan(spark, sf_dir):
     """License phrases and rules found in every document."""
