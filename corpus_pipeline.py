@@ -1,10 +1,79 @@
-"""From raw documents to training tokens: each stage works on what the one before has kept."""
+"""From raw documents to training tokens: each stage works on all that the one before has kept.
+
+All stages but the last return the columns of ``documents``. A row without an id is never dropped as a duplicate or a
+leak; rows that repeat an id share its fate.
+"""
 
 from __future__ import annotations
 
+import os
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyriver.llm import bpe
+from tallyriver.llm.decontamination import without_leaks
+from tallyriver.llm.jaccard import jaccard_components
+from tallyriver.llm.lines import dedup_lines
+from tallyriver.llm.quality import fit_quality, with_quality
+from tallyriver.storage import shared_folder
+
+QUALITY_THRESHOLD = 0.3
+
+#: SQL cannot express the classifier; the tests hold the stages against brute force.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject."""
+    model = fit_quality(docs, _table(spark, sf_dir, "labels"))
+    scored = with_quality(docs, model, score_col="quality__")
+    return scored.filter(F.col("quality__") >= QUALITY_THRESHOLD).select(*docs.columns)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that others share; ``n_chars`` follows the text."""
+    kept = dedup_lines(docs)
+    return kept.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+
+
+def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of every group of near copies."""
+    others = jaccard_components(docs).filter("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return without_leaks(docs, _table(spark, sf_dir, "benchmark")).select(*docs.columns)
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's tokens, encoded and decoded again, as digests."""
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return bpe.digests(bpe.decode(bpe.encode(docs, path, pattern), path, pattern))
+
+
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("line dedup", line_stage),
+    ("n-gram Jaccard join", near_copy_stage),
+    ("benchmark decontamination", benchmark_stage),
+    ("byte-level BPE", token_stage),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; what each keeps is written and read again."""
+    docs = _table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        path = shared_folder(spark, name.replace(" ", "-"))
+        kept = stage(spark, docs, sf_dir)
+        kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)
