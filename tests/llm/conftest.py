@@ -1,0 +1,45 @@
+import os
+
+import compare
+import pytest
+
+
+@pytest.fixture(scope="session")
+def duck(sf_dir):
+    return compare.duck(sf_dir)
+
+
+@pytest.fixture(scope="session")
+def documents(spark, sf_dir):
+    return [tuple(r) for r in spark.read.parquet(os.path.join(sf_dir, "documents.parquet")).select("doc_id", "text").collect()]
+
+
+@pytest.fixture(scope="session")
+def frame(spark):
+    """Rows of (doc_id, text) with further columns whose names could clash with an operator's own."""
+
+    def make(rows, id_type="bigint"):
+        clashing = "id bigint, hash string, text2 string, class string, score string, n_lines string, label string, ids string, hashes string"
+        filled = [(i, t, 1, "a", "b", "c", "d", "e", "f", "g", "h") for i, t in rows]
+        return spark.createDataFrame(filled, f"doc_id {id_type}, text string, {clashing}").repartition(2)
+
+    return make
+
+
+EDGES = [
+    (1, None),
+    (2, ""),
+    (3, " \t\n "),
+    (4, "one"),
+    (5, "one two three four five six seven eight nine ten"),
+    (5, "one two three four five six seven eight nine ten"),
+    (None, "one two three four five six seven eight nine ten"),
+    (None, None),
+    (6, "ÀÉ 漢字 😀 \x00 word\r\nnext"),
+    (7, "long " * 60_000),
+]
+
+
+@pytest.fixture(scope="session")
+def edges():
+    return EDGES
