@@ -104,8 +104,11 @@ def safe_ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def money_sum(amount: Column | str) -> Column:
-    """Exact sum in cents: the order of additions cannot change the result."""
-    return F.sum(_col(amount).cast(MONEY))
+    """Exact sum in cents: the order of additions cannot change the result.
+
+    Amounts beyond the money type are left out; ``quality.tag_records`` reports such events.
+    """
+    return F.sum(_col(amount).try_cast(MONEY))
 
 
 def share_present(names: Sequence[str]) -> Column:

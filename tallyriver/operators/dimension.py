@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,9 +10,9 @@ from pyspark.sql import functions as F
 
 from tallyriver.operators.quality import QualityError, quality_gate, require_quality, validate_demographics
 from tallyriver.schemas import DEMOGRAPHICS_REQUIRED, DEMOGRAPHICS_SCHEMA
-from tallyriver.sinks.tables import overwrite_table
+from tallyriver.sinks.tables import with_load_times
 from tallyriver.sources.tables import read_demographics_csv
-from tallyriver.storage import path_exists, rename_path
+from tallyriver.storage import current_folder, publish_staged, staged_folder
 
 
 def load_statistics(df: DataFrame) -> DataFrame:
@@ -38,10 +37,9 @@ def verify_load(df: DataFrame) -> DataFrame:
     )
     names = ["total_records", "countries", "min_age", "max_age"]
     cells = [F.struct(F.lit(n).alias("statistic"), F.col(n).alias("value")) for n in names]
-    genders = df.groupBy("gender").agg(F.count(F.lit(1)).alias("value"))
-    return totals.select(F.inline(F.array(*cells))).unionByName(
-        genders.select(F.concat(F.lit("gender "), F.coalesce("gender", F.lit("unknown"))).alias("statistic"), "value")
-    )
+    label = F.concat(F.lit("gender "), F.coalesce("gender", F.lit("unknown"))).alias("statistic")
+    genders = df.groupBy(label).agg(F.count(F.lit(1)).alias("value"))
+    return totals.select(F.inline(F.array(*cells))).unionByName(genders)
 
 
 def country_distribution(df: DataFrame) -> DataFrame:
@@ -89,35 +87,31 @@ def profile(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str], exa
     return reduce(DataFrame.unionByName, parts)
 
 
-def refresh_demographics(spark: SparkSession, csv: str, target: str, gate: bool = True) -> dict:
+def refresh_demographics(spark: SparkSession, csv: str, target: str, gate: Mapping | None = None) -> dict:
     """Reload the dimension from CSV and publish it only if every check passes.
 
-    The new data is staged beside the target, so that the CSV is parsed once,
-    checked there, and moved into place at the end. A failed check raises and
-    leaves the target as it was. The replaced data stays beside the target, at
-    the path returned as ``previous``.
+    The new data is staged below the target, so that the CSV is parsed once,
+    checked there, and published by one rename as the newest version. A failed
+    check or a crash leaves the version before in use; read it with
+    ``storage.read_current``. ``gate`` holds bounds of ``quality_gate``.
     """
     incoming = read_demographics_csv(spark, csv)
     missing = [c for c in DEMOGRAPHICS_REQUIRED if c not in incoming.columns]
     if missing:
         raise QualityError(f"demographics lack columns: {missing}")
-    run = uuid.uuid4().hex
-    staged_path = f"{target.rstrip('/')}__staged_{run}"
+    staged_path = staged_folder(target)
     wanted = [c for c in DEMOGRAPHICS_SCHEMA.names if c in incoming.columns]
-    overwrite_table(incoming.select(*wanted), staged_path)
+    with_load_times(incoming.select(*wanted)).write.parquet(staged_path)
 
     staged = spark.read.parquet(staged_path)
     verdict = validate_demographics(staged).first().asDict()
     if not verdict["is_valid"]:
         raise QualityError(f"demographics are not valid: {verdict}")
+    # five numbers, and one row for each gender text of a table that has passed validation
     checks = {r["statistic"]: r["value"] for r in verify_load(staged).collect()}
     stats_frame = load_statistics(staged)
-    if gate:
-        require_quality(quality_gate(stats_frame))
+    require_quality(quality_gate(stats_frame, **(gate or {})))
     stats = stats_frame.first().asDict()
-    previous = None
-    if path_exists(spark, target):
-        previous = f"{target.rstrip('/')}__previous_{run}"
-        rename_path(spark, target, previous)
-    rename_path(spark, staged_path, target)
-    return {"validation": verdict, "verification": checks, "statistics": stats, "previous": previous}
+    previous = current_folder(spark, target)
+    published = publish_staged(spark, staged_path, target)
+    return {"validation": verdict, "verification": checks, "statistics": stats, "previous": previous, "published": published}

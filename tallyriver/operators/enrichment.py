@@ -93,19 +93,22 @@ class Lookup:
     ):
         self._read, self._ttl, self._check, self._clock = read, ttl, check, clock
         self._frame: DataFrame | None = None
+        self._loads = 0
         self._loaded_at = 0.0
 
     def get(self) -> DataFrame:
         if self._frame is None or self._clock() - self._loaded_at >= self._ttl:
             self.refresh()
-        return self._frame
+        return self._frame.drop("__load")
 
     def refresh(self) -> DataFrame:
-        fresh = self._read().persist(StorageLevel.MEMORY_AND_DISK)
+        # Spark finds a cached frame by its plan; the number gives every load a plan of its own
+        self._loads += 1
+        fresh = self._read().withColumn("__load", F.lit(self._loads)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             fresh.count()  # fills the cache, and with it the exact size for the join's choice
             if self._check is not None:
-                self._check(fresh)
+                self._check(fresh.drop("__load"))
         except Exception:
             fresh.unpersist()
             raise
@@ -113,7 +116,7 @@ class Lookup:
         self._loaded_at = self._clock()
         if previous is not None:
             previous.unpersist()
-        return fresh
+        return fresh.drop("__load")
 
 
 def campaign_join(campaigns: DataFrame, facts: DataFrame, key: str = "campaign_id") -> DataFrame:

@@ -35,7 +35,7 @@ def _additive(money: str = "total_amount") -> list[Column]:
         F.count_if(F.col("event_type") == "click").alias(_CLICKS),
         F.count_if(F.col("event_type") == "purchase").alias(_PURCHASES),
         C.money_sum(money).alias(_AMOUNT),
-        F.count(money).alias(_AMOUNTS),
+        F.count(F.col(money).try_cast(C.MONEY)).alias(_AMOUNTS),
     ]
 
 
@@ -158,9 +158,11 @@ def aggregate(df: DataFrame, keys: Sequence[str], cols: Sequence[str], funcs: Se
 
 
 def type_shares(df: DataFrame) -> DataFrame:
-    """Count and share of each event type. The window sees one row per type only."""
+    """Count and share of each event type; the total is one row."""
     counts = df.groupBy("event_type").agg(F.count(F.lit(1)).alias("event_count"))
-    return counts.withColumn("share", F.col("event_count") / F.sum("event_count").over(Window.partitionBy()))
+    total = F.broadcast(df.agg(F.count(F.lit(1)).alias("__total")))
+    shares = counts.join(total, F.lit(True), "inner")
+    return shares.withColumn("share", F.col("event_count") / F.col("__total")).drop("__total")
 
 
 def hourly_rollup(df: DataFrame, ts: str = "timestamp") -> DataFrame:

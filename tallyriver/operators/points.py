@@ -64,7 +64,7 @@ def _map(entries: Mapping[str, Column], value_type: str) -> Column:
         return F.create_map().cast(f"map<string,{value_type}>")
     pairs = [c for name, value in entries.items() for c in (F.lit(name), value.cast(value_type))]
     if value_type == "double":
-        return F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull() & ~F.isnan(v))
+        return F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     return F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull())
 
 
@@ -95,12 +95,12 @@ def to_points(
     flags: Sequence[str] = (),
     now=None,
 ) -> DataFrame:
-    """Points from columns: numeric fields as double, ``flags`` as integer, others as text.
+    """Points from columns: numeric and boolean fields as double, ``flags`` as integer, others as text.
 
     Columns the frame lacks are skipped. A missing time becomes ``now``.
     """
     types = dict(df.dtypes)
-    numeric = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+    numeric = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
     present = [f for f in fields if f in types]
     doubles = {f: F.col(f) for f in present if types[f].startswith(numeric)}
     texts = {f: F.col(f) for f in present if f not in doubles}
@@ -232,22 +232,27 @@ def read_points(
     )
 
 
+def _one_line(text: Column) -> Column:
+    """Line breaks written out, as a line break ends a point."""
+    return F.replace(F.replace(text, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
 def _escape(text: Column) -> Column:
     for sign in ("\\", ",", "=", " "):
         text = F.replace(text, F.lit(sign), F.lit("\\" + sign))
-    return text
+    return _one_line(text)
 
 
 def point_lines(points: DataFrame) -> DataFrame:
     """Points in line text form: ``measurement,tag=v field=1.0,flag=1i,text="x" seconds``.
 
-    Points without any field have no line.
+    Points without any field have no line; empty tags are left out, and line breaks are written out.
     """
 
     def quoted(value: Column) -> Column:
         for sign in ("\\", '"'):
             value = F.replace(value, F.lit(sign), F.lit("\\" + sign))
-        return F.concat(F.lit('"'), value, F.lit('"'))
+        return F.concat(F.lit('"'), _one_line(value), F.lit('"'))
 
     def pairs(column: str, form: Callable[[Column], Column]) -> Column:
         return F.transform(
@@ -260,7 +265,8 @@ def point_lines(points: DataFrame) -> DataFrame:
         pairs("text_fields", quoted),
     ]
     fields = F.array_join(F.concat(*parts), ",")
-    head = F.concat_ws(",", _escape(F.col("measurement")), F.nullif(tags_text(), F.lit("")))
+    named = F.map_filter("tags", lambda _, v: v != "")
+    head = F.concat_ws(",", _escape(F.col("measurement")), F.nullif(tags_text(named), F.lit("")))
     line = F.concat_ws(" ", head, fields, F.unix_seconds("time").cast("string"))
     return points.filter(F.size("fields") + F.size("int_fields") + F.size("text_fields") > 0).select(
         line.alias("line")

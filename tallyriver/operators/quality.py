@@ -43,15 +43,11 @@ def null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     present = [c for c in cols if c in df.columns]
     if not present:
         return df.sparkSession.createDataFrame([], "column string, null_count bigint, total_count bigint")
-    cells = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.count_if(F.col(c).isNull()).alias("null_count"),
-            F.count(F.lit(1)).alias("total_count"),
-        )
+    cells = {
+        (c,): F.struct(F.count_if(F.col(c).isNull()).alias("null_count"), F.count(F.lit(1)).alias("total_count"))
         for c in present
-    ]
-    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    }
+    return _unpivot(df, cells, ("column",), "counts").select("column", "counts.*")
 
 
 def schema_check(df: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> dict:
@@ -88,8 +84,8 @@ def _duplicate_ids(df: DataFrame) -> DataFrame:
 def validate_demographics(df: DataFrame) -> DataFrame:
     """One row: missing columns, nulls in required ones, bad ages, repeated rows, and the verdict.
 
-    Nulls are only reported; a bad or missing age, a repeated id or a missing
-    column makes the table invalid.
+    Nulls are only reported, but for the id; a bad or missing age, a missing or
+    repeated id or a missing column makes the table invalid.
     """
     missing = [c for c in DEMOGRAPHICS_REQUIRED if c not in df.columns]
     if missing:
@@ -112,7 +108,8 @@ def validate_demographics(df: DataFrame) -> DataFrame:
         F.coalesce(F.sum("nulls"), F.lit(0)).alias("null_values"),
         F.coalesce(F.sum("bad_ages"), F.lit(0)).alias("invalid_ages"),
         F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_ids"),
-    ).withColumn("is_valid", (F.col("invalid_ages") == 0) & (F.col("duplicate_ids") == 0))
+        F.count_if(F.col("id").isNull()).alias("__no_id"),
+    ).withColumn("is_valid", (F.col("invalid_ages") == 0) & (F.col("duplicate_ids") == 0) & (F.col("__no_id") == 0)).drop("__no_id")
 
 
 def invalid_rows(df: DataFrame) -> DataFrame:
@@ -131,13 +128,17 @@ def require_unique(df: DataFrame, key: str = "id") -> None:
         raise QualityError(f"{key} is not unique, for example {example[0][key]!r}")
 
 
-def quality_gate(stats: DataFrame) -> DataFrame:
+def quality_gate(
+    stats: DataFrame,
+    min_users: int = MIN_USERS,
+    min_countries: int = MIN_COUNTRIES,
+    age_bounds: tuple[float, float] = AVERAGE_AGE_BOUNDS,
+) -> DataFrame:
     """The load checks on a row of load statistics: one row per check."""
-    age = F.col("avg_age")
     checks = {
-        "minimum_records": F.col("total_users") >= MIN_USERS,
-        "minimum_countries": F.col("countries") >= MIN_COUNTRIES,
-        "reasonable_avg_age": age.between(*AVERAGE_AGE_BOUNDS),
+        "minimum_records": F.col("total_users") >= min_users,
+        "minimum_countries": F.col("countries") >= min_countries,
+        "reasonable_avg_age": F.col("avg_age").between(*age_bounds),
     }
     cells = [F.struct(F.lit(n).alias("check"), F.coalesce(c, F.lit(False)).alias("passed")) for n, c in checks.items()]
     return stats.select(F.inline(F.array(*cells)))
@@ -184,14 +185,18 @@ def tag_records(envelope: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> Dat
     """Decoded records beside their raw value, with the reason if they are unusable.
 
     Takes the projected envelope. A record is unusable if it has no value, is
-    not a JSON object, or has no event type.
+    not a JSON object, has no event type, or an amount that is no amount of money.
     """
     keep = [c for c in ENVELOPE_COLUMNS if c in envelope.columns]
     decoded = envelope.select(
         "key", F.col("value").alias("raw_value"), F.inline(F.array(F.from_json("value", schema))), *keep
     )
+    odd_amount = F.lit(False)
+    if "total_amount" in schema.names:
+        odd_amount = F.col("total_amount").isNotNull() & F.col("total_amount").try_cast(C.MONEY).isNull()
     reason = (
-        F.when(F.col("event_type").isNotNull(), F.lit(None))
+        F.when(F.col("event_type").isNotNull() & odd_amount, "unusable amount")
+        .when(F.col("event_type").isNotNull(), F.lit(None))
         .when(F.col("raw_value").isNull(), "missing value")
         .when(F.json_object_keys("raw_value").isNull(), "malformed json")
         .otherwise("missing event_type")

@@ -25,7 +25,7 @@ from tallyriver.plans import fixtures as X
 from tallyriver.sinks import tables as K
 from tallyriver.sources import events as S
 from tallyriver.sources import tables as R
-from tallyriver.storage import shared_folder
+from tallyriver.storage import read_current, shared_folder
 from tallyriver.streaming import metrics as SM
 from tallyriver.streaming import run as SR
 from tallyriver.streaming import sessions as SS
@@ -194,7 +194,7 @@ def overwrite_load(spark, sf):
     rows = X.demographics(spark, sf)
     K.overwrite_table(rows, path)
     K.overwrite_table(rows, path)
-    loaded = spark.read.parquet(path)
+    loaded = read_current(spark, path)
     return loaded.withColumns(
         {"created_at": F.col("created_at").isNotNull(), "updated_at": F.col("updated_at").isNotNull()}
     )
@@ -211,11 +211,11 @@ def append_rows(spark, sf):
 
 @query
 def refresh_demographics(spark, sf):
-    """CSV to published dimension through every check."""
+    """CSV to published dimension through every check; the smallest table has 150 users."""
     csv, target = shared_folder(spark, "incoming"), shared_folder(spark, "dimension")
     K.write_csv(X.demographics(spark, sf), csv)
-    D.refresh_demographics(spark, csv, target, gate=False)
-    return spark.read.parquet(target).drop("created_at", "updated_at")
+    D.refresh_demographics(spark, csv, target, gate={"min_users": 100})
+    return read_current(spark, target).drop("created_at", "updated_at")
 
 
 # --- event columns ---------------------------------------------------------
@@ -685,7 +685,7 @@ def stream_campaign_analytics(spark, sf):
     writer = SM.complete_writer(M.merge_campaign_partials, SK.latest_writer(out))
     partials = M.campaign_partials(events, buckets=8)
     _drain(lambda: SK.start_sink(partials, writer, "complete", "available", state))
-    return spark.read.parquet(out)
+    return read_current(spark, out)
 
 
 @query
@@ -693,7 +693,7 @@ def stream_sliding_metrics(spark, sf):
     out, state = shared_folder(spark, "stream"), shared_folder(spark, "state")
     stream = M.minute_metrics(SK.with_watermark(X.events_stream(spark, sf)), "60 seconds", "30 seconds", "approx")
     _drain(lambda: SK.start_sink(stream, SK.latest_writer(out), "complete", "available", state))
-    return spark.read.parquet(out).select("window_start", "window_end", "event_type", "event_count", "total_revenue")
+    return read_current(spark, out).select("window_start", "window_end", "event_type", "event_count", "total_revenue")
 
 
 @query
@@ -748,8 +748,14 @@ def stream_event_points(spark, sf):
 @query
 def stream_batch_metrics(spark, sf):
     out, state = shared_folder(spark, "stream"), shared_folder(spark, "state")
-    events = X.events_stream(spark, sf)
-    (done,) = SR.run_available([lambda: SK.start_sink(events, SK.parquet_writer(out), "append", "available", state)])
-    progress = SR.progress_frame(spark, done)
+    events, path = X.events_stream(spark, sf), shared_folder(spark, "progress")
+    log = SR.ProgressLog(spark, path)
+    spark.streams.addListener(log)
+    try:
+        _drain(lambda: SK.start_sink(events, SK.parquet_writer(out), "append", "available", state))
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(log)
+    progress = SR.progress_frame(spark, path)
     return progress.agg(F.sum("records").alias("records"), F.min(F.col("records_per_second") >= 0).alias("has_rate"))
 

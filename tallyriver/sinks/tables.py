@@ -6,6 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from tallyriver.storage import publish
 
 
 def with_load_times(df: DataFrame) -> DataFrame:
@@ -20,12 +23,13 @@ def overwrite_table(
 ) -> None:
     """Replace a table: a Parquet folder, or with ``jdbc`` options a database table.
 
-    The database table is emptied rather than dropped, so its keys and indexes
+    The folder gets a new version, and the one before stays in use until the
+    new one is complete; read it with ``storage.read_current``. The database table is emptied rather than dropped, so its keys and indexes
     stay, and each task inserts in batches of ``batch_size``.
     """
     stamped = with_load_times(df)
     if jdbc is None:
-        stamped.write.mode("overwrite").parquet(target)
+        publish(stamped, target)
     else:
         jdbc_writer(stamped, target, batch_size, jdbc).mode("overwrite").save()
 
@@ -40,15 +44,21 @@ def jdbc_writer(df: DataFrame, table: str, batch_size: int, options: Mapping[str
     )
 
 
-def insert_ignore(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+def insert_ignore(target: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """The target and those new rows whose key it lacks; one row per new key.
 
-    Several new rows of one key must be equal for the choice to be unique.
-    NULL keys never match, so they are always inserted.
+    Of several new rows of one key the first by ``order`` is taken; without it
+    they must be equal for the choice to be unique. NULL keys never match, so
+    they are always inserted.
     """
-    keyed = new.dropna(subset=list(keys)).dropDuplicates(list(keys))
+    keyed = new.dropna(subset=list(keys))
+    if order:
+        first = Window.partitionBy(*keys).orderBy(*order)
+        keyed = keyed.withColumn("__rank", F.row_number().over(first)).filter("__rank = 1").drop("__rank")
+    else:
+        keyed = keyed.dropDuplicates(list(keys))
     fresh = keyed.join(target.select(*keys), list(keys), "left_anti")
-    any_null = ~F.col(keys[0]).isNotNull()
+    any_null = F.col(keys[0]).isNull()
     for key in keys[1:]:
         any_null = any_null | F.col(key).isNull()
     return target.unionByName(fresh).unionByName(new.filter(any_null))

@@ -11,9 +11,6 @@ from pyspark.sql import types as T
 
 from tallyriver.schemas import DEMOGRAPHICS_SCHEMA
 
-# Lists up to this length go into the filter (and so into a JDBC WHERE clause).
-INLINE_IDS = 1000
-
 
 def jdbc_options(
     url: str,
@@ -57,17 +54,18 @@ def read_query(spark: SparkSession, options: Mapping[str, str], sql: str) -> Dat
 
 
 def lookup_by_ids(df: DataFrame, ids: Sequence | DataFrame, column: str = "id") -> DataFrame:
-    """Rows whose id is among ``ids``: a list, or a frame whose first column holds them."""
+    """Rows whose id is among ``ids``: a list, or a frame whose first column holds them.
+
+    Ids are cast to the column's type; what cannot be cast matches nothing. A
+    list of any length becomes a filter, which reaches the scan.
+    """
+    data_type = df.schema[column].dataType
     if isinstance(ids, DataFrame):
-        wanted = ids.select(F.col(ids.columns[0]).alias(column)).distinct()
+        wanted = ids.select(F.col(ids.columns[0]).try_cast(data_type).alias(column)).distinct()
         return df.join(wanted, column, "left_semi")
     if not ids:
         return df.filter(F.lit(False))
-    if len(ids) <= INLINE_IDS:
-        return df.filter(F.col(column).isin(*ids))
-    schema = T.StructType([T.StructField(column, df.schema[column].dataType)])
-    wanted = df.sparkSession.createDataFrame([(i,) for i in ids], schema)
-    return df.join(wanted, column, "left_semi")
+    return df.filter(F.col(column).isin(*[F.lit(None if i is None else str(i)).try_cast(data_type) for i in ids]))
 
 
 def table_stats(df: DataFrame) -> DataFrame:
@@ -94,10 +92,11 @@ def catalog_summary(spark: SparkSession, names: Sequence[str]) -> DataFrame:
 def read_demographics_csv(spark: SparkSession, path: str, schema: T.StructType = DEMOGRAPHICS_SCHEMA) -> DataFrame:
     """The dimension's CSV with header, columns taken by name from the file.
 
-    Values that do not fit the declared type become NULL. Columns the header
+    All files must have the header of the first; a file with another one
+    fails when it is read. Values that do not fit the declared type become NULL. Columns the header
     lacks are absent in the result, so that validation can report them.
     """
-    header = spark.read.option("header", True).csv(path)
+    header = spark.read.option("header", True).option("enforceSchema", False).csv(path)
     typed = []
     for name in header.columns:
         if name in schema.names:

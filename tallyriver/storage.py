@@ -51,6 +51,65 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(jpath))
 
 
+def current_folder(spark: SparkSession, path: str) -> str | None:
+    """The newest version below ``path`` that was written completely; None without any."""
+    names = [n for n in child_names(spark, path) if n.startswith("version=")]
+    for name in sorted(names, key=lambda n: -int(n.split("=")[1])):
+        if path_exists(spark, f"{path}/{name}/_SUCCESS"):
+            return f"{path}/{name}"
+    return None
+
+
+def next_version(spark: SparkSession, path: str) -> str:
+    versions = [int(n.split("=")[1]) for n in child_names(spark, path) if n.startswith("version=")]
+    return f"{path}/version={max(versions, default=0) + 1}"
+
+
+def publish(df: DataFrame, path: str, version: int | None = None) -> str:
+    """Write ``df`` as a new version below ``path``; it counts once its success marker is there.
+
+    Older versions stay, so readers that have begun go on, and a failed write changes nothing. ``version`` names the
+    version, so that a repeated write replaces its own.
+    """
+    folder = next_version(df.sparkSession, path) if version is None else f"{path}/version={version}"
+    df.write.mode("overwrite").parquet(folder)
+    return folder
+
+
+def staged_folder(path: str) -> str:
+    """A new folder beside ``path``, on the same file system."""
+    return f"{path.rstrip('/')}__staged_{uuid.uuid4().hex}"
+
+
+def publish_staged(spark: SparkSession, staged: str, path: str) -> str:
+    """Make a checked folder the newest version by one rename."""
+    folder = next_version(spark, path)
+    fs, jpath = _hadoop_path(spark, path)
+    fs.mkdirs(jpath)
+    rename_path(spark, staged, folder)
+    return folder
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete version below ``path``."""
+    folder = current_folder(spark, path)
+    if folder is None:
+        raise FileNotFoundError(f"nothing is published at {path}")
+    return spark.read.parquet(folder)
+
+
+def drop_old_versions(spark: SparkSession, path: str, keep: int) -> None:
+    """Remove all but the newest ``keep`` complete versions, and older incomplete ones."""
+    names = [n for n in child_names(spark, path) if n.startswith("version=")]
+    names.sort(key=lambda n: -int(n.split("=")[1]))
+    complete = 0
+    for name in names:
+        if complete >= keep:
+            fs, jpath = _hadoop_path(spark, f"{path}/{name}")
+            fs.delete(jpath, True)
+        complete += path_exists(spark, f"{path}/{name}/_SUCCESS")
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of ``df``; huge when it does not know."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

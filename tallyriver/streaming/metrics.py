@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tallyriver.streaming.sinks import BatchWriter, batch_folder
 
 Merge = Callable[[DataFrame], DataFrame]
-FILES_PER_DATE = 8
+FILES_PER_DATE = 8  # a parameter of the writer, to be set by the size of a date's state
 
 
 def complete_writer(merge: Merge, write: BatchWriter) -> BatchWriter:
@@ -28,7 +28,9 @@ def complete_writer(merge: Merge, write: BatchWriter) -> BatchWriter:
     return merged
 
 
-def update_writer(path: str, keys: Sequence[str], merge: Merge, write: BatchWriter) -> BatchWriter:
+def update_writer(
+    path: str, keys: Sequence[str], merge: Merge, write: BatchWriter, files_per_date: int = FILES_PER_DATE
+) -> BatchWriter:
     """For update mode: a batch holds only the partial groups that changed.
 
     They are kept below ``path``, split by the date of their window. The
@@ -39,8 +41,8 @@ def update_writer(path: str, keys: Sequence[str], merge: Merge, write: BatchWrit
     def merged(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         dated = batch.withColumn("window_date", F.to_date("window.start"))
-        # a few files per date, however many state partitions there are
-        spread = dated.repartition("window_date", F.pmod("user_bucket", F.lit(FILES_PER_DATE)))
+        # so many files per date, however many state partitions there are
+        spread = dated.repartition("window_date", F.pmod("user_bucket", F.lit(files_per_date)))
         spread.write.mode("overwrite").partitionBy("window_date").parquet(batch_folder(path, batch_id))
         kept = spark.read.schema(_stored(dated)).parquet(path).filter(F.col("batch_id") <= batch_id)
         current = kept.filter(F.col("batch_id") == batch_id)

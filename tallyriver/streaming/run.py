@@ -6,14 +6,14 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tallyriver.operators.enrichment import Lookup, enrich
 from tallyriver.operators.events import transform_events
 from tallyriver.operators.points import event_points
 from tallyriver.streaming.sinks import BatchWriter
 
-_PROGRESS = "batch_id bigint, records bigint, seconds double"
+_PROGRESS = "records bigint, seconds double, query_id string, batch_id bigint"
 
 
 def event_writer(
@@ -55,18 +55,51 @@ def run_all(
 
 
 def run_available(starters: Sequence[Callable[[], StreamingQuery]]) -> list[StreamingQuery]:
-    """Start queries with the "available" trigger and wait until all have read everything."""
-    started = [start() for start in starters]
-    for query in started:
-        query.awaitTermination()
+    """Start queries with the "available" trigger and wait until all have read everything.
+
+    If one fails, the others are stopped before its exception is raised.
+    """
+    started: list[StreamingQuery] = []
+    try:
+        for start in starters:
+            started.append(start())
+        for query in started:
+            query.awaitTermination()
+    except Exception:
+        for query in started:
+            query.stop()
+        raise
     return started
 
 
-def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Records, seconds and records per second (0 if no time passed) of the recent batches."""
-    rows = [
-        (p["batchId"], p["numInputRows"], p["durationMs"].get("triggerExecution", 0) / 1000.0)
-        for p in query.recentProgress
-    ]
+class ProgressLog(StreamingQueryListener):
+    """Appends every batch's progress to a table, however long a stream runs.
+
+    Register it with ``spark.streams.addListener`` before the queries start.
+    A batch has a folder of its own, so a repeated batch replaces its row.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._spark, self._path = spark, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        row = [(p.numInputRows, p.durationMs.get("triggerExecution", 0) / 1000.0)]
+        folder = f"{self._path}/query_id={p.id}/batch_id={p.batchId}"
+        self._spark.createDataFrame(row, "records bigint, seconds double").coalesce(1).write.mode("overwrite").parquet(folder)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def progress_frame(spark: SparkSession, path: str) -> DataFrame:
+    """Records, seconds and records per second (0 if no time passed) of every batch that ``ProgressLog`` has seen."""
+    rows = spark.read.schema(_PROGRESS).parquet(path)
     per_second = F.when(F.col("seconds") > 0, F.col("records") / F.col("seconds")).otherwise(F.lit(0.0))
-    return spark.createDataFrame(rows, _PROGRESS).withColumn("records_per_second", per_second)
+    return rows.withColumn("records_per_second", per_second)

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyriver.operators.events import debug_view
 from tallyriver.operators.points import point_lines, write_points
 from tallyriver.operators.quality import bad_records, good_records, tag_records
+from tallyriver.storage import drop_old_versions, publish
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -82,11 +83,15 @@ def parquet_writer(path: str) -> BatchWriter:
     return write
 
 
-def latest_writer(path: str) -> BatchWriter:
-    """The newest batch only, for queries in complete mode."""
+def latest_writer(path: str, keep: int = 3) -> BatchWriter:
+    """The newest batch as the current version, for queries in complete mode.
+
+    Read it with ``storage.read_current``; the last ``keep`` versions stay for readers that have begun.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        publish(batch, path, batch_id)
+        drop_old_versions(batch.sparkSession, path, keep)
 
     return write
 

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyriver.operators.metrics import hourly_rollup
 from tallyriver.operators.summary import upsert_summary
 from tallyriver.schemas import EVENT_SUMMARY_SCHEMA
-from tallyriver.storage import child_names, path_exists
+from tallyriver.storage import child_names, current_folder
 from tallyriver.streaming.sinks import BatchWriter, batch_folder, start_sink
 
 _DELTA_SCHEMA = T.StructType([*EVENT_SUMMARY_SCHEMA.fields, T.StructField("batch_id", T.LongType())])
@@ -42,37 +42,36 @@ def start_upsert(
 
 def _base_version(spark: SparkSession, path: str) -> int | None:
     """The newest base that was written completely."""
-    versions = [int(n.split("=")[1]) for n in child_names(spark, f"{path}/base") if n.startswith("version=")]
-    for version in sorted(versions, reverse=True):
-        if path_exists(spark, f"{path}/base/version={version}/_SUCCESS"):
-            return version
-    return None
+    folder = current_folder(spark, f"{path}/base")
+    return None if folder is None else int(folder.rsplit("=", 1)[1])
 
 
-def _deltas(spark: SparkSession, path: str, after: int | None) -> DataFrame:
+def _deltas(spark: SparkSession, path: str, after: int | None, last: int | None = None) -> DataFrame:
     if not child_names(spark, f"{path}/deltas"):
         return spark.createDataFrame([], _DELTA_SCHEMA)
     deltas = spark.read.schema(_DELTA_SCHEMA).parquet(f"{path}/deltas")
+    if last is not None:
+        deltas = deltas.filter(F.col("batch_id") <= last)
     return deltas if after is None else deltas.filter(F.col("batch_id") > after)
 
 
-def read_summary(spark: SparkSession, path: str, literal: bool = False) -> DataFrame:
-    """The summary as of the last batch written."""
+def read_summary(spark: SparkSession, path: str, literal: bool = False, last: int | None = None) -> DataFrame:
+    """The summary as of the last batch written, or as of batch ``last``, which no base may be beyond."""
     version = _base_version(spark, path)
     base = None
     if version is not None:
         base = spark.read.schema(EVENT_SUMMARY_SCHEMA).parquet(f"{path}/base/version={version}")
-    return upsert_summary(base, _deltas(spark, path, version), "batch_id", literal)
+    return upsert_summary(base, _deltas(spark, path, version, last), "batch_id", literal)
 
 
 def compact_summary(spark: SparkSession, path: str, literal: bool = False) -> int | None:
     """Write a base that holds all batches so far; returns the last batch in it.
 
-    Run it between batches or on batches that are settled. Older bases and
-    deltas stay until they are removed by the owner of the folder.
+    A batch that lands meanwhile stays a delta. Older bases and deltas stay
+    until they are removed by the owner of the folder.
     """
     last = _deltas(spark, path, _base_version(spark, path)).agg(F.max("batch_id")).first()[0]
     if last is None:
         return None
-    read_summary(spark, path, literal).write.mode("overwrite").parquet(f"{path}/base/version={last}")
+    read_summary(spark, path, literal, last).write.mode("overwrite").parquet(f"{path}/base/version={last}")
     return last

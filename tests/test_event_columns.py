@@ -105,6 +105,31 @@ def test_lookup_refreshes_after_ttl(spark):
     assert len(reads) == 2 and other.is_cached
 
 
+def test_lookup_sees_a_folder_replaced_from_outside(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    folder = tmp_path / "users"
+    folder.mkdir()
+
+    def replace(name, ids):
+        for old in folder.iterdir():
+            old.unlink()
+        pq.write_table(pa.table({"id": pa.array(ids, pa.int32())}), str(folder / name))
+
+    replace("a.parquet", [1, 2])
+    lookup = J.Lookup(lambda: spark.read.parquet(str(folder)), ttl=1e9, check=Q.require_unique)
+    assert sorted(r.id for r in lookup.get().collect()) == [1, 2]
+    replace("b.parquet", [3, 3])
+    with pytest.raises(Q.QualityError):
+        lookup.refresh()
+    assert sorted(r.id for r in lookup.get().collect()) == [1, 2]
+    replace("c.parquet", [4, 5, 6])
+    lookup.refresh()
+    assert sorted(r.id for r in lookup.get().collect()) == [4, 5, 6]
+    assert "InMemoryTableScan" in lookup.get()._jdf.queryExecution().executedPlan().toString()
+
+
 def test_drop_late_and_retain(spark):
     rows = spark.createDataFrame([(datetime(2024, 1, 1, 0, m),) for m in (0, 5, 6)], "timestamp timestamp")
     assert E.drop_late(rows, minutes=5, as_of="2024-01-01 00:10:00").count() == 1

@@ -124,3 +124,11 @@ def test_no_writer_without_points(spark, tmp_path):
 
     points = TS.to_points(frame(spark, []), "m", ["event_type"], ["total_amount"], "timestamp")
     assert TS.write_points(points, refuse) == 0
+
+
+def test_lines_stay_whole(spark):
+    rows = spark.sql(
+        "select timestamp'2024-01-01' as t, 'a\\nb' as place, '' as empty, true as ok, double('inf') as big, 'x\\r\\ny' as note"
+    )
+    points = TS.to_points(rows, "m", ("place", "empty"), ("ok", "big", "note"), "t")
+    assert [r.line for r in TS.point_lines(points).collect()] == ['m,place=a\\nb ok=1.0,note="x\\r\\ny" 1704067200']

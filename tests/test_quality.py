@@ -110,3 +110,18 @@ def test_profile_forms(spark):
     assert abs(exact[("v", "std")] - 29.300170647967224) < 1e-9
     rough = {r.key: r.value for r in D.profile(rows, ["v"], [], exact=False).collect()}
     assert abs(rough["50%"] - 51) <= 1 and rough["count"] == 101
+
+
+def test_an_amount_beyond_money_is_a_dead_letter_and_no_failure(spark):
+    from tallyriver.operators import metrics as M
+    from tallyriver.sources import events as S
+
+    rows = [("u", '{"event_type": "purchase", "total_amount": 1e30}', 1), ("u", '{"event_type": "purchase", "total_amount": 5}', 2)]
+    raw = spark.createDataFrame(rows, "key string, value string, offset bigint")
+    envelope = raw.selectExpr("cast(key as binary) key", "cast(value as binary) value", "'t' topic", "0 partition", "offset", "timestamp'2024-01-01' timestamp")
+    good, bad = Q.split_bad(S.project_envelope(envelope))
+    assert [(r.error_reason, r.offset) for r in bad.collect()] == [("unusable amount", 1)]
+    assert [r.offset for r in good.collect()] == [2]
+    events = spark.sql("select timestamp'2024-01-01' as timestamp, 'purchase' as event_type, 1 as user_id, x as total_amount from values (1e30D), (5D) v(x)")
+    row = M.minute_metrics(events).first()
+    assert (row.event_count, row.total_revenue, row.avg_amount) == (2, 5.0, 5.0)

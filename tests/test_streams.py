@@ -12,6 +12,7 @@ from tallyriver.operators import metrics as M
 from tallyriver.operators import points as TS
 from tallyriver.operators import sessions as W
 from tallyriver.sources import events as S
+from tallyriver.storage import read_current
 from tallyriver.streaming import metrics as SM
 from tallyriver.streaming import run as SR
 from tallyriver.streaming import sessions as SS
@@ -49,7 +50,7 @@ def test_complete_mode_equals_batch(spark, events, slices, tmp_path):
     writer = SM.complete_writer(M.merge_minute_partials, SK.latest_writer(str(tmp_path / "out")))
     query = run(M.minute_partials(SK.with_watermark(slices()), buckets=4), writer, "complete", tmp_path / "c")
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
-    assert rows_of(spark.read.parquet(str(tmp_path / "out"))) == rows_of(M.minute_metrics(events))
+    assert rows_of(read_current(spark, str(tmp_path / "out"))) == rows_of(M.minute_metrics(events))
 
 
 def test_update_mode_equals_batch(spark, events, slices, tmp_path):
@@ -213,8 +214,16 @@ def test_run_all_raises_the_failure(spark, slices, tmp_path):
 
 
 def test_progress(spark, events, slices, tmp_path):
-    query = run(slices(), SK.parquet_writer(str(tmp_path / "out")), "append", tmp_path / "c")
-    frame = SR.progress_frame(spark, query)
+    log = SR.ProgressLog(spark, str(tmp_path / "progress"))
+    spark.streams.addListener(log)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1")
+    try:
+        run(slices(), SK.parquet_writer(str(tmp_path / "out")), "append", tmp_path / "c")
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+        spark.streams.removeListener(log)
+    frame = SR.progress_frame(spark, str(tmp_path / "progress"))
     assert frame.agg(F.sum("records")).first()[0] == events.count()
     assert frame.filter("records > 0 and records_per_second <= 0").isEmpty()
 
@@ -232,3 +241,44 @@ def test_lines_sink(spark, events, slices, tmp_path):
     points = TS.to_points(slices(), "visits", ["event_type"], ["user_id"], "timestamp")
     run(points, SK.line_writer(str(tmp_path / "out")), "append", tmp_path / "c")
     assert spark.read.text(str(tmp_path / "out")).count() == events.count()
+
+
+def test_a_batch_that_lands_during_compaction_counts_once(spark, events, demographics, tmp_path, monkeypatch):
+    path = str(tmp_path / "summary")
+    write, shaped = SU.upsert_writer(path), E.with_business_metrics(E.with_event_categories(J.enrich(events, demographics)))
+    write(shaped, 0)
+    read = SU.read_summary
+
+    def landing(*args):
+        write(shaped, 1)
+        return read(*args)
+
+    monkeypatch.setattr(SU, "read_summary", landing)
+    assert SU.compact_summary(spark, path) == 0
+    monkeypatch.undo()
+    assert SU.read_summary(spark, path).agg(F.sum("total_events")).first()[0] == 2 * events.count()
+
+
+def test_a_failing_query_stops_the_others(spark, slices, tmp_path):
+    def broken(batch, batch_id):
+        raise RuntimeError("no")
+
+    others = []
+
+    def endless():
+        others.append(SK.start_sink(slices(), lambda b, i: None, "append", "1 second", str(tmp_path / "a")))
+        return others[0]
+
+    failing = lambda: SK.start_sink(slices(), broken, "append", "available", str(tmp_path / "b"))
+    with pytest.raises(Exception, match="no"):
+        SR.run_available([failing, endless])
+    assert not others[0].isActive
+
+
+def test_only_the_last_versions_of_a_complete_result_stay(spark, tmp_path):
+    out = str(tmp_path / "out")
+    writer = SK.latest_writer(out, keep=2)
+    for batch_id in range(5):
+        writer(spark.range(batch_id), batch_id)
+    assert read_current(spark, out).count() == 4
+    assert len([p for p in (tmp_path / "out").iterdir() if p.is_dir()]) == 2

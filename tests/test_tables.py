@@ -1,13 +1,14 @@
 """Readers, writers and the dimension's refresh."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyriver.operators import dimension as D
 from tallyriver.operators import quality as Q
 from tallyriver.sinks import tables as K
 from tallyriver.sources import events as S
 from tallyriver.sources import tables as R
-from tallyriver.storage import broadcast_if_small, child_names
+from tallyriver.storage import broadcast_if_small, child_names, read_current
 
 HEADER = "id,age,gender,state,country,registration_date,income_bracket,last_login\n"
 
@@ -94,6 +95,33 @@ def test_csv_keeps_nulls_and_types(spark, tmp_path):
     assert (rows[1].id, rows[1].age, rows[1].registration_date) == (None, None, None)
 
 
+def test_csv_headers_are_checked_in_every_file(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "a.csv").write_text("id,age,country\n1,30,US\n")
+    (tmp_path / "d" / "b.csv").write_text("id,country,age\n2,US,30\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        R.read_demographics_csv(spark, str(tmp_path / "d")).collect()
+
+
+def test_lookup_takes_ids_of_any_type_and_number(spark):
+    rows = spark.range(3000)
+    assert R.lookup_by_ids(rows, ["5", 7, "x", None]).count() == 2
+    assert R.lookup_by_ids(rows, [str(i) for i in range(1500)]).count() == 1500
+    assert R.lookup_by_ids(rows, []).count() == 0
+
+
+def test_insert_ignore_takes_the_first_by_order(spark):
+    target = spark.createDataFrame([(1, "old")], "id int, v string")
+    new = spark.createDataFrame([(2, "b"), (2, "a"), (1, "c")], "id int, v string")
+    assert sorted((r.id, r.v) for r in K.insert_ignore(target, new, ["id"], ["v"]).collect()) == [(1, "old"), (2, "a")]
+
+
+def test_one_label_for_unknown_genders(spark):
+    rows = spark.createDataFrame([(1, None, "US"), (2, "unknown", "US")], "age int, gender string, country string")
+    found = [r for r in D.verify_load(rows).collect() if r.statistic.startswith("gender")]
+    assert [(r.statistic, r.value) for r in found] == [("gender unknown", 2)]
+
+
 def test_incremental_marks(spark):
     rows = spark.sql("select timestamp'2024-01-01' + make_interval(0,0,0,id) as t from range(5)")
     assert R.read_since(rows, "t").count() == 5
@@ -114,7 +142,9 @@ def test_overwrite_replaces(spark, tmp_path):
     path = str(tmp_path / "t")
     K.overwrite_table(spark.range(5), path)
     K.overwrite_table(spark.range(3), path)
-    loaded = spark.read.parquet(path)
+    with pytest.raises(Exception):
+        K.overwrite_table(spark.range(9).select(F.assert_true(F.col("id") < 0), "id"), path)
+    loaded = read_current(spark, path)
     assert loaded.count() == 3 and {"created_at", "updated_at"} <= set(loaded.columns)
     K.append_rows(loaded, str(tmp_path / "u"))
     K.append_rows(loaded, str(tmp_path / "u"))
@@ -127,14 +157,14 @@ def test_refresh_publishes(spark, tmp_path):
     assert result["statistics"]["total_users"] == 1200 and result["previous"] is None
     assert result["verification"]["total_records"] == 1200
     again = D.refresh_demographics(spark, csv(tmp_path, people(1300)), target)
-    assert spark.read.parquet(target).count() == 1300
+    assert read_current(spark, target).count() == 1300
     assert spark.read.parquet(again["previous"]).count() == 1200
 
 
 @pytest.mark.parametrize(
     "lines",
-    [people(10), people(1200, age=0), [*people(1200), people(1)[0]], people(1200, age="abc")],
-    ids=["too few", "bad age", "duplicate", "age missing"],
+    [people(10), people(1200, age=0), [*people(1200), people(1)[0]], people(1200, age="abc"), [*people(1200), "abc" + people(1)[0][1:]]],
+    ids=["too few", "bad age", "duplicate", "age missing", "no id"],
 )
 def test_failed_refresh_leaves_the_target(spark, tmp_path, lines):
     target = str(tmp_path / "dim")
