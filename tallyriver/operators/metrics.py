@@ -112,10 +112,13 @@ def campaign_analytics(
     return _campaign_columns(_grouped(df, CAMPAIGN_KEYS, ts, window, None, distinct, rsd))
 
 
-def _partials(df: DataFrame, keys: Sequence[str], ts: str, window: str, buckets: int) -> DataFrame:
+def _partials(
+    df: DataFrame, keys: Sequence[str], ts: str, window: str, buckets: int, slide: str | None = None
+) -> DataFrame:
+    frame = F.window(ts, window, slide) if slide else F.window(ts, window)
     bucket = F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int").alias("user_bucket")
     return (
-        df.groupBy(F.window(ts, window).alias("window"), *keys, bucket)
+        df.groupBy(frame.alias("window"), *keys, bucket)
         .agg(*_additive(), F.size(F.collect_set("user_id")).alias("unique_users"))
     )
 
@@ -125,10 +128,14 @@ def _merge_partials(partials: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def minute_partials(
-    df: DataFrame, window: str = "1 minute", buckets: int = USER_BUCKETS, ts: str = "timestamp"
+    df: DataFrame,
+    window: str = "1 minute",
+    buckets: int = USER_BUCKETS,
+    ts: str = "timestamp",
+    slide: str | None = None,
 ) -> DataFrame:
     """Partial minute metrics per user bucket, for streams in update or complete mode."""
-    return _partials(df, MINUTE_KEYS, ts, window, buckets)
+    return _partials(df, MINUTE_KEYS, ts, window, buckets, slide)
 
 
 def merge_minute_partials(partials: DataFrame) -> DataFrame:

@@ -103,7 +103,7 @@ def with_session_numbers(
     spares the extra counting pass where sessions are known to be small.
     """
     if df.isStreaming:
-        raise ValueError("use streaming.sessions.stream_session_numbers on a stream")
+        raise ValueError("use streaming.sessions.session_writer on a stream")
     if null_session not in ("skip", "group"):
         raise ValueError("null_session is 'skip' or 'group'")
     order = _tie_break(df, tie)

@@ -366,7 +366,13 @@ def campaign_analytics(spark, sf):
 
 @query
 def approx_distinct_window(spark, sf):
-    return M.minute_metrics(X.events(spark, sf), "1 day", distinct="approx")
+    """Estimated users beside the exact ones: whether each lies within three standard errors."""
+    rsd = 0.05
+    estimate = M.minute_metrics(X.events(spark, sf), "1 day", distinct="approx", rsd=rsd)
+    exact = M.minute_metrics(X.events(spark, sf), "1 day").select("window_start", "event_type", F.col("unique_users").alias("exact"))
+    joined = estimate.join(exact, ["window_start", "event_type"])
+    near = F.abs(F.col("unique_users") - F.col("exact")) <= F.greatest(F.lit(1.0), 3 * rsd * F.col("exact"))
+    return joined.withColumn("within_bound", near).drop("unique_users", "exact")
 
 
 @query
@@ -650,15 +656,26 @@ def point_lines(spark, sf):
 # --- streams ---------------------------------------------------------------
 
 
+#: The files of a stream end in the middle of minutes and hours, so that windows span micro-batches.
+CUT = 30.5
+
+
 def _drain(start: Callable[[], object]) -> None:
     SR.run_available([start])
 
 
+def _newest(written: DataFrame) -> DataFrame:
+    """The last state of each window that update mode has written."""
+    keys = ["window_start", "window_end", "event_type"]
+    values = [c for c in written.columns if c not in (*keys, "batch_id")]
+    return written.groupBy(*keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in values])
+
+
 @query
 def stream_minute_metrics(spark, sf):
     """Append mode, exact users in two levels; windows past the watermark come out."""
     out, state = shared_folder(spark, "stream"), shared_folder(spark, "state")
-    stream = M.minute_metrics(SK.with_watermark(X.events_stream(spark, sf)))
+    stream = M.minute_metrics(SK.with_watermark(X.events_stream(spark, sf, CUT)))
     schema = stream.schema
     _drain(lambda: SK.start_sink(stream, SK.parquet_writer(out), "append", "available", state))
     return spark.read.schema(schema).parquet(out).drop("batch_id")
@@ -668,20 +685,17 @@ def stream_minute_metrics(spark, sf):
 def stream_metrics_update(spark, sf):
     """Update mode, exact users from bucketed partial groups; the last state of each window."""
     out, parts, state = (shared_folder(spark, n) for n in ("stream", "parts", "state"))
-    partials = M.minute_partials(SK.with_watermark(X.events_stream(spark, sf)), "1 hour")
+    partials = M.minute_partials(SK.with_watermark(X.events_stream(spark, sf, CUT)), "1 hour")
     writer = SM.update_writer(parts, M.MINUTE_KEYS, M.merge_minute_partials, SK.parquet_writer(out))
     _drain(lambda: SK.start_sink(partials, writer, "update", "available", state))
-    written = spark.read.parquet(out)
-    keys = ["window_start", "window_end", "event_type"]
-    values = [c for c in written.columns if c not in (*keys, "batch_id")]
-    return written.groupBy(*keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in values])
+    return _newest(spark.read.parquet(out))
 
 
 @query
 def stream_campaign_analytics(spark, sf):
     """Complete mode, joined with the static dimension, exact users from partial groups."""
     out, state = shared_folder(spark, "stream"), shared_folder(spark, "state")
-    events = J.enrich(SK.with_watermark(X.events_stream(spark, sf)), X.demographics(spark, sf))
+    events = J.enrich(SK.with_watermark(X.events_stream(spark, sf, CUT)), X.demographics(spark, sf))
     writer = SM.complete_writer(M.merge_campaign_partials, SK.latest_writer(out))
     partials = M.campaign_partials(events, buckets=8)
     _drain(lambda: SK.start_sink(partials, writer, "complete", "available", state))
@@ -690,29 +704,40 @@ def stream_campaign_analytics(spark, sf):
 
 @query
 def stream_sliding_metrics(spark, sf):
-    out, state = shared_folder(spark, "stream"), shared_folder(spark, "state")
-    stream = M.minute_metrics(SK.with_watermark(X.events_stream(spark, sf)), "60 seconds", "30 seconds", "approx")
-    _drain(lambda: SK.start_sink(stream, SK.latest_writer(out), "complete", "available", state))
-    return read_current(spark, out).select("window_start", "window_end", "event_type", "event_count", "total_revenue")
+    """Exact sliding windows in update mode; the last state of each window."""
+    out, parts, state = (shared_folder(spark, n) for n in ("stream", "parts", "state"))
+    events = SK.with_watermark(X.events_stream(spark, sf, CUT))
+    partials = M.minute_partials(events, "60 seconds", buckets=4, slide="10 seconds")
+    writer = SM.update_writer(parts, M.MINUTE_KEYS, M.merge_minute_partials, SK.parquet_writer(out), files_per_date=1)
+    _drain(lambda: SK.start_sink(partials, writer, "update", "available", state))
+    return _newest(spark.read.parquet(out))
+
+
+@query
+def stream_session_numbers(spark, sf):
+    """Session numbers that go on over micro-batches."""
+    out, counts, state = (shared_folder(spark, n) for n in ("stream", "sessions", "state"))
+    writer = SS.session_writer(counts, SK.parquet_writer(out), fold_every=2)
+    _drain(lambda: SK.start_sink(X.events_stream(spark, sf, CUT), writer, "append", "available", state))
+    return spark.read.parquet(out).select(*_NUMBERED)
 
 
 @query
 def stream_enriched_events(spark, sf):
-    """The main stream: session numbers from keyed state, dimension lookup, all derived columns."""
-    out, state = shared_folder(spark, "stream"), shared_folder(spark, "state")
-    numbered = SS.stream_session_numbers(X.events_stream(spark, sf), tie=["event_id"])
-    lookup = J.Lookup(lambda: X.demographics(spark, sf), ttl=300, check=Q.require_unique)
-    writer = SR.event_writer(lookup, SK.parquet_writer(out), points=False)
-    _drain(lambda: SK.start_sink(numbered, writer, "append", "available", state))
+    """The main stream: session numbers, a dimension read again between batches, all derived columns."""
+    out, counts, state = (shared_folder(spark, n) for n in ("stream", "sessions", "state"))
+    lookup = J.Lookup(lambda: X.demographics(spark, sf), ttl=0, check=Q.require_unique)
+    writer = SS.session_writer(counts, SR.event_writer(lookup, SK.parquet_writer(out), points=False))
+    _drain(lambda: SK.start_sink(X.events_stream(spark, sf, CUT), writer, "append", "available", state))
     return spark.read.parquet(out).drop("batch_id")
 
 
 @query
 def stream_session_start(spark, sf):
-    out, state = shared_folder(spark, "stream"), shared_folder(spark, "state")
-    starts = SS.stream_session_starts(SK.with_watermark(X.events_stream(spark, sf)))
-    _drain(lambda: SK.start_sink(starts, SK.parquet_writer(out), "append", "available", state))
-    return spark.read.parquet(out).select("session_id")
+    out, counts, state = (shared_folder(spark, n) for n in ("stream", "sessions", "state"))
+    writer = SS.start_writer(counts, SK.parquet_writer(out))
+    _drain(lambda: SK.start_sink(X.events_stream(spark, sf, CUT), writer, "append", "available", state))
+    return spark.read.parquet(out).drop("batch_id")
 
 
 @query
@@ -731,7 +756,8 @@ def stream_dead_letter(spark, sf):
     records = S.project_envelope(X.envelope(X.events_stream(spark, sf), dirty=True))
     writer = SK.dead_letter_writer(SK.parquet_writer(good), SK.parquet_writer(bad))
     _drain(lambda: SK.start_sink(records, writer, "append", "available", state))
-    return spark.read.parquet(bad).select("error_reason", "key", "topic", "partition", "offset")
+    raw = F.when(F.col("error_reason") == "malformed json", F.col("raw_value").cast("string")).alias("raw_text")
+    return spark.read.parquet(bad).select("error_reason", "key", raw, "topic", "partition", "offset")
 
 
 @query

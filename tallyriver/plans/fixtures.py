@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyriver.schemas import CAMPAIGNS_SCHEMA
+from tallyriver.storage import shared_folder
 
+FILES = 5
 AS_OF = "2024-01-31 00:00:00"
 
 EVENTS_SQL = """
@@ -91,11 +93,23 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shaped.select(*columns)
 
 
-def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_files(spark: SparkSession, sf_dir: str, minutes: float = 0) -> str:
+    """All raw events in a folder of several files, oldest first: six days each, cut ``minutes`` past midnight."""
+    folder = shared_folder(spark, "event-files")
+    raw = table(spark, sf_dir, "events")
+    since = F.unix_seconds(F.col("ts").cast("timestamp")) - F.unix_seconds(F.lit("2024-01-01").cast("timestamp"))
+    part = F.greatest(F.lit(0), F.least(F.lit(FILES - 1), F.floor((since - 60 * minutes) / (6 * 86400))))
+    for k in range(FILES):
+        raw.filter(part == k).coalesce(1).write.mode("append").parquet(folder)
+    return folder
+
+
+def events_stream(spark: SparkSession, sf_dir: str, minutes: float = 0) -> DataFrame:
+    """The events of ``event_files`` as a stream, one file in each micro-batch."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     schema = table(spark, sf_dir, "events").schema
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return shape_events(raw)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    return shape_events(reader.parquet(event_files(spark, sf_dir, minutes)))
 
 
 def demographics(spark: SparkSession, sf_dir: str) -> DataFrame:

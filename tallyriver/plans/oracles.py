@@ -305,10 +305,10 @@ oracle(
 oracle(
     "sliding_metrics", f"select {minute('w', 'w + interval 60 seconds')} {sliding(10)} group by w, event_type", EVENTS
 )
+oracle("stream_sliding_metrics", ORACLES["sliding_metrics"])
 oracle(
-    "stream_sliding_metrics",
-    f"""select {when('w')} as window_start, {when('w + interval 60 seconds')} as window_end, event_type,
-               count(*) as event_count, {AMOUNT} as total_revenue {sliding(30)} group by w, event_type""",
+    "approx_distinct_window",
+    f"select * exclude (unique_users), true as within_bound from ({tumbling('day')}) x",
     EVENTS,
 )
 FIVE = "time_bucket(interval '5 minutes', event_time)"
@@ -399,7 +399,8 @@ oracle(
     EVENTS,
     SESSIONS,
 )
-oracle("stream_session_start", "select distinct session_id from ue where session_id is not null", EVENTS)
+oracle("stream_session_start", ORACLES["session_start"])
+oracle("stream_session_numbers", ORACLES["session_event_number"])
 
 # --- sorts and limits ------------------------------------------------------
 
@@ -528,7 +529,8 @@ oracle(
 )
 oracle(
     "stream_dead_letter",
-    f"""select {REASON} as error_reason, cast(user_id as varchar) as key, 'user_events' as topic,
+    f"""select {REASON} as error_reason, cast(user_id as varchar) as key,
+               case event_type when 'error' then '{{' || event_id end as raw_text, 'user_events' as topic,
                cast(user_id % 6 as int) as partition, event_id as "offset" from ue
         where event_type in ('error', 'signup', 'view')""",
     EVENTS,

@@ -51,9 +51,11 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(jpath))
 
 
-def current_folder(spark: SparkSession, path: str) -> str | None:
-    """The newest version below ``path`` that was written completely; None without any."""
+def current_folder(spark: SparkSession, path: str, below: int | None = None) -> str | None:
+    """The newest version (before ``below``) under ``path`` that was written completely; None without any."""
     names = [n for n in child_names(spark, path) if n.startswith("version=")]
+    if below is not None:
+        names = [n for n in names if int(n.split("=")[1]) < below]
     for name in sorted(names, key=lambda n: -int(n.split("=")[1])):
         if path_exists(spark, f"{path}/{name}/_SUCCESS"):
             return f"{path}/{name}"

@@ -21,7 +21,7 @@ def event_writer(
 ) -> BatchWriter:
     """Enrich and transform each micro-batch with a dimension that is kept fresh, and write it.
 
-    The stream must already carry session numbers (``stream_session_numbers``).
+    The batches must already carry session numbers: pass it to ``sessions.session_writer``.
     ``salts`` spreads hot users where the dimension is too large to broadcast.
     """
 

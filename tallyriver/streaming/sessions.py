@@ -1,19 +1,28 @@
-"""Session numbers and session starts on streams."""
+"""Session numbers and session starts on streams, in the JVM.
+
+Every micro-batch is numbered like a bounded frame, hot sessions in slices, and goes on from the events that earlier
+batches had of its sessions. Those counts are a table: a delta of one row per session and batch, which a replay
+overwrites, folded into a base from time to time. There is no state in Python and none per bucket.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from tallyriver.functions.columns import flag
+from tallyriver.operators.sessions import HOT_ROWS, with_session_numbers
+from tallyriver.storage import broadcast_if_small, child_names, current_folder, drop_old_versions, publish
+from tallyriver.streaming.sinks import BatchWriter, batch_folder
 
 STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-STATE_BUCKETS = 1024
-_STATE = "sessions array<string>, counts array<bigint>, seen array<bigint>"
+FOLD_EVERY = 32
+BASES_KEPT = 3
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -21,105 +30,100 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set(STATE_PROVIDER, ROCKSDB)
 
 
-_NESTED = (T.StructType, T.MapType, T.ArrayType)
-
-
-def _carried(field: T.StructField) -> T.StructField:
-    """The type in which a column passes through pandas without loss."""
-    if isinstance(field.dataType, (T.LongType, T.TimestampType, *_NESTED)):
-        return T.StructField(field.name, T.StringType())
-    return field
-
-
-def _packed(field: T.StructField) -> Column:
-    column = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, T.TimestampType):
-        column = F.unix_micros(column).cast("string")
-    elif isinstance(field.dataType, T.LongType):
-        column = column.cast("string")
-    elif isinstance(field.dataType, _NESTED):
-        column = F.to_json(column)
-    return column.alias(field.name)
-
-
-def _unpacked(field: T.StructField) -> Column:
-    column = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, T.TimestampType):
-        column = F.timestamp_micros(column.cast("bigint"))
-    elif isinstance(field.dataType, T.LongType):
-        column = column.cast("bigint")
-    elif isinstance(field.dataType, _NESTED):
-        column = F.from_json(column, field.dataType)
-    return column.alias(field.name)
-
-
-def _counter(session: str, ts: str, tie: Sequence[str], numeric: Sequence[str], ttl_us: int | None):
-    """Number one bucket's events of a micro-batch and carry its sessions' counts on."""
-
-    def number(key, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches), ignore_index=True).drop(columns="__bucket")
-        order = [pd.to_numeric(rows[c]) if c in numeric else rows[c] for c in (ts, *tie)]
-        keys = pd.concat(order, axis=1)
-        ranked = keys.sort_values(list(keys.columns), kind="stable", na_position="first").index
-        rows = rows.loc[ranked].reset_index(drop=True)
-        moments = pd.to_numeric(rows[ts]).fillna(0).astype("int64")
-        names, counts, seen = state.get if state.exists else ([], [], [])
-        known = pd.Index(list(names), dtype=object)
-        before = pd.DataFrame({"n": list(counts), "at": list(seen)}, index=known, dtype="int64")
-        grouped = rows.groupby(session, sort=False)
-        offsets = rows[session].map(before["n"]).fillna(0).astype("int64")
-        rows["session_event_number"] = grouped.cumcount() + 1 + offsets
-        batch = pd.DataFrame({"n": grouped.size(), "at": moments.groupby(rows[session], sort=False).max()})
-        after = pd.concat([before, batch]).groupby(level=0, sort=False).agg({"n": "sum", "at": "max"}).astype("int64")
-        if ttl_us is not None:
-            after = after[after["at"] >= after["at"].max() - ttl_us]
-        state.update((after.index.tolist(), after["n"].tolist(), after["at"].tolist()))
-        yield rows
-
-    return number
-
-
-def stream_session_numbers(
-    df: DataFrame,
+def _known(spark: SparkSession, path: str, batch_id: int, schema: T.StructType) -> DataFrame:
+    """Events and last time of each session before a batch: the newest base before it and the deltas since."""
+    folder = current_folder(spark, f"{path}/base", below=batch_id)
+    after = -1 if folder is None else int(folder.rsplit("=", 1)[1])
+    numbered = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    if child_names(spark, f"{path}/counts"):
+        deltas = spark.read.schema(numbered).parquet(f"{path}/counts")
+        rows = deltas.filter((F.col("batch_id") > after) & (F.col("batch_id") < batch_id)).drop("batch_id")
+    else:
+        rows = spark.createDataFrame([], schema)
+    if folder is not None:
+        rows = rows.unionByName(spark.read.schema(schema).parquet(folder))
+    return rows.groupBy("session").agg(F.sum("n").alias("n"), F.max("last").alias("last"))
+
+
+def session_writer(
+    path: str,
+    write: BatchWriter,
     session: str = "session_id",
     ts: str = "timestamp",
-    tie: Sequence[str] = (),
-    ttl: float | None = 24 * 3600,
-    buckets: int = STATE_BUCKETS,
-) -> DataFrame:
-    """Running event number per session over all micro-batches, and the start flag.
-
-    Within a micro-batch the order is exact; an event that comes in a later
-    batch gets a later number even if it is older. Events without a session
-    bypass the state and get no number.
-
-    The state is a count per session. Sessions share state rows by hash, as
-    one call into Python per session would cost far more than numbering them;
-    use more ``buckets`` for many sessions, and never change their number on
-    an existing checkpoint. A count is dropped when the newest event of its
-    bucket is ``ttl`` seconds younger than the session's last event.
-
-    A task holds one bucket's events of one micro-batch, so limit the batches
-    with ``maxOffsetsPerTrigger`` or ``maxFilesPerTrigger``.
+    tie: Sequence[str] | None = None,
+    ttl: float | None = None,
+    hot_rows: int | None = HOT_ROWS,
+    fold_every: int = FOLD_EVERY,
+    salts: int = 1,
+) -> BatchWriter:
+    """Add ``session_event_number`` and ``is_session_start`` to every micro-batch and hand it to ``write``.
+
+    Within a micro-batch the order is that of ``with_session_numbers``; an
+    event that comes in a later batch gets a later number even if it is older.
+    Events without a session get no number.
+
+    ``path`` belongs to one checkpoint. Every ``fold_every`` batches the counts
+    are folded into a new base. With ``ttl`` the fold forgets sessions whose
+    last event is more than ``ttl`` seconds older than the newest event of any
+    session, where times after the present do not count; such a session starts
+    again. Without it sessions are kept for good. ``salts`` spreads hot
+    sessions where the counts of a batch are too many to broadcast.
     """
-    fields = df.schema.fields
-    numeric = [ts, *[f.name for f in fields if f.name in tie and isinstance(f.dataType, T.LongType)]]
-    output = T.StructType([*map(_carried, fields), T.StructField("session_event_number", T.LongType())])
-    bucket = F.pmod(F.xxhash64(session), F.lit(buckets)).cast("int").alias("__bucket")
-    keyed = df.filter(F.col(session).isNotNull()).select(*map(_packed, fields), bucket)
-    numbered = keyed.groupBy("__bucket").applyInPandasWithState(
-        _counter(session, ts, tie, numeric, None if ttl is None else int(ttl * 1_000_000)),
-        output,
-        _STATE,
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
-    numbered = numbered.select(*map(_unpacked, fields), "session_event_number")
-    loose = df.filter(F.col(session).isNull()).withColumn("session_event_number", F.lit(None).cast("bigint"))
-    starts = F.when(F.col("session_event_number") == 1, 1).otherwise(0)
-    return numbered.unionByName(loose).withColumn("is_session_start", starts)
-
-
-def stream_session_starts(df: DataFrame, session: str = "session_id") -> DataFrame:
-    """The first event to arrive of each session. Needs a watermark on ``df``."""
-    return df.filter(F.col(session).isNotNull()).dropDuplicatesWithinWatermark([session])
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        held = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            keyed = held.filter(F.col(session).isNotNull())
+            counts = keyed.groupBy(F.col(session).alias("session")).agg(
+                F.count(F.lit(1)).alias("n"), F.max(F.col(ts).cast("timestamp")).alias("last")
+            )
+            counts.write.mode("overwrite").parquet(batch_folder(f"{path}/counts", batch_id))
+            mine = spark.read.schema(counts.schema).parquet(batch_folder(f"{path}/counts", batch_id))
+            known = _known(spark, path, batch_id, counts.schema)
+            met = known.join(mine.select("session"), "session", "left_semi")
+            # written, so that its size is known before it is broadcast
+            before = batch_folder(f"{path}/before", batch_id)
+            met.select("session", "n").write.mode("overwrite").parquet(before)
+            offsets = spark.read.schema("session string, n bigint").parquet(before)
+            offsets = offsets.select(F.col("session").alias("__session"), F.col("n").alias("__before"))
+            numbered = with_session_numbers(held, session, ts, tie, hot_rows=hot_rows).drop("is_session_start")
+            same = F.col(session).cast("string") == F.col("__session")
+            if salts > 1:
+                spread = F.pmod(F.xxhash64(ts, "session_event_number"), F.lit(salts))
+                numbered = numbered.withColumn("__salt", spread)
+                offsets = offsets.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
+                same = same & (F.col("__salt") == F.col("__part"))
+            joined = numbered.join(broadcast_if_small(offsets), same, "left")
+            number = F.col("session_event_number") + F.coalesce("__before", F.lit(0))
+            started = flag(F.col("session_event_number") == 1)
+            result = joined.withColumn("session_event_number", number).withColumn("is_session_start", started)
+            write(result.select(*held.columns, "session_event_number", "is_session_start"), batch_id)
+            if batch_id % fold_every == fold_every - 1:
+                _fold(spark, path, batch_id, counts.schema, ttl)
+        finally:
+            held.unpersist()
+
+    return handle
+
+
+def _fold(spark: SparkSession, path: str, batch_id: int, schema: T.StructType, ttl: float | None) -> None:
+    """A base of all batches up to this one; a base of the same batch is replaced."""
+    rows = _known(spark, path, batch_id + 1, schema)
+    if ttl is not None:
+        past = F.when(F.col("last") <= F.current_timestamp(), F.col("last"))
+        newest = rows.agg(F.max(past).alias("newest")).first()["newest"]
+        if newest is not None:
+            rows = rows.filter(F.col("last") >= F.lit(newest) - F.make_dt_interval(secs=F.lit(ttl)))
+    publish(rows, f"{path}/base", batch_id)
+    drop_old_versions(spark, f"{path}/base", BASES_KEPT)
+
+
+def start_writer(path: str, write: BatchWriter, **options) -> BatchWriter:
+    """The first event of each session, once: what ``session_writer`` numbers 1, with the columns of the stream."""
+
+    def starts(numbered: DataFrame, batch_id: int) -> None:
+        first = numbered.filter(F.col("is_session_start") == 1)
+        write(first.drop("session_event_number", "is_session_start"), batch_id)
+
+    return session_writer(path, starts, **options)

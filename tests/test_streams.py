@@ -99,42 +99,51 @@ def test_approximate_users_are_close(events):
         assert abs(r.unique_users - exact[(r.window_start, r.event_type)]) <= max(1, 0.1 * exact[(r.window_start, r.event_type)])
 
 
-def test_session_numbers_over_batches_equal_batch(spark, events, slices, tmp_path):
-    numbered = SS.stream_session_numbers(slices(), tie=["event_id"], ttl=None, buckets=8)
-    run(numbered, SK.parquet_writer(str(tmp_path / "out")), "append", tmp_path / "c")
+@pytest.mark.parametrize("options", [{}, {"fold_every": 1, "hot_rows": 3, "salts": 3}])
+def test_session_numbers_over_batches_equal_batch(spark, events, slices, tmp_path, options):
+    writer = SS.session_writer(str(tmp_path / "s"), SK.parquet_writer(str(tmp_path / "out")), **options)
+    run(slices(), writer, "append", tmp_path / "c")
     got = spark.read.parquet(str(tmp_path / "out")).drop("batch_id")
     wanted = W.with_session_numbers(events).select(*got.columns)
     assert rows_of(got) == rows_of(wanted)
 
 
-def test_session_state_expires(spark, tmp_path):
+def session_batches(spark, batches):
+    """(event, session, hours) rows of each batch as frames."""
     t = datetime(2024, 1, 1)
-    schema = "event_id bigint, session_id string, timestamp timestamp, extra map<string,string>, n bigint"
-    batches = [
-        [(0, "s", 0, None)],
-        [(1, "s", 1, 2**60 + 1)],
-        [(2, "other", 30, 2**60 + 2)],
-        [(3, "s", 31, 2**60 + 3), (4, "other", 31, None)],
-    ]
-    for batch in batches:
-        rows = [(i, s, t + timedelta(hours=h), {"a": "1"}, n) for i, s, h, n in batch]
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        time.sleep(1.1)
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    numbered = SS.stream_session_numbers(stream, ttl=3600 * 24, buckets=1)
-    run(numbered, SK.parquet_writer(str(tmp_path / "out")), "append", tmp_path / "c")
-    got = {r.event_id: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    # hour 30 is more than a day after the last event of "s", whose count was dropped then
-    assert [got[i].session_event_number for i in range(5)] == [1, 2, 1, 1, 2]
-    assert got[3].n == 2**60 + 3 and got[3].extra == {"a": "1"} and got[0].n is None
+    schema = "event_id bigint, session_id string, timestamp timestamp"
+    return [spark.createDataFrame([(i, s, t + timedelta(hours=h)) for i, s, h in b], schema) for b in batches]
+
+
+def numbers(spark, tmp_path, batches, **options):
+    out = str(tmp_path / "out")
+    writer = SS.session_writer(str(tmp_path / "s"), SK.parquet_writer(out), **options)
+    for i, batch in batches:
+        writer(batch, i)
+    return {r.event_id: r.session_event_number for r in spark.read.parquet(out).collect()}
+
+
+def test_a_far_future_event_changes_no_other_session(spark, tmp_path):
+    frames = session_batches(spark, [[(0, "s", 0)], [(1, "other", 24 * 40_000)], [(2, "s", 1), (3, None, 1)], [(4, "s", 2)]])
+    got = numbers(spark, tmp_path, enumerate(frames), ttl=24 * 3600, fold_every=1)
+    assert got == {0: 1, 1: 1, 2: 2, 3: None, 4: 3}
+
+
+def test_sessions_are_forgotten_after_their_time(spark, tmp_path):
+    frames = session_batches(spark, [[(0, "s", 0)], [(1, "s", 1)], [(2, "other", 30)], [(3, "s", 31), (4, "other", 31)]])
+    assert numbers(spark, tmp_path, enumerate(frames), ttl=24 * 3600, fold_every=1) == {0: 1, 1: 2, 2: 1, 3: 1, 4: 2}
+
+
+def test_a_replayed_batch_gets_the_same_numbers(spark, tmp_path):
+    a, b = session_batches(spark, [[(0, "s", 0), (1, "s", 1)], [(2, "s", 2)]])
+    assert numbers(spark, tmp_path, [(0, a), (1, b), (1, b), (0, a)], fold_every=1) == {0: 1, 1: 2, 2: 3}
 
 
-def test_session_starts(spark, events, slices, tmp_path):
-    starts = SS.stream_session_starts(SK.with_watermark(slices(), delay="40 days"))
-    run(starts, SK.parquet_writer(str(tmp_path / "out")), "append", tmp_path / "c")
+def test_session_starts_once_over_batches_far_apart(spark, events, slices, tmp_path):
+    writer = SS.start_writer(str(tmp_path / "s"), SK.parquet_writer(str(tmp_path / "out")))
+    run(slices(), writer, "append", tmp_path / "c")
     got = spark.read.parquet(str(tmp_path / "out")).drop("batch_id")
-    assert {r.session_id for r in got.collect()} == {r.session_id for r in W.session_starts(events).collect()}
-    assert got.count() == W.session_starts(events).count()
+    assert rows_of(got) == rows_of(W.session_starts(events).select(*got.columns))
 
 
 def test_restart_continues_without_duplicates(spark, events, tmp_path):
@@ -164,10 +173,9 @@ def test_upsert_stream_equals_batches(spark, events, demographics, slices, tmp_p
 
 
 def test_main_stream_writes_points(spark, events, demographics, slices, tmp_path):
-    numbered = SS.stream_session_numbers(slices(), tie=["event_id"], buckets=8)
     lookup = J.Lookup(lambda: demographics, ttl=60)
     writer = SR.event_writer(lookup, SK.parquet_writer(str(tmp_path / "out")))
-    run(numbered, writer, "append", tmp_path / "c")
+    run(slices(), SS.session_writer(str(tmp_path / "s"), writer), "append", tmp_path / "c")
     got = spark.read.parquet(str(tmp_path / "out")).drop("batch_id")
     wanted = TS.event_points(E.enriched_events(events, demographics))
     text = lambda df: rows_of(TS.point_lines(df))
