@@ -49,23 +49,24 @@ def _number_in_slices(df: DataFrame, session: str, ts: str, tie: list[str], hot_
     slices are added.
 
     Of n rows there are fewer than n / hot_rows large sessions and as many
-    large slices, so both lists are safe to broadcast. The offsets join on the
-    keys by which the rows are already partitioned and sorted, so the rows are
-    shuffled once.
+    large slices; adaptive execution broadcasts these lists while they are
+    small. The offsets join on the keys by which the rows are already
+    partitioned and sorted. Two cuts do not part a burst that fills a small
+    share of a slice, and events of one moment stay together.
     """
     # NULL sessions form a group of their own, so the key is made comparable
     key = [F.coalesce(F.col(session).cast("string"), F.lit("")).alias("__key"), F.col(session).isNull().alias("__none")]
     first, both = ["__key", "__none"], ["__key", "__none", "__coarse"]
     rows = df.select("*", *key)
     hot = _too_large(rows.select(*first, ts), first, ts, hot_rows, "__a")
-    coarse = rows.join(F.broadcast(hot), first, "left").withColumn("__coarse", _slice(ts, "__a"))
-    in_hot = rows.select(*first, ts).join(F.broadcast(hot), first, "inner").withColumn("__coarse", _slice(ts, "__a"))
+    coarse = rows.join(hot, first, "left").withColumn("__coarse", _slice(ts, "__a"))
+    in_hot = rows.select(*first, ts).join(hot, first, "inner").withColumn("__coarse", _slice(ts, "__a"))
     crowded = _too_large(in_hot, both, ts, hot_rows, "__b")
 
     parts = [*both, "__fine"]
-    sliced = coarse.join(F.broadcast(crowded), both, "left").withColumn("__fine", _slice(ts, "__b"))
+    sliced = coarse.join(crowded, both, "left").withColumn("__fine", _slice(ts, "__b"))
     counts = (
-        in_hot.join(F.broadcast(crowded), both, "left")
+        in_hot.join(crowded, both, "left")
         .withColumn("__fine", _slice(ts, "__b"))
         .groupBy(*parts)
         .agg(F.count(F.lit(1)).alias("__rows"))
@@ -99,8 +100,8 @@ def with_session_numbers(
     and no start flag and stay out of the shuffle; ``null_session="group"``
     numbers them together as one session instead.
 
-    No session larger than ``hot_rows`` goes to one task. ``hot_rows=None``
-    spares the extra counting pass where sessions are known to be small.
+    Sessions larger than ``hot_rows`` are cut into slices of time, twice where
+    events crowd. ``hot_rows=None`` spares the extra counting pass where sessions are known to be small.
     """
     if df.isStreaming:
         raise ValueError("use streaming.sessions.session_writer on a stream")

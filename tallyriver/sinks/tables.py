@@ -78,13 +78,19 @@ def to_kafka_records(df: DataFrame, user: str = "user_id") -> DataFrame:
     return df.select(key.alias("key"), F.to_json(F.struct(*df.columns)).alias("value"))
 
 
+def kafka_writer(df: DataFrame, servers: str, topic: str):
+    """The writer of key and value records to a topic, acknowledged by all replicas."""
+    writer = df.write.format("kafka").option("kafka.bootstrap.servers", servers)
+    return writer.option("kafka.acks", "all").option("topic", topic)
+
+
 def write_kafka(df: DataFrame, servers: str, topic: str) -> None:
-    """Send records to a topic, acknowledged by all replicas. Needs the Kafka package."""
-    (
-        to_kafka_records(df)
-        .write.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("kafka.acks", "all")
-        .option("topic", topic)
-        .save()
-    )
+    """Send rows as JSON records to a topic. Needs the Kafka package."""
+    kafka_writer(to_kafka_records(df), servers, topic).save()
+
+
+def dead_letter_records(bad: DataFrame) -> DataFrame:
+    """Unusable records as they came, with the reason and their place in the source as JSON."""
+    kept = [c for c in ("error_reason", "topic", "partition", "offset") if c in bad.columns]
+    raw = F.col("raw_value").cast("string").alias("raw_value")
+    return bad.select(F.col("key").cast("string").alias("key"), F.to_json(F.struct(*kept, raw)).alias("value"))

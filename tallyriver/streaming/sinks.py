@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyriver.operators.events import debug_view
 from tallyriver.operators.points import point_lines, write_points
 from tallyriver.operators.quality import bad_records, good_records, tag_records
+from tallyriver.sinks.tables import dead_letter_records, kafka_writer, to_kafka_records
 from tallyriver.storage import drop_old_versions, publish
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -114,6 +115,16 @@ def point_writer(writer_factory: Callable[[], object], batch_size: int = 1000) -
     return write
 
 
+def topic_writer(servers: str, topic: str, dead_letters: bool = False) -> BatchWriter:
+    """Every batch to a Kafka topic: events as JSON, or unusable records with their reason."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        records = dead_letter_records(batch) if dead_letters else to_kafka_records(batch)
+        kafka_writer(records, servers, topic).save()
+
+    return write
+
+
 def dead_letter_writer(good: BatchWriter, bad: BatchWriter) -> BatchWriter:
     """Split envelopes: decoded events to one writer, unusable records to the other.
 

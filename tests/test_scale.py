@@ -61,7 +61,7 @@ def test_large_dimension_is_joined_by_shuffle(spark, skewed, users, no_broadcast
     assert "__salt" in plan(salted) and same(small, salted)
 
 
-def test_hot_user_partition_is_split(spark, users, skewed, no_broadcast):
+def test_beyond_the_limit_the_join_shuffles_once(spark, users, skewed, no_broadcast):
     """Adaptive execution may split the side that holds the events."""
     joined = J.enrich(skewed, users, broadcast_bytes=0)
     assert "LeftOuter" in plan(joined) and plan(joined).count("SortMergeJoin") == 1

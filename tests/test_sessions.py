@@ -86,8 +86,8 @@ def test_broker_position_breaks_ties(spark):
     assert [(r.partition, r.offset) for r in out] == [(0, 9), (1, 4), (1, 5)]
 
 
-def test_no_slice_is_much_larger_than_the_limit(spark):
-    """The window's groups stay small although one session holds all rows."""
+def test_a_hot_session_is_cut_into_slices(spark):
+    """Evenly spread events; see the operator for what two cuts cannot part."""
     rows = [(i, "hot", START + timedelta(seconds=i)) for i in range(2000)]
     df = spark.createDataFrame(rows, SCHEMA)
     plan = W.with_session_numbers(df, hot_rows=100)._jdf.queryExecution().optimizedPlan().toString()

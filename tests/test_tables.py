@@ -198,3 +198,32 @@ def test_broadcast_only_within_the_limit(spark, tmp_path):
     hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
     assert hinted(broadcast_if_small(table))
     assert not hinted(broadcast_if_small(table, 1000))
+
+
+def test_topic_writers_send_records(spark, monkeypatch):
+    import json
+
+    from tallyriver.streaming import sinks as SK
+
+    sent = []
+
+    class Writer:
+        def __init__(self, frame, servers, topic):
+            self.row, self.to = frame.first(), (servers, topic)
+
+        def save(self):
+            sent.append((self.to, self.row.key, json.loads(self.row.value)))
+
+    monkeypatch.setattr(SK, "kafka_writer", Writer)
+    SK.topic_writer("h:1", "events")(spark.sql("select 7 as user_id, 'click' as event_type"), 0)
+    bad = spark.sql("select 'missing value' as error_reason, binary('k') as key, binary('{x') as raw_value, 3L as offset")
+    SK.topic_writer("h:1", "dead", dead_letters=True)(bad, 0)
+    assert sent == [
+        (("h:1", "events"), "7", {"user_id": 7, "event_type": "click"}),
+        (("h:1", "dead"), "k", {"error_reason": "missing value", "offset": 3, "raw_value": "{x"}),
+    ]
+    monkeypatch.undo()
+    options = Recorder()
+    frame = type("Frame", (), {"write": options})()
+    K.kafka_writer(frame, "h:1", "events")
+    assert options.seen == {"format": "kafka", "kafka.bootstrap.servers": "h:1", "kafka.acks": "all", "topic": "events"}
