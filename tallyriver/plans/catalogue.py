@@ -89,10 +89,13 @@ def decode_envelope(spark, sf):
 
 @query
 def decode_json_events(spark, sf):
-    events = S.events_from_envelope(X.envelope(X.events(spark, sf)), derived=False)
+    """All seventeen fields, the struct and the map included."""
+    events = S.events_from_envelope(X.envelope(X.wide_events(spark, sf)), derived=False)
+    address = [F.col(f"shipping_address.{c}").alias(f"to_{c}") for c in ("country", "state", "city", "postal_code")]
     return events.select(
         "key", "event_type", "user_id", "campaign_id", "timestamp", "session_id", "product_id", "order_id", "units",
-        "unit_price", "total_amount", "currency", "partition", "offset",
+        "unit_price", "total_amount", "currency", "page_url", "user_agent", "ip_address", "payment_method", *address,
+        F.col("metadata")["product"].alias("meta_product"), F.size("metadata").alias("meta_size"), "partition", "offset",
     )
 
 

@@ -93,6 +93,30 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shaped.select(*columns)
 
 
+def wide_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the model's further fields, the address for purchases only."""
+    purchase = F.col("event_type") == "purchase"
+    user = F.col("user_id")
+    address = F.struct(
+        F.lit("US").alias("country"),
+        F.concat(F.lit("State_"), (user % 10).cast("string")).alias("state"),
+        F.lit(None).cast("string").alias("city"),
+        user.cast("string").alias("postal_code"),
+    )
+    return events(spark, sf_dir).withColumns(
+        {
+            "unit_price": F.col("total_amount"),
+            "currency": F.when(purchase, F.lit("USD")),
+            "page_url": F.concat(F.lit("/p/"), F.col("product_id")),
+            "user_agent": F.concat(F.lit('agent "'), (user % 3).cast("string"), F.lit('"')),
+            "ip_address": F.concat(F.lit("10.0.0."), (user % 250).cast("string")),
+            "payment_method": F.when(purchase, F.lit("card")),
+            "shipping_address": F.when(purchase, address),
+            "metadata": F.create_map(F.lit("product"), F.col("product_id"), F.lit("type"), F.col("event_type")),
+        }
+    )
+
+
 def event_files(spark: SparkSession, sf_dir: str, minutes: float = 0) -> str:
     """All raw events in a folder of several files, oldest first: six days each, cut ``minutes`` past midnight."""
     folder = shared_folder(spark, "event-files")

@@ -125,8 +125,16 @@ oracle(
 oracle(
     "decode_json_events",
     f"""select cast(user_id as varchar) as key, event_type, user_id, campaign_id, {when('event_time')} as "timestamp",
-               session_id, product_id, order_id, units, cast(null as double) as unit_price, total_amount,
-               cast(null as varchar) as currency, cast(user_id % 6 as int) as partition, event_id as "offset" from ue""",
+               session_id, product_id, order_id, units, total_amount as unit_price, total_amount,
+               case when event_type = 'purchase' then 'USD' end as currency, '/p/' || product_id as page_url,
+               'agent "' || user_id % 3 || '"' as user_agent, '10.0.0.' || user_id % 250 as ip_address,
+               case when event_type = 'purchase' then 'card' end as payment_method,
+               case when event_type = 'purchase' then 'US' end as to_country,
+               case when event_type = 'purchase' then 'State_' || user_id % 10 end as to_state,
+               cast(null as varchar) as to_city,
+               case when event_type = 'purchase' then cast(user_id as varchar) end as to_postal_code,
+               product_id as meta_product, cast(2 as int) as meta_size,
+               cast(user_id % 6 as int) as partition, event_id as "offset" from ue""",
     EVENTS,
 )
 oracle(
