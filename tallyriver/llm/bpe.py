@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tallyriver.llm.text import renamed
 
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 #: Added after the vocabulary, as the library wants one; no byte-mapped text can hold it.
 UNKNOWN = "<unknown>"
 
@@ -84,6 +84,11 @@ def model_bytes(tokens: list[bytes]) -> bytes:
     return bytes(out)
 
 
+def joined(tokens: list[bytes], ids: bytes) -> bytes:
+    """The bytes of packed ids."""
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
 class Codec:
     """Encodes texts to packed little-endian 32-bit ids and back; one for each task."""
 
@@ -118,13 +123,7 @@ class Codec:
         return b"".join(map(self.known.__getitem__, words))
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-
-
-def _shared(df: DataFrame, path: str, pattern: str):
-    tokens = read_ranks(path)
-    # bounded by the vocabulary file
-    return df.sparkSession.sparkContext.broadcast((model_bytes(tokens), tokens, pattern))
+        return joined(self.tokens, ids)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -134,7 +133,9 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     one. Special tokens are not recognised. Defined cases: a null or empty text has no tokens; ids that are null or
     repeated come back as they are; further columns are ignored; an empty table gives an empty result.
     """
-    parts = _shared(docs, path, pattern)
+    tokens = read_ranks(path)
+    # bounded by the vocabulary file
+    parts = docs.sparkSession.sparkContext.broadcast((model_bytes(tokens), tokens, pattern))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(*parts.value)
@@ -149,14 +150,15 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     return source.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids binary")
 
 
-def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
+def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encode``'s result with a further column ``decoded``: the text's bytes (null ids: no bytes)."""
-    parts = _shared(encoded, path, pattern)
+    # a token's bytes are its piece's characters mapped back; bounded by the vocabulary file
+    tokens = encoded.sparkSession.sparkContext.broadcast(read_ranks(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(*parts.value)
+        known = tokens.value
         for batch in batches:
-            decoded = [codec.decode(ids.as_py() or b"") for ids in batch.column("ids")]
+            decoded = [joined(known, ids.as_py() or b"") for ids in batch.column("ids")]
             yield pa.record_batch([*batch.columns, pa.array(decoded, pa.binary())], names=[*batch.schema.names, "decoded"])
 
     kept = encoded.select("doc_id", "n_tokens", "ids")

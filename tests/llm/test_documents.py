@@ -347,12 +347,12 @@ def test_tokens_edges(spark, frame, edges):
     import public_tokenizers
 
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    rows = bpe.decode(bpe.encode(frame(edges), path, pattern), path, pattern).collect()
+    rows = bpe.decode(bpe.encode(frame(edges), path, pattern), path).collect()
     assert collections.Counter((r["doc_id"], bytes(r["decoded"])) for r in rows) == collections.Counter(
         (i, (t or "").encode()) for i, t in edges
     )
     assert all(len(r["ids"]) == 4 * r["n_tokens"] for r in rows)
     assert bpe.encode(frame([]), path, pattern).count() == 0
     nulls = spark.createDataFrame([(1, None, None)], "doc_id bigint, n_tokens bigint, ids binary")
-    assert bytes(bpe.decode(nulls, path, pattern).first()["decoded"]) == b""
+    assert bytes(bpe.decode(nulls, path).first()["decoded"]) == b""
     assert F is not None
