@@ -125,7 +125,8 @@ def campaign_join(campaigns: DataFrame, facts: DataFrame, key: str = "campaign_i
     The kept side is the small one, which a left outer join cannot broadcast,
     and a hot campaign could not be split either. So the matches come from an
     inner join with the campaigns as the small side, and campaigns without
-    facts are added from an anti join with the distinct keys.
+    facts are added from an anti join with the distinct keys. ``facts`` is
+    evaluated twice, so pass a stored frame if it is costly.
     """
     clashes = [c for c in facts.columns if c in campaigns.columns]
     facts = facts.withColumnsRenamed({c: f"fact_{c}" for c in clashes})

@@ -351,7 +351,9 @@ def refreshable_lookup(spark, sf):
 
 @query
 def campaign_left_join(spark, sf):
-    return J.campaign_join(X.campaigns(spark), _summary(spark, sf))
+    path = shared_folder(spark, "summary")
+    K.append_rows(_summary(spark, sf), path)
+    return J.campaign_join(X.campaigns(spark), spark.read.parquet(path))
 
 
 # --- aggregations ----------------------------------------------------------
@@ -689,7 +691,7 @@ def stream_metrics_update(spark, sf):
     """Update mode, exact users from bucketed partial groups; the last state of each window."""
     out, parts, state = (shared_folder(spark, n) for n in ("stream", "parts", "state"))
     partials = M.minute_partials(SK.with_watermark(X.events_stream(spark, sf, CUT)), "1 hour")
-    writer = SM.update_writer(parts, M.MINUTE_KEYS, M.merge_minute_partials, SK.parquet_writer(out))
+    writer = SM.update_writer(parts, M.MINUTE_KEYS, M.merge_minute_partials, SK.parquet_writer(out), fold_every=2)
     _drain(lambda: SK.start_sink(partials, writer, "update", "available", state))
     return _newest(spark.read.parquet(out))
 

@@ -112,6 +112,14 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int) -> None:
         complete += path_exists(spark, f"{path}/{name}/_SUCCESS")
 
 
+def drop_batches(spark: SparkSession, path: str, last: int) -> None:
+    """Remove the folders ``batch_id=N`` below ``path`` up to batch ``last``."""
+    for name in child_names(spark, path):
+        if name.startswith("batch_id=") and int(name.split("=")[1]) <= last:
+            fs, jpath = _hadoop_path(spark, f"{path}/{name}")
+            fs.delete(jpath, True)
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of ``df``; huge when it does not know."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

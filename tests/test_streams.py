@@ -290,3 +290,22 @@ def test_only_the_last_versions_of_a_complete_result_stay(spark, tmp_path):
         writer(spark.range(batch_id), batch_id)
     assert read_current(spark, out).count() == 4
     assert len([p for p in (tmp_path / "out").iterdir() if p.is_dir()]) == 2
+
+
+def test_files_per_date_stay_bounded(spark, tmp_path):
+    path, out = tmp_path / "parts", str(tmp_path / "out")
+    writer = SM.update_writer(str(path), M.MINUTE_KEYS, M.merge_minute_partials, SK.parquet_writer(out), files_per_date=1, fold_every=3, retain="2 days")
+    most = 0
+    for batch_id in range(20):
+        # users so far in one window, seen again and again, and one new window a day
+        rows = [(u, f"2024-01-{1 + batch_id // 4:02d} 00:00:30") for u in range(batch_id + 1)]
+        events = spark.createDataFrame(rows, "user_id int, at string").selectExpr(
+            "user_id", "cast(at as timestamp) as timestamp", "'click' as event_type", "1.0D as total_amount"
+        )
+        writer(M.minute_partials(events, buckets=2), batch_id)
+        most = max(most, len(list(path.rglob("window_date=2024-01-05/part-*"))) if batch_id >= 16 else 0)
+        dates = {p.name for p in path.glob("base/*/window_date=*")}
+    assert 0 < most <= 8 and len(list((path / "deltas").glob("batch_id=*"))) <= 6
+    assert "window_date=2024-01-01" not in dates
+    last = spark.read.parquet(out).groupBy("window_start").agg(F.max_by("unique_users", "batch_id").alias("n"))
+    assert sorted(r.n for r in last.collect()) == [4, 8, 12, 16, 20]
