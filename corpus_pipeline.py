@@ -56,7 +56,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's tokens, encoded and decoded again, as digests."""
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    return bpe.digests(bpe.decode(bpe.encode(docs, path, pattern), path))
+    return bpe.digests(bpe.encode(docs, path, pattern, decoded=True))
 
 
 STAGES = [

@@ -18,7 +18,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyriver.llm.text import renamed
+from tallyriver.llm.text import renamed, small_batches
 
 CACHED_WORDS = 200_000
 #: Added after the vocabulary, as the library wants one; no byte-mapped text can hold it.
@@ -126,12 +126,15 @@ class Codec:
         return joined(self.tokens, ids)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(
+    docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False
+) -> DataFrame:
     """Every document's ``doc_id``, ``n_tokens`` and ``ids``, packed as little-endian unsigned 32-bit integers.
 
     ``path`` is a rank file that the driver can read; ``pattern`` cuts a text into the words that are encoded one by
-    one. Special tokens are not recognised. Defined cases: a null or empty text has no tokens; ids that are null or
-    repeated come back as they are; further columns are ignored; an empty table gives an empty result.
+    one. Special tokens are not recognised. ``decoded`` adds what ``decode`` makes of the ids, in the same task.
+    Defined cases: a null or empty text has no tokens; ids that are null or repeated come back as they are; further
+    columns are ignored; an empty table gives an empty result.
     """
     tokens = read_ranks(path)
     # bounded by the vocabulary file
@@ -139,15 +142,16 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(*parts.value)
-        for batch in batches:
+        for batch in small_batches(batches):
             ids = [codec.encode(text.as_py() or "") for text in batch.column("text")]
-            yield pa.record_batch(
-                [batch.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())],
-                names=["doc_id", "n_tokens", "ids"],
-            )
+            columns = [batch.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())]
+            if decoded:
+                columns.append(pa.array([codec.decode(i) for i in ids], pa.binary()))
+            yield pa.record_batch(columns, names=["doc_id", "n_tokens", "ids", "decoded"][: len(columns)])
 
     source = renamed(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    return source.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids binary")
+    fields = "doc_id bigint, n_tokens bigint, ids binary"
+    return source.mapInArrow(run, f"{fields}, decoded binary" if decoded else fields)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -157,7 +161,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = tokens.value
-        for batch in batches:
+        for batch in small_batches(batches):
             decoded = [joined(known, ids.as_py() or b"") for ids in batch.column("ids")]
             yield pa.record_batch([*batch.columns, pa.array(decoded, pa.binary())], names=[*batch.schema.names, "decoded"])
 

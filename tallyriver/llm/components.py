@@ -32,8 +32,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Columns ``node`` and ``root``: every node of an edge with the smallest node it can reach, itself included.
 
     Rows with a null end are left out, and so are loops; repeated edges change nothing; an empty table gives an empty
-    result. ``edges`` is evaluated once. The rounds grow with the logarithm of the longest path. Every round aggregates with combining
-    minima, and its result is written to the shared folder, so a lost executor repeats one round at most.
+    result. ``edges`` is evaluated once. The rounds grow with the logarithm of the longest path. Every round aggregates
+    with combining minima, and its result is written to the shared folder, so a lost executor repeats one round at most.
     """
     ends = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b")
     ordered = ends.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyriver.llm.phash import Lookup, PerfectHash, build
-from tallyriver.llm.text import byte_texts, renamed, with_columns_from
+from tallyriver.llm.text import byte_texts, renamed, small_batches, with_columns_from
 from tallyriver.storage import shared_folder
 
 MIN_LENGTH = 20
@@ -217,7 +217,7 @@ def dedup_lines(
     joined = kept.join(lost, kept[f"`{id_col}`"].cast("bigint") == F.col("lost_id__"), "left").drop("lost_id__")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             rows = [
                 _split(text, set(gone or ()), min_length)
                 for text, gone in zip(byte_texts(batch.column(text_col)), batch.column("lost__").to_pylist())

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyriver.llm.text import bounded_sample, byte_texts, held_out, mixed, renamed, with_columns_from
+from tallyriver.llm.text import bounded_sample, byte_texts, held_out, mixed, renamed, small_batches, with_columns_from
 
 COLUMNS = 1 << 18
 ORDERS = (1, 2, 3)
@@ -190,7 +190,7 @@ def with_quality(docs: DataFrame, model: Model, text_col: str = "text", score_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         indicators = Indicators()
-        for batch in batches:
+        for batch in small_batches(batches):
             scores = [probability(shared.value, indicators.of(t)) for t in byte_texts(batch.column(text_col))]
             yield with_columns_from(batch, **{score_col: pa.array(scores, pa.float64())})
 

@@ -192,8 +192,7 @@ group by d.id, i.id, n having 100 * count(*) >= 80 * n
 def op8_byte_bpe(spark, sf_dir):
     """Every document's token ids and the bytes decoded from them, as digests."""
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, pattern)
-    return bpe.digests(bpe.decode(encoded, path))
+    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), path, pattern, decoded=True))
 
 
 @query

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 SHINGLE_WORDS = 5
 HELD_OUT_FOLDS = 5
+BATCH_ROWS = 256
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -27,6 +28,13 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % HELD_OUT_FOLDS == 0, F.lit(True))
 
 
+def small_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, few at a time, for results that are as large as their rows."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(start, BATCH_ROWS)
+
+
 def byte_texts(column: pa.Array) -> Iterator[bytes | None]:
     """The UTF-8 bytes of a text column, one row at a time."""
     data = column.cast(pa.large_binary())
