@@ -1,10 +1,11 @@
 """URL filter: host and path rules, and a character language-model ratio for what no rule decides.
 
-Two variable-order Markov models, one of accepted and one of rejected URLs, share one table of character n-grams. A
-character's probability after its longest context is interpolated with that after each shorter one (Witten-Bell), and
-an unseen context passes the shorter one's probability on. A URL's score is the difference of both log-likelihoods
-divided by its length; the threshold is calibrated on labelled URLs that the models have not seen. All URLs that a rule
-decides are labelled by it, and all of them outside the calibrating fold are counted. DataFrame functions only.
+Two variable-order Markov models, one of accepted and one of rejected URLs, share one table of character n-grams over
+whole URLs, every code point as it is. A character's probability after its longest context is interpolated with that
+after each shorter one (Witten-Bell), and an unseen context passes the shorter one's probability on. A URL's score is
+the difference of both log-likelihoods divided by its length; the threshold is calibrated on labelled URLs that the
+models have not seen. All URLs that a rule decides are labelled by it, and all of them outside the calibrating fold are
+counted. The n-gram table grows with the corpus and meets the URLs by shuffle. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -15,12 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyriver.llm.text import HELD_OUT_FOLDS, renamed
-from tallyriver.storage import broadcast_if_small, shared_folder
+from tallyriver.storage import shared_folder
 
 #: Longest context in characters.
-DEPTH = 3
-#: Letters, one digit, four separators, one for all others, start and end: the n-gram table has at most 34 ** 4 rows.
-ALPHABET = 34
+DEPTH = 6
+START, END, ESCAPE = "\x02", "\x03", "\x01"
+#: N-grams that make up more than this part of all are broadcast, so at most as many; the others meet by shuffle.
+COMMON = 20_000
 BIN = 0.02
 BINS = 500
 
@@ -55,46 +57,68 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> Column:
     return found
 
 
-def _normal(host: Column, path: Column) -> Column:
-    """Host and path in the models' alphabet, between start marks and an end mark."""
-    folded = F.regexp_replace(F.lower(F.concat(host, path)), "[0-9]", "0")
-    folded = F.regexp_replace(folded, r"[^a-z0./_-]", "~")
-    return F.concat(F.lit("^" * DEPTH), folded, F.lit("$"))
+def _marked(url: Column) -> Column:
+    """The url between start marks and an end mark; a url's own marks are spelled as two characters."""
+    text = F.coalesce(url, F.lit(""))
+    for mark, letter in ((ESCAPE, "a"), (START, "b"), (END, "c")):
+        text = F.replace(text, F.lit(mark), F.lit(ESCAPE + letter))
+    return F.concat(F.lit(START * DEPTH), text, F.lit(END))
 
 
 def _grams(rows: DataFrame) -> DataFrame:
-    """One row for each character of ``normal``, with its context before it. Context and character are ``gram``."""
-    starts = F.sequence(F.lit(1), F.length("normal") - DEPTH)
-    grams = F.transform(starts, lambda i: F.substring(F.col("normal"), i, F.lit(DEPTH + 1)))
-    # explode() would have Spark repeat the normalising in a filter below it; explode_outer() does not
-    return rows.withColumn("gram", F.explode_outer(grams)).filter("gram is not null")
+    """One row for each character of ``url`` and its end, with its context before it: together they are ``gram``."""
+    # the match takes one code point at a time, so the work grows with a url's length, not with its square
+    grams = F.regexp_extract_all(_marked(F.col("url")), F.lit(f"(?s)(?=(.{{{DEPTH + 1}}})).|."), F.lit(1))
+    # explode() would have Spark repeat the matching in a filter below it; explode_outer() does not
+    return rows.withColumn("gram", F.explode_outer(grams)).filter("gram <> ''")
+
+
+def _last(gram: Column) -> Column:
+    return F.substring(gram, -1, 1)
 
 
 def ratio_table(counted: DataFrame) -> DataFrame:
     """``gram`` and ``ratio``: log of the rejected over the accepted model's probability of its last character.
 
-    ``counted`` has one row for each n-gram of all URLs with its counts ``good`` and ``bad``. Both classes are scaled
-    to the same total and leave room for unseen characters by the followers that either has seen, so that what neither
-    knows speaks for neither. Without counts of one class all ratios are 0.
+    ``counted`` has one row for each n-gram of all URLs, all of one length, with its counts ``good`` and ``bad``. Both
+    classes are scaled to the same total and leave room for unseen characters by the followers that either has seen, so
+    that what neither knows speaks for neither. Without counts of one class all ratios are 0.
     """
-    good, bad = counted.agg(F.sum("good"), F.sum("bad")).first()
-    weights = {"good": (good + bad) / (2 * good), "bad": (good + bad) / (2 * bad)} if good and bad else {"good": 0.0, "bad": 0.0}
-    table = counted.select("gram", *[(F.col(s) * F.lit(w)).alias(s) for s, w in weights.items()])
-    table = table.withColumns({f"p_{s}": F.lit(1.0 / ALPHABET) for s in weights})
-    for depth in range(DEPTH + 1):
-        context = F.substring("gram", DEPTH + 1 - depth, depth) if depth else F.lit("")
-        keyed = table.withColumns({"context": context, "last": F.substring("gram", DEPTH + 1, 1)})
-        followers = keyed.groupBy("context", "last").agg(*[F.sum(s).alias(f"k_{s}") for s in weights])
-        contexts = followers.groupBy("context").agg(
-            *[F.sum(f"k_{s}").alias(f"n_{s}") for s in weights],
-            F.count_if(F.col("k_good") + F.col("k_bad") > 0).alias("kinds"),
-        )
-        table = keyed.join(followers, ["context", "last"]).join(contexts, "context")
-        for s in weights:
-            mixed = (F.col(f"k_{s}") + F.col("kinds") * F.col(f"p_{s}")) / (F.col(f"n_{s}") + F.col("kinds"))
-            table = table.withColumn(f"p_{s}", F.when(F.col("kinds") > 0, mixed).otherwise(F.col(f"p_{s}")))
-        table = table.select("gram", "good", "bad", "p_good", "p_bad")
-    return table.select("gram", (F.log("p_bad") - F.log("p_good")).alias("ratio"))
+    spark = counted.sparkSession
+    totals = counted.agg(F.sum("good"), F.sum("bad"), F.max(F.length("gram")), F.count_distinct(_last(F.col("gram")))).first()
+    good, bad, longest, letters = totals
+    if not good or not bad:
+        return counted.select("gram", F.lit(0.0).alias("ratio"))
+    weights = {"good": (good + bad) / (2 * good), "bad": (good + bad) / (2 * bad)}
+    # every n-gram's ends of one character and more, so that each depth's counts come from one combining aggregation
+    ends = F.transform(F.sequence(F.lit(1), F.lit(longest)), lambda n: F.substring(F.col("gram"), -n, n))
+    followers, fields = shared_folder(spark, "url-followers"), "gram string, depth int, good bigint, bad bigint"
+    each = counted.select(F.posexplode(ends).alias("depth", "gram"), "good", "bad")
+    each = each.groupBy("gram", "depth").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    each.write.parquet(followers)
+    keyed = spark.read.schema(fields).parquet(followers).withColumn("context", F.substring(F.col("gram"), F.lit(1), F.col("depth")))
+    contexts = keyed.groupBy("context", "depth").agg(
+        *[F.sum(s).alias(f"n_{s}") for s in weights], F.count_if(F.col("good") + F.col("bad") > 0).alias("kinds")
+    )
+    levels = shared_folder(spark, "url-levels")
+    placed = keyed.join(contexts, ["context", "depth"]).select("gram", "depth", *weights, *[f"n_{s}" for s in weights], "kinds")
+    placed.write.parquet(levels)
+    placed = spark.read.schema(placed.schema).parquet(levels)
+
+    def mixed(s: str) -> Column:
+        seen, all_ = F.col(s) * F.lit(weights[s]), F.col(f"n_{s}") * F.lit(weights[s])
+        p = (seen + F.col("kinds") * F.col(f"p_{s}")) / (all_ + F.col("kinds"))
+        return F.when(F.col("kinds") > 0, p).otherwise(F.col(f"p_{s}"))
+
+    shorter = None
+    for depth in range(longest):
+        level = placed.filter(F.col("depth") == depth)
+        if shorter is None:
+            level = level.withColumns({f"p_{s}": F.lit(1.0 / letters) for s in weights})
+        else:
+            level = level.withColumn("end", F.substring("gram", -depth, depth)).join(shorter, "end")
+        shorter = level.select(F.col("gram").alias("end"), *[mixed(s).alias(f"p_{s}") for s in weights])
+    return shorter.select(F.col("end").alias("gram"), (F.log("p_bad") - F.log("p_good")).alias("ratio"))
 
 
 def _threshold(scored: DataFrame) -> float:
@@ -121,8 +145,8 @@ def filter_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", ur
     ``rule`` is the longest rule that fits, as host and path, or null. ``verdict`` is its verdict; without a rule,
     ``block`` if the score lies above the calibrated threshold, else ``allow``.
 
-    Defined cases: a null url, or one without ``://``, has an empty host and path, and its score is that of the end
-    mark alone. Rows that repeat an id come back as often, each by its own url; null ids too. Without a labelled url
+    Defined cases: a null url, or one without ``://``, has an empty host and path; the score of a null or empty url is
+    that of the end mark alone. Rows that repeat an id come back as often, each by its own url; null ids too. Without a labelled url
     of either kind the models are even, every score is 0 and the verdict is ``allow``. Further columns are ignored; an
     empty table gives an empty result.
     """
@@ -137,7 +161,8 @@ def filter_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", ur
         {
             "good": good,
             "calibrates": F.crc32(F.concat("host", "path").cast("binary")) % HELD_OUT_FOLDS == 0,
-            "normal": _normal(F.col("host"), F.col("path")),
+            # a stored number, so that a url's characters need not carry its row
+            "key": F.monotonically_increasing_id(),
         }
     )
     path = shared_folder(spark, "urls")
@@ -146,20 +171,27 @@ def filter_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", ur
 
     learns = ~F.col("calibrates")
     counts = shared_folder(spark, "url-grams")
-    counted = _grams(judged.select("normal", "good", "calibrates", "copies")).groupBy("gram").agg(
+    counted = _grams(judged.select("url", "good", "calibrates", "copies")).groupBy("gram").agg(
         F.sum(F.when(learns & F.col("good"), F.col("copies")).otherwise(0)).alias("good"),
         F.sum(F.when(learns & ~F.col("good"), F.col("copies")).otherwise(0)).alias("bad"),
+        F.count(F.lit(1)).alias("times"),
     )
     counted.write.parquet(counts)
+    counted = spark.read.schema("gram string, good bigint, bad bigint, times bigint").parquet(counts)
     stored = shared_folder(spark, "url-ratios")
-    ratio_table(spark.read.schema("gram string, good bigint, bad bigint").parquet(counts)).write.parquet(stored)
-    ratios = spark.read.schema("gram string, ratio double").parquet(stored)
-
-    # a url's characters are added up before the result meets its rows again
-    spelled = _grams(judged.select("id", "url", "normal")).select("id", "url", "gram")
-    scores = spelled.join(broadcast_if_small(ratios), "gram").groupBy("id", "url").agg(F.avg("ratio").alias("score"))
-    same = judged["id"].eqNullSafe(scores["id"]) & judged["url"].eqNullSafe(scores["url"])
-    scored = judged.join(scores, same).select(judged["*"], "score")
+    ratio_table(counted.drop("times")).join(counted.select("gram", "times"), "gram").write.parquet(stored)
+    ratios = spark.read.schema("gram string, ratio double, times bigint").parquet(stored)
+    least = (counted.agg(F.sum("times")).first()[0] or 0) / COMMON
+
+    # common n-grams stay where they are, so that no key of the shuffle is large; a url's characters are added up
+    # before the result meets its row again
+    spelled = _grams(judged.select("key", "url")).select("key", "gram")
+    common = F.broadcast(ratios.filter(F.col("times") > least).select("gram", "ratio"))
+    rare = ratios.filter(F.col("times") <= least).select("gram", "ratio")
+    met = spelled.join(common, "gram").select("key", "ratio").groupBy("key").agg(F.sum("ratio").alias("sum"), F.count("ratio").alias("n"))
+    left = spelled.join(common, "gram", "left_anti").join(rare, "gram").select("key", F.col("ratio").alias("sum"), F.lit(1).cast("bigint").alias("n"))
+    scores = met.unionByName(left).groupBy("key").agg((F.sum("sum") / F.sum("n")).alias("score"))
+    scored = judged.join(scores, "key").select(*[c for c in judged.columns if c != "key"], "score")
     results = shared_folder(spark, "url-scores")
     scored.write.parquet(results)
     scored = spark.read.schema(scored.schema).parquet(results)

@@ -139,3 +139,31 @@ def test_without_labels_all_is_allowed(spark):
 def test_native_operators_run_no_python(name, spark, sf_dir):
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().toString()
     assert "Python" not in plan and "MapIn" not in plan
+
+
+def test_models_read_digits_scripts_and_queries(spark):
+    rules = [
+        urls.Rule("allow", "a.test", "/"), urls.Rule("block", "a.test", "/en/1"),
+        urls.Rule("allow", "b.test", "/"), urls.Rule("block", "b.test", "/ж"),
+        urls.Rule("allow", "good.test", "/"), urls.Rule("block", "bad.test", "/"),
+    ]
+    rows = [f"http://a.test/en/{1 + i % 2}{i:03}" for i in range(100)]
+    rows += [f"http://b.test/{'жω'[i % 2] * 3}/{i:03}" for i in range(100)]
+    rows += [f"http://{('good', 'bad')[i % 2]}.test/x?{('from=mail', 'ref=spam')[i % 2]}&n={i:03}" for i in range(100)]
+    pairs = [
+        ("http://o.net/en/1777", "http://o.net/en/2777"), ("http://o.net/жжж/7", "http://o.net/ωωω/7"),
+        ("http://o.net/x?ref=spam", "http://o.net/x?from=mail"),
+    ]
+    rows += [u for pair in pairs for u in pair]
+    frame = spark.createDataFrame(list(enumerate(rows)), "page_id bigint, url string")
+    out = [r["score"] for r in sorted(urls.filter_urls(frame, rules).collect(), key=lambda r: r["page_id"])]
+    for bad, good in pairs:
+        assert out[rows.index(bad)] > out[rows.index(good)]
+
+
+def test_grams_are_whole_code_points_and_marks_are_escaped(spark):
+    frame = spark.createDataFrame([("😀\x02é",), (None,)], "url string")
+    found = {r["gram"] for r in urls._grams(frame).collect()}
+    d, s = urls.DEPTH, urls.START
+    spelled = s * d + "😀" + urls.ESCAPE + "b" + "é" + urls.END
+    assert found == {spelled[i : i + d + 1] for i in range(len(spelled) - d)} | {s * d + urls.END}
