@@ -14,7 +14,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -118,16 +118,25 @@ def cosines(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
 
 
 def best(ids: np.ndarray, rows: np.ndarray, rough: np.ndarray, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and cosines of the ``k`` nearest rows but the query's own, ties by id. ``rough``: cosines up to ``CLOSE``."""
+    """The ``k`` nearest ids but the query's own, each with its best row's cosine, ties by id.
+
+    ``ids`` are in order and may repeat. ``rough``: cosines up to ``CLOSE``.
+    """
     rough = np.where(ids == own, -np.inf, rough)
-    if len(rough) > k:
-        chosen = np.flatnonzero(rough >= np.partition(rough, len(rough) - k)[len(rough) - k] - CLOSE)
+    firsts = np.flatnonzero(np.concatenate((np.ones(min(len(ids), 1), bool), ids[1:] != ids[:-1])))
+    of_ids = np.maximum.reduceat(rough, firsts) if len(firsts) < len(ids) else rough
+    if len(of_ids) > k:
+        chosen = np.flatnonzero(rough >= np.partition(of_ids, len(of_ids) - k)[len(of_ids) - k] - CLOSE)
     else:
         chosen = np.arange(len(rough))
     chosen = chosen[ids[chosen] != own]
     scores = cosines(rows[chosen], query)
-    order = np.lexsort((ids[chosen], -scores))[:k]
-    return ids[chosen][order], scores[order]
+    order = np.lexsort((-scores, ids[chosen]))
+    found, scores = ids[chosen][order], scores[order]
+    once = np.concatenate((np.ones(min(len(found), 1), bool), found[1:] != found[:-1]))
+    found, scores = found[once], scores[once]
+    order = np.lexsort((found, -scores))[:k]
+    return found[order], scores[order]
 
 
 class Index(NamedTuple):
@@ -155,11 +164,14 @@ def build_index(
     """Grow a forest on about ``sample_rows`` rows and store every row under its leaves.
 
     Left out are rows without an id, and vectors that are null, zero, hold null or non-finite components, or have
-    another length than most of the sample.
+    another length than most of the sample. Rows of the same id and vector are one row; an id may have several vectors.
     """
     spark = rows.sparkSession
-    vectors = _vectors(rows, id_col, vector_col)
-    sample = [r["vector"] for r in bounded_sample(vectors, "id", sample_rows).orderBy("id", "vector").collect()]
+    distinct = shared_folder(spark, "vectors")
+    _vectors(rows, id_col, vector_col).distinct().write.parquet(distinct)
+    vectors = spark.read.schema("id bigint, vector array<double>").parquet(distinct)
+    sampled = bounded_sample(vectors.withColumn("row", F.xxhash64("id", "vector")), "row", sample_rows)
+    sample = [r["vector"] for r in sampled.orderBy("id", "vector").collect()]
     lengths = [len(v) for v in sample]
     dim = max(sorted(set(lengths)), key=lengths.count) if lengths else 0
     forest = grow(_unit(np.array([v for v in sample if len(v) == dim], np.float64).reshape(-1, max(dim, 1))), trees)
@@ -182,6 +194,14 @@ def build_index(
     return Index(forest, path, blocks, dim)
 
 
+def dealt_rows(spark: SparkSession, index: Index) -> DataFrame:
+    """The stored rows with their block, by a hash of id and vector, so that one id's vectors spread too."""
+    blocks = F.array(*[F.lit(int(b)) for b in index.blocks]) if index.blocks.max() > 1 else None
+    block = F.pmod(F.xxhash64("id", "vector"), F.get(blocks, F.col("leaf"))) if blocks is not None else F.lit(0)
+    stored = spark.read.schema("leaf int, id bigint, vector array<double>").parquet(index.path)
+    return stored.select("leaf", block.cast("int").alias("block"), F.lit(False).alias("query"), "id", "vector")
+
+
 def _probe_pass(shared, probed: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest, blocks = shared.value
@@ -230,7 +250,9 @@ def _search_pass(k: int):
                 if not ids:
                     continue
                 if rows is None:
-                    known, rows = np.concatenate(ids), np.concatenate(parts)
+                    known = np.concatenate(ids)
+                    order = np.argsort(known, kind="stable")
+                    known, rows = known[order], np.concatenate(parts)[order]
                     units = _unit(rows)
                 rough = _unit(vectors) @ units.T
                 found += [(q, *best(known, rows, rough[i], vectors[i], q, k)) for i, q in enumerate(numbers)]
@@ -251,19 +273,18 @@ def search(
     """Each query's ``k`` nearest rows found: ``query_id``, ``rank`` from 1, ``vec_id``, ``score``.
 
     Nearness is the cosine of the original vectors in double precision, ties go to the smaller id; a row with the
-    query's own id is never a result. Queries that the index would leave out have no result; a repeated id is one
-    query with the best of its vectors. An empty table gives an empty result. ``probed`` is the share of all leaves
-    that a query visits, two for each tree at least.
+    query's own id is never a result, and an id with several vectors counts by its nearest. Queries that the index
+    would leave out have no result; a repeated id is one query with the best of its vectors. An empty table gives an
+    empty result. ``probed`` is the share of all leaves that a query visits, two for each tree at least.
     """
     spark = queries.sparkSession
     shared = spark.sparkContext.broadcast((index.forest, index.blocks))
-    asked = _vectors(queries, id_col, vector_col).filter(F.size("vector") == index.dim)
+    asked = _vectors(queries, id_col, vector_col).filter(F.size("vector") == index.dim).distinct()
+    # a fixed number, as the probing of few rows is long work
+    asked = asked.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id", "vector")
     fields = "leaf int, block int, query boolean, id bigint, vector array<double>"
     probing = asked.mapInArrow(_probe_pass(shared, probed), fields)
-    blocks = F.array(*[F.lit(int(b)) for b in index.blocks]) if index.blocks.max() > 1 else None
-    block = F.pmod(F.xxhash64("id"), F.get(blocks, F.col("leaf"))) if blocks is not None else F.lit(0)
-    stored = spark.read.schema("leaf int, id bigint, vector array<double>").parquet(index.path)
-    stored = stored.select("leaf", block.cast("int").alias("block"), F.lit(False).alias("query"), "id", "vector")
+    stored = dealt_rows(spark, index)
     both = stored.unionByName(probing).repartition("leaf", "block").sortWithinPartitions("leaf", "block", "query")
     near = both.mapInArrow(_search_pass(k), "query_id bigint, vec_id bigint, score double")
     once = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))

@@ -167,3 +167,32 @@ def test_grams_are_whole_code_points_and_marks_are_escaped(spark):
     d, s = urls.DEPTH, urls.START
     spelled = s * d + "😀" + urls.ESCAPE + "b" + "é" + urls.END
     assert found == {spelled[i : i + d + 1] for i in range(len(spelled) - d)} | {s * d + urls.END}
+
+
+def test_an_id_repeated_over_k_times_takes_one_place(spark):
+    random = np.random.default_rng(10)
+    data = random.standard_normal((40, 6))
+    rows = [(i, v.tolist()) for i, v in enumerate(data)]
+    # the nearest id many times: the same row again, and rows that differ a little
+    rows += [(100, (data[3] * 1.5).tolist())] * 12 + [(101, (data[3] + 1e-3 * random.standard_normal(6)).tolist()) for _ in range(30)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    ids, vectors = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    scores = {}
+    for i, s in zip(ids, neighbours.cosines(vectors, data[3])):
+        scores[int(i)] = max(float(s), scores.get(int(i), -2.0))
+    del scores[3]
+    wanted = sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:5]
+    for block_rows in (10, 20_000):
+        index = neighbours.build_index(frame, block_rows=block_rows)
+        assert _found(neighbours.search(index, frame.filter("vec_id = 3"), probed=1.0))[3] == wanted
+
+
+def test_vectors_of_one_id_are_dealt_to_many_blocks(spark):
+    random = np.random.default_rng(11)
+    rows = [(7, v.tolist()) for v in random.standard_normal((300, 6))] + [(8, [1.0] * 6)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    index = neighbours.build_index(frame, block_rows=20)
+    near = _found(neighbours.search(index, frame.filter("vec_id = 8"), probed=1.0))[8]
+    assert [i for i, _ in near] == [7]
+    sizes = [r["count"] for r in neighbours.dealt_rows(spark, index).groupBy("leaf", "block").count().collect()]
+    assert index.blocks.max() > 1 and max(sizes) < 3 * 20
