@@ -14,16 +14,17 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyriver.llm.text import bounded_sample, byte_texts, held_out, renamed, with_columns_from
+from tallyriver.llm.text import byte_texts, held_out, renamed, stratified_sample, with_columns_from
 
 WINDOW = 64
 HIDDEN = 8
 MAX_ROWS = 3_000
-WINDOWS_PER_ROW = 3
+WINDOWS_PER_ROW = 8
 STEPS = 220
 BATCH = 192
 #: Windows that a task pushes through the network at once.
@@ -52,6 +53,15 @@ def windows_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return padded.reshape(n, WINDOW), sizes
 
 
+def drawn_windows(data: bytes, wanted: int) -> tuple[np.ndarray, np.ndarray]:
+    """``wanted`` of the windows of some bytes, each as likely as any other; all of them if there are fewer."""
+    cut, sizes = windows_of(data)
+    if len(cut) > wanted:
+        at = np.random.default_rng(xxhash.xxh3_64_intdigest(data)).choice(len(cut), wanted, replace=False)
+        cut, sizes = cut[at], sizes[at]
+    return cut, sizes
+
+
 def _gates(model: Model, seen: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
     """One step: update and reset gates, candidate, and what the reset gate lets through."""
     h = HIDDEN
@@ -163,29 +173,36 @@ def train(bytes_: np.ndarray, sizes: np.ndarray, labels: list[str], steps: int =
 
 
 def fit_language(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = MAX_ROWS
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    max_rows: int = MAX_ROWS,
+    windows: int = WINDOWS_PER_ROW,
+    steps: int = STEPS,
 ) -> Model:
-    """A model of the ``lang_col`` values, trained on windows of about ``max_rows`` rows.
+    """A model of the ``lang_col`` values, trained on windows of up to ``max_rows`` rows in ``steps`` steps.
 
-    Rows of the held-out fold, and rows without an id, a language or a text, take no part. ``max_rows`` bounds what
-    reaches the driver: ``WINDOWS_PER_ROW`` windows of each chosen row, spread over its text.
+    Rows of the held-out fold, and rows without an id, a language or a text, take no part. Every language of the
+    others is learnt: as many rows of each, and what small ones leave goes to larger ones. ``max_rows`` (one for each
+    language at least) bounds what reaches the driver: ``windows`` windows of each chosen row, drawn over its whole
+    text. Rows of the same id and language are one, with the first of their texts in order.
     """
     rows = renamed(docs, id=id_col, text=text_col, lang=lang_col)
-    rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("id")))
-    chosen = bounded_sample(rows.select("id"), "id", max_rows).distinct()
-    texts = rows.join(F.broadcast(chosen), "id").limit(4 * max_rows).select("id", "lang", "text")
+    rows = rows.filter(F.col("lang").isNotNull() & (F.col("text") != "") & ~held_out(F.col("id")))
+    chosen = stratified_sample(rows, "id", "lang", max_rows)
+    texts = rows.join(F.broadcast(chosen), ["id", "lang"]).groupBy("id", "lang").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, langs, parts, sizes = [], [], [], []
             rows = zip(batch.column("id").to_pylist(), batch.column("lang").to_pylist(), byte_texts(batch.column("text")))
             for i, lang, text in rows:
-                cut, held = windows_of(text)
-                for w in np.unique(np.linspace(0, len(cut) - 1, WINDOWS_PER_ROW).astype(int)) if len(cut) else []:
+                for part, size in zip(*drawn_windows(text, windows)):
                     ids.append(i)
                     langs.append(str(lang))
-                    parts.append(cut[w].tobytes())
-                    sizes.append(int(held[w]))
+                    parts.append(part.tobytes())
+                    sizes.append(int(size))
             yield pa.record_batch(
                 [pa.array(ids, pa.int64()), pa.array(langs, pa.string()), pa.array(parts, pa.binary()),
                  pa.array(sizes, pa.int32())],
@@ -196,7 +213,7 @@ def fit_language(
     found = typed.mapInArrow(run, "id bigint, lang string, part binary, size int").collect()
     found.sort(key=lambda r: (r["id"], r["part"], r["lang"]))
     data = np.frombuffer(b"".join(r["part"] for r in found), np.uint8).reshape(-1, WINDOW)
-    return train(data, np.array([r["size"] for r in found], np.int32), [r["lang"] for r in found])
+    return train(data, np.array([r["size"] for r in found], np.int32), [r["lang"] for r in found], steps)
 
 
 def document_probabilities(model: Model, texts: Iterator[bytes | None]) -> Iterator[np.ndarray | None]:

@@ -17,8 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from tallyriver.llm.text import bounded_sample, byte_texts, held_out, mixed, renamed, small_batches, with_columns_from
+from tallyriver.llm.text import byte_texts, held_out, mixed, renamed, small_batches, stratified_sample, with_columns_from
 
 COLUMNS = 1 << 18
 ORDERS = (1, 2, 3)
@@ -115,8 +116,8 @@ def sigmoid_fit(margins: np.ndarray, positive: np.ndarray, rounds: int = 50) ->
 
 
 def fit_rows(rows: list[np.ndarray], positive: np.ndarray) -> Model:
-    """A model of rows of columns; every fifth row only calibrates. Without both classes: their smoothed share."""
-    calibrates = np.arange(len(rows)) % 5 == 0
+    """A model of rows of columns; every fifth row of a class only calibrates. Without both classes: their smoothed share."""
+    calibrates = np.where(positive, np.cumsum(positive), np.cumsum(~positive)) % 5 == 0
     learns = [i for i in range(len(rows)) if not calibrates[i]]
     good = positive[learns]
     if not good.any() or good.all():
@@ -149,6 +150,12 @@ def probability(model: Model, columns: np.ndarray) -> float:
     return float(1 / (1 + np.exp(-np.clip(model.slope * margin + model.offset, -30, 30))))
 
 
+def _first(rows: DataFrame, groups: list[str], order: list[str], count: int, place: str = "place") -> DataFrame:
+    """The first ``count`` rows of each group, in the order of ``order`` and of the hash of ``id``."""
+    by = Window.partitionBy(*groups).orderBy(*order, F.xxhash64("id"), "id")
+    return rows.withColumn(place, F.row_number().over(by)).filter(F.col(place) <= count)
+
+
 def fit_quality(
     docs: DataFrame,
     labels: DataFrame,
@@ -159,23 +166,32 @@ def fit_quality(
 ) -> Model:
     """A model of ``labels.<label_col>`` (1 good, 0 bad), fitted on about ``max_rows`` labelled rows.
 
-    Rows of the held-out fold, without an id, or with another label take no part. An id that is labelled or occurs
-    more than once counts as often. ``max_rows`` bounds what reaches the driver: hashed columns, not texts.
+    Rows of the held-out fold, without an id, or with another label take no part. As many ids of either label are
+    drawn, and what a rare one leaves goes to the other. An id that is labelled or occurs more than once counts as
+    often, up to ``2 * max_rows`` rows of a label. ``max_rows`` bounds what reaches the driver: hashed columns, not texts.
     """
     wanted = renamed(labels, id=id_col, label=label_col).filter(F.col("label").isin(0, 1) & ~held_out(F.col("id")))
-    chosen = bounded_sample(wanted.select("id", F.col("label").cast("int").alias("label")), "id", max_rows)
-    texts = renamed(docs, id=id_col, text=text_col).join(F.broadcast(chosen), "id").limit(4 * max_rows)
+    known = renamed(docs, id=id_col).distinct()
+    wanted = wanted.select("id", F.col("label").cast("int").alias("label")).join(known, "id", "left_semi")
+    pairs = wanted.join(F.broadcast(stratified_sample(wanted, "id", "label", max_rows)), ["id", "label"]).groupBy("id", "label").count()
+    copies = F.sequence(F.lit(1), F.least(F.col("count"), F.lit(2 * max_rows)).cast("int"))
+    chosen = _first(pairs.select("id", "label", F.explode(copies).alias("copy")), ["label"], ["copy"], 2 * max_rows)
+    texts = renamed(docs, id=id_col, text=text_col).join(F.broadcast(chosen), "id")
+    texts = _first(texts.withColumn("by", F.xxhash64("text")), ["id", "label", "copy"], ["by"], 2 * max_rows, "turn")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         indicators = Indicators()
         for batch in batches:
             found = [indicators.of(t).astype(np.int32).tobytes() for t in byte_texts(batch.column("text"))]
             yield pa.record_batch(
-                [batch.column("id"), batch.column("label"), pa.array(found, pa.binary())], names=["id", "label", "columns"]
+                [*(batch.column(c) for c in ("id", "label", "copy", "turn")), pa.array(found, pa.binary())],
+                names=["id", "label", "copy", "turn", "columns"],
             )
 
-    fields = "id bigint, label int, columns binary"
-    rows = texts.select(F.col("id").cast("bigint").alias("id"), "label", "text").mapInArrow(run, fields).collect()
+    fields = "id bigint, label int, copy int, turn int, columns binary"
+    found = texts.select(F.col("id").cast("bigint").alias("id"), "label", "copy", "turn", "text").mapInArrow(run, fields)
+    # every id's first row comes before any repeated one
+    rows = _first(found, ["label"], ["turn", "copy"], 2 * max_rows).collect()
     rows.sort(key=lambda r: (r["id"], r["label"], r["columns"]))
     return fit_rows([np.frombuffer(r["columns"], np.int32) for r in rows], np.array([r["label"] == 1 for r in rows], bool))
 

@@ -9,6 +9,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from tallyriver.storage import shared_folder
 
 SHINGLE_WORDS = 5
 HELD_OUT_FOLDS = 5
@@ -97,6 +100,40 @@ def bounded_sample(rows: DataFrame, id_col: str, max_rows: int) -> DataFrame:
     return rows.filter(F.pmod(F.xxhash64(id_col), F.lit(scale)) < share).filter(F.col(id_col).isNotNull()).limit(2 * max_rows)
 
 
+def quotas(counts: dict, max_rows: int) -> dict:
+    """How many rows of each class are drawn: as many of each, what small classes leave goes to larger ones.
+
+    ``max_rows`` in all, but one of each class at least.
+    """
+    found, left = {}, max_rows
+    for i, (name, count) in enumerate(sorted(counts.items(), key=lambda x: x[1])):
+        found[name] = min(count, max(1, left // (len(counts) - i)))
+        left = max(0, left - found[name])
+    return found
+
+
+def stratified_sample(rows: DataFrame, id_col: str, class_col: str, max_rows: int) -> DataFrame:
+    """Distinct pairs ``id_col`` and ``class_col``, of each class as many as ``quotas`` says, chosen by the hash of the id.
+
+    A class with few rows is there however many rows the others have. Rows without an id or a class are never chosen.
+    """
+    spark, scale = rows.sparkSession, 1_000_000_000
+    path = shared_folder(spark, "learnable")
+    named = rows.select(id_col, class_col).filter(F.col(id_col).isNotNull() & F.col(class_col).isNotNull())
+    named.distinct().write.parquet(path)
+    pairs = spark.read.schema(named.schema).parquet(path)
+    # one row for each class, as a model of them needs
+    counts = {r[class_col]: r["count"] for r in pairs.groupBy(class_col).count().collect()}
+    wanted = [(name, counts[name], n) for name, n in quotas(counts, max_rows).items()]
+    kind = named.schema[class_col].dataType.simpleString()
+    drawn = pairs.join(F.broadcast(spark.createDataFrame(wanted, f"`{class_col}` {kind}, count__ bigint, wanted__ bigint")), class_col)
+    # about four times as many by their hash, so that the sort meets few rows
+    near = F.pmod(F.xxhash64(id_col), F.lit(scale)) * (F.col("count__") / scale) <= 4 * F.col("wanted__") + 40
+    first = Window.partitionBy(class_col).orderBy(F.pmod(F.xxhash64(id_col), F.lit(scale)), id_col)
+    ranked = drawn.filter(near).withColumn("place__", F.row_number().over(first))
+    return ranked.filter(F.col("place__") <= F.col("wanted__")).select(id_col, class_col)
+
+
 def with_columns_from(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
     """``batch`` with further columns at its end; those of the same name are replaced in their place."""
     kept = {name: columns.get(name, batch.column(name)) for name in batch.schema.names}

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyriver.llm import language, quality
 from tallyriver.llm.queries import QUERIES
-from tallyriver.llm.text import bounded_sample, held_out
+from tallyriver.llm.text import bounded_sample, held_out, quotas, stratified_sample
 
 
 def test_quality_on_held_out_rows(spark, sf_dir):
@@ -122,3 +122,55 @@ def test_bounded_sample(spark):
     assert 800 < n < 1200
     assert bounded_sample(rows.limit(50), "doc_id", 1_000).count() == 50
     assert bounded_sample(rows.limit(0), "doc_id", 1_000).count() == 0
+
+
+def test_quotas_give_what_small_classes_leave():
+    assert quotas({"a": 1000, "b": 3, "c": 40}, 100) == {"b": 3, "c": 40, "a": 57}
+    assert quotas({"a": 5, "b": 3}, 100) == {"a": 5, "b": 3}
+    assert quotas({"a": 9, "b": 9, "c": 9}, 2) == {"a": 1, "b": 1, "c": 1} and quotas({}, 5) == {}
+
+
+def test_stratified_sample_has_every_class(spark):
+    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 5000 == 7, "xx").otherwise("en").alias("lang"))
+    drawn = stratified_sample(rows.union(rows), "doc_id", "lang", 100).groupBy("lang").count().collect()
+    assert {r["lang"]: r["count"] for r in drawn} == {"xx": 4, "en": 96}
+
+
+def test_a_rare_language_is_learnt(spark):
+    text = F.when(F.col("id") % 4000 < 2, F.lit("zq zq zqz qz zqq ")).otherwise(F.lit("the old house and the sea "))
+    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.repeat(text, 20).alias("text"), text.startswith("zq").alias("rare"))
+    docs = rows.withColumn("lang", F.when(F.col("rare"), "xx").otherwise("en"))
+    model = language.fit_language(docs, max_rows=60, windows=4, steps=40)
+    assert model.names == ["en", "xx"]
+    found = language.with_language(docs.filter("doc_id % 4000 < 4"), model).collect()
+    assert all(r["lang_pred"] == r["lang"] for r in found)
+
+
+def test_windows_are_drawn_over_the_whole_text():
+    text = b"".join(bytes([65 + i % 60]) * language.WINDOW for i in range(50)) + b"end"
+    cut, sizes = language.drawn_windows(text, 20)
+    whole, _ = language.windows_of(text)
+    assert len({c.tobytes() for c in cut}) == 20 == len(sizes) and {c.tobytes() for c in cut} <= {c.tobytes() for c in whole}
+    assert len(language.drawn_windows(text, 99)[0]) == 51 and len(language.drawn_windows(b"", 3)[0]) == 0
+
+
+def test_a_rare_label_is_learnt(spark):
+    bad = F.col("id") % 5000 < 2
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(bad, "###!!! $$$%%%").otherwise("calm plain words").alias("text"))
+    labels = spark.range(30_000).select(F.col("id").alias("doc_id"), F.when(bad, 0).otherwise(1).alias("quality"))
+    model = quality.fit_quality(docs, labels, max_rows=60)
+    scored = {r["text"]: r["score"] for r in quality.with_quality(docs.filter("doc_id < 4"), model).collect()}
+    assert scored["###!!! $$$%%%"] < 0.5 < scored["calm plain words"]
+
+
+def test_repeated_labels_and_documents_count_as_often(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(40)] + [(1, "text 1")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(1, 1), (2, 0)], "doc_id bigint, quality int")
+    seen = []
+    real, quality.fit_rows = quality.fit_rows, lambda rows, positive: seen.append(positive) or real(rows, positive)
+    try:
+        quality.fit_quality(docs, labels)
+    finally:
+        quality.fit_rows = real
+    kept = labels.filter(~held_out(F.col("doc_id"))).join(docs, "doc_id").groupBy("quality").count().collect()
+    assert {r["quality"]: r["count"] for r in kept} == {1: int(seen[0].sum()), 0: int((~seen[0]).sum())}
