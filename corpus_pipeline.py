@@ -49,8 +49,8 @@ def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    return without_leaks(docs, _table(spark, sf_dir, "benchmark")).select(*docs.columns)
+    """Documents that hold no benchmark item, however short it is."""
+    return without_leaks(docs, _table(spark, sf_dir, "benchmark"), short_items=True).select(*docs.columns)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,9 +28,20 @@ def shingle_hashes(words: Column, size: int = SHINGLE_WORDS) -> Column:
     return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, width))))
 
 
-def _hashed(rows: DataFrame, size: int) -> DataFrame:
-    """``id`` and its distinct shingle hashes; the words are made once."""
-    return rows.select("id", normal_words(F.col("text")).alias("words")).select("id", shingle_hashes(F.col("words"), size).alias("hashes"))
+def run_hashes(words: Column, widths: list[int]) -> Column:
+    """Distinct 64-bit hashes of all runs of each of ``widths`` words."""
+
+    def runs(width: int) -> Column:
+        last = F.size(words) - width + 1
+        starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, width)))
+
+    return F.array_distinct(F.concat(*[runs(w) for w in widths]))
+
+
+def _words(rows: DataFrame) -> DataFrame:
+    """``id`` and its words, made once for all that is hashed from them."""
+    return rows.select("id", normal_words(F.col("text")).alias("words"))
 
 
 def find_leaks(
@@ -42,6 +53,7 @@ def find_leaks(
     item_text_col: str = "text",
     percent: int = 80,
     size: int = SHINGLE_WORDS,
+    short_items: bool = False,
 ) -> DataFrame:
     """Pairs of a document and an item of which it holds at least ``percent`` of the distinct shingles.
 
@@ -49,15 +61,22 @@ def find_leaks(
     of ``size`` words; words are runs of letters and digits, in lower case.
 
     Defined cases: texts and items that are null or without words are in no pair. An item with fewer words is one
-    shingle, its whole sequence, which only a document of the same words has. Rows that repeat an id are one document
-    (or item) of all their shingles. Rows without an id are left out. An empty table gives an empty result; further
-    columns are ignored.
+    shingle, its whole sequence, which only a document of the same words has; with ``short_items`` every document has it
+    that holds these words in a row. Rows that repeat an id are one document (or item) of all their shingles. Rows
+    without an id are left out. An empty table gives an empty result; further columns are ignored.
     """
     spark = docs.sparkSession
     sources = renamed(docs, id=id_col, text=text_col).filter("id is not null and text is not null")
     sources = sources.withColumn("id", F.col("id").cast("bigint"))
     wanted = renamed(items, id=item_col, text=item_text_col).filter("id is not null and text is not null")
-    tests = _hashed(wanted.withColumn("id", F.col("id").cast("bigint")), size).groupBy("id")
+    worded = _words(wanted.withColumn("id", F.col("id").cast("bigint")))
+    widths = []
+    if short_items:
+        # the widths below ``size`` that are an item's whole: documents are hashed in runs of these too
+        short = worded.select(F.size("words").alias("width")).filter(F.col("width").between(1, size - 1)).distinct().collect()
+        widths = [size, *sorted(r["width"] for r in short)]
+    hashes = (run_hashes(F.col("words"), widths) if short_items else shingle_hashes(F.col("words"), size)).alias("hashes")
+    tests = worded.select("id", shingle_hashes(F.col("words"), size).alias("hashes")).groupBy("id")
     tests = tests.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("hashes")))).alias("hashes"))
     tests = tests.withColumn("n", F.size("hashes")).filter("n > 0")
     path = shared_folder(spark, "items")
@@ -73,7 +92,8 @@ def find_leaks(
     none = F.lit(None).cast("bigint")
     limit = F.greatest(none, none, *[F.when(held >= 2 ** r["part"] * percent, F.lit(r["bound"])) for r in bounds])
     # explode() would have Spark repeat the hashing in a filter below it; explode_outer() does not
-    low = _hashed(sources, size).select("id", limit.alias("limit"), F.explode_outer("hashes").alias("hash"))
+    hashed = _words(sources).select("id", hashes)
+    low = hashed.select("id", limit.alias("limit"), F.explode_outer("hashes").alias("hash"))
     low = low.filter("hash <= limit").select("id", "hash")
     candidates = low.join(broadcast_if_small(sketches), "hash").select("id", "item").distinct()
     found = shared_folder(spark, "leak-candidates")
@@ -82,7 +102,8 @@ def find_leaks(
 
     suspects = candidates.select("id").distinct()
     suspected = sources.join(suspects, "id", "left_semi")
-    shingles = _hashed(suspected, size).select("id", F.explode_outer("hashes").alias("hash")).distinct()
+    hashed = _words(suspected).select("id", hashes)
+    shingles = hashed.select("id", F.explode_outer("hashes").alias("hash")).distinct()
     parts = tests.select(F.col("id").alias("item"), "n", F.explode("hashes").alias("hash"))
     shared = shingles.join(broadcast_if_small(parts), "hash").groupBy("id", "item", "n").agg(F.count(F.lit(1)).alias("shared"))
     kept = shared.filter(F.col("shared") * 100 >= F.col("n") * percent)

@@ -352,3 +352,13 @@ def test_tokens_edges(spark, frame, edges):
     assert bpe.encode(frame([]), path, pattern).count() == 0
     nulls = spark.createDataFrame([(1, None, None)], "doc_id bigint, n_tokens bigint, ids binary")
     assert bytes(bpe.decode(nulls, path).first()["decoded"]) == b""
+
+
+def test_short_items_are_found_inside_longer_documents(spark):
+    docs = [(1, "one two three four five six seven"), (2, "three four"), (3, "four three two one zero minus one"), (4, "Three, four!"), (5, "five")]
+    items = [(10, "three four"), (11, "five"), (12, "six seven eight"), (13, "two three four five six"), (14, "minus"), (14, "four three two one zero minus")]
+    held, bench = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontamination.find_leaks(held, bench, short_items=True).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["n_shingles"], r["n_shared"]) for r in found) == [
+        (1, 10, 1, 1), (1, 11, 1, 1), (1, 13, 1, 1), (2, 10, 1, 1), (3, 14, 3, 3), (4, 10, 1, 1), (5, 11, 1, 1),
+    ]
