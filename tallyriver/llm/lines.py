@@ -70,10 +70,6 @@ def _shard(shards: int) -> Column:
     return F.pmod(F.xxhash64("low", "high"), F.lit(shards)).cast("int")
 
 
-def _fingerprint(low: np.ndarray) -> np.ndarray:
-    return (low >> np.uint64(32)).astype(np.uint32)
-
-
 def _build_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by shard to one row for each shard."""
     shard, parts = None, []
@@ -85,7 +81,8 @@ def _build_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.empty(len(high), np.int64)
         order[Lookup(built)(high, low)] = np.arange(len(high))
         arrays = [
-            _fingerprint(low)[order],
+            # half of the line's hash as its fingerprint: 64 bits
+            low[order],
             np.minimum(keys.column("documents").to_numpy()[order], 2**32 - 1).astype(np.uint32),
             keys.column("last").to_numpy()[order],
         ]
@@ -118,7 +115,7 @@ class _Arrays:
 
     def __init__(self, row: dict):
         self.find = Lookup(PerfectHash(np.frombuffer(row["bits"], np.uint8), list(row["sizes"])))
-        self.fingerprints = np.frombuffer(row["fingerprints"], np.uint32)
+        self.fingerprints = np.frombuffer(row["fingerprints"], np.uint64)
         self.counts = np.frombuffer(row["counts"], np.uint32)
         self.lasts = np.frombuffer(row["lasts"], np.int64)
 
@@ -127,7 +124,7 @@ class _Arrays:
         at = self.find(high, low)
         known = at >= 0
         at = np.maximum(at, 0)
-        return known & (self.fingerprints[at] == _fingerprint(low)) & (self.counts[at] >= min_documents) & (self.lasts[at] != docs)
+        return known & (self.fingerprints[at] == low) & (self.counts[at] >= min_documents) & (self.lasts[at] != docs)
 
 
 def _probe_pass(min_documents: int):

@@ -362,3 +362,16 @@ def test_short_items_are_found_inside_longer_documents(spark):
     assert sorted((r["doc_id"], r["item_id"], r["n_shingles"], r["n_shared"]) for r in found) == [
         (1, 10, 1, 1), (1, 11, 1, 1), (1, 13, 1, 1), (2, 10, 1, 1), (3, 14, 3, 3), (4, 10, 1, 1), (5, 11, 1, 1),
     ]
+
+
+def test_a_line_that_shares_half_a_fingerprint_is_not_found():
+    import pyarrow as pa
+
+    top = np.uint64(7 << 32)
+    key = {"shard": pa.array([0], pa.int32()), "high": pa.array([1]), "low": pa.array([7 << 32]), "documents": pa.array([3]), "last": pa.array([9])}
+    (built,) = lines._build_pass(iter([pa.RecordBatch.from_pydict(key)]))
+    arrays = lines._Arrays(built.to_pylist()[0])
+    others = np.arange(1, 20_001, dtype=np.uint64)
+    assert (arrays.find(others, top + others) >= 0).any()
+    assert not arrays.dropped(np.zeros(20_000, np.int64), others, top + others, 3).any()
+    assert arrays.dropped(np.array([4]), np.array([1], np.uint64), np.array([top]), 3).all()
