@@ -3,21 +3,26 @@
 from __future__ import annotations
 
 import os
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyriver.llm import bpe
+from tallyriver.llm.conversations import repair_conversations
 from tallyriver.llm.credentials import PATTERNS, SCOPE, credential_digest, find_credentials
 from tallyriver.llm.decontamination import find_leaks
 from tallyriver.llm.jaccard import jaccard_components
 from tallyriver.llm.language import fit_language, with_language
+from tallyriver.llm.language_model import fit_language_model, score_texts
 from tallyriver.llm.licenses import license_labels, scan_licenses
 from tallyriver.llm.lines import dedup_lines
 from tallyriver.llm.neighbours import build_index, search
 from tallyriver.llm.quality import fit_quality, with_quality
+from tallyriver.llm.runs import find_runs, run_digest
 from tallyriver.llm.text import held_out
 from tallyriver.llm.urls import Rule, filter_urls
 
@@ -208,3 +213,42 @@ def op10_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = with_language(docs.select("doc_id", "text"), fit_language(docs))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def planted_run(doc_id: int | None, n: int) -> np.ndarray | None:
+    """The places of a document's words when a run is planted in one document of ten, chosen by its id."""
+    checksum = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or checksum % 10 or not n:
+        return None
+    g = checksum // 10
+    start = g % n
+    period = 1 + (n - start) // (3 + g % 8)
+    places = np.arange(n)
+    places[start:] = start + (places[start:] - start) % period
+    return places
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    """Every document's runs of repeating words, some of them planted, and the text without the repeats."""
+    return run_digest(find_runs(table(spark, sf_dir, "documents"), rewrite=planted_run))
+
+
+SCORED_FOLDS = 10
+
+
+@query
+def op12_lm_scoring(spark, sf_dir):
+    """Every document's probability by a model of the documents outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    out = held_out(F.col("doc_id"), SCORED_FOLDS)
+    model = fit_language_model(docs.filter(~out))
+    found = score_texts(docs, model)
+    learnt = F.lit(model.totals.tokens).cast("bigint").alias("train_tokens")
+    return found.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", learnt, "base_score", "score")
+
+
+@query
+def op13_conversation_repair(spark, sf_dir):
+    """Every conversation's faults and its cheapest repair, after some damage."""
+    return repair_conversations(table(spark, sf_dir, "conversations"), damage=True)

@@ -26,9 +26,9 @@ def renamed(docs: DataFrame, **columns: str) -> DataFrame:
     return docs.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
 
 
-def held_out(doc_id: Column) -> Column:
+def held_out(doc_id: Column, folds: int = HELD_OUT_FOLDS) -> Column:
     """Whether a row belongs to the fold that no model learns from; a null id is held out."""
-    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % HELD_OUT_FOLDS == 0, F.lit(True))
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(True))
 
 
 def small_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
