@@ -7,8 +7,9 @@
 3. A count is read back by probing level after level until one is missing. A pair's probability is smoothed with the
    word's own one by a pseudo-count, a word's one by adding a tenth.
 
-The shards are broadcast if their measured size is within a limit. Beyond it the documents' n-grams are sent to the
-shards and the answers come back, with the same result.
+The filters are broadcast if their measured size is within a limit. Beyond it groups of texts send their distinct
+n-grams to the shards and get the levels back, with the same result. The base score needs exact counts: those of words
+that make up more than 1/20,000 of all tokens are broadcast, all others are asked for at the shards.
 """
 
 from __future__ import annotations
@@ -17,32 +18,36 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyriver.llm.text import byte_texts, mixed, renamed, small_batches, word_hashes, words
+from tallyriver.llm.text import byte_texts, mixed, renamed, word_hashes, words
 from tallyriver.storage import shared_folder
 
 SMOOTHING = 0.1
 #: what a word's own probability weighs beside the pairs after its context, in occurrences
 PSEUDO_COUNT = 500.0
 #: bits of the filter for each level of each n-gram, and hash functions
-BITS, PROBES = 16, 8
-SHARD_CHARS = 32 << 20
-GROUP_BYTES = 16 << 20
-SCORED_BYTES = 2 << 20
-BROADCAST_BYTES = 256 << 20
-SALTS = 8
-OUT_ROWS = 1 << 16
+BITS, PROBES = 12, 8
+SHARD_CHARS = 8 << 20
+GROUP_BYTES = 8 << 20
+GROUP_ROWS = 1 << 16
+BROADCAST_BYTES = 160 << 20
+#: words with a larger share of all tokens are broadcast, so these are fewer than this number
+FREQUENT = 20_000
+#: words of the shards that are asked together
+BUCKET_WORDS = 500_000
 
 # words hold no blank, so these are no words
 END, BEGIN = (np.uint64(xxhash.xxh3_64_intdigest(x)) for x in (b" end", b" begin"))
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
-_LEVEL, _PROBE = 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F
+_LEVEL, _LOW, _HALF = 0xD6E8FEB86659FD93, np.uint64(0xFFFFFFFF), np.uint64(32)
 
-SHARD = "shard int, tokens bigint, words bigint, entries bigint, hashes binary, counts binary, bits binary"
+SHARD = "shard int, tokens bigint, words bigint, hashes binary, counts binary, bits binary"
 
 
 class Totals(NamedTuple):
@@ -72,14 +77,14 @@ def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     return (((hashes >> np.uint64(33)) * np.uint64(shards)) >> np.uint64(31)).astype(np.int64)
 
 
-def _shard_column(column: str, shards: int) -> Column:
-    return F.shiftright(F.shiftrightunsigned(column, 33) * F.lit(shards).cast("bigint"), 31).cast("int")
+def _probes(hashes: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each n-gram's level, the first probe as a share of 2**32, and the step to the next ones."""
+    both = mixed(hashes + np.uint64(level * _LEVEL & 0xFFFFFFFFFFFFFFFF))
+    return both & _LOW, both >> _HALF
 
 
-def _places(hashes: np.ndarray, level: int, probe: int, size: np.ndarray) -> np.ndarray:
-    """Which of ``size`` bits a probe of an n-gram's level asks for."""
-    salt = np.uint64((level * _LEVEL + probe * _PROBE) & 0xFFFFFFFFFFFFFFFF)
-    return (mixed(hashes + salt) % size).astype(np.int64)
+def _bit(probe: np.ndarray, size: np.ndarray) -> np.ndarray:
+    return ((probe * size) >> _HALF).astype(np.int64)
 
 
 def filter_bits(hashes: np.ndarray, counts: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -88,127 +93,204 @@ def filter_bits(hashes: np.ndarray, counts: np.ndarray, bits: int = BITS) -> np.
     flags = np.zeros(max(8, -(-int(levels.sum()) * bits // 8) * 8), bool)
     size = np.uint64(len(flags))
     for level in range(1, int(levels.max(initial=0)) + 1):
-        own = hashes[levels >= level]
-        for probe in range(PROBES):
-            flags[_places(own, level, probe, size)] = True
+        probe, step = _probes(hashes[levels >= level], level)
+        for _ in range(PROBES):
+            flags[_bit(probe, size)] = True
+            probe = (probe + step) & _LOW
     return np.packbits(flags)
 
 
-class Shards:
-    """The filters and exact counts of consecutive shards, as a task holds them."""
-
-    def __init__(self, rows: list, first: int, shards: int):
-        """``rows`` are (shard, hashes, counts, bits) by shard; a shard without n-grams has none."""
-        self.first, self.shards = first, shards
-        self.words = np.frombuffer(b"".join(r[1] for r in rows), np.uint64)
-        self.counts = np.frombuffer(b"".join(r[2] for r in rows), np.int64)
-        sizes = np.zeros(shards + 1, np.uint64)
-        for number, _, _, bits in rows:
-            sizes[number - first] = 8 * len(bits)
-        self.sizes = sizes
-        self.offsets = np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64)
-        self.bits = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
-
-    def exact(self, hashes: np.ndarray) -> np.ndarray:
-        """How often each word was met."""
-        at = np.searchsorted(self.words, hashes)
-        found = np.zeros(len(hashes), np.int64)
-        inside = np.flatnonzero(at < len(self.words))
-        inside = inside[self.words[at[inside]] == hashes[inside]]
-        found[inside] = self.counts[at[inside]]
-        return found
+class Filters:
+    """The filters of several shards in one array."""
+
+    def __init__(self, lengths: list[int], data: bytes):
+        """``data`` holds packed bits, of each shard as many bytes as ``lengths`` says."""
+        self.bits = np.frombuffer(data, np.uint8)
+        self.sizes = np.array(lengths, np.uint64) * np.uint64(8)
+        self.offsets = 8 * (np.cumsum(lengths) - lengths)
 
     def levels(self, hashes: np.ndarray, shard: np.ndarray) -> np.ndarray:
-        """The highest level up to which all probes of each n-gram are set; ``shard`` is counted from the first one held."""
-        found = np.zeros(len(hashes), np.int64)
+        """The highest level up to which all probes of each n-gram are set in the filter of its shard."""
+        found = np.zeros(len(hashes), np.uint8)
         open_ = np.flatnonzero(self.sizes[shard] > 0)
-        size, offset = self.sizes[shard], self.offsets[shard]
         level = 0
         while len(open_):
             level += 1
-            for probe in range(PROBES):
-                at = _places(hashes[open_], level, probe, size[open_]) + offset[open_]
-                open_ = open_[(self.bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1]
-            found[open_] = level
+            there, size, offset = open_, self.sizes[shard[open_]], self.offsets[shard[open_]]
+            probe, step = _probes(hashes[there], level)
+            for _ in range(PROBES):
+                at = _bit(probe, size) + offset
+                kept = np.flatnonzero((self.bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1)
+                if len(kept) < len(there):
+                    there, size, offset, probe, step = (x[kept] for x in (there, size, offset, probe, step))
+                probe = (probe + step) & _LOW
+            found[there] = level
+            open_ = there
         return found
 
 
-def _tokens(text: bytes | None) -> np.ndarray:
-    """The begin, the words' hashes and the end of a text."""
-    found = words(text or b"")
-    return np.concatenate(([BEGIN], word_hashes(found), [END]))
-
-
-def _groups(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
-    """The same rows in groups whose texts have about ``limit`` bytes."""
-    group, size = [], 0
-    for batch in small_batches(batches):
-        n = batch.column("text").nbytes
-        if group and size + n > limit:
-            yield pa.Table.from_batches(group).combine_chunks().to_batches()[0]
-            group, size = [], 0
-        group.append(batch)
-        size += n
-    if group and sum(b.num_rows for b in group):
-        yield pa.Table.from_batches(group).combine_chunks().to_batches()[0]
-
-
-def _count_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of words (as 2n + 1) and pairs (as 2n) in groups of texts."""
-    for batch in _groups(batches, GROUP_BYTES):
-        tokens = [_tokens(t) for t in byte_texts(batch.column("text"))]
-        flat = np.concatenate(tokens)
-        first = np.ones(len(flat), bool)
-        first[np.cumsum([len(t) for t in tokens]) - 1] = False
-        at = np.flatnonzero(first)
-        pairs = pair_hashes(flat[at], flat[at + 1])
-        for hashes, word in ((flat, 1), (pairs, 0)):
-            grams, n = np.unique(hashes, return_counts=True)
-            for i in range(0, len(grams), OUT_ROWS):
-                part = slice(i, i + OUT_ROWS)
-                yield pa.record_batch([pa.array(grams[part].view(np.int64)), pa.array(2 * n[part] + word)], names=["gram", "code"])
-
-
-def _summed(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def exact_in(table: tuple[np.ndarray, np.ndarray], hashes: np.ndarray) -> np.ndarray:
+    """Counts from sorted hashes and their counts; 0 for others."""
+    known, counts = table
+    at = np.searchsorted(known, hashes)
+    found = np.zeros(len(hashes), np.int64)
+    inside = np.flatnonzero(at < len(known))
+    inside = inside[known[at[inside]] == hashes[inside]]
+    found[inside] = counts[at[inside]]
+    return found
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Sorted hashes as differences, one byte of all after the other, which compresses well."""
+    return np.diff(values, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view(np.uint64).ravel(), dtype=np.uint64)
+
+
+class _Group(NamedTuple):
+    """Tokens of several texts in a row, and their distinct words and pairs in the order of their hashes."""
+
+    #: number of tokens, begin included, of each text
+    sizes: np.ndarray
+    #: for every token of a text but its begin: its own place in ``words``, that of the one before, that of both in ``pairs``
+    word: np.ndarray
+    before: np.ndarray
+    pair: np.ndarray
+    words: np.ndarray
+    pairs: np.ndarray
+
+
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values and the place of each value among them."""
+    codes, found = pd.factorize(values)
+    order = np.argsort(found)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return found[order], place[codes]
+
+
+def _grouped(texts: Iterator[bytes | None]) -> _Group:
+    tokens = [np.concatenate(([BEGIN], word_hashes(words(t or b"")), [END])) for t in texts]
+    sizes = np.array([len(t) for t in tokens], np.int64)
+    flat = np.concatenate(tokens)
+    real = np.ones(len(flat), bool)
+    real[np.cumsum(sizes) - sizes] = False
+    at = np.flatnonzero(real)
+    single, place = _distinct(flat)
+    pairs, pair = _distinct(pair_hashes(flat[at - 1], flat[at]))
+    return _Group(sizes, place[at], place[at - 1], pair, single, pairs)
+
+
+def _per_text(group: _Group, values: np.ndarray) -> np.ndarray:
+    """Sums over the tokens of each text."""
+    ends = np.cumsum(group.sizes - 1)
+    return np.add.reduceat(values, ends - group.sizes + 1)
+
+
+def model_scores(group: _Group, near: np.ndarray, pair_near: np.ndarray, totals: Totals, pseudo_count: float) -> np.ndarray:
+    """log10 of each text's probability by the counts of the group's words and pairs."""
+    single = (np.minimum(near, totals.tokens) + SMOOTHING) / (totals.tokens + SMOOTHING * (totals.words + 1))
+    context = near[group.before]
+    both = np.minimum(pair_near[group.pair], context) + pseudo_count * single[group.word]
+    return _per_text(group, np.log10(both / (context + pseudo_count)))
+
+
+def base_scores(exact: np.ndarray, totals: Totals) -> np.ndarray:
+    """log10 of the smoothed shares of words met so often."""
+    return np.log10(exact + SMOOTHING) - np.log10(totals.tokens + SMOOTHING * (totals.words + 1))
+
+
+def _cuts(hashes: np.ndarray, shards: int) -> np.ndarray:
+    """Where the sorted hashes of each shard begin."""
+    return np.searchsorted(shard_of(hashes, shards), np.arange(shards + 1))
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose texts have about ``GROUP_BYTES``; a longer text is alone."""
+    for batch in batches:
+        start, size = 0, 0
+        for i, n in enumerate(pa.compute.binary_length(batch.column("text")).to_pylist()):
+            if i > start and (size + (n or 0) > GROUP_BYTES or i - start >= GROUP_ROWS):
+                yield batch.slice(start, i - start)
+                start, size = i, 0
+            size += n or 0
+        if start < batch.num_rows:
+            yield batch.slice(start)
+
+
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Rows of a batch, one at a time."""
+    for i in range(batch.num_rows):
+        yield tuple(c[i].as_py() for c in batch.columns)
+
+
+def _count_pass(shards: int):
+    """For groups of texts and shards: distinct words and pairs with their counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _groups(batches):
+            group = _grouped(byte_texts(batch.column("text")))
+            counts = np.bincount(group.word, minlength=len(group.words))
+            # begins are counted as the contexts that they are
+            counts[np.searchsorted(group.words, BEGIN)] = len(group.sizes)
+            times = np.bincount(group.pair, minlength=len(group.pairs))
+            cuts = [_cuts(h, shards) for h in (group.words, group.pairs)]
+            rows = []
+            for s in np.flatnonzero(np.diff(cuts[0]) + np.diff(cuts[1])).tolist():
+                own = [slice(c[s], c[s + 1]) for c in cuts]
+                rows.append((s, _packed(group.words[own[0]]), counts[own[0]].astype(np.uint32).tobytes(),
+                             _packed(group.pairs[own[1]]), times[own[1]].astype(np.uint32).tobytes()))
+            yield _columns(rows, "shard int, " + _COUNTED)
+
+    return run
+
+
+_COUNTED = "words binary, counts binary, pairs binary, times binary"
+_KINDS = {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
+
+
+def _columns(rows: list[tuple], fields: str) -> pa.RecordBatch:
+    names, kinds = zip(*(f.split() for f in fields.split(", ")))
+    columns = zip(*rows) if rows else ((),) * len(names)
+    return pa.record_batch([pa.array(c, _KINDS[k]) for c, k in zip(columns, kinds)], names=list(names))
+
+
+def _summed(hashes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct hashes and the sums of their counts."""
-    if not len(hashes):
-        return hashes, counts
-    order = np.argsort(hashes)
-    hashes, counts = hashes[order], counts[order]
-    at = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
-    return hashes[at], np.add.reduceat(counts, at)
+    flat, place = _distinct(np.concatenate(hashes))
+    return flat, np.bincount(place, np.concatenate(counts), len(flat)).astype(np.int64)
 
 
 def _build_pass(bits: int):
-    """Rows sorted by shard to one row for each shard."""
-
-    def made(shard: int, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-        grams = np.concatenate([p.column("gram").to_numpy() for p in parts]).view(np.uint64)
-        codes = np.concatenate([p.column("code").to_numpy() for p in parts])
-        word = (codes & 1) == 1
-        hashes, counts = _summed(grams[word], codes[word] >> 1)
-        pairs, times = _summed(grams[~word], codes[~word] >> 1)
+    """Rows sorted by shard to one row for each shard; the parts of a shard are summed as they come."""
+
+    def summed(parts: list[list]) -> list:
+        words, counts, pairs, times = zip(*parts)
+        return [*_summed(words, counts), *_summed(pairs, times)]
+
+    def made(shard: int, parts: list[list]) -> pa.RecordBatch:
+        hashes, counts, pairs, times = summed(parts)
         real = hashes != BEGIN
         packed = filter_bits(np.concatenate([hashes, pairs]), np.concatenate([counts, times]), bits)
-        entries = int(levels_of(counts).sum() + levels_of(times).sum())
-        numbers = [pa.array([x], pa.int64()) for x in (int(counts[real].sum()), int(real.sum()), entries)]
-        blobs = [pa.array([x.tobytes()], pa.binary()) for x in (hashes[real], counts[real], packed)]
-        names = ["shard", "tokens", "words", "entries", "hashes", "counts", "bits"]
-        return pa.record_batch([pa.array([shard], pa.int32()), *numbers, *blobs], names=names)
+        blobs = [x.tobytes() for x in (hashes[real], counts[real], packed)]
+        return _columns([(shard, int(counts[real].sum()), int(real.sum()), *blobs)], SHARD)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, parts = None, []
+        shard, parts, size = None, [], 0
         for batch in batches:
-            numbers = batch.column("shard").to_numpy()
-            cuts = [0, *(np.flatnonzero(numbers[1:] != numbers[:-1]) + 1), len(numbers)]
-            for start, end in zip(cuts, cuts[1:]):
-                if start == end:
-                    continue
-                if parts and numbers[start] != shard:
+            for number, *blobs in _rows(batch):
+                if parts and number != shard:
                     yield made(shard, parts)
-                    parts = []
-                shard = int(numbers[start])
-                parts.append(batch.slice(start, end - start))
+                    parts, size = [], 0
+                shard = number
+                words, pairs = _unpacked(blobs[0]), _unpacked(blobs[2])
+                parts.append([words, np.frombuffer(blobs[1], np.uint32), pairs, np.frombuffer(blobs[3], np.uint32)])
+                size += len(words) + len(pairs)
+                if size > 2 * (len(parts[0][0]) + len(parts[0][2])) + (1 << 20):
+                    parts = [summed(parts)]
+                    size = len(parts[0][0]) + len(parts[0][2])
         if parts:
             yield made(shard, parts)
 
@@ -216,7 +298,7 @@ def _build_pass(bits: int):
 
 
 class Model(NamedTuple):
-    """The stored shards, how many ranges there are, and the totals."""
+    """The stored shards, how many ranges there are, the totals, and the bytes of all filters."""
 
     index: DataFrame
     shards: int
@@ -235,179 +317,208 @@ def fit_language_model(
     source = renamed(docs, text=text_col)
     chars = source.agg(F.sum(F.coalesce(F.length("text"), F.lit(0)).cast("bigint") + 1).alias("n")).first()["n"] or 0
     shards = max(1, -(-chars // shard_chars))
-    counted = source.mapInArrow(_count_pass, "gram bigint, code bigint")
-    dealt = counted.repartition(_shard_column("gram", shards)).withColumn("shard", _shard_column("gram", shards))
+    counted = source.mapInArrow(_count_pass(shards), f"shard int, {_COUNTED}")
     path = shared_folder(spark, "language-model")
-    dealt.sortWithinPartitions("shard").mapInArrow(_build_pass(bits), SHARD).write.parquet(path)
+    dealt = counted.repartition("shard").sortWithinPartitions("shard")
+    dealt.mapInArrow(_build_pass(bits), SHARD).write.parquet(path)
     index = spark.read.schema(SHARD).parquet(path)
-    size = F.length("hashes") + F.length("counts") + F.length("bits")
-    row = index.agg(F.sum("tokens").alias("tokens"), F.sum("words").alias("words"), F.sum(size).alias("size")).first()
+    row = index.agg(F.sum("tokens").alias("tokens"), F.sum("words").alias("words"), F.sum(F.length("bits")).alias("size")).first()
     return Model(index, shards, Totals(row["tokens"] or 0, row["words"] or 0), row["size"] or 0)
 
 
-class _Answers(NamedTuple):
-    """Distinct words and pairs with their counts."""
-
-    words: np.ndarray
-    exact: np.ndarray
-    near: np.ndarray
-    pairs: np.ndarray
-    pair_near: np.ndarray
-
-
-def _asked(shards: Shards, grams: np.ndarray, pairs: np.ndarray) -> _Answers:
-    near = [count_at(shards.levels(g, shard_of(g, shards.shards) - shards.first)) for g in (grams, pairs)]
-    return _Answers(grams, shards.exact(grams), near[0], pairs, near[1])
+_SCORES = "n_tokens bigint, n_known bigint, base_score double, score double"
 
 
-def _distinct(tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All tokens in a row, where texts begin, and the distinct words and pairs."""
-    flat = np.concatenate(tokens)
-    begins = np.concatenate(([0], np.cumsum([len(t) for t in tokens])))[:-1]
-    real = np.ones(len(flat), bool)
-    real[begins] = False
-    at = np.flatnonzero(real)
-    return flat, begins, np.unique(flat), np.unique(pair_hashes(flat[at - 1], flat[at]))
+def _filters(model: Model) -> tuple[list[int], bytes]:
+    """The filters of all shards, fetched one partition of the index after the other."""
+    rows = {r["shard"]: bytes(r["bits"]) for r in model.index.select("shard", "bits").toLocalIterator()}
+    bits = [rows.pop(s, b"") for s in range(model.shards)]
+    return [len(b) for b in bits], b"".join(bits)
 
 
-def scores(tokens: list[np.ndarray], known: _Answers, totals: Totals, pseudo_count: float) -> list[np.ndarray]:
-    """Tokens, known tokens, base score and model score of each text."""
-    flat, begins, _, _ = _distinct(tokens)
-    word = np.searchsorted(known.words, flat)
-    real = np.ones(len(flat), bool)
-    real[begins] = False
-    at = np.flatnonzero(real)
-    below = np.log10(totals.tokens + SMOOTHING * (totals.words + 1))
-    exact = known.exact[word]
-    base = np.log10(exact + SMOOTHING) - below
-    single = (np.minimum(known.near, totals.tokens) + SMOOTHING) / (totals.tokens + SMOOTHING * (totals.words + 1))
-    context = known.near[word[at - 1]]
-    pair = known.pair_near[np.searchsorted(known.pairs, pair_hashes(flat[at - 1], flat[at]))]
-    score = np.zeros(len(flat))
-    score[at] = np.log10((np.minimum(pair, context) + pseudo_count * single[word[at]]) / (context + pseudo_count))
-    base[begins] = 0.0
-    parts = (real.astype(np.int64), (real & (exact > 0)).astype(np.int64), base, score)
-    return [np.add.reduceat(p, begins) for p in parts]
+def _frequent(model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Words above the share, and their counts."""
+    least = model.totals.tokens / FREQUENT
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for hashes, counts in _rows(batch):
+                hashes, counts = np.frombuffer(hashes, np.int64), np.frombuffer(counts, np.int64)
+                often = counts > least
+                yield pa.record_batch([pa.array(hashes[often]), pa.array(counts[often])], names=["word", "n"])
 
-_SCORES = "n_tokens bigint, n_known bigint, base_score double, score double"
+    rows = model.index.select("hashes", "counts").mapInArrow(run, "word bigint, n bigint").collect()
+    words = np.array([r["word"] for r in rows], np.int64).view(np.uint64)
+    order = np.argsort(words)
+    return words[order], np.array([r["n"] for r in rows], np.int64)[order]
 
 
-def _scored_batch(ids: pa.Array, found: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.record_batch([ids, *map(pa.array, found)], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+#: the texts of a group, its rare words of a bucket, how many texts hold each, which, and how often
+_QUESTION = "bucket int, keys binary, hashes binary, holders binary, texts binary, times binary"
+_PARTS = f"key bigint, doc_id bigint, {_SCORES}, {_QUESTION}"
 
 
 def _with_broadcast(source: DataFrame, model: Model, pseudo_count: float) -> DataFrame:
-    rows = [tuple(r) for r in model.index.orderBy("shard").select("shard", "hashes", "counts", "bits").collect()]
-    # its size has been measured
-    shared = source.sparkSession.sparkContext.broadcast(rows)
+    spark = source.sparkSession
+    # the size of the filters has been measured; frequent words are fewer than FREQUENT
+    shared = spark.sparkContext.broadcast((*_filters(model), _frequent(model)))
     shards, totals = model.shards, model.totals
+    together = max(1, BUCKET_WORDS * shards // max(totals.words, 1))
+    scored = _PARTS.split(", bucket")[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Shards(shared.value, 0, shards)
-        for batch in _groups(batches, SCORED_BYTES):
-            tokens = [_tokens(t) for t in byte_texts(batch.column("text"))]
-            _, _, grams, pairs = _distinct(tokens)
-            yield _scored_batch(batch.column("doc_id"), scores(tokens, _asked(held, grams, pairs), totals, pseudo_count))
-
-    return source.mapInArrow(run, f"doc_id bigint, {_SCORES}")
-
-
-def _ask_pass(shards: int):
-    """What each document asks each shard: its distinct words and pairs there."""
+        lengths, data, frequent = shared.value
+        filters = Filters(lengths, data)
+        for batch in _groups(batches):
+            group = _grouped(byte_texts(batch.column("text")))
+            near, pair_near = (count_at(filters.levels(h, shard_of(h, shards))) for h in (group.words, group.pairs))
+            score = model_scores(group, near, pair_near, totals, pseudo_count)
+            exact = exact_in(frequent, group.words)
+            often = exact > 0
+            base = _per_text(group, np.where(often, base_scores(exact, totals), 0.0)[group.word])
+            known = _per_text(group, often.astype(np.int64)[group.word])
+            keys = batch.column("key").to_numpy()
+            columns = [batch.column("key"), batch.column("doc_id"), *map(pa.array, (group.sizes - 1, known, base, score))]
+            rows = pa.record_batch(columns, names=[f.split()[0] for f in scored.split(", ")])
+            # rare words with the texts that hold them, by the bucket of their shard
+            text = np.repeat(np.arange(len(keys)), group.sizes - 1)
+            rare = np.flatnonzero(~often[group.word])
+            both, times = np.unique(group.word[rare] * len(keys) + text[rare], return_counts=True)
+            word, text = both // len(keys), both % len(keys)
+            cuts = np.append(_cuts(group.words[word], shards)[:-1:together], len(word))
+            questions = []
+            for b, (i, j) in enumerate(zip(cuts, cuts[1:])):
+                if i < j:
+                    words_, texts_ = np.unique(word[i:j], return_counts=True)
+                    arrays = texts_.astype(np.uint16), text[i:j].astype(np.uint16), times[i:j].astype(np.uint32)
+                    questions.append((b, keys.tobytes(), _packed(group.words[words_]), *[a.tobytes() for a in arrays]))
+            yield _aligned(rows)
+            yield _aligned(_columns(questions, _QUESTION))
+
+    path = shared_folder(spark, "scored-texts")
+    # written, so that a row keeps its key
+    keyed = source.withColumn("key", F.monotonically_increasing_id()).select("key", "doc_id", "text")
+    keyed.mapInArrow(run, _PARTS).write.parquet(path)
+    parts = spark.read.schema(_PARTS).parquet(path)
+    held = model.index.select((F.col("shard") / together).cast("int").alias("bucket"), "shard", "hashes", "counts")
+    asked = ["keys", "holders", "texts", "times"]
+    questions = parts.filter("bucket is not null").select("bucket", F.lit(None).cast("int").alias("shard"), "hashes", *asked)
+    both = held.unionByName(questions, allowMissingColumns=True).repartition("bucket")
+    both = both.sortWithinPartitions("bucket", F.col("shard").asc_nulls_last())
+    sums = both.select("bucket", "shard", "hashes", "counts", *asked).mapInArrow(_sum_pass(totals), "key bigint, base double, known bigint")
+    sums = sums.groupBy("key").agg(F.sum("base").alias("base"), F.sum("known").alias("known"))
+    rows = parts.filter("bucket is null").join(sums, "key", "left")
+    return rows.select(
+        "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
+        (F.col("base_score") + F.coalesce("base", F.lit(0.0))).alias("base_score"), "score",
+    )
+
+
+def _aligned(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The batch with all columns of the parts, null where it has none."""
+    names, kinds = zip(*(f.split() for f in _PARTS.split(", ")))
+    columns = [
+        batch.column(n) if n in batch.schema.names else pa.nulls(batch.num_rows, _KINDS[k]) for n, k in zip(names, kinds)
+    ]
+    return pa.record_batch(columns, names=list(names))
+
+
+def _sum_pass(totals: Totals):
+    """Rows of one bucket, its shards' words ahead of the questions, to sums for each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
-            rows = []
-            for key, text in zip(batch.column("key").to_pylist(), byte_texts(batch.column("text"))):
-                _, _, grams, pairs = _distinct([_tokens(text)])
-                cuts = [np.searchsorted(shard_of(x, shards), np.arange(shards + 1)) for x in (grams, pairs)]
-                for s in np.unique(np.concatenate([shard_of(grams, shards), shard_of(pairs, shards)])).tolist():
-                    own = [x[c[s] : c[s + 1]].tobytes() for x, c in zip((grams, pairs), cuts)]
-                    rows.append((s, key, *own))
-                if len(rows) >= 4096:
-                    yield _columns(rows)
-                    rows = []
-            if rows:
-                yield _columns(rows)
-
-    def _columns(rows: list) -> pa.RecordBatch:
-        kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
-        return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["shard", "key", "grams", "pairs"])
+        nothing = (np.empty(0, np.uint64), np.empty(0, np.int64))
+        bucket, heads, table = None, [], None
+        for batch in batches:
+            for number, shard, hashes, counts, keys, *arrays in _rows(batch):
+                if number != bucket:
+                    bucket, heads, table = number, [], None
+                if shard is not None:
+                    heads.append((np.frombuffer(hashes, np.uint64), np.frombuffer(counts, np.int64)))
+                    continue
+                if table is None:
+                    table, heads = tuple(map(np.concatenate, zip(*heads))) if heads else nothing, []
+                holders, texts, times = (np.frombuffer(a, k) for a, k in zip(arrays, (np.uint16, np.uint16, np.uint32)))
+                # a word may be in all texts of a group
+                holders = np.where(holders == 0, 1 << 16, holders)
+                exact = np.repeat(exact_in(table, _unpacked(hashes)), holders)
+                keys = np.frombuffer(keys, np.int64)
+                base = np.bincount(texts, base_scores(exact, totals) * times, len(keys))
+                known = np.bincount(texts, (exact > 0) * times, len(keys)).astype(np.int64)
+                asked = np.flatnonzero(np.bincount(texts, minlength=len(keys)))
+                texts, base, known = keys[asked], base[asked], known[asked]
+                yield pa.record_batch(list(map(pa.array, (texts, base, known))), names=["key", "base", "known"])
 
     return run
 
 
-def _answer_pass(shards: int):
-    """Rows of one (shard, salt), the shard itself ahead of the questions; those of one batch are asked together."""
+_GROUP = "key bigint, ids array<bigint>, texts array<string>"
+_ANSWER = "key bigint, shard int, exact binary, near binary, pair_near binary"
 
-    def answered(held: Shards, rows: list[dict]) -> Iterator[tuple]:
-        parts = [[np.frombuffer(row[c], np.uint64) for row in rows] for c in ("grams", "pairs")]
-        grams, pairs = (np.unique(np.concatenate(p), return_inverse=True) for p in parts)
-        found = _asked(held, grams[0], pairs[0])
-        values = [a[grams[1]] for a in found[:3]] + [a[pairs[1]] for a in found[3:]]
-        cuts = [np.cumsum([0, *map(len, p)]) for p in parts]
-        for i, row in enumerate(rows):
-            own = [slice(c[i], c[i + 1]) for c in cuts]
-            yield (row["key"], *[v[own[0] if k < 3 else own[1]].tobytes() for k, v in enumerate(values)])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, held = None, None
-        for batch in batches:
-            rows, open_ = [], []
-            for row in [*batch.to_pylist(), None]:
-                if open_ and (row is None or row["shard"] != number or row["bits"] is not None):
-                    rows.extend(answered(held, open_))
-                    open_ = []
-                if row is None:
-                    break
-                if row["bits"] is not None:
-                    number = row["shard"]
-                    held = Shards([(number, row["hashes"], row["counts"], row["bits"])], number, shards)
-                    continue
-                if row["shard"] != number:
-                    number, held = row["shard"], Shards([], row["shard"], shards)
-                open_.append(row)
-            if rows:
-                arrays = [pa.array(c, pa.binary() if i else pa.int64()) for i, c in enumerate(zip(*rows))]
-                yield pa.record_batch(arrays, names=["key", *_Answers._fields])
+def _with_questions(source: DataFrame, model: Model, pseudo_count: float) -> DataFrame:
+    """The same scores with the filters left where they are."""
+    spark, path = source.sparkSession, shared_folder(source.sparkSession, "grouped-texts")
+    shards, totals = model.shards, model.totals
 
-    return run
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _groups(batches):
+            lists = [pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(c)) for c in ("doc_id", "text")]
+            yield pa.record_batch(lists, names=["ids", "texts"])
 
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, texts in zip(batch.column("key").to_pylist(), batch.column("texts")):
+                group = _grouped(byte_texts(texts.values))
+                cuts = [_cuts(h, shards) for h in (group.words, group.pairs)]
+                rows = []
+                for s in np.flatnonzero(np.diff(cuts[0]) + np.diff(cuts[1])).tolist():
+                    own = [h[c[s] : c[s + 1]] for h, c in zip((group.words, group.pairs), cuts)]
+                    rows.append((s, key, _packed(own[0]), _packed(own[1])))
+                yield _columns(rows, "shard int, key bigint, words binary, pairs binary")
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = (np.empty(0, np.uint64), np.empty(0, np.int64))
+        shard, table, filters = None, none, Filters([0], b"")
+        for batch in batches:
+            rows = []
+            for number, hashes, counts, filled, key, asked, pairs in _rows(batch):
+                if number != shard:
+                    shard, table, filters = number, none, Filters([0], b"")
+                if filled is not None:
+                    table = np.frombuffer(hashes, np.uint64), np.frombuffer(counts, np.int64)
+                    filters = Filters([len(filled)], filled)
+                    continue
+                asked, pairs = _unpacked(asked), _unpacked(pairs)
+                found = exact_in(table, asked), *(filters.levels(h, np.zeros(len(h), np.int64)) for h in (asked, pairs))
+                rows.append((key, shard, *[f.tobytes() for f in found]))
+            yield _columns(rows, _ANSWER)
 
-def _with_questions(source: DataFrame, model: Model, pseudo_count: float, salts: int) -> DataFrame:
-    """The same scores with the shards left where they are."""
-    spark, path = source.sparkSession, shared_folder(source.sparkSession, "scored-texts")
-    # written, so that a row keeps its key
-    source.withColumn("key", F.monotonically_increasing_id()).write.parquet(path)
-    keyed = spark.read.schema("doc_id bigint, text string, key bigint").parquet(path)
-    asked = keyed.select("key", "text").mapInArrow(_ask_pass(model.shards), "shard int, key bigint, grams binary, pairs binary")
-    asked = asked.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(salts)).cast("int"))
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ids, texts, answers in zip(*[batch.column(c) for c in ("ids", "texts", "answers")]):
+                group = _grouped(byte_texts(texts.values))
+                own = sorted(answers.as_py(), key=lambda a: a["shard"])
+                exact, near, pair = (np.frombuffer(b"".join(a[c] for a in own), k) for c, k in
+                                     (("exact", np.int64), ("near", np.uint8), ("pair_near", np.uint8)))
+                base = _per_text(group, base_scores(exact, totals)[group.word])
+                known = _per_text(group, (exact > 0).astype(np.int64)[group.word])
+                scores = model_scores(group, count_at(near), count_at(pair), totals, pseudo_count)
+                columns = [ids.values, *map(pa.array, (group.sizes - 1, known, base, scores))]
+                yield pa.record_batch(columns, names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+    gathered = source.select("doc_id", "text").mapInArrow(gather, _GROUP.split(", ", 1)[1])
+    # written, so that a group keeps its key
+    gathered.withColumn("key", F.monotonically_increasing_id()).write.parquet(path)
+    groups = spark.read.schema(_GROUP).parquet(path)
+    asked = groups.select("key", "texts").mapInArrow(ask, "shard int, key bigint, words binary, pairs binary")
     held = model.index.select("shard", "hashes", "counts", "bits")
-    held = held.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    both = held.unionByName(asked, allowMissingColumns=True).repartition("shard", "salt")
-    both = both.sortWithinPartitions("shard", "salt", F.col("bits").isNull())
-    names = ", ".join(f"{c} binary" for c in _Answers._fields)
-    answers = both.mapInArrow(_answer_pass(model.shards), f"key bigint, {names}")
-    # as many answers as shards that a text's own words lie in
-    answers = answers.groupBy("key").agg(F.collect_list(F.struct(*_Answers._fields)).alias("answers"))
-    kinds = (np.uint64, np.int64, np.float64, np.uint64, np.float64)
-    totals = model.totals
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
-            if not batch.num_rows:
-                continue
-            found = []
-            for text, own in zip(byte_texts(batch.column("text")), batch.column("answers")):
-                own = own.as_py()
-                parts = [np.concatenate([np.frombuffer(a[c], k) for a in own]) for c, k in zip(_Answers._fields, kinds)]
-                word, pair = np.argsort(parts[0]), np.argsort(parts[3])
-                known = _Answers(parts[0][word], parts[1][word], parts[2][word], parts[3][pair], parts[4][pair])
-                found.append(scores([_tokens(text)], known, totals, pseudo_count))
-            yield _scored_batch(batch.column("doc_id"), [np.concatenate(c) for c in zip(*found)])
-
-    return keyed.join(answers, "key").select("doc_id", "text", "answers").mapInArrow(run, f"doc_id bigint, {_SCORES}")
+    both = held.unionByName(asked, allowMissingColumns=True).repartition("shard")
+    both = both.sortWithinPartitions("shard", F.col("bits").isNull())
+    answers = both.select("shard", "hashes", "counts", "bits", "key", "words", "pairs").mapInArrow(answer, _ANSWER)
+    # a group has a bounded number of n-grams, and no more answers
+    answers = answers.groupBy("key").agg(F.collect_list(F.struct("shard", "exact", "near", "pair_near")).alias("answers"))
+    return groups.join(answers, "key").select("ids", "texts", "answers").mapInArrow(score, f"doc_id bigint, {_SCORES}")
 
 
 def score_texts(
@@ -417,14 +528,13 @@ def score_texts(
     text_col: str = "text",
     pseudo_count: float = PSEUDO_COUNT,
     broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Every document's ``doc_id``, ``n_tokens``, ``n_known``, ``base_score`` and ``score``.
 
     Tokens are the words (runs of anything but ASCII white space, A-Z in lower case) and one end. ``n_known`` counts
     tokens that were learnt, ``base_score`` sums log10 of their smoothed exact shares, ``score`` is log10 of the
-    model's probability of the text. The model's shards are broadcast up to ``broadcast_bytes``; beyond it the
-    documents' distinct words and pairs go to the shards, each ``salts`` times there.
+    model's probability of the text. The model's filters are broadcast up to ``broadcast_bytes``; beyond it groups of
+    texts send their distinct words and pairs to the shards.
 
     Defined cases: a null or empty text is its end alone; ids that are null or repeated come back as they are; further
     columns are ignored; an empty table gives an empty result; a model of nothing gives every token the same share.
@@ -432,4 +542,4 @@ def score_texts(
     source = renamed(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
     if model.size <= broadcast_bytes:
         return _with_broadcast(source, model, pseudo_count)
-    return _with_questions(source, model, pseudo_count, salts)
+    return _with_questions(source, model, pseudo_count)
