@@ -20,12 +20,11 @@ from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
-from tallyriver.storage import shared_folder
+from tallyriver.storage import broadcast_if_small, shared_folder
 
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 1, 2, 5, 5
 BLOCK_ROWS = 16_384
@@ -434,10 +433,6 @@ def _join_pieces(schema: pa.Schema):
     return run
 
 
-def _same(a: DataFrame, b: DataFrame) -> Column:
-    return a["conv"].eqNullSafe(b["conv"]) & (a["place"] == b["place"])
-
-
 def _joined(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows of one block side by side."""
     b = b.withColumnRenamed("conv", "conv2__").withColumnRenamed("place", "place2__")
@@ -522,6 +517,10 @@ def repair_conversations(
     conv = T.StructField("conv", named.schema["conv"].dataType)
     blocks = _blocks(named, conv, block_rows, block_bytes)
     several = blocks.groupBy("conv").count().filter("count > 1").select(F.col("conv").alias("several__"))
+    # written, so that its size is known before it is broadcast
+    path = shared_folder(rows.sparkSession, "large-conversations")
+    several.write.parquet(path)
+    several = broadcast_if_small(rows.sparkSession.read.schema(several.schema).parquet(path))
     whole = F.col("conv").eqNullSafe(F.col("several__"))
     schema = T.StructType([conv, *T.StructType.fromDDL(_RESULT).fields])
     small = blocks.join(several, whole, "left_anti").mapInArrow(_repair_blocks(_arrow(schema)), schema)
