@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyriver.functions.columns import flag
+from tallyriver.storage import shared_folder
 
 HOT_ROWS = 1_000_000
+#: for ``hot_rows``: number by prefix sums over ranges of the sort order
+RANGES = 0
 # More slices than needed on average, as events crowd at some times.
 SLICES_PER_LIMIT = 16
 
@@ -85,13 +93,74 @@ def _number_in_slices(df: DataFrame, session: str, ts: str, tie: list[str], hot_
     )
 
 
+def _count_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by session, numbered within their partition."""
+    part, last, carried = TaskContext.get().partitionId(), None, 0
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        key, none = batch.column("__key"), batch.column("__none")
+        opens = np.ones(n, bool)
+        for column, same in ((key, True), (none, False)):
+            differs = pa.compute.not_equal(column.slice(1), column.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+            opens[1:] = differs if same else opens[1:] | differs
+        first = (key[0].as_py(), none[0].as_py())
+        opens[0] = first != last
+        places = np.arange(n)
+        begins = np.maximum.accumulate(np.where(opens, places, -carried if not opens[0] else 0))
+        numbers = places - begins + 1
+        last, carried = (key[n - 1].as_py(), none[n - 1].as_py()), int(numbers[-1])
+        columns = [*batch.columns, pa.array(np.full(n, part, np.int32)), pa.array(numbers.astype(np.int64))]
+        yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "__part", "__number"])
+
+
+def _number_by_ranges(df: DataFrame, session: str, ts: str, tie: list[str], partitions: int | None) -> DataFrame:
+    """Number each session's rows by prefix sums over range partitions.
+
+    Rows are dealt out by ranges of (session, time, tie-break, hash of the row), so any session, burst or moment is
+    parted wherever the sampled bounds fall; only rows that are equal throughout stay together. Each partition numbers
+    its rows in the sort order. Only the session at its beginning can have rows in partitions before, whose counts are
+    added from a table of one row for each partition.
+    """
+    spark, path = df.sparkSession, shared_folder(df.sparkSession, "numbered-sessions")
+    # NULL sessions form a group of their own, so the key is made comparable
+    key = [F.coalesce(F.col(session).cast("string"), F.lit("")).alias("__key"), F.col(session).isNull().alias("__none")]
+    hashed = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+    rows = df.select("*", *key).withColumn("__hash", F.xxhash64(*hashed))
+    order = ["__none", "__key", ts, *tie, "__hash"]
+    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.repartitionByRange(count, *order).sortWithinPartitions(*order).drop("__hash")
+    schema = T.StructType([*ranged.schema.fields, T.StructField("__part", T.IntegerType()), T.StructField("__number", T.LongType())])
+    # written, as bounds are sampled anew by every evaluation
+    ranged.mapInArrow(_count_up, schema).write.parquet(path)
+    numbered = spark.read.schema(schema).parquet(path)
+
+    ends = numbered.groupBy("__part").agg(
+        F.min(F.struct("__none", "__key")).alias("__first"), F.max(F.struct("__none", "__key", "__number")).alias("__last")
+    )
+    last = F.struct("__last.__none", "__last.__key")
+    so_far = Window.partitionBy("__last.__none", "__last.__key").orderBy("__part")
+    ends = ends.withColumn("__sum", F.sum("__last.__number").over(so_far)).withColumn("__session", last)
+    # one row for each partition
+    before = Window.orderBy("__part")
+    goes_on = F.lag("__session").over(before) == F.col("__first")
+    carry = ends.select("__part", "__first", F.when(goes_on, F.lag("__sum").over(before)).alias("__before"))
+    carry = carry.filter(F.col("__before").isNotNull())
+    leads = F.struct("__none", "__key") == F.col("__first")
+    number = F.col("__number") + F.coalesce(F.when(leads, F.col("__before")), F.lit(0))
+    joined = numbered.join(F.broadcast(carry), "__part", "left")
+    return joined.select(*df.columns, number.cast("bigint").alias("session_event_number"))
+
+
 def with_session_numbers(
     df: DataFrame,
     session: str = "session_id",
     ts: str = "timestamp",
     tie: Sequence[str] | None = None,
     null_session: str = "skip",
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | None = RANGES,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Running event number of each session in time order, and the start flag.
 
@@ -100,8 +169,10 @@ def with_session_numbers(
     and no start flag and stay out of the shuffle; ``null_session="group"``
     numbers them together as one session instead.
 
-    Sessions larger than ``hot_rows`` are cut into slices of time, twice where
-    events crowd. ``hot_rows=None`` spares the extra counting pass where sessions are known to be small.
+    By default rows are numbered by prefix sums over ``partitions`` ranges (``spark.sql.shuffle.partitions`` of them if
+    not given) of the sort order, so no session, burst or moment is too large for a task. The numbered rows are written
+    to a shared folder when this is called. ``hot_rows=None`` numbers with one window for each session, for sessions
+    known to be small. With a number, sessions larger than that are cut into slices of time, twice where events crowd.
     """
     if df.isStreaming:
         raise ValueError("use streaming.sessions.session_writer on a stream")
@@ -112,6 +183,8 @@ def with_session_numbers(
     if hot_rows is None:
         window = Window.partitionBy(session).orderBy(ts, *order)
         numbered = keyed.withColumn("session_event_number", F.row_number().over(window).cast("bigint"))
+    elif hot_rows == RANGES:
+        numbered = _number_by_ranges(keyed, session, ts, order, partitions)
     else:
         numbered = _number_in_slices(keyed, session, ts, order, hot_rows)
     if null_session == "skip":

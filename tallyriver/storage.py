@@ -100,6 +100,12 @@ def read_current(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(folder)
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds, if it is there."""
+    fs, jpath = _hadoop_path(spark, path)
+    fs.delete(jpath, True)
+
+
 def drop_old_versions(spark: SparkSession, path: str, keep: int) -> None:
     """Remove all but the newest ``keep`` complete versions, and older incomplete ones."""
     names = [n for n in child_names(spark, path) if n.startswith("version=")]
@@ -107,8 +113,7 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int) -> None:
     complete = 0
     for name in names:
         if complete >= keep:
-            fs, jpath = _hadoop_path(spark, f"{path}/{name}")
-            fs.delete(jpath, True)
+            drop_path(spark, f"{path}/{name}")
         complete += path_exists(spark, f"{path}/{name}/_SUCCESS")
 
 
@@ -116,8 +121,7 @@ def drop_batches(spark: SparkSession, path: str, last: int) -> None:
     """Remove the folders ``batch_id=N`` below ``path`` up to batch ``last``."""
     for name in child_names(spark, path):
         if name.startswith("batch_id=") and int(name.split("=")[1]) <= last:
-            fs, jpath = _hadoop_path(spark, f"{path}/{name}")
-            fs.delete(jpath, True)
+            drop_path(spark, f"{path}/{name}")
 
 
 def estimated_bytes(df: DataFrame) -> int:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,8 @@ from tallyriver.operators.events import transform_events
 from tallyriver.operators.points import event_points
 from tallyriver.streaming.sinks import BatchWriter
 
+#: seconds to wait for one query before looking at the next
+WAIT = 0.2
 _PROGRESS = "records bigint, seconds double, query_id string, batch_id bigint"
 
 
@@ -37,20 +40,20 @@ def run_all(
 ) -> list[StreamingQuery]:
     """Start the queries, wait until one ends (or for ``timeout`` seconds), then stop all.
 
-    If a query failed, its exception is raised after the others have stopped.
+    If a query failed, its exception is raised after the others have stopped. Other queries of the session play no part.
     """
     started: list[StreamingQuery] = []
+    until = None if timeout is None else time.monotonic() + timeout
     try:
         for start in starters:
             started.append(start())
-        if timeout is None:
-            spark.streams.awaitAnyTermination()
-        else:
-            spark.streams.awaitAnyTermination(timeout)
+        # raises the failure of a query that has ended with one
+        while started and not any(query.awaitTermination(WAIT) for query in started):
+            if until is not None and time.monotonic() >= until:
+                break
     finally:
         for query in started:
             query.stop()
-        spark.streams.resetTerminated()
     return started
 
 

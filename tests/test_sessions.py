@@ -100,3 +100,57 @@ def test_stream_is_refused(spark, tmp_path):
     stream = spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "in"))
     with pytest.raises(ValueError):
         W.with_session_numbers(stream)
+
+
+@pytest.mark.parametrize("partitions", [None, 1, 3, 40])
+def test_ranges_equal_brute_force(spark, partitions):
+    rows = hot_rows()
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    assert numbered(df, partitions=partitions) == brute_force(rows)
+    assert numbered(df, partitions=partitions, null_session="group") == brute_force(rows, nulls=True)
+
+
+def test_ranges_of_an_empty_frame(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    assert W.with_session_numbers(df).count() == 0
+
+
+def rows_per_task(spark, df):
+    """Rows that each task of the numbering stage has written."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    made = []
+    folder = W.shared_folder
+
+    def noted(session, purpose):
+        made.append(folder(session, purpose))
+        return made[-1]
+
+    W.shared_folder = noted
+    try:
+        numbers = numbered(df, partitions=20)
+    finally:
+        W.shared_folder = folder
+    return numbers, [pq.read_metadata(f).num_rows for f in glob.glob(f"{made[0]}/*.parquet")]
+
+
+def test_one_moment_is_parted_over_tasks(spark):
+    """10,000 events of one session and one moment, beside a few others."""
+    rows = [(i, "hot", START) for i in range(10_000)] + [(10_000 + i, f"s{i % 50}", START) for i in range(500)]
+    numbers, sizes = rows_per_task(spark, spark.createDataFrame(rows, SCHEMA).repartition(8))
+    assert numbers == brute_force(rows)
+    assert len(sizes) >= 15 and max(sizes) <= 3 * 10_500 / 20
+
+
+def test_columns_of_every_kind_come_back(spark):
+    df = spark.sql(
+        "select id as event_id, 's' as session_id, timestamp'2024-01-01' as timestamp, map('a', id) as m, "
+        "named_struct('x', id, 'y', array(id)) as t, cast(id as decimal(18,2)) as d from range(20)"
+    )
+    found = W.with_session_numbers(df)
+    assert found.select(*df.columns).dtypes == df.dtypes
+    assert {r.event_id: (r.session_event_number, r.m, r.t.y, int(r.d)) for r in found.collect()} == {
+        i: (i + 1, {"a": i}, [i], i) for i in range(20)
+    }

@@ -309,3 +309,54 @@ def test_files_per_date_stay_bounded(spark, tmp_path):
     assert "window_date=2024-01-01" not in dates
     last = spark.read.parquet(out).groupBy("window_start").agg(F.max_by("unique_users", "batch_id").alias("n"))
     assert sorted(r.n for r in last.collect()) == [4, 8, 12, 16, 20]
+
+
+def test_files_read_by_a_batch_stay_constant(spark, tmp_path):
+    """40 batches of sessions that come again and again: the folders read and kept reach a plateau."""
+    path, out = tmp_path / "s", str(tmp_path / "out")
+    writer = SS.session_writer(str(path), SK.parquet_writer(out), fold_every=4, buckets=4)
+    read, kept = [], []
+    for batch_id in range(40):
+        t = datetime(2024, 1, 1) + timedelta(hours=batch_id)
+        rows = [(10 * batch_id + i, f"s{i}", t) for i in range(5)] + [(10 * batch_id + 9, f"once{batch_id}", t)]
+        read.append(len(SS._Table(spark, str(path), batch_id).files(set(range(4)))))
+        writer(spark.createDataFrame(rows, "event_id bigint, session_id string, timestamp timestamp"), batch_id)
+        kept.append(len([p for p in path.rglob("*") if p.is_dir()]))
+    # a base and the deltas of three batches for each bucket
+    assert max(read) <= 4 * 4 and max(kept[20:]) <= 65
+    assert not list((path / "before").glob("batch_id=*")) and len(list((path / "counts").glob("batch_id=*"))) <= 8
+    numbers = {r.event_id: r.session_event_number for r in spark.read.parquet(out).collect()}
+    assert all(numbers[10 * b + i] == b + 1 for b in range(40) for i in range(5))
+    assert all(numbers[10 * b + 9] == 1 for b in range(40))
+
+
+def test_only_touched_buckets_are_written(spark, tmp_path):
+    path, out = tmp_path / "s", str(tmp_path / "out")
+    writer = SS.session_writer(str(path), SK.parquet_writer(out), fold_every=1, buckets=16)
+    schema = "event_id bigint, session_id string, timestamp timestamp"
+    t = datetime(2024, 1, 1)
+    writer(spark.createDataFrame([(i, f"s{i}", t) for i in range(100)], schema), 0)
+    writer(spark.createDataFrame([(200, "s0", t)], schema), 1)
+    assert len(list((path / "base" / "version=0").glob("bucket=*"))) == 16
+    assert len(list((path / "base" / "version=1").glob("bucket=*"))) == 1
+    writer(spark.createDataFrame([(300, "s0", t), (301, "s1", t)], schema), 2)
+    numbers = {r.event_id: r.session_event_number for r in spark.read.parquet(out).collect()}
+    assert (numbers[200], numbers[300], numbers[301]) == (2, 3, 2)
+
+
+def test_run_all_ignores_failures_before_it(spark, slices, tmp_path):
+    def fail(df, i):
+        raise RuntimeError("an earlier query")
+
+    query = SK.start_sink(slices(), fail, "append", "available", str(tmp_path / "a"))
+    with pytest.raises(Exception, match="an earlier query"):
+        query.awaitTermination()
+    seen = []
+    (done,) = SR.run_all(spark, [lambda: SK.start_sink(slices(), lambda df, i: seen.append(i), "append", "available", str(tmp_path / "b"))])
+    assert len(seen) == 3 and done.exception() is None
+
+
+def test_run_all_stops_after_its_time(spark, slices, tmp_path):
+    started = time.monotonic()
+    (query,) = SR.run_all(spark, [lambda: SK.start_sink(slices(), lambda df, i: None, "append", "1 second", str(tmp_path / "a"))], timeout=2)
+    assert not query.isActive and 2 <= time.monotonic() - started < 60
