@@ -1,7 +1,8 @@
 """From raw documents to training tokens: each stage works on all that the one before has kept.
 
-All stages but the last return the columns of ``documents``. A row without an id is never dropped as a duplicate or a
-leak; rows that repeat an id share its fate.
+All stages but the last return the columns of ``documents``. Near copies and leaks are told apart by row, so rows
+without an id, or that repeat one, are treated like any other. In the line stage a row without an id is not counted and
+keeps its lines, and rows that repeat an id are one document.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from tallyriver.llm.quality import fit_quality, with_quality
 from tallyriver.storage import shared_folder
 
 QUALITY_THRESHOLD = 0.3
+KEY = "row_key__"
 
 #: SQL cannot express the classifier; the tests hold the stages against brute force.
 ORACLE_SQL = None
@@ -42,15 +44,29 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
+def _keyed(spark: SparkSession, docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a key for every row, written so that a row keeps it."""
+    path = shared_folder(spark, name)
+    keyed = docs.withColumn(KEY, F.monotonically_increasing_id())
+    keyed.write.parquet(path)
+    return spark.read.schema(keyed.schema).parquet(path)
+
+
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of every group of near copies."""
-    others = jaccard_components(docs).filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    """The document of the smallest id of every group of near copies; one without an id only if none has one."""
+    keyed = _keyed(spark, docs, "keyed-copies")
+    ids = keyed.select(F.col(KEY).alias("key__"), F.col("doc_id").alias("id__"))
+    members = jaccard_components(keyed, id_col=KEY).select(F.col("doc_id").alias("key__"), "component_id").join(ids, "key__")
+    order = F.struct(F.col("id__").isNull(), "id__", "key__")
+    first = members.groupBy("component_id").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
+    others = members.join(first.filter("n > 1"), "component_id").filter("key__ <> first.key__").select(F.col("key__").alias(KEY))
+    return keyed.join(others, KEY, "left_anti").select(*docs.columns)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, however short it is."""
-    return without_leaks(docs, _table(spark, sf_dir, "benchmark"), short_items=True).select(*docs.columns)
+    keyed = _keyed(spark, docs, "keyed-leaks")
+    return without_leaks(keyed, _table(spark, sf_dir, "benchmark"), id_col=KEY, short_items=True).select(*docs.columns)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
