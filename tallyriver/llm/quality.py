@@ -3,7 +3,7 @@
 Features are indicators of byte n-grams, and of word n-grams that repeat one word, hashed to a fixed number of
 columns. Each indicator is scaled by its class
 log-count ratio and every row to unit length; a linear hinge-loss model is fitted by dual coordinate descent, and its
-margin is turned into a probability on rows that took no part in the fit.
+margin is turned into a probability by margins of models that have not seen the row.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ COLUMNS = 1 << 18
 ORDERS = (1, 2, 3)
 REPEATS = (2, 3, 4)
 MAX_ROWS = 6_000
+FOLDS = 5
 CHUNK = 1 << 20
 
 
@@ -100,53 +101,72 @@ def dual_coordinate_descent(
 
 
 def sigmoid_fit(margins: np.ndarray, positive: np.ndarray, rounds: int = 50) -> tuple[float, float]:
-    """Slope and offset of the logistic curve through smoothed targets, by damped Newton steps."""
+    """Slope and offset of the logistic curve through smoothed targets, by damped Newton steps.
+
+    Both classes weigh the same, so a probability does not depend on how many rows of each the sample has.
+    """
     good, bad = positive.sum(), (~positive).sum()
     target = np.where(positive, (good + 1) / (good + 2), 1 / (bad + 2))
+    share = len(positive) / (2 * np.maximum(np.where(positive, good, bad), 1))
     points = np.stack([margins, np.ones_like(margins)])
     line = np.array([1.0, 0.0])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(line @ points, -30, 30)))
-        hessian = (points * (p * (1 - p))) @ points.T + 1e-3 * np.eye(2)
-        step = np.linalg.solve(hessian, points @ (target - p) - 1e-3 * line)
+        hessian = (points * (share * p * (1 - p))) @ points.T + 1e-3 * np.eye(2)
+        step = np.linalg.solve(hessian, points @ (share * (target - p)) - 1e-3 * line)
         line = line + np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-6:
             break
     return float(line[0]), float(line[1])
 
 
-def fit_rows(rows: list[np.ndarray], positive: np.ndarray) -> Model:
-    """A model of rows of columns; every fifth row of a class only calibrates. Without both classes: their smoothed share."""
-    calibrates = np.where(positive, np.cumsum(positive), np.cumsum(~positive)) % 5 == 0
-    learns = [i for i in range(len(rows)) if not calibrates[i]]
-    good = positive[learns]
-    if not good.any() or good.all():
-        share = (positive.sum() + 1) / (len(rows) + 2)
-        return Model(np.zeros(COLUMNS, np.float32), 0.0, 0.0, float(np.log(share / (1 - share))))
-    ratio = log_count_ratio([rows[i] for i in learns], good)
+def _separator(rows: list[np.ndarray], positive: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and squared ratios of all columns, and the intercept, from rows of both classes."""
+    ratio = log_count_ratio(rows, positive)
 
     def scaled(columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         values = ratio[columns]
         return columns, values / max(float(np.sqrt(values @ values)), 1e-9)
 
-    signs = np.where(good, 1.0, -1.0)
-    costs = np.where(good, len(good) / (2 * good.sum()), len(good) / (2 * (~good).sum()))
-    weights, intercept = dual_coordinate_descent([scaled(rows[i]) for i in learns], signs, costs)
-    tested = [i for i in range(len(rows)) if calibrates[i]]
-    both = positive[tested].any() and not positive[tested].all()
-    tested = tested if both else learns
-    margins = np.array([float(weights[c] @ v) + intercept for c, v in map(scaled, (rows[i] for i in tested))])
-    slope, offset = sigmoid_fit(margins, positive[tested])
+    signs = np.where(positive, 1.0, -1.0)
+    costs = np.where(positive, len(rows) / (2 * positive.sum()), len(rows) / (2 * (~positive).sum()))
+    weights, intercept = dual_coordinate_descent([scaled(c) for c in rows], signs, costs)
     # the ratio goes into the weights; scoring still divides by the scaled row's length
-    return Model(np.stack([weights * ratio, ratio * ratio]).astype(np.float32), intercept, slope, offset)
+    return np.stack([weights * ratio, ratio * ratio]).astype(np.float32), intercept
+
+
+def _margin(weights: np.ndarray, intercept: float, columns: np.ndarray) -> float:
+    sums = weights[:, columns].sum(axis=1, dtype=np.float64)
+    return float(sums[0]) / max(float(np.sqrt(sums[1])), 1e-9) + intercept
+
+
+def fit_rows(rows: list[np.ndarray], positive: np.ndarray) -> Model:
+    """A model of rows of columns, calibrated on margins by models that have not seen the row.
+
+    Rows of a class go to ``FOLDS`` folds in turn. A row's margin is that of a model of the other folds; where these
+    lack a class, that of the model of all rows. Without both classes the model is their smoothed share.
+    """
+    if not positive.any() or positive.all():
+        share = (positive.sum() + 1) / (len(rows) + 2)
+        return Model(np.zeros(COLUMNS, np.float32), 0.0, 0.0, float(np.log(share / (1 - share))))
+    whole = _separator(rows, positive)
+    margins = np.array([_margin(*whole, c) for c in rows])
+    fold = np.where(positive, np.cumsum(positive), np.cumsum(~positive)) % FOLDS
+    for k in range(FOLDS):
+        learns, tested = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
+        if positive[learns].any() and not positive[learns].all():
+            part = _separator([rows[i] for i in learns], positive[learns])
+            margins[tested] = [_margin(*part, rows[i]) for i in tested]
+    slope, offset = sigmoid_fit(margins, positive)
+    weights, intercept = whole
+    return Model(weights, intercept, slope, offset)
 
 
 def probability(model: Model, columns: np.ndarray) -> float:
     if model.weights.ndim == 1:
         margin = 0.0
     else:
-        sums = model.weights[:, columns].sum(axis=1, dtype=np.float64)
-        margin = float(sums[0]) / max(float(np.sqrt(sums[1])), 1e-9) + model.intercept
+        margin = _margin(model.weights, model.intercept, columns)
     return float(1 / (1 + np.exp(-np.clip(model.slope * margin + model.offset, -30, 30))))
 
 

@@ -37,7 +37,7 @@ def test_quality_edges(spark, frame, edges):
 
 def test_quality_model_separates_and_scores_empty_texts_alike():
     finder = quality.Indicators()
-    texts = [b"calm plain words in a row %d" % i for i in range(40)] + [b"###!!! $$$%%% %d" % i for i in range(40)]
+    texts = [b"calm plain words in a row %d" % i for i in range(40)] + [b"###!!! $$$%%%%%% %d" % i for i in range(40)]
     positive = np.array([True] * 40 + [False] * 40)
     model = quality.fit_rows([finder.of(t) for t in texts], positive)
     scores = np.array([quality.probability(model, finder.of(t)) for t in texts])
@@ -45,6 +45,84 @@ def test_quality_model_separates_and_scores_empty_texts_alike():
     assert quality.probability(model, finder.of(None)) == quality.probability(model, finder.of(b""))
 
 
+def plain_scores(texts, positive, asked):
+    """The classifier in plain Python: sets of n-grams, the same formulas, margins by models without the row's fold."""
+    import math
+
+    def grams(text):
+        found = {(n, text[i : i + n]) for n in quality.ORDERS for i in range(len(text) - n + 1)}
+        words = text.split()
+        for times in quality.REPEATS:
+            if any(len(set(words[i : i + times])) == 1 for i in range(len(words) - times + 1)):
+                found.add(("repeat", times))
+        return found
+
+    def separator(rows, good):
+        names = sorted(set().union(*rows), key=str)
+        counts = [{g: 1.0 + sum(g in r for r, y in zip(rows, good) if y == kind) for g in names} for kind in (False, True)]
+        # columns that no row has count one in either class, as hashing leaves them
+        sums = [sum(c.values()) + quality.COLUMNS - len(names) for c in counts]
+        ratio = {g: math.log((counts[1][g] / sums[1]) / (counts[0][g] / sums[0])) for g in names}
+        other = math.log((1 / sums[1]) / (1 / sums[0]))
+
+        def vector(row):
+            values = {g: ratio.get(g, other) for g in row}
+            length = max(math.sqrt(sum(v * v for v in values.values())), 1e-9)
+            return {g: v / length for g, v in values.items()}
+
+        vectors, weights, intercept, alpha = [vector(r) for r in rows], {}, 0.0, [0.0] * len(rows)
+        costs = [len(rows) / (2 * sum(y == kind for y in good)) for kind in good]
+        order, shuffle = np.arange(len(rows)), np.random.default_rng(7)
+        for _ in range(12):
+            shuffle.shuffle(order)
+            moved = 0.0
+            for i in order:
+                sign = 1.0 if good[i] else -1.0
+                slack = sign * (sum(weights.get(g, 0.0) * v for g, v in vectors[i].items()) + intercept) - 1
+                step = min(max(alpha[i] - slack / (sum(v * v for v in vectors[i].values()) + 1), 0.0), costs[i]) - alpha[i]
+                alpha[i] += step
+                intercept += step * sign
+                for g, v in vectors[i].items():
+                    weights[g] = weights.get(g, 0.0) + step * sign * v
+                moved = max(moved, abs(step))
+            if moved < 1e-4:
+                break
+        return lambda row: sum(weights.get(g, 0.0) * v for g, v in vector(row).items()) + intercept
+
+    rows, good = [grams(t) for t in texts], list(positive)
+    whole, seen, fold = separator(rows, good), {True: 0, False: 0}, []
+    for y in good:
+        seen[y] += 1
+        fold.append(seen[y] % 5)
+    margins = []
+    for r, f in zip(rows, fold):
+        part = [i for i in range(len(rows)) if fold[i] != f]
+        margins.append(separator([rows[i] for i in part], [good[i] for i in part])(r))
+    slope, offset = quality.sigmoid_fit(np.array(margins), np.array(good))
+    return [1 / (1 + math.exp(-(slope * whole(grams(t)) + offset))) for t in asked]
+
+
+def test_scores_equal_a_plain_classifier():
+    rng = np.random.default_rng(4)
+    good = [b"the cat and a dog ran to town %d" % i for i in range(9)]
+    bad = [bytes(rng.integers(33, 60, 20, np.uint8)) + b" buy buy %d" % i for i in range(7)]
+    texts, positive = good + bad, np.array([True] * 9 + [False] * 7)
+    finder = quality.Indicators()
+    model = quality.fit_rows([finder.of(t) for t in texts], positive)
+    asked = [*texts, b"", b"unseen words here", b"!!! buy buy buy"]
+    got = [quality.probability(model, finder.of(t)) for t in asked]
+    # hashed columns may meet; single precision
+    assert np.allclose(got, plain_scores(texts, positive, asked), atol=0.02)
+
+
+def test_held_out_bad_rows_are_rejected(spark, sf_dir):
+    """Few labelled bad rows are enough: margins of rows that a model has not seen set its threshold."""
+    scored = QUERIES["op6_quality_classifier"](spark, sf_dir)
+    bad = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 0").select("doc_id")
+    rows = scored.filter("held_out").join(bad, "doc_id").collect()
+    assert sum(r["predicted"] == 0 for r in rows) >= 2 / 3 * len(rows) > 0
+
+
 def test_indicators_do_not_depend_on_chunks(monkeypatch):
     text = bytes(np.random.default_rng(1).integers(0, 256, 5000, np.uint8))
     whole = quality.Indicators().of(text)
