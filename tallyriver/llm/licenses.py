@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -109,9 +110,30 @@ VERSIONED = {
         ("{f}-{v}", r"artistic license(?: v(?:ersion)?)? ?{w}", "artistic", 8),
         ("{f}-{v}", r"spdx license identifier artistic {w}", "spdx", 10),
     ],
-    ("bsl", ("1.0", "1.1")): [
-        ("{f}-{v}", r"(?:boost software|business source) license(?: v(?:ersion)?)? ?{w}", "license", 8),
-        ("{f}-{v}", r"spdx license identifier (?:bsl|busl) {w}", "spdx", 10),
+    ("bsl", ("1.0",)): [
+        ("{f}-{v}", r"boost software license(?: v(?:ersion)?)? ?{w}", "boost", 8),
+        ("{f}-{v}", r"spdx license identifier bsl {w}", "spdx", 10),
+        ("{f}-{v}", r"www boost org license {w}(?: txt)?", "boost", 7),
+    ],
+    ("busl", ("1.0", "1.1")): [
+        ("{f}-{v}", r"business source license(?: v(?:ersion)?)? ?{w}", "business", 8),
+        ("{f}-{v}", r"spdx license identifier busl {w}", "spdx", 10),
+    ],
+    ("osl", ("1.0", "2.0", "2.1", "3.0")): [
+        ("{f}-{v}", r"open software license(?: osl)?(?: v(?:ersion)?)? ?{w}", "software", 8),
+        ("{f}-{v}", r"spdx license identifier osl {w}", "spdx", 10),
+    ],
+    ("afl", ("1.1", "2.0", "2.1", "3.0")): [
+        ("{f}-{v}", r"academic free license(?: v(?:ersion)?)? ?{w}", "academic", 8),
+        ("{f}-{v}", r"spdx license identifier afl {w}", "spdx", 10),
+    ],
+    ("cecill", ("1.0", "2.0", "2.1")): [
+        ("{f}-{v}", r"cecill(?: free software license agreement)?(?: v(?:ersion)?)? ?{w}", "cecill", 7),
+        ("{f}-{v}", r"spdx license identifier cecill {w}", "spdx", 10),
+    ],
+    ("php", ("3.0", "3.01")): [
+        ("{f}-{v}", r"(?:the )?php license(?: v(?:ersion)?)? ?{w}", "php", 8),
+        ("{f}-{v}", r"spdx license identifier php {w}", "spdx", 10),
     ],
     ("ofl", ("1.0", "1.1")): [
         ("{f}-{v}", r"sil open font license(?: v(?:ersion)?)? ?{w}", "font", 8),
@@ -134,6 +156,8 @@ VERSIONED = {
         ("cc-by-nd-{v}", r"creative commons attribution no ?deriv(?:ative)?s?(?: works)? {w}", "commons", 8),
         ("cc-by-sa-{v}", r"creative commons attribution share ?alike {w}", "commons", 8),
         ("cc-by-{v}", r"creative commons attribution {w}", "commons", 8),
+        ("cc-by-nc-sa-{v}", r"creativecommons org licenses by nc sa {w}", "creativecommons", 9),
+        ("cc-by-nc-nd-{v}", r"creativecommons org licenses by nc nd {w}", "creativecommons", 9),
         ("cc-by-nc-{v}", r"creativecommons org licenses by nc {w}", "creativecommons", 8),
         ("cc-by-sa-{v}", r"creativecommons org licenses by sa {w}", "creativecommons", 8),
         ("cc-by-nd-{v}", r"creativecommons org licenses by nd {w}", "creativecommons", 8),
@@ -196,6 +220,95 @@ PLAIN = [
     ("cc-by", r"cc by", "cc", 3),
     ("cc-by", r"creative commons attribution", "commons", 3),
     ("cc", r"creative commons license", "commons", 2),
+    ("cc-by-nc-sa", r"creativecommons org licenses by nc sa", "creativecommons", 7),
+    ("cc-by-nc-nd", r"creativecommons org licenses by nc nd", "creativecommons", 7),
+    ("cc-by-nc", r"creativecommons org licenses by nc", "creativecommons", 6),
+    ("cc-by-sa", r"creativecommons org licenses by sa", "creativecommons", 6),
+    ("cc-by-nd", r"creativecommons org licenses by nd", "creativecommons", 6),
+    ("cc-by", r"creativecommons org licenses by", "creativecommons", 5),
+    ("cc0-1.0", r"spdx license identifier cc0 1 0", "spdx", 10),
+    ("bsd-2-clause", r"spdx license identifier bsd 2 clause", "spdx", 10),
+    ("bsd-3-clause", r"spdx license identifier bsd 3 clause", "spdx", 10),
+    ("bsd-4-clause", r"spdx license identifier bsd 4 clause", "spdx", 10),
+    ("bsd-3-clause-clear", r"spdx license identifier bsd 3 clause clear", "spdx", 11),
+    ("bsd-2-clause-patent", r"spdx license identifier bsd 2 clause patent", "spdx", 11),
+    ("0bsd", r"spdx license identifier 0bsd", "spdx", 10),
+    ("0bsd", r"(?:zero clause|0 clause) bsd(?: license)?", "bsd", 8),
+    ("bsd", r"neither the name of (?:the )?(?:[^ ]+ ){1,8}nor the names of its contributors may be used to endorse or promote", "endorse", 8),
+    ("zlib", r"spdx license identifier zlib", "spdx", 10),
+    ("zlib", r"the origin of this software must not be misrepresented", "misrepresented", 8),
+    ("unlicense", r"spdx license identifier unlicense", "spdx", 10),
+    ("unlicense", r"unlicense org", "unlicense", 6),
+    ("postgresql", r"spdx license identifier postgresql", "spdx", 10),
+    ("wtfpl", r"spdx license identifier wtfpl", "spdx", 10),
+    ("x11", r"spdx license identifier x11", "spdx", 10),
+    ("mit-0", r"spdx license identifier mit 0", "spdx", 11),
+    ("ncsa", r"spdx license identifier ncsa", "spdx", 10),
+    ("openssl", r"spdx license identifier openssl", "spdx", 10),
+    ("python-2.0", r"spdx license identifier (?:python 2 0|psf 2 0)", "spdx", 10),
+    ("ms-pl", r"spdx license identifier ms pl", "spdx", 10),
+    ("ms-rl", r"spdx license identifier ms rl", "spdx", 10),
+    ("bsl", r"boost software license", "boost", 3),
+    ("busl", r"business source license", "business", 3),
+    ("busl", r"the change date the change license", "change", 5),
+    ("sspl-1.0", r"server side public license(?: v(?:ersion)? ?1)?", "server", 8),
+    ("sspl-1.0", r"spdx license identifier sspl 1 0", "spdx", 10),
+    ("elastic-2.0", r"elastic license(?: v(?:ersion)?)? ?2(?: 0)?", "elastic", 8),
+    ("elastic", r"elastic license", "elastic", 3),
+    ("elastic-2.0", r"spdx license identifier elastic 2 0", "spdx", 10),
+    ("commons-clause", r"commons clause(?: license condition)?(?: v(?:ersion)? ?1 0)?", "clause", 7),
+    ("polyform-noncommercial-1.0.0", r"polyform noncommercial license(?: 1 0 0)?", "polyform", 8),
+    ("polyform-small-business-1.0.0", r"polyform small business license(?: 1 0 0)?", "polyform", 8),
+    ("polyform-shield-1.0.0", r"polyform shield license(?: 1 0 0)?", "polyform", 8),
+    ("blueoak-1.0.0", r"blue oak model license(?: version)?(?: 1 0 0)?", "oak", 8),
+    ("upl-1.0", r"universal permissive license(?: v(?:ersion)? ?1 0)?", "permissive", 8),
+    ("ecl-2.0", r"educational community license(?: version 2 0)?", "educational", 8),
+    ("efl-2.0", r"eiffel forum license(?: version 2)?", "eiffel", 8),
+    ("ipl-1.0", r"ibm public license(?: version 1 0)?", "ibm", 8),
+    ("cpl-1.0", r"common public license(?: version 1 0)?", "public", 7),
+    ("cpal-1.0", r"common public attribution license(?: version 1 0)?", "attribution", 8),
+    ("apsl-2.0", r"apple public source license(?: version)? 2(?: 0)?", "apple", 8),
+    ("apsl", r"apple public source license", "apple", 4),
+    ("lppl", r"latex project public license", "latex", 8),
+    ("ftl", r"freetype (?:project )?license", "freetype", 8),
+    ("ijg", r"independent jpeg group s? ?(?:software|license)", "jpeg", 7),
+    ("libpng", r"libpng license", "libpng", 8),
+    ("libtiff", r"libtiff license", "libtiff", 8),
+    ("curl", r"curl license", "curl", 7),
+    ("icu", r"icu license", "icu", 8),
+    ("unicode-dfs-2016", r"unicode(?: inc)? license agreement data files and software", "unicode", 8),
+    ("info-zip", r"info zip license", "zip", 8),
+    ("imagemagick", r"imagemagick license", "imagemagick", 8),
+    ("hpnd", r"historical permission notice and disclaimer", "historical", 8),
+    ("nasa-1.3", r"nasa open source agreement(?: version)? 1 3", "nasa", 8),
+    ("npl", r"netscape public license", "netscape", 8),
+    ("qpl-1.0", r"q public license(?: version 1 0)?", "public", 7),
+    ("rpl-1.5", r"reciprocal public license(?: version)?(?: 1 5)?", "reciprocal", 8),
+    ("ruby", r"(?:the )?ruby(?: s)? license", "ruby", 7),
+    ("sleepycat", r"sleepycat license", "sleepycat", 8),
+    ("sgi-b-2.0", r"sgi free software license b(?: version 2 0)?", "sgi", 8),
+    ("tcl", r"tcl tk license", "tcl", 8),
+    ("vim", r"vim license", "vim", 8),
+    ("w3c", r"w3c software(?: notice)? and(?: document)? license", "w3c", 8),
+    ("xfree86", r"xfree86 license", "xfree86", 8),
+    ("zpl", r"zope public license", "zope", 8),
+    ("mulanpsl-2.0", r"mulan permissive software license(?: v(?:ersion)?)? ?2", "mulan", 8),
+    ("pddl-1.0", r"(?:odc )?public domain dedication and licen[cs]e", "dedication", 8),
+    ("odc-by-1.0", r"open data commons attribution licen[cs]e", "commons", 8),
+    ("ogl-uk", r"open government licen[cs]e", "government", 7),
+    ("cdla-permissive", r"community data license agreement permissive", "data", 8),
+    ("cdla-sharing", r"community data license agreement sharing", "data", 8),
+    ("openrail", r"(?:creativeml |bigscience )?open ?rail(?: m)?(?: license)?", "rail", 6),
+    ("hippocratic", r"hippocratic license", "hippocratic", 8),
+    ("anti-996", r"anti 996 license", "996", 8),
+    ("osl", r"open software license", "software", 3),
+    ("afl", r"academic free license", "academic", 3),
+    ("eupl", r"european union public licen[cs]e", "european", 3),
+    ("artistic", r"(?:perl )?artistic license", "artistic", 3),
+    ("ofl", r"(?:sil )?open font license", "font", 3),
+    ("odbl", r"open database license", "database", 3),
+    ("php", r"php license", "php", 3),
+    ("cecill", r"cecill license", "cecill", 3),
     ("proprietary", r"all rights reserved", "reserved", 2),
     ("proprietary", r"proprietary and confidential", "proprietary", 4),
     ("proprietary", r"unauthorized copying of this file via any medium is strictly prohibited", "prohibited", 6),
@@ -244,8 +357,10 @@ class Scanner:
             return len(found), [], []
         line = b" ".join(found)
 
+        blanks = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
+
         def place(match: re.Match) -> tuple[int, int]:
-            start = line.count(b" ", 0, match.start())
+            start = int(np.searchsorted(blanks, match.start()))
             return start, start + match.group().count(b" ") + 1
 
         base = sorted((*place(m), label) for pattern, label in self.base for m in pattern.finditer(line))

@@ -375,3 +375,47 @@ def test_a_line_that_shares_half_a_fingerprint_is_not_found():
     assert (arrays.find(others, top + others) >= 0).any()
     assert not arrays.dropped(np.zeros(20_000, np.int64), others, top + others, 3).any()
     assert arrays.dropped(np.array([4]), np.array([1], np.uint64), np.array([top]), 3).all()
+
+
+@pytest.mark.parametrize(
+    "text, label",
+    [
+        ("https://creativecommons.org/licenses/by-nc-sa/4.0/", "cc-by-nc-sa-4.0"),
+        ("https://creativecommons.org/licenses/by-nc-nd/4.0/", "cc-by-nc-nd-4.0"),
+        ("see creativecommons.org/licenses/by/ for terms", "cc-by"),
+        ("see creativecommons.org/licenses/by-nc-sa/ for terms", "cc-by-nc-sa"),
+        ("Boost Software License - Version 1.0", "bsl-1.0"),
+        ("Business Source License 1.1", "busl-1.1"),
+        ("SPDX-License-Identifier: BUSL-1.1", "busl-1.1"),
+        ("SPDX-License-Identifier: BSD-3-Clause", "bsd-3-clause"),
+        ("SPDX-License-Identifier: Zlib", "zlib"),
+        ("SPDX-License-Identifier: Unlicense", "unlicense"),
+        ("SPDX-License-Identifier: PostgreSQL", "postgresql"),
+        ("SPDX-License-Identifier: 0BSD", "0bsd"),
+        ("the Server Side Public License, version 1", "sspl-1.0"),
+    ],
+)
+def test_named_licenses(text, label):
+    _, _, found = licenses.Scanner().scan(text.encode())
+    assert [f[2] for f in found] == [label]
+
+
+def test_many_matches_take_linear_time():
+    import time
+
+    scanner, times = licenses.Scanner(), []
+    for copies in (10_000, 80_000):
+        started = time.process_time()
+        n, base, found = scanner.scan(b"mit license " * copies)
+        times.append(time.process_time() - started)
+        assert n == 2 * copies and len(base) == copies and [f[0] for f in found] == list(range(0, 2 * copies, 2))
+    # about 1 MB; eight times the matches
+    assert times[1] <= 30 * times[0] + 0.5
+
+
+def test_enough_rules_are_written_by_hand():
+    written = sum(map(len, licenses.VERSIONED.values())) + len(licenses.PLAIN)
+    assert written >= 200 and len(licenses.build_rules()) > 300
+    for rule in licenses.build_rules():
+        # the keyword gates the rule, so a match must hold it
+        assert rule.keyword in rule.pattern, rule
