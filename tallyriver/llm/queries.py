@@ -173,8 +173,8 @@ def op6_quality_classifier(spark, sf_dir):
 
 @query
 def op7_benchmark_decontamination(spark, sf_dir):
-    """Documents that hold four fifths of the shingles of a benchmark item."""
-    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    """Documents that hold four fifths of the shingles of a benchmark item, or all words of a shorter one in a row."""
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), short_items=True)
 
 
 ORACLES["op7_benchmark_decontamination"] = r"""
@@ -182,10 +182,14 @@ with words as (
     select kind, id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') as w
     from (select 'doc' as kind, doc_id as id, text from documents
           union all select 'item', item_id, text from benchmark)),
+widths as (select distinct len(w) as k from words where kind = 'item' and len(w) between 1 and 4),
 shingles as (
     select distinct kind, id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
         else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as g
-    from words),
+    from words
+    union
+    select kind, id, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' ')))
+    from words, widths where kind = 'doc' and len(w) > k),
 sizes as (select id, count(*)::bigint as n from shingles where kind = 'item' group by id)
 select d.id as doc_id, i.id as item_id, n as n_shingles, count(*)::bigint as n_shared, count(*) / n as containment
 from shingles d join shingles i on d.g = i.g and d.kind = 'doc' and i.kind = 'item' join sizes s on s.id = i.id
