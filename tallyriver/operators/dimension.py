@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyriver.operators.quality import QualityError, quality_gate, require_quality, validate_demographics
 from tallyriver.schemas import DEMOGRAPHICS_REQUIRED, DEMOGRAPHICS_SCHEMA
 from tallyriver.sinks.tables import with_load_times
 from tallyriver.sources.tables import read_demographics_csv
-from tallyriver.storage import current_folder, publish_staged, staged_folder
+from tallyriver.storage import current_folder, publish_staged, shared_folder, staged_folder
 
 
 def load_statistics(df: DataFrame) -> DataFrame:
@@ -51,23 +51,69 @@ def top_countries(df: DataFrame, n: int = 5) -> DataFrame:
     return country_distribution(df).limit(n)
 
 
+def _counted_values(df: DataFrame, column: str) -> DataFrame:
+    """Distinct values with their counts and the number of smaller rows, stored in the order of the values.
+
+    Values are dealt out by range. Each partition sums its own counts, and the sums of the partitions before, one row
+    for each, are added, so no task gets all values. Columns ``v``, ``n`` and ``below``.
+    """
+    spark, path = df.sparkSession, shared_folder(df.sparkSession, "profiled-values")
+    value = F.col(column).cast("double")
+    counts = df.groupBy(value.alias("v")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("v").isNotNull())
+    # written, as bounds are sampled anew by every evaluation
+    counts.repartitionByRange("v").withColumn("part", F.spark_partition_id()).write.parquet(path)
+    counts = spark.read.schema("v double, n bigint, part int").parquet(path)
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    parts = counts.groupBy("part").agg(F.sum("n").alias("total"))
+    # one row for each partition
+    parts = parts.select("part", F.coalesce(F.sum("total").over(before.orderBy("part")), F.lit(0)).alias("offset"))
+    inside = F.coalesce(F.sum("n").over(before.partitionBy("part").orderBy("v")), F.lit(0))
+    counted = counts.withColumn("inside", inside).join(F.broadcast(parts), "part")
+    return counted.select("v", "n", (F.col("inside") + F.col("offset")).alias("below"))
+
+
+def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float | None]:
+    """Interpolated quantiles of a numeric column, whatever the number of its distinct values; None without values.
+
+    Only the two neighbours of each rank come to the driver.
+    """
+    return _quantiles(_counted_values(df, column), shares)
+
+
+def _quantiles(counted: DataFrame, shares: Sequence[float]) -> list[float | None]:
+    total = counted.agg(F.sum("n").alias("n")).first()["n"] or 0
+    if not total:
+        return [None] * len(shares)
+    ranks = [share * (total - 1) for share in shares]
+    wanted = sorted({int(r) for r in ranks} | {min(int(r) + 1, total - 1) for r in ranks})
+    hit = reduce(lambda a, b: a | b, [(F.col("below") <= r) & (F.col("below") + F.col("n") > r) for r in wanted])
+    # at most two values for each rank
+    rows = counted.filter(hit).collect()
+    at = {r: row["v"] for r in wanted for row in rows if row["below"] <= r < row["below"] + row["n"]}
+    found = []
+    for rank in ranks:
+        low, high = at[int(rank)], at[min(int(rank) + 1, total - 1)]
+        found.append(low if low == high else low + (high - low) * (rank - int(rank)))
+    return found
+
+
 def _numeric_profile(df: DataFrame, column: str, exact: bool) -> DataFrame:
     value = F.col(column).cast("double")
     quartiles = [0.25, 0.5, 0.75]
     if exact:
-        # one row per distinct value reaches the percentile, so domains such as ages stay small
-        counts = df.groupBy(value.alias("v")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("v").isNotNull())
+        source = _counted_values(df, column)
         n, total = F.sum("n"), F.sum(F.col("v") * F.col("n"))
         squares = F.sum(F.col("v") * F.col("v") * F.col("n"))
         spread = F.when(n > 1, F.sqrt(F.greatest((squares - total * total / n) / (n - 1), F.lit(0.0))))
         stats: list[tuple[str, Column]] = [("count", n), ("mean", total / n), ("std", spread), ("min", F.min("v"))]
-        ranks = F.percentile("v", quartiles, F.col("n"))
-        source, largest = counts, F.max("v")
+        ranks = [F.lit(q) for q in _quantiles(source, quartiles)]
+        largest = F.max("v")
     else:
         stats = [("count", F.count(value)), ("mean", F.avg(value)), ("std", F.stddev_samp(value)), ("min", F.min(value))]
-        ranks = F.percentile_approx(value, quartiles, 10_000)
+        near = F.percentile_approx(value, quartiles, 10_000)
+        ranks = [near[i] for i in range(3)]
         source, largest = df, F.max(value)
-    stats += [(label, ranks[i]) for i, label in enumerate(("25%", "50%", "75%"))]
+    stats += [(label, rank) for label, rank in zip(("25%", "50%", "75%"), ranks)]
     stats.append(("max", largest))
     cells = [F.struct(F.lit(name).alias("key"), stat.cast("double").alias("value")) for name, stat in stats]
     return source.agg(F.array(*cells).alias("cells")).select(F.lit(column).alias("column"), F.inline("cells"))
@@ -76,9 +122,8 @@ def _numeric_profile(df: DataFrame, column: str, exact: bool) -> DataFrame:
 def profile(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str], exact: bool = True) -> DataFrame:
     """Summary statistics of numeric columns and value counts of the others, as rows.
 
-    Quartiles are interpolated. They are computed from the counts of distinct
-    values, which suits columns of a bounded domain; pass ``exact=False`` for
-    columns with unbounded many values.
+    Quartiles are interpolated. They come from the counts of distinct values in
+    ranges, of any number; ``exact=False`` estimates them in one pass.
     """
     parts = [_numeric_profile(df, c, exact) for c in num_cols]
     for c in cat_cols:

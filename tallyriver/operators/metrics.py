@@ -8,8 +8,13 @@ Distinct users come in three forms:
             append mode.
 ``approx``  a sketch of fixed size per group, for every output mode.
 partials    for streams in update or complete mode that need exact numbers:
-            users are hashed into buckets, each bucket keeps its own set, and
-            the disjoint bucket counts are added up in the sink.
+            users are split into buckets, and the disjoint bucket counts are
+            added up in the sink. Whole-number ids keep a bitmap for each
+            bucket of 32,768 neighbouring ids, so the state of a window is
+            bounded by the largest id over 8 bytes; other ids are hashed into
+            buckets with a set each.
+
+Sliding windows of bounded frames are put together from panes of one slide.
 """
 
 from __future__ import annotations
@@ -18,6 +23,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyriver.functions import columns as C
 
@@ -53,10 +59,47 @@ def _grouped(df: DataFrame, keys: Sequence[str], ts: str, window: str, slide: st
     if df.isStreaming:
         per_user = df.groupBy(frame.alias("window"), *keys, "user_id").agg(*_additive())
         return per_user.groupBy("window", *keys).agg(*_combined(), F.count("user_id").alias("unique_users"))
+    if slide and _panes_fit(df, window, slide):
+        return _from_panes(df, keys, ts, window, slide)
     users = F.count_distinct("user_id").alias("unique_users")
     return df.groupBy(frame.alias("window"), *keys).agg(*_additive(), users)
 
 
+def _microseconds(df: DataFrame, interval: str) -> int | None:
+    """The length of a fixed interval; None for one of months or years."""
+    text = interval if interval.lower().lstrip().startswith("interval") else f"interval {interval}"
+    kind = df.sparkSession.sql(f"select {text} as i").schema["i"].dataType
+    if not isinstance(kind, T.DayTimeIntervalType):
+        return None
+    # a literal: nothing of the data is read
+    length = df.sparkSession.sql(f"select {text} as i").first()["i"]
+    return (length.days * 86_400 + length.seconds) * 1_000_000 + length.microseconds
+
+
+def _panes_fit(df: DataFrame, window: str, slide: str) -> bool:
+    whole, step = _microseconds(df, window), _microseconds(df, slide)
+    return bool(whole and step) and whole % step == 0
+
+
+def _from_panes(df: DataFrame, keys: Sequence[str], ts: str, window: str, slide: str) -> DataFrame:
+    """Sliding windows from panes of one slide.
+
+    Events are aggregated once for each pane and user, which combines before the shuffle. The pane rows, not the events,
+    are repeated for the windows that hold them, after they have been dealt out by key and user, so that no repeated
+    row is shuffled before it has been combined for its window and user.
+    """
+    whole, step = _microseconds(df, window), _microseconds(df, slide)
+    panes = df.groupBy(F.window(ts, slide)["start"].alias("__pane"), *keys, "user_id").agg(*_additive())
+    back = F.explode(F.sequence(F.lit(0), F.lit(whole // step - 1))).alias("__back")
+    dealt = panes.repartition(*keys, "user_id").select("*", back)
+    start = F.timestamp_micros(F.unix_micros("__pane") - F.col("__back") * F.lit(step).cast("bigint"))
+    per_user = dealt.groupBy(start.alias("__start"), *keys, "user_id").agg(*_combined())
+    end = F.timestamp_micros(F.unix_micros("__start") + F.lit(whole).cast("bigint"))
+    grouped = per_user.groupBy("__start", *keys).agg(*_combined(), F.count("user_id").alias("unique_users"))
+    framed = grouped.withColumn("window", F.struct(F.col("__start").alias("start"), end.alias("end")))
+    return framed.drop("__start")
+
+
 def _minute_columns(df: DataFrame) -> DataFrame:
     total = F.col(_AMOUNT).cast("double")
     return df.select(
@@ -113,14 +156,19 @@ def campaign_analytics(
 
 
 def _partials(
-    df: DataFrame, keys: Sequence[str], ts: str, window: str, buckets: int, slide: str | None = None
+    df: DataFrame, keys: Sequence[str], ts: str, window: str, buckets: int, slide: str | None = None, bitmaps: bool | None = None
 ) -> DataFrame:
     frame = F.window(ts, window, slide) if slide else F.window(ts, window)
-    bucket = F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int").alias("user_bucket")
-    return (
-        df.groupBy(frame.alias("window"), *keys, bucket)
-        .agg(*_additive(), F.size(F.collect_set("user_id")).alias("unique_users"))
-    )
+    if bitmaps is None:
+        bitmaps = isinstance(df.schema["user_id"].dataType, T.IntegralType)
+    if bitmaps:
+        # a null user has no bit, in any bucket
+        bucket = F.coalesce(F.bitmap_bucket_number("user_id"), F.lit(1).cast("bigint"))
+        users = F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("user_id")))
+    else:
+        bucket = F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("bigint")
+        users = F.size(F.collect_set("user_id")).cast("bigint")
+    return df.groupBy(frame.alias("window"), *keys, bucket.alias("user_bucket")).agg(*_additive(), users.alias("unique_users"))
 
 
 def _merge_partials(partials: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -133,9 +181,14 @@ def minute_partials(
     buckets: int = USER_BUCKETS,
     ts: str = "timestamp",
     slide: str | None = None,
+    bitmaps: bool | None = None,
 ) -> DataFrame:
-    """Partial minute metrics per user bucket, for streams in update or complete mode."""
-    return _partials(df, MINUTE_KEYS, ts, window, buckets, slide)
+    """Partial minute metrics per user bucket, for streams in update or complete mode.
+
+    Whole-number user ids are kept as ``bitmaps`` unless that is False, which suits ids that are spread thinly over a
+    wide range; then, and for other ids, ``buckets`` sets hold them.
+    """
+    return _partials(df, MINUTE_KEYS, ts, window, buckets, slide, bitmaps)
 
 
 def merge_minute_partials(partials: DataFrame) -> DataFrame:
@@ -144,9 +197,13 @@ def merge_minute_partials(partials: DataFrame) -> DataFrame:
 
 
 def campaign_partials(
-    df: DataFrame, window: str = "5 minutes", buckets: int = USER_BUCKETS, ts: str = "timestamp"
+    df: DataFrame,
+    window: str = "5 minutes",
+    buckets: int = USER_BUCKETS,
+    ts: str = "timestamp",
+    bitmaps: bool | None = None,
 ) -> DataFrame:
-    return _partials(df, CAMPAIGN_KEYS, ts, window, buckets)
+    return _partials(df, CAMPAIGN_KEYS, ts, window, buckets, bitmaps=bitmaps)
 
 
 def merge_campaign_partials(partials: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyriver.operators import enrichment as J
 from tallyriver.operators import events as E
@@ -128,3 +129,82 @@ def test_latest_events_keep_n_rows_per_task(skewed):
     from tallyriver.sources.events import latest_events
 
     assert "TakeOrderedAndProject" in plan(latest_events(skewed, 10, ("timestamp", "event_id")))
+
+
+def test_bitmaps_equal_sets(spark, skewed):
+    """Ids of either sign, beyond one bucket, and null ones."""
+    far = skewed.withColumn("user_id", F.when(F.col("user_id") % 4 == 0, -F.col("user_id") * 40_000).otherwise(F.col("user_id").cast("bigint")))
+    for frame in (skewed, far):
+        exact = M.minute_metrics(frame, "5 minutes")
+        for bitmaps in (True, False, None):
+            assert same(exact, M.merge_minute_partials(M.minute_partials(frame, "5 minutes", 7, bitmaps=bitmaps)))
+    text = skewed.withColumn("user_id", F.concat(F.lit("u"), F.col("user_id")))
+    assert same(M.minute_metrics(text, "5 minutes"), M.merge_minute_partials(M.minute_partials(text, "5 minutes", 7)))
+
+
+def test_state_of_a_window_is_bounded_by_ids(spark):
+    """100,000 users of one window are four bitmaps."""
+    events = spark.range(100_000).selectExpr(
+        "cast(id as int) as user_id", "timestamp'2024-01-01' as timestamp", "'click' as event_type", "1.0D as total_amount"
+    )
+    partials = M.minute_partials(events)
+    assert partials.count() <= 5 and "collect_set" not in plan(partials)
+    assert M.merge_minute_partials(partials).first().unique_users == 100_000
+
+
+def test_sliding_windows_come_from_panes(spark, skewed):
+    text = plan(M.minute_metrics(skewed, "60 seconds", "10 seconds"))
+    # what is repeated are rows of the panes, which lie above a shuffle
+    assert text.index("Generate explode") < text.index("Exchange")  or "REPARTITION" in text[text.index("Generate explode") :]
+    for window, slide in (("60 seconds", "10 seconds"), ("1 minute", "20 seconds"), ("1 hour", "15 minutes"), ("10 seconds", "10 seconds")):
+        frame = F.window("timestamp", window, slide)
+        wanted = skewed.groupBy(frame.alias("w"), "event_type").agg(
+            F.count(F.lit(1)).alias("event_count"), F.count_distinct("user_id").alias("unique_users"), F.sum("total_amount").alias("total_revenue")
+        ).select("w.start", "w.end", "event_type", "event_count", "unique_users", F.round("total_revenue", 2))
+        got = M.minute_metrics(skewed, window, slide).select(
+            "window_start", "window_end", "event_type", "event_count", "unique_users", F.round("total_revenue", 2)
+        )
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, wanted.collect())))
+
+
+def test_windows_that_are_no_whole_number_of_slides(skewed):
+    assert "__pane" not in plan(M.minute_metrics(skewed, "25 seconds", "10 seconds"))
+    assert M.minute_metrics(skewed, "25 seconds", "10 seconds").count() > 0
+
+
+def test_quartiles_of_distinct_values_only(spark):
+    """No task of the ranking stage gets more than its range."""
+    import random
+
+    import numpy as np
+
+    from tallyriver.operators import dimension as D
+
+    rng = random.Random(3)
+    values = [rng.random() * 1000 - 500 for _ in range(20_000)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)] * 7, "v double").repartition(8)
+    found = {r["key"]: r["value"] for r in D.profile(df, ["v"], []).collect()}
+    assert found["count"] == 20_000
+    for key, share in (("25%", 25), ("50%", 50), ("75%", 75)):
+        assert abs(found[key] - np.percentile(values, share)) < 1e-9
+    parts = D._counted_values(df.repartition(4), "v")
+    assert parts.agg(F.max(F.col("below") + F.col("n"))).first()[0] == 20_000
+    shares = [0, 0.1, 0.999, 1]
+    assert np.allclose(D.exact_quantiles(df, "v", shares), np.quantile(values, shares))
+    assert D.exact_quantiles(df.filter("v is null"), "v", [0.5]) == [None]
+    ties = spark.createDataFrame([(float(i % 3),) for i in range(100)], "v double")
+    assert D.exact_quantiles(ties, "v", [0.2, 0.5, 0.9]) == list(np.quantile([i % 3 for i in range(100)], [0.2, 0.5, 0.9]))
+
+
+def test_ranking_is_spread_by_range(spark):
+    from tallyriver.operators import dimension as D
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        values = D._counted_values(spark.range(10_000).selectExpr("cast(id as double) as v").repartition(8), "v")
+        text = values._jdf.queryExecution().optimizedPlan().toString()
+        assert "windowspecdefinition(part#" in text
+        folder = values.inputFiles()
+        assert len(folder) >= 3
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
