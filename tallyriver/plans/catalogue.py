@@ -170,6 +170,15 @@ def kafka_json_sink(spark, sf):
     return records.select("key", event.alias("event")).select("key", "event.*")
 
 
+@query
+def kafka_json_full(spark, sf):
+    """All fields of the sent JSON, read back."""
+    events = X.events(spark, sf)
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in events.schema)
+    records = K.to_kafka_records(events)
+    return records.select("key", F.from_json("value", fields).alias("event")).select("key", "event.*")
+
+
 @query
 def insert_if_absent(spark, sf):
     known = X.demographics(spark, sf).select("id", "age", "gender", "country")
@@ -566,6 +575,21 @@ def dead_letter(spark, sf):
     return bad.select("error_reason", "key", F.col("raw_value").isNotNull().alias("has_value"), "topic", "partition", "offset")
 
 
+@query
+def dead_letter_values(spark, sf):
+    """The raw values of unusable records: the broken text, or the fields of JSON without a type."""
+    _, bad = Q.split_bad(S.project_envelope(X.envelope(X.events(spark, sf), dirty=True)))
+    return _raw_values(bad)
+
+
+def _raw_values(bad: DataFrame) -> DataFrame:
+    raw = F.col("raw_value").cast("string")
+    names = ("user_id", "campaign_id", "session_id", "product_id", "timestamp", "event_type")
+    fields = [F.get_json_object(raw, f"$.{n}").alias(f"raw_{n}") for n in names]
+    broken = F.when(F.col("error_reason") == "malformed json", raw).alias("raw_text")
+    return bad.select("error_reason", "offset", F.col("raw_value").isNotNull().alias("has_value"), broken, *fields)
+
+
 @query
 def dead_letter_good(spark, sf):
     good, _ = Q.split_bad(S.project_envelope(X.envelope(X.events(spark, sf), dirty=True)))
@@ -755,6 +779,16 @@ def stream_upsert(spark, sf):
     return SU.read_summary(spark, path)
 
 
+@query
+def stream_upsert_folded(spark, sf):
+    """The summary of a stream that folds its deltas by itself every other batch."""
+    path, state = shared_folder(spark, "summary"), shared_folder(spark, "state")
+    enriched = J.enrich(X.events_stream(spark, sf, CUT), X.demographics(spark, sf))
+    shaped = E.clean_events(E.with_business_metrics(E.with_event_categories(enriched)))
+    _drain(lambda: SU.start_upsert(shaped, path, state, "available", fold_every=2))
+    return SU.read_summary(spark, path)
+
+
 @query
 def stream_dead_letter(spark, sf):
     good, bad, state = (shared_folder(spark, n) for n in ("good", "bad", "state"))
@@ -765,6 +799,54 @@ def stream_dead_letter(spark, sf):
     return spark.read.parquet(bad).select("error_reason", "key", raw, "topic", "partition", "offset")
 
 
+@query
+def stream_dead_letter_values(spark, sf):
+    """The raw values of a stream's dead letters."""
+    good, bad, state = (shared_folder(spark, n) for n in ("good", "bad", "state"))
+    records = S.project_envelope(X.envelope(X.events_stream(spark, sf), dirty=True))
+    writer = SK.dead_letter_writer(SK.parquet_writer(good), SK.parquet_writer(bad))
+    _drain(lambda: SK.start_sink(records, writer, "append", "available", state))
+    return _raw_values(spark.read.parquet(bad))
+
+
+@query
+def stream_dead_letter_good(spark, sf):
+    """The decoded events beside a stream's dead letters."""
+    good, bad, state = (shared_folder(spark, n) for n in ("good", "bad", "state"))
+    records = S.project_envelope(X.envelope(X.events_stream(spark, sf), dirty=True))
+    writer = SK.dead_letter_writer(SK.parquet_writer(good), SK.parquet_writer(bad))
+    _drain(lambda: SK.start_sink(records, writer, "append", "available", state))
+    return spark.read.parquet(good).select("key", "event_type", "user_id", "total_amount", "partition", "offset")
+
+
+@query
+def stream_points(spark, sf):
+    """The main stream to its end: session numbers, enrichment, all columns, then points of all tags and fields."""
+    out, counts, state = (shared_folder(spark, n) for n in ("stream", "sessions", "state"))
+    lookup = J.Lookup(lambda: X.demographics(spark, sf), ttl=0, check=Q.require_unique)
+    writer = SS.session_writer(counts, SR.event_writer(lookup, SK.parquet_writer(out)), fold_every=2)
+    _drain(lambda: SK.start_sink(X.events_stream(spark, sf, CUT), writer, "append", "available", state))
+    return _long(TS.points_long(spark.read.parquet(out).drop("batch_id")), TS.EVENT_TAGS)
+
+
+@query
+def stream_observed_metrics(spark, sf):
+    """Rows, nulls and revenue of every batch, observed while it runs."""
+    out, state, path = (shared_folder(spark, n) for n in ("stream", "state", "progress"))
+    events = SR.observe_quality(X.events_stream(spark, sf), ["campaign_id", "session_id", "total_amount"])
+    log = SR.ProgressLog(spark, path)
+    spark.streams.addListener(log)
+    try:
+        _drain(lambda: SK.start_sink(events, SK.parquet_writer(out), "append", "available", state))
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(log)
+    log.flush()
+    progress = SR.progress_frame(spark, path).filter("records > 0")
+    names = ("rows", "campaign_id_nulls", "session_id_nulls", "total_amount_nulls", "revenue")
+    return progress.select("records", *[F.round(F.col("observed")[f"quality.{n}"], 2).alias(n) for n in names])
+
+
 @query
 def stream_event_points(spark, sf):
     """Raw events as points in the text form."""

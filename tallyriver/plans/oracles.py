@@ -187,6 +187,7 @@ oracle(
     "select cast(user_id as varchar) as key, event_id, user_id, event_type, total_amount from ue",
     EVENTS,
 )
+oracle("kafka_json_full", f"select cast(user_id as varchar) as key, {EVENT_COLUMNS} from ue", EVENTS)
 oracle(
     "insert_if_absent",
     """select id, age, gender, country from ud
@@ -388,6 +389,7 @@ oracle(
 )
 oracle("hourly_rollup", f"select {summary_columns()} from su", SUMMARY)
 oracle("stream_upsert", f"select {summary_columns()} from su", SUMMARY)
+oracle("stream_upsert_folded", ORACLES["stream_upsert"])
 
 # --- sessions --------------------------------------------------------------
 
@@ -543,12 +545,27 @@ oracle(
         where event_type in ('error', 'signup', 'view')""",
     EVENTS,
 )
+oracle(
+    "dead_letter_values",
+    f"""select {REASON} as error_reason, event_id as "offset", event_type <> 'view' as has_value,
+               case event_type when 'error' then '{{' || event_id end as raw_text,
+               case event_type when 'signup' then cast(user_id as varchar) end as raw_user_id,
+               case event_type when 'signup' then campaign_id end as raw_campaign_id,
+               case event_type when 'signup' then session_id end as raw_session_id,
+               case event_type when 'signup' then product_id end as raw_product_id,
+               case event_type when 'signup' then strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') end as raw_timestamp,
+               cast(null as varchar) as raw_event_type
+        from ue where event_type in ('error', 'signup', 'view')""",
+    EVENTS,
+)
+oracle("stream_dead_letter_values", ORACLES["dead_letter_values"])
 oracle(
     "dead_letter_good",
     """select cast(user_id as varchar) as key, event_type, user_id, total_amount, cast(user_id % 6 as int) as partition,
               event_id as "offset" from ue where event_type in ('click', 'purchase')""",
     EVENTS,
 )
+oracle("stream_dead_letter_good", ORACLES["dead_letter_good"])
 oracle(
     "error_counts",
     f"""select {REASON} as error_reason, count(*) as error_count from ue
@@ -675,3 +692,14 @@ oracle(
 )
 oracle("stream_event_points", ORACLES["point_lines"])
 oracle("stream_batch_metrics", "select cast(count(*) as bigint) as records, true as has_rate from events")
+oracle("stream_points", ORACLES["event_points"])
+oracle(
+    "stream_observed_metrics",
+    """select count(*) as records, cast(count(*) as double) as rows,
+              cast(count(*) - count(campaign_id) as double) as campaign_id_nulls,
+              cast(count(*) - count(session_id) as double) as session_id_nulls,
+              cast(count(*) - count(total_amount) as double) as total_amount_nulls,
+              round(cast(sum(cast(total_amount as decimal(18,2))) as double), 2) as revenue
+       from ue group by least(4, floor(date_diff('day', timestamp '2024-01-01', event_time) / 6))""",
+    EVENTS,
+)

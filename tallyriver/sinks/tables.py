@@ -72,10 +72,15 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+#: times keep their microseconds, which JSON functions cut by default
+JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
 def to_kafka_records(df: DataFrame, user: str = "user_id") -> DataFrame:
     """Key = user id as text (NULL if missing or empty), value = the row as JSON."""
     key = F.nullif(F.col(user).cast("string"), F.lit(""))
-    return df.select(key.alias("key"), F.to_json(F.struct(*df.columns)).alias("value"))
+    value = F.to_json(F.struct(*df.columns), {"timestampFormat": JSON_TIME})
+    return df.select(key.alias("key"), value.alias("value"))
 
 
 def kafka_writer(df: DataFrame, servers: str, topic: str):

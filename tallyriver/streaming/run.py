@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable, Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from tallyriver.functions.columns import money_sum
 from tallyriver.operators.enrichment import Lookup, enrich
 from tallyriver.operators.events import transform_events
 from tallyriver.operators.points import event_points
@@ -16,7 +19,8 @@ from tallyriver.streaming.sinks import BatchWriter
 
 #: seconds to wait for one query before looking at the next
 WAIT = 0.2
-_PROGRESS = "records bigint, seconds double, query_id string, batch_id bigint"
+FLUSH_EVERY = 50
+_PROGRESS = "records bigint, seconds double, query_id string, batch_id bigint, logged bigint, observed map<string, double>"
 
 
 def event_writer(
@@ -78,31 +82,60 @@ def run_available(starters: Sequence[Callable[[], StreamingQuery]]) -> list[Stre
 class ProgressLog(StreamingQueryListener):
     """Appends every batch's progress to a table, however long a stream runs.
 
-    Register it with ``spark.streams.addListener`` before the queries start.
-    A batch has a folder of its own, so a repeated batch replaces its row.
+    Register it with ``spark.streams.addListener`` before the queries start. Rows are collected and written
+    ``flush_every`` at a time and when a query ends, so a slow store does not hold up each batch. Every observed metric
+    of a stream (``DataFrame.observe``) that is a number comes along, named ``observation.metric``. Of a repeated batch
+    the last row counts.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self._spark, self._path = spark, path
+    def __init__(self, spark: SparkSession, path: str, flush_every: int = FLUSH_EVERY):
+        self._spark, self._path, self._flush_every = spark, path, flush_every
+        self._rows: list[tuple] = []
+        self._lock = threading.Lock()
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
-        row = [(p.numInputRows, p.durationMs.get("triggerExecution", 0) / 1000.0)]
-        folder = f"{self._path}/query_id={p.id}/batch_id={p.batchId}"
-        self._spark.createDataFrame(row, "records bigint, seconds double").coalesce(1).write.mode("overwrite").parquet(folder)
+        observed = {
+            f"{name}.{key}": float(value)
+            for name, row in p.observedMetrics.items()
+            for key, value in row.asDict().items()
+            if isinstance(value, (int, float, Decimal))
+        }
+        seconds = p.durationMs.get("triggerExecution", 0) / 1000.0
+        with self._lock:
+            self._rows.append((p.numInputRows, seconds, str(p.id), p.batchId, time.time_ns(), observed))
+            full = len(self._rows) >= self._flush_every
+        if full:
+            self.flush()
+
+    def flush(self) -> None:
+        """Write the rows collected so far; they stay if the write fails."""
+        with self._lock:
+            rows = list(self._rows)
+            if rows:
+                self._spark.createDataFrame(rows, _PROGRESS).coalesce(1).write.mode("append").parquet(self._path)
+                del self._rows[: len(rows)]
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self.flush()
 
 
 def progress_frame(spark: SparkSession, path: str) -> DataFrame:
-    """Records, seconds and records per second (0 if no time passed) of every batch that ``ProgressLog`` has seen."""
+    """Records, seconds, records per second (0 if no time passed) and observed metrics of every batch that ``ProgressLog`` has seen."""
     rows = spark.read.schema(_PROGRESS).parquet(path)
+    newest = F.max_by(F.struct("records", "seconds", "observed"), "logged").alias("row")
+    rows = rows.groupBy("query_id", "batch_id").agg(newest).select("row.records", "row.seconds", "query_id", "batch_id", "row.observed")
     per_second = F.when(F.col("seconds") > 0, F.col("records") / F.col("seconds")).otherwise(F.lit(0.0))
     return rows.withColumn("records_per_second", per_second)
+
+
+def observe_quality(df: DataFrame, columns: Sequence[str], amount: str = "total_amount", name: str = "quality") -> DataFrame:
+    """The stream with metrics of every batch that need no second pass: rows, nulls of ``columns`` and the sum of ``amount``."""
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in columns]
+    return df.observe(name, F.count(F.lit(1)).alias("rows"), *nulls, money_sum(amount).cast("double").alias("revenue"))

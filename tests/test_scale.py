@@ -154,8 +154,8 @@ def test_state_of_a_window_is_bounded_by_ids(spark):
 
 def test_sliding_windows_come_from_panes(spark, skewed):
     text = plan(M.minute_metrics(skewed, "60 seconds", "10 seconds"))
-    # what is repeated are rows of the panes, which lie above a shuffle
-    assert text.index("Generate explode") < text.index("Exchange")  or "REPARTITION" in text[text.index("Generate explode") :]
+    # what is repeated are rows of the panes, after they have been dealt out
+    assert "REPARTITION_BY_COL" in text[text.index("Generate explode") :] and "Expand" not in text
     for window, slide in (("60 seconds", "10 seconds"), ("1 minute", "20 seconds"), ("1 hour", "15 minutes"), ("10 seconds", "10 seconds")):
         frame = F.window("timestamp", window, slide)
         wanted = skewed.groupBy(frame.alias("w"), "event_type").agg(

@@ -360,3 +360,74 @@ def test_run_all_stops_after_its_time(spark, slices, tmp_path):
     started = time.monotonic()
     (query,) = SR.run_all(spark, [lambda: SK.start_sink(slices(), lambda df, i: None, "append", "1 second", str(tmp_path / "a"))], timeout=2)
     assert not query.isActive and 2 <= time.monotonic() - started < 60
+
+
+def test_a_second_compaction_leaves_untouched_dates(spark, events, demographics, tmp_path):
+    path = tmp_path / "summary"
+    shaped = E.with_business_metrics(E.with_event_categories(J.enrich(events, demographics)))
+    write = SU.upsert_writer(str(path))
+    write(shaped, 0)
+    assert SU.compact_summary(spark, str(path)) == 0
+    files = lambda: {str(p): p.stat().st_mtime_ns for p in path.glob("base/*/date=*/part-*")}
+    before = files()
+    dates = {p.parent.name for p in path.glob("base/*/date=*/part-*")}
+    one_day = shaped.filter(F.to_date("timestamp") == "2024-01-05")
+    write(one_day, 1)
+    assert SU.compact_summary(spark, str(path)) == 1
+    after = files()
+    assert {p: t for p, t in after.items() if p in before} == before and len(dates) > 20
+    assert {p.split("/")[-2] for p in set(after) - set(before)} == {"date=2024-01-05"}
+    counts = SU.read_summary(spark, str(path)).agg(F.sum("total_events")).first()[0]
+    assert counts == shaped.count() + one_day.count()
+    # what no base needs any more goes with the next compaction
+    write(one_day, 2)
+    assert SU.compact_summary(spark, str(path)) == 2
+    assert not (path / "deltas" / "batch_id=0").exists() and (path / "deltas" / "batch_id=2").exists()
+    write(one_day, 3)
+    SU.compact_summary(spark, str(path))
+    versions = {p.parent.parent.name for p in path.glob("base/*/date=2024-01-05/part-*")}
+    assert versions == {"version=2", "version=3"}
+    assert SU.read_summary(spark, str(path)).agg(F.sum("total_events")).first()[0] == counts + 2 * one_day.count()
+
+
+def test_old_dates_are_dropped_whole(spark, events, demographics, tmp_path):
+    from datetime import date
+
+    path = str(tmp_path / "summary")
+    shaped = E.with_business_metrics(E.with_event_categories(J.enrich(events, demographics)))
+    write = SU.upsert_writer(path)
+    write(shaped, 0)
+    SU.compact_summary(spark, path)
+    write(shaped.filter(F.to_date("timestamp") >= "2024-01-20"), 1)
+    SU.compact_summary(spark, path, retain_from=date(2024, 1, 10))
+    kept = SU.read_summary(spark, path)
+    assert kept.agg(F.min("date")).first()[0] == date(2024, 1, 10)
+    late = shaped.filter(F.to_date("timestamp") >= "2024-01-10").count() + shaped.filter(F.to_date("timestamp") >= "2024-01-20").count()
+    assert kept.agg(F.sum("total_events")).first()[0] == late
+
+
+def test_an_upsert_stream_folds_by_itself(spark, events, demographics, tmp_path):
+    path = tmp_path / "summary"
+    shaped = E.with_business_metrics(E.with_event_categories(J.enrich(events, demographics)))
+    write, kept = SU.upsert_writer(str(path), fold_every=2), []
+    for batch_id in range(8):
+        write(shaped.filter(F.col("event_id") % 8 == batch_id), batch_id)
+        kept.append(len(list((path / "deltas").glob("batch_id=*"))))
+    assert max(kept) <= 4
+    assert SU.read_summary(spark, str(path)).agg(F.sum("total_events")).first()[0] == events.count()
+
+
+def test_progress_is_written_in_bulk(spark, slices, tmp_path):
+    path = tmp_path / "progress"
+    log = SR.ProgressLog(spark, str(path))
+    spark.streams.addListener(log)
+    observed = SR.observe_quality(slices(), ["campaign_id"])
+    try:
+        run(observed, SK.parquet_writer(str(tmp_path / "out")), "append", tmp_path / "c")
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(log)
+    log.flush()
+    rows = [r for r in SR.progress_frame(spark, str(path)).collect() if r.records]
+    assert len(rows) == 3 and len(list(path.glob("part-*"))) <= 2
+    assert all(r.observed["quality.rows"] == r.records for r in rows)
