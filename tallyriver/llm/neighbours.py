@@ -52,7 +52,14 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1) if len(column) else values.reshape(0, 0)
 
 
+def _scaled(rows: np.ndarray) -> np.ndarray:
+    """Every row times a power of two, which is exact, so that its largest component is near 1 and squares stay finite."""
+    largest = np.abs(rows).max(axis=1, initial=0.0)
+    return np.ldexp(rows, -np.frexp(largest)[1][:, None])
+
+
 def _unit(rows: np.ndarray) -> np.ndarray:
+    rows = _scaled(rows)
     return rows / np.sqrt((rows * rows).sum(axis=1))[:, None]
 
 
@@ -113,6 +120,7 @@ def probes(forest: Forest, query: np.ndarray, wanted: int) -> list[int]:
 
 def cosines(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     """In double precision, row by row, so that equal rows have equal results wherever they stand."""
+    rows, query = _scaled(rows), _scaled(query[None])[0]
     lengths = np.sqrt((rows * rows).sum(axis=1)) * np.sqrt((query * query).sum())
     return (rows * query).sum(axis=1) / lengths
 

@@ -196,3 +196,23 @@ def test_vectors_of_one_id_are_dealt_to_many_blocks(spark):
     assert [i for i, _ in near] == [7]
     sizes = [r["count"] for r in neighbours.dealt_rows(spark, index).groupBy("leaf", "block").count().collect()]
     assert index.blocks.max() > 1 and max(sizes) < 3 * 20
+
+
+def test_huge_and_tiny_vectors(spark):
+    """Components whose squares would not be finite, or vanish."""
+    rows = [(0, [1e200, 0.0]), (1, [3.0, 0.0]), (2, [1e-200, 1e-200]), (3, [0.0, 5e-324]), (4, [-1e308, 1e308])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = neighbours.search(neighbours.build_index(table), table.filter("vec_id in (0, 2)")).collect()
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], round(r["score"], 12)) for r in found}
+    half = round(0.5**0.5, 12)
+    assert got == {
+        (0, 1): (1, 1.0), (0, 2): (2, half), (0, 3): (3, 0.0), (0, 4): (4, -half),
+        (2, 1): (0, half), (2, 2): (1, half), (2, 3): (3, half), (2, 4): (4, 0.0),
+    }
+
+
+def test_scaling_by_powers_of_two_changes_no_score():
+    rng = np.random.default_rng(8)
+    rows, query = rng.standard_normal((500, 24)), rng.standard_normal(24)
+    plain = (rows * query).sum(axis=1) / (np.sqrt((rows * rows).sum(axis=1)) * np.sqrt((query * query).sum()))
+    assert np.array_equal(neighbours.cosines(rows, query), plain)
