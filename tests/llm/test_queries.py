@@ -133,13 +133,15 @@ def test_rows_without_or_with_the_same_id(spark, tmp_path):
     """Copies, leaks and clean rows are told apart by row: null and repeated ids are treated like any other."""
     item = " ".join(f"q{i}" for i in range(20))
     text = [" ".join(f"w{k}x{i}" for i in range(30)) for k in range(4)]
-    rows = [(1, text[0]), (None, text[0]), (2, text[1]), (2, f"before {item} after"), (None, item), (3, text[2]), (3, text[2]), (None, text[3])]
+    # so long that it is no near copy of the item
+    leak = " ".join(f"b{i}" for i in range(30)) + f" {item} after"
+    rows = [(1, text[0]), (None, text[0]), (2, text[1]), (2, leak), (None, item), (3, text[2]), (3, text[2]), (None, text[3])]
     docs = spark.createDataFrame([(i, t, "en", "web", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
     spark.createDataFrame([(7, item)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     kept = corpus_pipeline.near_copy_stage(spark, docs, str(tmp_path))
     assert kept.columns == docs.columns
     assert sorted(map(str, ((r["doc_id"], r["text"]) for r in kept.collect()))) == sorted(
-        map(str, [(1, text[0]), (2, text[1]), (2, f"before {item} after"), (None, item), (3, text[2]), (None, text[3])])
+        map(str, [(1, text[0]), (2, text[1]), (2, leak), (None, item), (3, text[2]), (None, text[3])])
     )
     clean = corpus_pipeline.benchmark_stage(spark, kept, str(tmp_path))
     assert clean.columns == docs.columns
