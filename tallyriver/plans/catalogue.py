@@ -26,6 +26,7 @@ from tallyriver.sinks import tables as K
 from tallyriver.sources import events as S
 from tallyriver.sources import tables as R
 from tallyriver.storage import read_current, shared_folder
+from tallyriver.streaming import late as SL
 from tallyriver.streaming import metrics as SM
 from tallyriver.streaming import run as SR
 from tallyriver.streaming import sessions as SS
@@ -847,6 +848,47 @@ def stream_observed_metrics(spark, sf):
     return progress.select("records", *[F.round(F.col("observed")[f"quality.{n}"], 2).alias(n) for n in names])
 
 
+#: Every so many-th event of a stream with late events comes one file after its time.
+DELAYED = 7
+
+
+def _split_late(spark, sf, then=None):
+    """The folder of the side table, after the whole stream; ``then`` gets the events on time, batch by batch."""
+    kept, side, state = (shared_folder(spark, n) for n in ("on-time", "late", "state"))
+    stream = X.events_stream(spark, sf, CUT, DELAYED)
+    write = SK.whole_batch_writer(kept)
+    if then is not None:
+        write = SR.followed_by(write, lambda: then(spark.readStream.schema(stream.schema).parquet(f"{kept}/batch_id=*")))
+    _drain(lambda: SK.start_sink(stream, SL.late_splitter(side, write, window="1 hour"), "append", "available", state))
+    return side
+
+
+@query
+def stream_late_events(spark, sf):
+    """The side table of late events: which batch brought them, and the watermark they were behind."""
+    late = SL.read_late(spark, _split_late(spark, sf)).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    return late.select("event_id", "timestamp", "event_type", "user_id", "total_amount", "late_reason", "watermark", "batch_id")
+
+
+@query
+def stream_late_counts(spark, sf):
+    return SL.late_counts(spark, _split_late(spark, sf)).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+
+
+@query
+def stream_on_time_windows(spark, sf):
+    """Hourly windows of the events on time, by a second stream; with the side table they add up to all events."""
+    out, parts, state = (shared_folder(spark, n) for n in ("stream", "parts", "state"))
+    writer = SM.update_writer(parts, M.MINUTE_KEYS, M.merge_minute_partials, SK.parquet_writer(out), fold_every=2)
+
+    def windows(on_time):
+        partials = M.minute_partials(SK.with_watermark(on_time), "1 hour")
+        return SK.start_sink(partials, writer, "update", "available", state)
+
+    _split_late(spark, sf, windows)
+    return _newest(spark.read.parquet(out))
+
+
 @query
 def stream_event_points(spark, sf):
     """Raw events as points in the text form."""

@@ -117,23 +117,28 @@ def wide_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_files(spark: SparkSession, sf_dir: str, minutes: float = 0) -> str:
-    """All raw events in a folder of several files, oldest first: six days each, cut ``minutes`` past midnight."""
+def event_files(spark: SparkSession, sf_dir: str, minutes: float = 0, delayed: int = 0) -> str:
+    """All raw events in a folder of several files, oldest first: six days each, cut ``minutes`` past midnight.
+
+    With ``delayed`` every so many-th event (by id) comes one file after its time.
+    """
     folder = shared_folder(spark, "event-files")
     raw = table(spark, sf_dir, "events")
     since = F.unix_seconds(F.col("ts").cast("timestamp")) - F.unix_seconds(F.lit("2024-01-01").cast("timestamp"))
     part = F.greatest(F.lit(0), F.least(F.lit(FILES - 1), F.floor((since - 60 * minutes) / (6 * 86400))))
+    if delayed:
+        part = F.least(F.lit(FILES - 1), part + F.when(F.col("event_id") % delayed == 0, 1).otherwise(0))
     for k in range(FILES):
         raw.filter(part == k).coalesce(1).write.mode("append").parquet(folder)
     return folder
 
 
-def events_stream(spark: SparkSession, sf_dir: str, minutes: float = 0) -> DataFrame:
+def events_stream(spark: SparkSession, sf_dir: str, minutes: float = 0, delayed: int = 0) -> DataFrame:
     """The events of ``event_files`` as a stream, one file in each micro-batch."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     schema = table(spark, sf_dir, "events").schema
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-    return shape_events(reader.parquet(event_files(spark, sf_dir, minutes)))
+    return shape_events(reader.parquet(event_files(spark, sf_dir, minutes, delayed)))
 
 
 def demographics(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -703,3 +703,33 @@ oracle(
        from ue group by least(4, floor(date_diff('day', timestamp '2024-01-01', event_time) / 6))""",
     EVENTS,
 )
+
+# --- late events -----------------------------------------------------------
+
+# the batch of each event, and the watermark that the batches before it have set
+ARRIVED = f"""{EVENTS},
+ar as (
+  select *, least(4, part + case when event_id % 7 = 0 then 1 else 0 end) as batch
+  from (select *, greatest(0, least(4, cast(floor(
+          (epoch(date_trunc('second', event_time)) - epoch(timestamp '2024-01-01') - 1830) / 518400.0) as bigint))) as part
+        from ue) x),
+nw as (select batch, max(event_time) as newest from ar group by batch),
+wm as (select a.batch, max(b.newest) - interval 10 seconds as watermark
+       from nw a join nw b on b.batch < a.batch group by a.batch),
+sp as (select ar.*, watermark, coalesce(date_trunc('hour', event_time) + interval 1 hour <= watermark, false) as is_late
+       from ar left join wm using (batch))"""
+oracle(
+    "stream_late_events",
+    f"""select event_id, {when('event_time')} as "timestamp", event_type, user_id, total_amount,
+               'behind watermark' as late_reason, {when('watermark')} as watermark, cast(batch as bigint) as batch_id
+        from sp where is_late""",
+    ARRIVED,
+)
+oracle(
+    "stream_late_counts",
+    """select cast(batch as bigint) as batch_id, 'behind watermark' as late_reason, count(*) as late_events,
+              max(epoch_us(watermark) - epoch_us(event_time)) as most_behind_micros
+       from sp where is_late group by batch""",
+    ARRIVED,
+)
+oracle("stream_on_time_windows", tumbling("hour").replace("from ue", "from (select * from sp where not is_late) ue"), ARRIVED)

@@ -43,6 +43,11 @@ def rename_path(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not rename {source} to {target}")
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, jpath = _hadoop_path(spark, path)
+    fs.mkdirs(jpath)
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below ``path``; empty if it does not exist."""
     fs, jpath = _hadoop_path(spark, path)
@@ -86,8 +91,7 @@ def staged_folder(path: str) -> str:
 def publish_staged(spark: SparkSession, staged: str, path: str) -> str:
     """Make a checked folder the newest version by one rename."""
     folder = next_version(spark, path)
-    fs, jpath = _hadoop_path(spark, path)
-    fs.mkdirs(jpath)
+    make_folder(spark, path)
     rename_path(spark, staged, folder)
     return folder
 

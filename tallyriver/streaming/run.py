@@ -79,6 +79,20 @@ def run_available(starters: Sequence[Callable[[], StreamingQuery]]) -> list[Stre
     return started
 
 
+def followed_by(write: BatchWriter, start: Callable[[], StreamingQuery]) -> BatchWriter:
+    """After each batch has been written, run a query with the "available" trigger over what is there.
+
+    So a second stream takes its micro-batches from the batches of the first. A repeated batch runs it again, which
+    then finds nothing new if ``write`` leaves a batch that is there alone.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        run_available([start])
+
+    return handle
+
+
 class ProgressLog(StreamingQueryListener):
     """Appends every batch's progress to a table, however long a stream runs.
 

@@ -16,7 +16,7 @@ from tallyriver.operators.events import debug_view
 from tallyriver.operators.points import point_lines, write_points
 from tallyriver.operators.quality import bad_records, good_records, tag_records
 from tallyriver.sinks.tables import dead_letter_records, kafka_writer, to_kafka_records
-from tallyriver.storage import drop_old_versions, publish
+from tallyriver.storage import drop_old_versions, make_folder, path_exists, publish, rename_path
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -84,6 +84,25 @@ def parquet_writer(path: str) -> BatchWriter:
     return write
 
 
+def whole_batch_writer(path: str) -> BatchWriter:
+    """Every batch as a folder ``batch_id=N`` that appears by one rename, for streams that read the folders.
+
+    Such a reader never meets half a batch. A batch that is repeated finds its folder and leaves it, as new files would
+    be read as new rows. Needs a file system that renames folders in one step.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, folder = batch.sparkSession, batch_folder(path, batch_id)
+        if path_exists(spark, folder):
+            return
+        staged = batch_folder(f"{path.rstrip('/')}__staged", batch_id)
+        batch.write.mode("overwrite").parquet(staged)
+        make_folder(spark, path)
+        rename_path(spark, staged, folder)
+
+    return write
+
+
 def latest_writer(path: str, keep: int = 3) -> BatchWriter:
     """The newest batch as the current version, for queries in complete mode.
 

@@ -13,6 +13,7 @@ from tallyriver.operators import points as TS
 from tallyriver.operators import sessions as W
 from tallyriver.sources import events as S
 from tallyriver.storage import read_current
+from tallyriver.streaming import late as SL
 from tallyriver.streaming import metrics as SM
 from tallyriver.streaming import run as SR
 from tallyriver.streaming import sessions as SS
@@ -431,3 +432,82 @@ def test_progress_is_written_in_bulk(spark, slices, tmp_path):
     rows = [r for r in SR.progress_frame(spark, str(path)).collect() if r.records]
     assert len(rows) == 3 and len(list(path.glob("part-*"))) <= 2
     assert all(r.observed["quality.rows"] == r.records for r in rows)
+
+
+LATE_SCHEMA = "timestamp timestamp, event_type string, user_id int, total_amount double, id int"
+_T = datetime(2024, 1, 1)
+
+
+def _late_batches():
+    def row(minutes, n, seconds=0):
+        return (_T + timedelta(minutes=minutes, seconds=seconds), "click", 1, 1.0, n)
+
+    return [
+        [row(0, 1), row(5, 2)],
+        [row(0, 3), row(4, 4, 50), row(4, 5), row(3, 6, 59), row(20, 7), (None, "click", 1, 1.0, 8)],
+        [row(5, 9), row(19, 10), row(18, 11, 59), row(20, 12, 1)],
+    ]
+
+
+def test_late_events_by_hand(spark, tmp_path):
+    path, kept = str(tmp_path / "late"), str(tmp_path / "kept")
+    write = SL.late_splitter(path, SK.parquet_writer(kept), delay="10 seconds", window="1 minute")
+    for n, batch in enumerate(_late_batches()):
+        write(spark.createDataFrame(batch, LATE_SCHEMA), n)
+    late = {(r["id"], r["batch_id"], r["late_reason"]) for r in SL.read_late(spark, path).collect()}
+    # batch 1 stands behind 4:50, batch 2 behind 19:50: a window that ends there or before is closed
+    assert late == {(3, 1, SL.BEHIND), (6, 1, SL.BEHIND), (8, 1, SL.NO_TIME), (9, 2, SL.BEHIND), (11, 2, SL.BEHIND)}
+    assert {r["id"] for r in spark.read.parquet(kept).collect()} == {1, 2, 4, 5, 7, 10, 12}
+    counts = {(r["batch_id"], r["late_reason"]): (r["late_events"], r["most_behind_micros"]) for r in SL.late_counts(spark, path).collect()}
+    assert counts == {(1, SL.BEHIND): (2, 290_000_000), (1, SL.NO_TIME): (1, None), (2, SL.BEHIND): (2, 890_000_000)}
+
+
+def test_late_events_without_a_window(spark, tmp_path):
+    path, kept = str(tmp_path / "late"), str(tmp_path / "kept")
+    write = SL.late_splitter(path, SK.parquet_writer(kept), delay="10 seconds", window=None)
+    for n, batch in enumerate(_late_batches()):
+        write(spark.createDataFrame(batch, LATE_SCHEMA), n)
+    assert {r["id"] for r in SL.read_late(spark, path).collect()} == {3, 4, 5, 6, 8, 9, 10, 11}
+
+
+def test_a_repeated_batch_is_parted_alike(spark, tmp_path):
+    path, kept = str(tmp_path / "late"), str(tmp_path / "kept")
+    write = SL.late_splitter(path, SK.whole_batch_writer(kept))
+    frames = [spark.createDataFrame(b, LATE_SCHEMA) for b in _late_batches()]
+    for n in (0, 1, 1, 2, 2):
+        write(frames[n], n)
+    ids = [r["id"] for r in SL.read_late(spark, path).select("id").union(spark.read.parquet(kept).select("id")).collect()]
+    assert sorted(ids) == list(range(1, 13))
+
+
+def test_empty_batches_keep_the_watermark(spark, tmp_path):
+    path, kept = str(tmp_path / "late"), str(tmp_path / "kept")
+    write = SL.late_splitter(path, SK.parquet_writer(kept))
+    frames = [spark.createDataFrame(b, LATE_SCHEMA) for b in _late_batches()]
+    write(frames[0].limit(0), 0)
+    write(frames[0], 1)
+    write(frames[0].limit(0), 2)
+    write(frames[1], 3)
+    assert {r["id"] for r in SL.read_late(spark, path).collect()} == {3, 6, 8}
+
+
+def test_windows_and_side_table_add_up(spark, tmp_path):
+    """Three batches through both streams: nothing is dropped by the second one's own watermark."""
+    path, kept, out = (str(tmp_path / n) for n in ("late", "kept", "out"))
+    source = str(tmp_path / "in")
+    for batch in _late_batches():
+        spark.createDataFrame(batch, LATE_SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        time.sleep(1.1)
+    writer = SM.update_writer(str(tmp_path / "parts"), M.MINUTE_KEYS, M.merge_minute_partials, SK.parquet_writer(out))
+
+    def second():
+        on_time = spark.readStream.schema(LATE_SCHEMA).parquet(f"{kept}/batch_id=*")
+        partials = M.minute_partials(SK.with_watermark(on_time), buckets=2)
+        return SK.start_sink(partials, writer, "update", "available", str(tmp_path / "c2"))
+
+    split = SL.late_splitter(path, SR.followed_by(SK.whole_batch_writer(kept), second))
+    stream = spark.readStream.schema(LATE_SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
+    run(stream, split, "append", tmp_path / "c1")
+    newest = spark.read.parquet(out).groupBy("window_start").agg(F.max_by("event_count", "batch_id").alias("n"))
+    windows = newest.agg(F.sum("n")).first()[0]
+    assert (windows, SL.read_late(spark, path).count()) == (7, 5)
