@@ -30,6 +30,7 @@ from tallyriver.functions import columns as C
 MINUTE_KEYS = ("event_type",)
 CAMPAIGN_KEYS = ("campaign_id", "country")
 USER_BUCKETS = 64
+USER_SKETCH = "user_sketch"
 
 # Additive measures: per group from rows, and again from partial groups by sum.
 _EVENTS, _CLICKS, _PURCHASES, _AMOUNT, _AMOUNTS = "__events", "__clicks", "__purchases", "__amount", "__amounts"
@@ -229,19 +230,37 @@ def type_shares(df: DataFrame) -> DataFrame:
     return shares.withColumn("share", F.col("event_count") / F.col("__total")).drop("__total")
 
 
-def hourly_rollup(df: DataFrame, ts: str = "timestamp") -> DataFrame:
+def hourly_rollup(df: DataFrame, ts: str = "timestamp", sketch: int | None = None) -> DataFrame:
     """Deltas of the summary table from transformed events.
 
     The conversion rate is that of the date, hour, campaign and country over
     all event types, as the event type is part of the key.
+
+    With ``sketch`` (the binary logarithm of its registers, 4 to 21) every cell has a sketch of its users as
+    ``user_sketch``. Sketches of cells can be united, where their distinct counts cannot be added.
     """
-    cells = df.groupBy(
-        F.to_date(ts).alias("date"), F.hour(ts).alias("hour"), "event_type", "campaign_id", "country"
-    ).agg(
-        F.count(F.lit(1)).alias("total_events"),
-        F.count_distinct("user_id").alias("unique_users"),
-        F.coalesce(C.money_sum("revenue"), F.lit(0)).cast("decimal(18,2)").alias("total_revenue"),
-    )
+    keys = {
+        "date": F.to_date(ts), "hour": F.hour(ts),
+        **{c: F.col(c) for c in ("event_type", "campaign_id", "country")},
+    }
+    named = [c.alias(n) for n, c in keys.items()]
+    if sketch is None:
+        cells = df.groupBy(*named).agg(
+            F.count(F.lit(1)).alias("total_events"),
+            F.count_distinct("user_id").alias("unique_users"),
+            F.coalesce(C.money_sum("revenue"), F.lit(0)).cast("decimal(18,2)").alias("total_revenue"),
+        )
+    else:
+        # one row for each user of a cell first: no partial sketch for each event or user is shuffled
+        per_user = df.groupBy(*named, "user_id").agg(
+            F.count(F.lit(1)).alias(_EVENTS), C.money_sum("revenue").alias(_AMOUNT)
+        )
+        cells = per_user.groupBy(*keys).agg(
+            F.sum(_EVENTS).alias("total_events"),
+            F.count("user_id").alias("unique_users"),
+            F.coalesce(F.sum(_AMOUNT), F.lit(0)).cast("decimal(18,2)").alias("total_revenue"),
+            F.hll_sketch_agg("user_id", sketch).alias(USER_SKETCH),
+        )
     group = Window.partitionBy("date", "hour", "campaign_id", "country")
 
     def of_type(name: str) -> Column:

@@ -5,12 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyriver.operators.metrics import USER_SKETCH
 from tallyriver.schemas import EVENT_SUMMARY_SCHEMA, SUMMARY_KEYS
 from tallyriver.storage import broadcast_if_small
 
 _VALUES = ("total_events", "unique_users", "total_revenue", "avg_order_value", "conversion_rate")
 
 
+def _united(sketch: str) -> Column:
+    """The union of a group's sketches (the coarsest decides); null if a row has none."""
+    return F.when(F.count(sketch) == F.count(F.lit(1)), F.hll_union_agg(sketch, True))
+
+
 def upsert_summary(
     target: DataFrame | None, deltas: DataFrame, order_col: str, literal: bool = False
 ) -> DataFrame:
@@ -24,13 +30,18 @@ def upsert_summary(
     ``literal=True`` adds the last delta twice in the average, as an UPDATE
     does that reads columns it has already assigned.
 
+    Sketches of users (``hourly_rollup(sketch=...)``) are united if the deltas carry them. A key whose old row or
+    one of whose deltas has none gets none, as it would count too few.
+
     One aggregation does it all and combines before the shuffle, so neither
     many deltas per key nor hot keys gather in one task.
     """
-    deltas = deltas.select(*SUMMARY_KEYS, *_VALUES, F.col(order_col).alias("__order"))
+    sketched = [USER_SKETCH] if USER_SKETCH in deltas.columns else []
+    deltas = deltas.select(*SUMMARY_KEYS, *_VALUES, *sketched, F.col(order_col).alias("__order"))
     if target is not None:
         no_order = F.lit(None).cast(deltas.schema["__order"].dataType)
-        deltas = target.select(*SUMMARY_KEYS, *_VALUES, no_order.alias("__order")).unionByName(deltas)
+        kept = [c if c in target.columns else F.lit(None).cast("binary").alias(c) for c in sketched]
+        deltas = target.select(*SUMMARY_KEYS, *_VALUES, *kept, no_order.alias("__order")).unionByName(deltas)
 
     def last(name: str) -> Column:
         # max_by skips rows without order, so the old row counts only if it is alone
@@ -46,6 +57,7 @@ def upsert_summary(
         last("total_events").alias("__last_events"),
         last("total_revenue").alias("__last_revenue"),
         last("conversion_rate").alias("__last_rate"),
+        *[_united(c).alias(c) for c in sketched],
     )
     revenue, events = F.col("__revenue"), F.col("__events")
     if literal:
@@ -59,16 +71,19 @@ def upsert_summary(
         "conversion_rate": F.col("__last_rate"),
     }
     typed = [values[n].cast(EVENT_SUMMARY_SCHEMA[n].dataType).alias(n) for n in _VALUES]
-    return folded.select(*SUMMARY_KEYS, *typed)
+    return folded.select(*SUMMARY_KEYS, *typed, *sketched)
 
 
 def campaign_performance(summary: DataFrame, campaign_id: str, start: str, end: str) -> DataFrame:
     """Daily totals of one campaign between two dates, both included.
 
     ``total_unique_users`` adds up hourly distinct users, so a user active in
-    several hours counts several times.
+    several hours counts several times. A summary with sketches also gives ``estimated_unique_users``, the distinct
+    users of the day to within a few per cent (relative standard error 1.04 / sqrt(2 ** sketch)); null if a row of the
+    day has no sketch.
     """
     first, last = (F.lit(d).cast("date") for d in (start, end))
+    sketched = [USER_SKETCH] if USER_SKETCH in summary.columns else []
     return (
         summary.filter((F.col("campaign_id") == campaign_id) & F.col("date").between(first, last))
         .groupBy("campaign_id", F.col("date").alias("summary_date"))
@@ -77,6 +92,7 @@ def campaign_performance(summary: DataFrame, campaign_id: str, start: str, end:
             F.sum("unique_users").alias("total_unique_users"),
             F.sum("total_revenue").alias("total_revenue"),
             F.avg("conversion_rate").alias("avg_conversion_rate"),
+            *[F.hll_sketch_estimate(_united(c)).alias("estimated_unique_users") for c in sketched],
         )
         .orderBy("summary_date")
     )

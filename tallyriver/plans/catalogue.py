@@ -517,6 +517,31 @@ def campaign_performance(spark, sf):
     return U.campaign_performance(_summary(spark, sf), "SUMMER2024", "2024-01-05", "2024-01-25")
 
 
+#: registers of the queries' sketches, as a binary logarithm
+REGISTERS = 12
+
+
+def _near_exact(report, spark, sf):
+    """A day's exact users beside the report, and whether the estimate lies within three standard errors of them."""
+    events = _enriched(spark, sf).filter(F.col("campaign_id") == "SUMMER2024")
+    exact = events.groupBy(F.to_date("timestamp").alias("summary_date")).agg(F.count_distinct("user_id").alias("distinct_users"))
+    bound = F.greatest(F.lit(1.0), 3 * 1.04 / 2 ** (REGISTERS / 2) * F.col("distinct_users"))
+    near = F.abs(F.col("estimated_unique_users") - F.col("distinct_users")) <= bound
+    return report.join(exact, "summary_date").withColumn("within_bound", near).drop("estimated_unique_users")
+
+
+@query
+def campaign_performance_users(spark, sf):
+    """Distinct users of a day from sketches that an upsert has united, beside the sum of hourly users."""
+    shaped = _shaped(spark, sf)
+    early = F.minute("timestamp") < 30
+    first, then = (M.hourly_rollup(shaped.filter(part), sketch=REGISTERS) for part in (early, ~early))
+    united = U.upsert_summary(first, then.withColumn("step", F.lit(1)), "step")
+    report = U.campaign_performance(united, "SUMMER2024", "2024-01-05", "2024-01-25")
+    wanted = report.select("campaign_id", "summary_date", "total_events", "total_revenue", "estimated_unique_users")
+    return _near_exact(wanted, spark, sf)
+
+
 # --- data quality ----------------------------------------------------------
 
 
@@ -688,6 +713,8 @@ def point_lines(spark, sf):
 
 #: The files of a stream end in the middle of minutes and hours, so that windows span micro-batches.
 CUT = 30.5
+#: Every so many-th event of a stream with late events comes one file after its time.
+DELAYED = 7
 
 
 def _drain(start: Callable[[], object]) -> None:
@@ -790,6 +817,18 @@ def stream_upsert_folded(spark, sf):
     return SU.read_summary(spark, path)
 
 
+@query
+def stream_upsert_sketches(spark, sf):
+    """Distinct users of a day from the sketches of a streamed summary that folds by itself."""
+    path, state = shared_folder(spark, "summary"), shared_folder(spark, "state")
+    enriched = J.enrich(X.events_stream(spark, sf, CUT, DELAYED), X.demographics(spark, sf))
+    shaped = E.clean_events(E.with_business_metrics(E.with_event_categories(enriched)))
+    _drain(lambda: SU.start_upsert(shaped, path, state, "available", fold_every=2, sketch=REGISTERS))
+    report = U.campaign_performance(SU.read_summary(spark, path), "SUMMER2024", "2024-01-05", "2024-01-25")
+    wanted = report.select("campaign_id", "summary_date", "total_events", "total_revenue", "estimated_unique_users")
+    return _near_exact(wanted, spark, sf)
+
+
 @query
 def stream_dead_letter(spark, sf):
     good, bad, state = (shared_folder(spark, n) for n in ("good", "bad", "state"))
@@ -848,10 +887,6 @@ def stream_observed_metrics(spark, sf):
     return progress.select("records", *[F.round(F.col("observed")[f"quality.{n}"], 2).alias(n) for n in names])
 
 
-#: Every so many-th event of a stream with late events comes one file after its time.
-DELAYED = 7
-
-
 def _split_late(spark, sf, then=None):
     """The folder of the side table, after the whole stream; ``then`` gets the events on time, batch by batch."""
     kept, side, state = (shared_folder(spark, n) for n in ("on-time", "late", "state"))

@@ -460,6 +460,17 @@ oracle(
         group by campaign_id, date order by summary_date""",
     SUMMARY,
 )
+oracle(
+    "campaign_performance_users",
+    f"""select campaign_id, {on('date')} as summary_date, cast(sum(total_events) as bigint) as total_events,
+               {money('sum(cents)')} as total_revenue, any_value(distinct_users) as distinct_users, true as within_bound
+        from su join (select cast(event_time as date) as day, count(distinct user_id) as distinct_users
+                      from ue where campaign_id = 'SUMMER2024' group by day) x on day = date
+        where campaign_id = 'SUMMER2024' and date between date '2024-01-05' and date '2024-01-25'
+        group by campaign_id, date""",
+    SUMMARY,
+)
+oracle("stream_upsert_sketches", ORACLES["campaign_performance_users"])
 
 # --- data quality ----------------------------------------------------------
 

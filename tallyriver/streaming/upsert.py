@@ -22,26 +22,42 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyriver.operators.metrics import hourly_rollup
+from tallyriver.operators.metrics import USER_SKETCH, hourly_rollup
 from tallyriver.operators.summary import upsert_summary
 from tallyriver.schemas import EVENT_SUMMARY_SCHEMA
-from tallyriver.storage import child_names, current_folder, drop_batches, drop_old_versions, drop_path, publish
+from tallyriver.storage import (
+    child_names,
+    current_folder,
+    drop_batches,
+    drop_old_versions,
+    drop_path,
+    make_folder,
+    path_exists,
+    publish,
+)
 from tallyriver.streaming.sinks import BatchWriter, batch_folder, start_sink
 
 #: how Spark names the folder of a null partition value
 NO_DATE = "__HIVE_DEFAULT_PARTITION__"
-_DELTA_SCHEMA = T.StructType([*EVENT_SUMMARY_SCHEMA.fields, T.StructField("batch_id", T.LongType())])
+_SKETCHED_SCHEMA = T.StructType([*EVENT_SUMMARY_SCHEMA.fields, T.StructField(USER_SKETCH, T.BinaryType())])
 
 
 _FOLDS = "folder string, version bigint"
 FOLDS_KEPT = 2
 
 
-def upsert_writer(path: str, ts: str = "timestamp", fold_every: int | None = None) -> BatchWriter:
-    """Deltas of transformed events, one folder per batch; every ``fold_every`` batches they are compacted."""
+def upsert_writer(
+    path: str, ts: str = "timestamp", fold_every: int | None = None, sketch: int | None = None
+) -> BatchWriter:
+    """Deltas of transformed events, one folder per batch; every ``fold_every`` batches they are compacted.
+
+    With ``sketch`` cells carry sketches of their users (see ``hourly_rollup``), and the summary keeps them from then on.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        hourly_rollup(batch, ts).write.mode("overwrite").parquet(batch_folder(f"{path}/deltas", batch_id))
+        if sketch is not None:
+            make_folder(batch.sparkSession, f"{path}/sketches")
+        hourly_rollup(batch, ts, sketch).write.mode("overwrite").parquet(batch_folder(f"{path}/deltas", batch_id))
         if fold_every and batch_id % fold_every == fold_every - 1:
             compact_summary(batch.sparkSession, path)
 
@@ -55,8 +71,14 @@ def start_upsert(
     trigger: str = "60 seconds",
     ts: str = "timestamp",
     fold_every: int | None = None,
+    sketch: int | None = None,
 ) -> StreamingQuery:
-    return start_sink(df, upsert_writer(path, ts, fold_every), "append", trigger, checkpoint)
+    return start_sink(df, upsert_writer(path, ts, fold_every, sketch), "append", trigger, checkpoint)
+
+
+def _schema(spark: SparkSession, path: str) -> T.StructType:
+    """Columns of the summary: with sketches once a writer has kept them."""
+    return _SKETCHED_SCHEMA if path_exists(spark, f"{path}/sketches") else EVENT_SUMMARY_SCHEMA
 
 
 def _folds(spark: SparkSession, path: str) -> tuple[int | None, dict[str, int]]:
@@ -70,9 +92,10 @@ def _folds(spark: SparkSession, path: str) -> tuple[int | None, dict[str, int]]:
 
 
 def _deltas(spark: SparkSession, path: str, after: int | None, last: int | None = None) -> DataFrame:
+    schema = T.StructType([*_schema(spark, path).fields, T.StructField("batch_id", T.LongType())])
     if not child_names(spark, f"{path}/deltas"):
-        return spark.createDataFrame([], _DELTA_SCHEMA)
-    deltas = spark.read.schema(_DELTA_SCHEMA).parquet(f"{path}/deltas")
+        return spark.createDataFrame([], schema)
+    deltas = spark.read.schema(schema).parquet(f"{path}/deltas")
     if last is not None:
         deltas = deltas.filter(F.col("batch_id") <= last)
     return deltas if after is None else deltas.filter(F.col("batch_id") > after)
@@ -83,14 +106,15 @@ def read_summary(
 ) -> DataFrame:
     """The summary as of the last batch written, or as of batch ``last``, which no base may be beyond.
 
-    With ``folders`` the base is that of these dates only; all deltas count.
+    With ``folders`` the base is that of these dates only; all deltas count. Sketches of users come along if they are kept.
     """
     version, known = _folds(spark, path)
     wanted = [f"{path}/base/version={v}/{f}" for f, v in sorted(known.items()) if folders is None or f in folders]
     base = None
     if wanted:
-        found = spark.read.schema(EVENT_SUMMARY_SCHEMA).option("basePath", f"{path}/base").parquet(*wanted)
-        base = found.select(*EVENT_SUMMARY_SCHEMA.names)
+        schema = _schema(spark, path)
+        found = spark.read.schema(schema).option("basePath", f"{path}/base").parquet(*wanted)
+        base = found.select(*schema.names)
     return upsert_summary(base, _deltas(spark, path, version, last), "batch_id", literal)
 
 

@@ -5,7 +5,11 @@ from decimal import ROUND_HALF_UP, Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from tallyriver.operators import enrichment as J
+from tallyriver.operators import events as E
+from tallyriver.operators import metrics as M
 from tallyriver.operators import summary as U
 from tallyriver.schemas import EVENT_SUMMARY_SCHEMA, SUMMARY_KEYS
 from tallyriver.streaming import upsert as SU
@@ -113,3 +117,74 @@ def test_replayed_batches_count_once(spark, tmp_path, events, demographics):
 def test_empty_summary(spark, tmp_path):
     assert SU.read_summary(spark, str(tmp_path / "none")).count() == 0
     assert SU.compact_summary(spark, str(tmp_path / "none")) is None
+
+
+SKETCHED = STEP.replace(", step bigint", ", user_id int, step bigint")
+
+
+def _sketched(spark, cells, lg=12):
+    """Delta rows, one for each (campaign, step), with a sketch of the given users; None for no sketch."""
+    frame = spark.createDataFrame(
+        [(*row(c, 1, 1, 0, 0, 0), u, step) for c, step, users in cells for u in (users or [None])], SKETCHED
+    )
+    keys = [c for c in frame.columns if c != "user_id"]
+    agg = F.when(F.count("user_id") > 0, F.hll_sketch_agg("user_id", lg)).alias("user_sketch")
+    return frame.groupBy(*keys).agg(agg)
+
+
+def _estimates(summary):
+    got = U.campaign_performance(summary, "a", "2024-01-01", "2024-01-01").first()
+    return got["estimated_unique_users"]
+
+
+def test_sketches_are_united(spark):
+    target = _sketched(spark, [("a", 0, range(0, 50)), ("b", 0, range(900, 950))]).drop("step")
+    deltas = _sketched(spark, [("a", 1, range(40, 60)), ("a", 2, range(0, 70))])
+    assert _estimates(U.upsert_summary(target, deltas, "step")) == 70
+    assert _estimates(U.upsert_summary(None, deltas, "step")) == 70
+
+
+def test_a_row_without_a_sketch_leaves_no_estimate(spark):
+    old = _sketched(spark, [("a", 0, range(50))]).drop("step", "user_sketch")
+    deltas = _sketched(spark, [("a", 1, range(50))])
+    assert _estimates(U.upsert_summary(old, deltas, "step")) is None
+    assert _estimates(U.upsert_summary(None, _sketched(spark, [("a", 1, range(9)), ("a", 2, None)]), "step")) is None
+
+
+def test_sketches_of_different_sizes_unite(spark):
+    target = _sketched(spark, [("a", 0, range(0, 3000))], lg=12).drop("step")
+    deltas = _sketched(spark, [("a", 1, range(2000, 5000))], lg=10)
+    assert abs(_estimates(U.upsert_summary(target, deltas, "step")) - 5000) <= 3 * 1.04 / 2**5 * 5000
+
+
+def test_a_summary_without_sketches_stays_as_it_was(spark):
+    frame = spark.createDataFrame([(*row("a", 1, 1, 0, 0, 0), 1)], STEP)
+    merged = U.upsert_summary(None, frame, "step")
+    assert merged.columns == EVENT_SUMMARY_SCHEMA.names
+    assert "estimated_unique_users" not in U.campaign_performance(merged, "a", "2024-01-01", "2024-01-01").columns
+
+
+def test_rollup_with_sketches_has_the_same_numbers(spark, events, demographics):
+    shaped = E.with_business_metrics(E.with_event_categories(J.enrich(events, demographics)))
+    plain, sketched = M.hourly_rollup(shaped), M.hourly_rollup(shaped, sketch=10)
+    assert sketched.columns == [*plain.columns[:8], "user_sketch", *plain.columns[8:]]
+    assert plain.exceptAll(sketched.drop("user_sketch")).isEmpty()
+    assert sketched.drop("user_sketch").exceptAll(plain).isEmpty()
+    near = F.abs(F.hll_sketch_estimate("user_sketch") - F.col("unique_users")) <= 1 + F.col("unique_users") * 0.1
+    assert sketched.filter(~near).isEmpty()
+
+
+def test_a_stream_turned_to_sketches_later_says_so(spark, events, demographics, tmp_path):
+    """Cells that hold events from before have no estimate; new cells have one, also after a compaction."""
+    path = str(tmp_path / "summary")
+    shaped = E.with_business_metrics(E.with_event_categories(J.enrich(events, demographics)))
+    early = F.to_date("timestamp") <= "2024-01-10"
+    SU.upsert_writer(path)(shaped.filter(early), 0)
+    assert "user_sketch" not in SU.read_summary(spark, path).columns
+    SU.upsert_writer(path, sketch=10)(shaped.filter(~early), 1)
+    for _ in range(2):
+        old = F.col("date") <= "2024-01-10"
+        wrong = old != F.col("user_sketch").isNull()
+        summary = SU.read_summary(spark, path)
+        assert summary.filter(wrong).isEmpty() and not summary.isEmpty()
+        SU.compact_summary(spark, path)
