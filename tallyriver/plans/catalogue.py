@@ -24,6 +24,7 @@ from tallyriver.operators import summary as U
 from tallyriver.plans import fixtures as X
 from tallyriver.sinks import tables as K
 from tallyriver.sources import events as S
+from tallyriver.sources import point_store as PS
 from tallyriver.sources import tables as R
 from tallyriver.storage import read_current, shared_folder
 from tallyriver.streaming import late as SL
@@ -708,6 +709,24 @@ def point_lines(spark, sf):
     return TS.point_lines(points)
 
 
+def _point_store(spark, path):
+    PS.register(spark)
+    return spark.read.format(PS.FORMAT).load(path)
+
+
+@query
+def point_store_range(spark, sf):
+    """Points of events and of minutes written to the store, and one measurement of two days read back."""
+    path = shared_folder(spark, "points")
+    PS.register(spark)
+    events, minutes = TS.event_points(_shaped(spark, sf)), TS.metrics_points(M.minute_metrics(X.events(spark, sf)))
+    PS.by_time(events.unionByName(minutes)).write.format(PS.FORMAT).mode("append").save(path)
+    since, until = (F.lit(d).cast("timestamp") for d in ("2024-01-10", "2024-01-12"))
+    stored = _point_store(spark, path)
+    wanted = stored.filter((F.col("measurement") == "user_events") & (F.col("time") >= since) & (F.col("time") < until))
+    return _long(TS.points_long(wanted), TS.EVENT_TAGS)
+
+
 # --- streams ---------------------------------------------------------------
 
 
@@ -869,6 +888,21 @@ def stream_points(spark, sf):
     return _long(TS.points_long(spark.read.parquet(out).drop("batch_id")), TS.EVENT_TAGS)
 
 
+@query
+def stream_point_store(spark, sf):
+    """A stream of points into the store, and a second stream that reads them from it."""
+    path, out, first, second = (shared_folder(spark, n) for n in ("points", "stream", "state", "state"))
+    PS.register(spark)
+    enriched = J.enrich(X.events_stream(spark, sf, CUT), X.demographics(spark, sf))
+    shaped = E.with_business_metrics(E.with_time_features(E.with_event_categories(enriched)))
+    points = TS.event_points(E.with_quality_flags(E.clean_events(shaped)))
+    sink = points.writeStream.format(PS.FORMAT).option("path", path).option("writer", "main").option("fold_every", 2)
+    _drain(lambda: sink.option("checkpointLocation", first).trigger(availableNow=True).start())
+    stored = spark.readStream.format(PS.FORMAT).load(path)
+    _drain(lambda: SK.start_sink(stored, SK.parquet_writer(out), "append", "available", second))
+    return _long(TS.points_long(spark.read.parquet(out).drop("batch_id")), TS.EVENT_TAGS)
+
+
 @query
 def stream_observed_metrics(spark, sf):
     """Rows, nulls and revenue of every batch, observed while it runs."""

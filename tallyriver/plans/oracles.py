@@ -704,6 +704,12 @@ oracle(
 oracle("stream_event_points", ORACLES["point_lines"])
 oracle("stream_batch_metrics", "select cast(count(*) as bigint) as records, true as has_rate from events")
 oracle("stream_points", ORACLES["event_points"])
+oracle("stream_point_store", ORACLES["event_points"])
+oracle(
+    "point_store_range",
+    f"select * from ({EVENT_LONG}) x where time >= '2024-01-10' and time < '2024-01-12'",
+    SHAPED,
+)
 oracle(
     "stream_observed_metrics",
     """select count(*) as records, cast(count(*) as double) as rows,
