@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import time
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
@@ -40,6 +41,7 @@ import pyarrow.compute as pc
 import pyarrow.dataset as ds
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import datasource as DS
 from pyspark.sql.types import StructType
@@ -54,7 +56,11 @@ FOLD_EVERY = 100
 
 
 def register(spark: SparkSession) -> None:
-    """Make the format known to the session and let filters reach it."""
+    """Make the format known to the session and let filters reach it.
+
+    The code of this module travels with it, so that workers need not have the library.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(PointSource)
 
