@@ -1,6 +1,8 @@
 """Nearest neighbours: exactness of what is found, recall, hot leaves. URLs: rules by hand, models, edges."""
 
 import math
+import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -216,3 +218,79 @@ def test_scaling_by_powers_of_two_changes_no_score():
     rows, query = rng.standard_normal((500, 24)), rng.standard_normal(24)
     plain = (rows * query).sum(axis=1) / (np.sqrt((rows * rows).sum(axis=1)) * np.sqrt((query * query).sum()))
     assert np.array_equal(neighbours.cosines(rows, query), plain)
+
+
+def _plain_scores(rows, verdict_of):
+    """Scores and verdicts of (id, url) rows by the model's definition, in dictionaries: one n-gram after the other."""
+    depth = urls.DEPTH
+    spelled = [urls.START * depth + (u or "") + urls.END for _, u in rows]
+    places = [_by_hand(u)[:2] for _, u in rows]
+    known = [verdict_of(*place) for place in places]
+    held = [zlib.crc32("".join(place).encode()) % urls.HELD_OUT_FOLDS == 0 for place in places]
+
+    def grams(text):
+        return [text[i : i + depth + 1] for i in range(len(text) - depth)]
+
+    seen = {"allow": Counter(), "block": Counter()}
+    letters = set()
+    for text, verdict, out in zip(spelled, known, held):
+        for gram in grams(text):
+            letters.add(gram[-1])
+            if verdict and not out:
+                for n in range(depth + 1):
+                    seen[verdict][gram[depth - n :]] += 1
+    totals = {v: sum(c for g, c in seen[v].items() if len(g) == 1) for v in seen}
+    weight = {v: sum(totals.values()) / (2 * totals[v]) for v in seen}
+    after = defaultdict(set)
+    for counts in seen.values():
+        for gram in counts:
+            after[gram[:-1]].add(gram)
+
+    def probability(verdict, gram):
+        shorter = probability(verdict, gram[1:]) if len(gram) > 1 else 1 / len(letters)
+        kinds = after.get(gram[:-1], ())
+        if not kinds:
+            return shorter
+        all_ = sum(seen[verdict][g] for g in kinds) * weight[verdict]
+        return (seen[verdict][gram] * weight[verdict] + len(kinds) * shorter) / (all_ + len(kinds))
+
+    ratio = {g: math.log(probability("block", g) / probability("allow", g)) for t in spelled for g in grams(t)}
+    scores = [sum(ratio[g] for g in grams(t)) / len(grams(t)) for t in spelled]
+    judged = [(s, k) for s, k, out in zip(scores, known, held) if k and out]
+
+    def loss(border):
+        def share(verdict, wrong):
+            cells = [max(-urls.BINS, min(urls.BINS, math.floor(s / urls.BIN))) for s, k in judged if k == verdict]
+            return sum(wrong(c) for c in cells) / len(cells)
+
+        return share("allow", lambda c: c >= border) + share("block", lambda c: c < border)
+
+    threshold = 0.0
+    # without unseen urls of both kinds there is nothing to calibrate on
+    if {k for _, k in judged} == {"allow", "block"}:
+        threshold = min(range(-urls.BINS, urls.BINS + 1), key=lambda b: (loss(b), abs(b), b)) * urls.BIN
+    return [(s, k or ("block" if s > threshold else "allow")) for s, k in zip(scores, known)]
+
+
+def _against_plain(spark, rows, rules):
+    def verdict_of(host, path):
+        fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+        return max(fits, key=lambda r: len(r.host + r.path)).verdict if fits else None
+
+    wanted = sorted(((n, v, s) for (n, _), (s, v) in zip(rows, _plain_scores(rows, verdict_of))))
+    frame = spark.createDataFrame(rows, "page_id bigint, url string").repartition(3)
+    got = sorted((r["page_id"], r["verdict"], r["score"]) for r in urls.filter_urls(frame, rules).collect())
+    assert [g[:2] for g in got] == [w[:2] for w in wanted]
+    assert all(abs(g[2] - w[2]) < 1e-9 for g, w in zip(got, wanted))
+
+
+def test_scores_and_verdicts_of_all_pages_against_a_plain_scorer(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url").collect()
+    _against_plain(spark, [tuple(r) for r in pages], URL_RULES)
+
+
+def test_scores_of_repeated_null_and_foreign_urls_against_a_plain_scorer(spark):
+    rules = [urls.Rule("allow", "good.test", "/"), urls.Rule("block", "bad.test", "/")]
+    texts = [f"http://good.test/news/{n}" for n in range(25)] + [f"http://bad.test/win/{n}?cash" for n in range(15)]
+    texts += [None, "", "no scheme", "ftp://other.test/news", "http://other.test/win/é😀"] + texts[:3] * 4
+    _against_plain(spark, list(enumerate(texts)), rules)
