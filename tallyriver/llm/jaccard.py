@@ -4,10 +4,12 @@
    number of hash buckets. The bucket loads give the global order: shingles of crowded buckets come last.
 2. Every class sends the first shingles of its ordered set. A partner may miss ``spare`` of them at most, and twice
    as many and one are sent, so a class stays a candidate only while at least ``spare`` of its shingles are met by
-   other candidates. Candidates that meet at a shingle are joined to a star; connected stars are candidate groups.
-3. The full sets of each group are stored in a trie. Every set walks the trie, sharing the overlap counted on
-   common paths; subtrees that cannot reach the needed overlap by their remaining lengths are cut, and so are
-   subtrees whose sets are all linked with the walking set already.
+   other candidates. Linked sets lie in one band of sizes or in neighbouring ones, so what remains meets by band: a
+   class is at home in its own and a guest in the band below, and guests count only where they meet one at home.
+   Candidates of a band that meet at a shingle are joined to a star; connected stars are candidate groups.
+3. The full sets of each group's home classes are stored in a trie. Every set walks the trie, sharing the overlap
+   counted on common paths; subtrees that cannot reach the needed overlap by their remaining lengths are cut, and so
+   are subtrees whose sets are all linked with the walking set already.
 
 Links are exact for the hashed shingles (64 bits). Copies are never expanded into pairs.
 """
@@ -32,6 +34,9 @@ GROUP_TOKENS = 4_000_000
 #: From this place on (twice the mean load) a shingle's classes are dealt out in parts.
 CROWDED = 4
 REFINEMENTS = 2
+#: Bands grow by a quarter at least, so that their number stays small for high percentages, too.
+WIDEST_BAND = 80
+LARGEST_SET = 1 << 40
 
 
 def class_name(shingles: np.ndarray) -> int:
@@ -50,6 +55,14 @@ def _needed(size: int, percent: int) -> int:
     return -(-size * percent // 100)
 
 
+def band_edges(percent: int) -> list[int]:
+    """Least sizes of the bands: sets of one band link with sets of the same band and its neighbours alone."""
+    edges, step = [1], min(percent, WIDEST_BAND)
+    while edges[-1] < LARGEST_SET:
+        edges.append(max(edges[-1] + 1, -(-100 * edges[-1] // step)))
+    return edges
+
+
 def _sets_pass(size: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loads, seen = np.zeros(buckets, np.int64), set()
@@ -134,7 +147,7 @@ class _Node:
 
 
 class Trie:
-    """Sets of one candidate group; ``link`` joins a set with all earlier ones, then stores it."""
+    """Sets of one candidate group; ``link`` joins a set with all stored ones, then stores it if it is to meet others."""
 
     def __init__(self, vocabulary: int, percent: int):
         self.percent = percent
@@ -151,7 +164,7 @@ class Trie:
     def overlap_needed(self, a: int, b: int) -> int:
         return -(-self.percent * (a + b) // (100 + self.percent))
 
-    def link(self, tokens: np.ndarray, size: int) -> None:
+    def link(self, tokens: np.ndarray, size: int, store: bool = True) -> None:
         """``tokens``: the set's shared shingles in trie order; ``size``: the whole set's size."""
         me = len(self.parent)
         self.parent.append(me)
@@ -174,7 +187,8 @@ class Trie:
                     self.parent[self.find(me)] = self.find(other)
             stack.extend((child, shared) for child in node.children.values())
         self.mask[tokens] = False
-        self._store(tokens, size, me)
+        if store:
+            self._store(tokens, size, me)
 
     def _store(self, tokens: np.ndarray, size: int, me: int) -> None:
         level, at = self.roots, 0
@@ -203,31 +217,41 @@ class Trie:
             level = node.children
 
 
-def linked(names: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """(name, smallest linked name) of one group of distinct sets; sets without links are left out."""
+def linked(
+    names: list[int], sets: list[np.ndarray], percent: int, homes: list[bool] | None = None
+) -> list[tuple[int, int]]:
+    """(name, smallest linked name) of one group of distinct sets; sets without links are left out.
+
+    Two guests (sets not at home) are not compared with each other.
+    """
     known, codes, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     # trie order: shingles of many sets first, so that similar sets share long paths
     rank = np.empty(len(known), np.int32)
     rank[np.argsort(-counts, kind="stable")] = np.arange(len(known), dtype=np.int32)
     vocabulary = int(np.count_nonzero(counts > 1))
-    trie, ranks, at, order = Trie(max(vocabulary, 1), percent), rank[codes], 0, []
-    for name, shingles in zip(names, sets):
-        mine = np.sort(ranks[at : at + len(shingles)])
-        at += len(shingles)
-        trie.link(mine[: np.searchsorted(mine, vocabulary)], len(shingles))
-        order.append(name)
+    trie, ranks = Trie(max(vocabulary, 1), percent), rank[codes]
+    ends = np.cumsum([len(shingles) for shingles in sets])
+    at_home = np.ones(len(sets), bool) if homes is None else np.array(homes, bool)
+    order = np.argsort(~at_home, kind="stable")
+    for i in order:
+        mine = np.sort(ranks[ends[i] - len(sets[i]) : ends[i]])
+        trie.link(mine[: np.searchsorted(mine, vocabulary)], len(sets[i]), store=bool(at_home[i]))
     least: dict[int, int] = {}
-    for i, name in enumerate(order):
+    for i, at in enumerate(order):
         root = trie.find(i)
-        least[root] = min(least.get(root, name), name)
-    return [(name, least[trie.find(i)]) for i, name in enumerate(order) if least[trie.find(i)] != name]
-
-
-def _met(rows: DataFrame) -> DataFrame:
-    """Rows ``token, place, class, part`` whose token another class has too; crowded tokens are taken to have one."""
-    dealt = rows.repartition("token", "part").dropDuplicates(["token", "part", "place", "class"])
-    both = dealt.withColumns({f: F.expr(f"{f}(class) over (partition by token, part)") for f in ("min", "max")})
-    kept = both.filter((F.col("place") >= CROWDED) | F.expr("min <> max")).select("token", "part", "place", "class")
+        least[root] = min(least.get(root, names[at]), names[at])
+    return [(names[at], least[trie.find(i)]) for i, at in enumerate(order) if least[trie.find(i)] != names[at]]
+
+
+def _met(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows whose shingle (``keys``) another class has too, one of them at home; crowded shingles are taken to have one."""
+    over = f"over (partition by {', '.join(keys)})"
+    both = rows.repartition(*keys).dropDuplicates([*keys, "place", "class"])
+    both = both.withColumns({f: F.expr(f"{f}(class) {over}") for f in ("min", "max")})
+    shared = F.expr("min <> max")
+    if "home" in rows.columns:
+        both, shared = both.withColumn("met", F.expr(f"max(home) {over}")), shared & F.col("met")
+    kept = both.filter((F.col("place") >= CROWDED) | shared).select(rows.columns)
     path = shared_folder(rows.sparkSession, "met")
     kept.write.parquet(path)
     return rows.sparkSession.read.schema(kept.schema).parquet(path)
@@ -246,8 +270,8 @@ def _set_pass(size: int):
                     tokens.append(shingles.tobytes())
             part = batch.take(pa.array(keep, pa.int64()))
             yield pa.record_batch(
-                [part.column("group"), part.column("blocks"), part.column("class"), pa.array(tokens, pa.binary())],
-                names=["group", "blocks", "class", "tokens"],
+                [part.column("targets"), part.column("class"), pa.array(tokens, pa.binary())],
+                names=["targets", "class", "tokens"],
             )
 
     return run
@@ -260,18 +284,19 @@ def _trie_pass(percent: int):
         key, sets = None, {}
 
         def links() -> pa.RecordBatch:
-            found = linked(list(sets), list(sets.values()), percent) if len(sets) > 1 else []
+            names, homes = list(sets), [home for home, _ in sets.values()]
+            found = linked(names, [tokens for _, tokens in sets.values()], percent, homes) if len(sets) > 1 else []
             columns = list(zip(*found)) or [(), ()]
             return pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
 
         for batch in batches:
-            rows = zip(*[batch.column(c).to_pylist() for c in ("group", "pair", "class", "tokens")])
-            for group, pair, name, tokens in rows:
+            rows = zip(*[batch.column(c).to_pylist() for c in ("group", "pair", "class", "home", "tokens")])
+            for group, pair, name, home, tokens in rows:
                 if (group, pair) != key:
                     if sets:
                         yield links()
                     key, sets = (group, pair), {}
-                sets[name] = np.frombuffer(tokens, np.uint64)
+                sets[name] = (home or name in sets and sets[name][0], np.frombuffer(tokens, np.uint64))
         if sets:
             yield links()
 
@@ -318,32 +343,43 @@ def jaccard_components(
     # a crowded shingle's classes meet in parts, one for each multiple of the mean load, and the parts meet again
     prefixes = source.select("text").mapInArrow(_prefix_pass(size, percent, order), "token bigint, place smallint, class bigint")
     parts = F.when(F.col("place") >= CROWDED, F.ceil(F.pow(F.lit(2.0), F.col("place") / 4))).otherwise(F.lit(1))
-    met = _met(prefixes.withColumn("part", F.pmod(F.xxhash64("class"), parts)))
-    spare = F.col("n") - F.ceil(F.col("n") * percent / 100)
-    needs = classes.groupBy("class").agg(F.min("n").alias("n")).select("class", F.greatest(F.lit(1), spare).alias("spare"))
-    for _ in range(REFINEMENTS):
-        counts = met.groupBy("class").agg(F.count(F.lit(1)).alias("k")).join(needs, "class")
-        met = _met(met.join(counts.filter("k >= spare").select("class"), "class", "left_semi"))
-    met = met.withColumn("head", F.expr("min(class) over (partition by token, part)"))
-    heads = met.filter((F.col("place") >= CROWDED) & F.expr("class = head")).select("token", "head")
-    tops = heads.groupBy("token").agg(F.min("head").alias("top"))
-    stars = met.filter("class <> head").select(F.col("class").alias("a"), F.col("head").alias("b"))
-    stars = stars.union(heads.join(tops, "token").filter("head <> top").select(F.col("head"), F.col("top")))
-    groups = components(stars.distinct()).select(F.col("node").alias("class"), F.col("root").alias("group"))
-
-    called = classes.groupBy("class").agg(F.min("id").alias("id"), F.min("n").alias("n")).join(groups, "class")
-    totals = called.groupBy("group").agg(F.ceil(F.sum("n") / group_tokens).cast("int").alias("blocks"))
-    called = called.join(totals, "group").select("id", "class", "group", "blocks")
+    met = _met(prefixes.withColumn("part", F.pmod(F.xxhash64("class"), parts)), "token", "part")
+    spare = F.greatest(F.lit(1), F.col("n") - F.ceil(F.col("n") * percent / 100))
+    band = F.size(F.filter(F.lit(band_edges(percent)), lambda edge: edge <= F.col("n"))).cast("smallint")
+    sized = classes.groupBy("class").agg(F.min("id").alias("id"), F.min("n").alias("n"))
+    needs = sized.select("class", spare.alias("spare"), band.alias("own"))
+    able = met.groupBy("class").agg(F.count(F.lit(1)).alias("k")).join(needs, "class").filter("k >= spare")
+    met = met.join(able.select("class", "own"), "class").withColumn("band", F.explode(F.array(F.col("own"), F.expr("own - 1S"))))
+    met = _met(met.withColumn("home", F.expr("band = own")).drop("own"), "token", "part", "band")
+    for _ in range(REFINEMENTS - 1):
+        counts = met.groupBy("class", "band").agg(F.count(F.lit(1)).alias("k")).join(needs, "class")
+        met = met.join(counts.filter("k >= spare").select("class", "band"), ["class", "band"], "left_semi")
+        met = _met(met, "token", "part", "band")
+    met = met.withColumn("unit", F.xxhash64("class", "band"))
+    over = "over (partition by token, part, band)"
+    head = F.expr(f"coalesce(min(case when home then unit end) {over}, min(unit) {over})")
+    met = met.withColumn("head", head)
+    heads = met.filter((F.col("place") >= CROWDED) & F.expr("unit = head")).select("token", "band", "head")
+    tops = heads.groupBy("token", "band").agg(F.min("head").alias("top"))
+    stars = met.filter("unit <> head").select(F.col("unit").alias("a"), F.col("head").alias("b"))
+    stars = stars.union(heads.join(tops, ["token", "band"]).filter("head <> top").select(F.col("head"), F.col("top")))
+    groups = components(stars.distinct()).select(F.col("node").alias("unit"), F.col("root").alias("group"))
+
+    members = met.select("unit", "class", "home").distinct().join(groups, "unit").join(sized, "class")
+    totals = members.groupBy("group").agg(F.ceil(F.sum("n") / group_tokens).cast("int").alias("blocks"))
+    target = F.struct("group", "blocks", "home")
+    called = members.join(totals, "group").groupBy("class").agg(F.min("id").alias("id"), F.collect_list(target).alias("targets"))
     texts = source.alias("s").join(called.alias("c"), F.col("s.id").eqNullSafe(F.col("c.id")))
-    texts = texts.select("text", "class", "group", "blocks")
-    sets = texts.mapInArrow(_set_pass(size), "group bigint, blocks int, class bigint, tokens binary")
+    texts = texts.select("text", "class", "targets")
+    fields = "targets array<struct<group: bigint, blocks: int, home: boolean>>, class bigint, tokens binary"
+    sets = texts.mapInArrow(_set_pass(size), fields).select(F.inline("targets"), "class", "tokens")
 
     block = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
     pairs = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda other: F.least(block, other) * F.col("blocks") + F.greatest(block, other),
     )
-    meeting = sets.withColumn("pair", F.explode(pairs)).select("group", "pair", "class", "tokens")
+    meeting = sets.withColumn("pair", F.explode(pairs)).select("group", "pair", "class", "home", "tokens")
     meeting = meeting.repartition("group", "pair").sortWithinPartitions("group", "pair")
     links = components(meeting.mapInArrow(_trie_pass(percent), "a bigint, b bigint"))
 

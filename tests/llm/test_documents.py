@@ -92,7 +92,7 @@ def test_line_dedup_by_hand(spark, frame, edges, options):
 # --- Jaccard join -------------------------------------------------------------
 
 
-def _components_by_hand(rows):
+def _components_by_hand(rows, percent=80):
     def shingles(text):
         words = (text or "").encode().lower().split()
         if len(words) < 5:
@@ -110,7 +110,7 @@ def _components_by_hand(rows):
     for i in range(len(rows)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if both and 100 * both >= 80 * len(sets[i] | sets[j]):
+            if both and 100 * both >= percent * len(sets[i] | sets[j]):
                 parent[find(i)] = find(j)
     out = []
     for i, (doc, _) in enumerate(rows):
@@ -143,6 +143,33 @@ def test_jaccard_by_hand(spark, frame, edges, options):
     assert jaccard.jaccard_components(frame([])).count() == 0
 
 
+@pytest.mark.parametrize("percent", [1, 55, 80, 99, 100])
+def test_linked_sizes_lie_in_neighbouring_bands(percent):
+    edges = np.array(jaccard.band_edges(percent))
+    assert (np.diff(edges) > 0).all() and len(edges) < 200
+    sizes = np.arange(1, 5000)
+    largest = np.minimum(sizes * 100 // percent, jaccard.LARGEST_SET - 1)
+    own, far = (np.searchsorted(edges, x, side="right") for x in (sizes, largest))
+    assert (far - own <= 1).all()
+
+
+@pytest.mark.parametrize("percent", [50, 80, 100])
+def test_jaccard_links_sets_of_neighbouring_bands(spark, frame, percent):
+    """Sequences of growing length over three vocabularies: a link where one is just long enough for the next."""
+    sizes = [4, 5, 6, 8, 10, 13, 16, 20, 25, 31, 32, 40, 50, 62, 63, 64, 80, 100, 101, 126, 157, 200, 251]
+    texts = [" ".join(f"{name}{i}" for i in range(n + 4)) for name in "abc" for n in sizes[ord(name) % 3 :: 2]]
+    rows = list(enumerate(texts))
+    found = jaccard.jaccard_components(frame(rows), percent=percent)
+    mine = sorted([(r["doc_id"], r["n_shingles"], r["component_id"]) for r in found.collect()], key=str)
+    assert mine == _components_by_hand(rows, percent)
+
+
+def test_guests_meet_home_sets_alone():
+    sets = [np.arange(start, start + 20, dtype=np.uint64) for start in (0, 1, 2, 100, 101)]
+    assert sorted(jaccard.linked([5, 6, 7, 8, 9], sets, 80, [False, True, False, False, False])) == [(6, 5), (7, 5)]
+    assert sorted(jaccard.linked([5, 6, 7, 8, 9], sets, 80)) == [(6, 5), (7, 5), (9, 8)]
+
+
 def test_trie_finds_every_link_at_the_border():
     random_ = random.Random(4)
     sets = []
