@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyriver.schemas import DEMOGRAPHICS_SCHEMA
 
+#: Longer lists of ids are joined, not written into the plan.
+MAX_LITERALS = 500
+
 
 def jdbc_options(
     url: str,
@@ -56,16 +60,19 @@ def read_query(spark: SparkSession, options: Mapping[str, str], sql: str) -> Dat
 def lookup_by_ids(df: DataFrame, ids: Sequence | DataFrame, column: str = "id") -> DataFrame:
     """Rows whose id is among ``ids``: a list, or a frame whose first column holds them.
 
-    Ids are cast to the column's type; what cannot be cast matches nothing. A
-    list of any length becomes a filter, which reaches the scan.
+    Ids are cast to the column's type; what cannot be cast matches nothing. A list of up to ``MAX_LITERALS`` ids
+    becomes a filter, which reaches the scan; a longer one becomes a frame and a semi-join.
     """
     data_type = df.schema[column].dataType
-    if isinstance(ids, DataFrame):
-        wanted = ids.select(F.col(ids.columns[0]).try_cast(data_type).alias(column)).distinct()
-        return df.join(wanted, column, "left_semi")
-    if not ids:
-        return df.filter(F.lit(False))
-    return df.filter(F.col(column).isin(*[F.lit(None if i is None else str(i)).try_cast(data_type) for i in ids]))
+    if not isinstance(ids, DataFrame):
+        texts = [None if i is None else str(i) for i in ids]
+        if not texts:
+            return df.filter(F.lit(False))
+        if len(texts) <= MAX_LITERALS:
+            return df.filter(F.col(column).isin(*[F.lit(t).try_cast(data_type) for t in texts]))
+        ids = df.sparkSession.createDataFrame(pa.table({"id": pa.array(texts, pa.string())}))
+    wanted = ids.select(F.col(ids.columns[0]).try_cast(data_type).alias("wanted__")).distinct()
+    return df.join(wanted, df[column] == wanted["wanted__"], "left_semi")
 
 
 def table_stats(df: DataFrame) -> DataFrame:

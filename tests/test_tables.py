@@ -88,6 +88,15 @@ def test_lookup_filter_reaches_the_scan(spark, tmp_path):
     assert "In(id, [3,4])" in plan._jdf.queryExecution().executedPlan().toString()
 
 
+def test_long_lists_of_ids_are_joined(spark):
+    rows = spark.range(3000).selectExpr("id % 7 as other", "id")
+    ids = [*range(R.MAX_LITERALS), 5, "x", None, 2999]
+    found = R.lookup_by_ids(rows, ids)
+    assert found.columns == rows.columns == R.lookup_by_ids(rows, ids[:3]).columns
+    assert sorted(r.id for r in found.collect()) == [*range(R.MAX_LITERALS), 2999]
+    assert " IN (" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_csv_keeps_nulls_and_types(spark, tmp_path):
     path = csv(tmp_path, ["1,30,,S,US,2023-01-01,,", "x,abc,Male,S,US,nodate,<30k,2024-01-01"])
     rows = R.read_demographics_csv(spark, path).collect()
