@@ -1,5 +1,6 @@
 """Streams against batch, late events, restarts and run control."""
 
+import tempfile
 import time
 from datetime import datetime, timedelta
 
@@ -64,6 +65,41 @@ def test_update_mode_equals_batch(spark, events, slices, tmp_path):
     assert rows_of(got) == rows_of(M.minute_metrics(events, "1 day"))
 
 
+def test_state_in_rocksdb_equals_batch(spark, events, slices, tmp_path):
+    SS.use_rocksdb(spark)
+    try:
+        writer = SM.complete_writer(M.merge_minute_partials, SK.latest_writer(str(tmp_path / "out")))
+        query = run(M.minute_partials(SK.with_watermark(slices()), buckets=4), writer, "complete", tmp_path / "c")
+    finally:
+        spark.conf.unset(SS.STATE_PROVIDER)
+    metrics = [o["customMetrics"] for p in query.recentProgress for o in p["stateOperators"]]
+    assert metrics and all(any(name.startswith("rocksdb") for name in m) for m in metrics)
+    assert rows_of(read_current(spark, str(tmp_path / "out"))) == rows_of(M.minute_metrics(events))
+
+
+def test_stream_of_points_to_a_store(spark, events, slices, tmp_path):
+    folder = tmp_path / "store"
+    folder.mkdir()
+
+    class Store:
+        def __init__(self):
+            self.file = tempfile.NamedTemporaryFile("w", dir=str(folder), delete=False)
+
+        def write(self, lines):
+            self.file.write("".join(line + "\n" for line in lines))
+
+        def close(self):
+            self.file.close()
+
+    def points(df):
+        return TS.to_points(df, "m", ["event_type"], ["units", "total_amount"], "timestamp")
+
+    run(points(slices()), SK.point_writer(Store, 100), "append", tmp_path / "c")
+    written = [line.rstrip("\n") for path in folder.iterdir() for line in path.open()]
+    assert sorted(written) == sorted(r.line for r in TS.point_lines(points(events)).collect())
+    assert len(list(folder.iterdir())) >= 3
+
+
 def test_campaigns_with_a_null_key(spark, events, demographics, slices, tmp_path):
     parts, out = str(tmp_path / "parts"), str(tmp_path / "out")
     writer = SM.update_writer(parts, M.CAMPAIGN_KEYS, M.merge_campaign_partials, SK.parquet_writer(out))
