@@ -3,10 +3,13 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
+from tallyriver.functions.columns import campaign_type
 from tallyriver.operators import dimension as D
 from tallyriver.operators import quality as Q
 from tallyriver.operators.metrics import aggregate
+from tallyriver.schemas import CAMPAIGN_TYPES, PRODUCT_STATUSES, PRODUCTS_SCHEMA
 
 USER = "id int, age int, gender string, state string, country string"
 GOOD = [(1, 30, "Male", "CA", "US"), (2, 120, "Female", None, "US"), (3, 1, "Other", "x", "DE")]
@@ -125,3 +128,14 @@ def test_an_amount_beyond_money_is_a_dead_letter_and_no_failure(spark):
     events = spark.sql("select timestamp'2024-01-01' as timestamp, 'purchase' as event_type, 1 as user_id, x as total_amount from values (1e30D), (5D) v(x)")
     row = M.minute_metrics(events).first()
     assert (row.event_count, row.total_revenue, row.avg_amount) == (2, 5.0, 5.0)
+
+
+def test_values_outside_the_enumerations(spark):
+    products = spark.createDataFrame(
+        [(str(i), "n", None, None, None, None, None, None, status) for i, status in enumerate([*PRODUCT_STATUSES, "sold", "Active", None])],
+        PRODUCTS_SCHEMA,
+    )
+    assert sorted(r.status for r in Q.allowed_values(products, "status", PRODUCT_STATUSES).collect()) == ["Active", "sold"]
+    campaigns = spark.createDataFrame([("SUMMER_1",), ("CYBER_2",), ("other",), (None,)], "campaign_id string")
+    kinds = campaigns.select(campaign_type(F.col("campaign_id")).alias("kind"))
+    assert Q.allowed_values(kinds, "kind", CAMPAIGN_TYPES).count() == 0 and kinds.distinct().count() == len(CAMPAIGN_TYPES)
