@@ -389,3 +389,34 @@ def test_many_equal_rows_of_one_turn(spark):
     rows = spark.range(3000).selectExpr("1L as conv_id", "7L as turn", "'user' as role", "'Hi.' as text")
     (row,) = repair_conversations(rows, block_rows=100).collect()
     assert (row["duplicate"], row["illegal"], row["audit"]) == (2999, 2999, "D" * 3000)
+
+
+def test_a_group_of_texts_takes_little_memory():
+    """A group's arrays are small beside a worker's share of an executor, however many texts a batch holds."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    texts = [" ".join(f"w{n}" for n in rng.zipf(1.3, 30_000) % 1_000_000) for _ in range(130)]
+    batch = pa.record_batch([pa.array(texts)], names=["text"])
+    assert batch.nbytes > 9 << 20
+    tracemalloc.start()
+    try:
+        rows = sum(b.num_rows for b in lm._count_pass(3)(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows >= 3 and peak < 96 << 20
+
+
+def test_look_ups_do_not_depend_on_their_parts(monkeypatch):
+    hashes = np.arange(1, 5001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    counts = np.arange(5000) % 9 + 1
+    bits = lm.filter_bits(hashes, counts)
+    filters = lm.Filters([len(bits)], bits.tobytes())
+    shard = np.zeros(len(hashes), np.int64)
+    whole = filters.levels(hashes, shard)
+    monkeypatch.setattr(lm, "LOOKUP", 7)
+    assert (filters.levels(hashes, shard) == whole).all() and (whole >= lm.levels_of(counts)).all()
+    assert len(filters.levels(hashes[:0], shard[:0])) == 0
