@@ -50,7 +50,7 @@ from tallyriver.schemas import POINT_SCHEMA
 
 FORMAT = "points"
 ROWS_PER_FILE = 1_000_000
-ROWS_PER_PARTITION = 1_000_000
+ROWS_PER_PARTITION = 200_000
 BATCH_ROWS = 16_384
 FOLD_EVERY = 100
 

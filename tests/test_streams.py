@@ -547,3 +547,25 @@ def test_windows_and_side_table_add_up(spark, tmp_path):
     newest = spark.read.parquet(out).groupBy("window_start").agg(F.max_by("event_count", "batch_id").alias("n"))
     windows = newest.agg(F.sum("n")).first()[0]
     assert (windows, SL.read_late(spark, path).count()) == (7, 5)
+
+
+def test_large_parts_of_a_stream_are_read_by_several_tasks(spark, sf_dir, tmp_path, monkeypatch):
+    """The same micro-batches as from one file for each part, also where events are too few for the files."""
+    from tallyriver.plans import fixtures as X
+
+    def batches(folder, stream):
+        out = str(tmp_path / folder)
+        run(stream, SK.parquet_writer(out), "append", tmp_path / f"{folder}-c")
+        return rows_of(spark.read.parquet(out).select("batch_id", "event_id", "timestamp", "user_id"))
+
+    whole = batches("one", X.events_stream(spark, sf_dir, 30.5, 7))
+    monkeypatch.setattr(X, "ROWS_PER_FILE", 40)
+    wide = X.events_stream(spark, sf_dir, 30.5, 7)
+    assert batches("many", wide) == whole and {r[0] for r in whole} == set(range(X.FILES))
+    files = len(spark.read.parquet(X.event_files(spark, sf_dir)).inputFiles())
+    assert files > X.FILES and files % X.FILES == 0
+    raw = X.table(spark, sf_dir, "events").limit(3)
+    raw.write.parquet(str(tmp_path / "few" / "events.parquet"))
+    monkeypatch.setattr(X, "ROWS_PER_FILE", 1)
+    few = batches("few-out", X.events_stream(spark, str(tmp_path / "few")))
+    assert len(few) == 3
