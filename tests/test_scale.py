@@ -208,3 +208,16 @@ def test_ranking_is_spread_by_range(spark):
         assert len(folder) >= 3
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_sliding_windows_repeat_no_users(spark, skewed):
+    """What is repeated for the windows are panes of all users, and a user of several panes counts once."""
+    text = plan(M.minute_metrics(skewed, "60 seconds", "10 seconds"))
+    assert "user_id" not in text[: text.index("Generate explode")]
+    times = [0, 1, 10, 55, 60, 200]
+    rows = [(i, START + timedelta(seconds=t), user, "click", 1.0) for i, (t, user) in enumerate((t, u) for t in times for u in (7, None))]
+    few = spark.createDataFrame(rows, "event_id bigint, timestamp timestamp, user_id int, event_type string, total_amount double")
+    got = {r.window_start: (r.event_count, r.unique_users) for r in M.minute_metrics(few, "60 seconds", "10 seconds").collect()}
+    starts = [START + timedelta(seconds=s) for s in range(-50, 201, 10)]
+    inside = {s: sum(s <= START + timedelta(seconds=t) < s + timedelta(seconds=60) for t in times) for s in starts}
+    assert got == {s: (2 * n, 1) for s, n in inside.items() if n}
