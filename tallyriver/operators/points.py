@@ -14,6 +14,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyriver.functions.columns import as_moment
+from tallyriver.storage import shared_folder
+
+#: Sets of tags and fields whose bounds are sent to all tasks at once, of some 1 KB each.
+BROADCAST_BOUNDS = 50_000
 
 # Measurements, tags and fields of the points.
 EVENT_TAGS = (
@@ -213,22 +217,110 @@ def merge_points(long: DataFrame, order: str) -> DataFrame:
     )
 
 
+def _in_range(df: DataFrame, start: str, measurement: str, as_of) -> DataFrame:
+    since = as_moment(as_of) - F.expr(f"interval {start}")
+    return df.filter((F.col("time") >= since) & (F.col("measurement") == measurement))
+
+
+def _stored(df: DataFrame, purpose: str) -> DataFrame:
+    folder = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
+def _no_later_than(rows: DataFrame, keys: Sequence[str], value: str, n: int) -> DataFrame:
+    """A ``__bound`` for each key that at least ``n`` of its rows do not exceed, and few more; none for keys of few rows.
+
+    Rows are dealt out at random into twice as many buckets as are wanted. The least values of the buckets are those of
+    different rows, so ``n`` rows do not exceed the ``n``-th of them: some 1.4 ``n`` rows, and those equal to it.
+    Tasks keep one row of such values for each key and ten rows wanted, and sort nothing.
+    """
+    taken = max(1, min(n, 10))
+    groups = -(-n // taken)
+    group, bucket = F.floor(F.rand(1) * groups), F.floor(F.rand(2) * 2 * taken)
+    dealt = rows.select(*keys, F.col(value).alias("__value"), group.alias("__group"), bucket.alias("__bucket"))
+    least = F.array(*[F.min(F.when(F.col("__bucket") == b, F.col("__value"))) for b in range(2 * taken)])
+    return (
+        dealt.groupBy(*keys, "__group")
+        .agg(F.get(F.sort_array(F.array_compact(least)), F.lit(taken - 1)).alias("__bound"))
+        .groupBy(*keys)
+        .agg(F.max("__bound").alias("__bound"), F.count("__bound").alias("__groups"))
+        .filter(F.col("__groups") == groups)
+        .drop("__groups")
+    )
+
+
+def first_points(
+    points: DataFrame, start: str, measurement: str, n: int, as_of, broadcast_rows: int = BROADCAST_BOUNDS
+) -> DataFrame:
+    """The points, with the values, that :func:`read_points` takes and few others, before their long form is made.
+
+    A point goes if ``n`` points with its tags and its fields are earlier, as each of its values then comes after
+    ``n`` others of its series. In the last second kept, a number goes if ``n`` of its field are smaller; texts and
+    equal numbers stay. The points are evaluated twice, so ``as_of`` is a fixed moment, the same as for
+    :func:`read_points`. Bounds and the points within them are stored in the shared folder.
+    """
+    if as_of is None or isinstance(as_of, Column):
+        raise ValueError("as_of is a fixed moment")
+
+    def joined(left: DataFrame, bounds: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+        return left.join(F.broadcast(bounds) if rows <= broadcast_rows else bounds.hint("merge"), [*keys], "left")
+
+    keys = {
+        "__tags": F.sort_array(F.map_entries("tags")),
+        "__cells": F.array(*[F.sort_array(F.map_keys(c)) for c in ("fields", "int_fields", "text_fields")]),
+    }
+    within = _in_range(points, start, measurement, as_of).withColumns(keys)
+    bounds = _no_later_than(within, [*keys], "time", n).withColumnRenamed("__bound", "__until")
+    bounds = _stored(bounds.withColumn("__set", F.monotonically_increasing_id()), "point-bounds")
+    rows = bounds.count()
+    if rows == 0:
+        return within.drop(*keys)
+    early = joined(within, bounds, keys, rows).filter(F.col("__until").isNull() | (F.col("time") <= F.col("__until")))
+    early = _stored(early.drop(*keys), "first-points")
+
+    def numbers(column: str) -> Column:
+        return F.transform(
+            F.map_entries(column),
+            lambda e: F.struct(F.lit(column).alias("__map"), e["key"].alias("__field"), e["value"].cast("double").alias("__value")),
+        )
+
+    last = F.col("time") == F.col("__until")
+    maps = ("fields", "int_fields")
+    cells = early.filter(last).select("__set", F.inline(F.concat(*[numbers(c) for c in maps])))
+    bound = F.struct("__field", "__bound")
+    most = _no_later_than(cells, ["__set", "__map", "__field"], "__value", n).groupBy("__set").agg(
+        *[F.map_from_entries(F.collect_list(F.when(F.col("__map") == c, bound))).alias(f"__most_{c}") for c in maps]
+    )
+    most = _stored(most, "value-bounds")
+
+    def kept(column: str) -> Column:
+        small = F.map_filter(
+            column, lambda field, v: F.coalesce(v.cast("double") <= F.col(f"__most_{column}")[field], F.lit(True))
+        )
+        return F.when(last, small).otherwise(F.col(column))
+
+    return joined(early, most, ["__set"], rows).withColumns({c: kept(c) for c in maps}).select(*points.columns)
+
+
 def read_points(
     long: DataFrame, start: str, measurement: str, n: int = 10, as_of=None
 ) -> DataFrame:
     """The first ``n`` values of every series not older than ``start`` (an interval such as "5 minutes").
 
     A series is a measurement, a set of tags and a field. Spark keeps only
-    ``n`` rows of each series in every task before the shuffle.
+    ``n`` rows of each series in every task before the shuffle, but sorts the
+    task's rows for it: of many rows, give it the long form of
+    :func:`first_points`.
     """
-    since = as_moment(as_of) - F.expr(f"interval {start}")
-    series = Window.partitionBy("__series", "field").orderBy("time", "kind", "value", "text_value")
+    series = Window.partitionBy("tags", "field").orderBy("time", "kind", "value", "text_value")
     return (
-        long.filter((F.col("time") >= since) & (F.col("measurement") == measurement))
-        .withColumn("__series", tags_text())
+        _in_range(long, start, measurement, as_of)
+        .withColumn("tags", F.sort_array(F.map_entries("tags")))
         .withColumn("__rank", F.row_number().over(series))
         .filter(F.col("__rank") <= n)
-        .drop("__series", "__rank")
+        .withColumn("tags", F.map_from_entries("tags"))
+        .drop("__rank")
     )
 
 

@@ -1,11 +1,15 @@
 """Points: missing values, merging, text form and distributed writing."""
 
 import os
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyriver.operators import points as TS
+from tallyriver.plans import catalogue
+from tallyriver.plans import fixtures as X
 
 T0 = datetime(2024, 1, 1, 0, 0, 0, 900_000)
 SCHEMA = "timestamp timestamp, event_type string, campaign_id string, total_amount double, is_conversion int, note string"
@@ -73,6 +77,98 @@ def test_read_limits_every_series(spark):
     assert "WindowGroupLimit" in plan
 
 
+def points_frame(spark, rows):
+    """(tags, fields, int_fields, text_fields, time) of one measurement."""
+    return spark.createDataFrame(
+        [("m", *row) for row in rows],
+        "measurement string, tags map<string,string>, fields map<string,double>, int_fields map<string,bigint>, "
+        "text_fields map<string,string>, time timestamp",
+    )
+
+
+def some(rng, **choices):
+    return {k: rng.choice(v) for k, v in choices.items() if rng.random() < 0.7}
+
+
+def values_read(long):
+    return sorted(str((sorted(r.tags.items()) if r.tags else None, r.field, r.time, r.kind, r.value, r.text_value)) for r in long.collect())
+
+
+@pytest.mark.parametrize("n", [1, 3, 10, 25])
+def test_first_points_lose_no_value(spark, n):
+    """Sparse fields, one name in several maps, equal times and values, nulls, NaN, other times and measurements."""
+    rng = random.Random(n)
+    odd = [0.0, 1.5, 2.5, -7.0, float("nan"), None]
+    rows = [
+        (
+            {"a": rng.choice("xy"), **some(rng, b="pq")} if rng.random() < 0.95 else None,
+            some(rng, v=odd, w=[i / 4]) if rng.random() < 0.95 else None,
+            some(rng, v=[1, 2, None], k=[i % 50, 2**60 + i]),
+            some(rng, v=["s", "t", None], note=["n" + str(i % 9)]),
+            T0 + timedelta(seconds=rng.choice([0, 0, 0, 1, 2, rng.randrange(400)])) if rng.random() < 0.97 else None,
+        )
+        for i in range(4000)
+    ]
+    points = points_frame(spark, rows).withColumn("measurement", F.when(F.col("time") < "2024-01-01 00:05:30", "m").otherwise("o"))
+    points = points.repartition(4, "time").persist()
+    as_of = "2024-01-01 00:05:00.9"
+    for start, limit in (("5 minutes", TS.BROADCAST_BOUNDS), ("299 seconds", 0)):
+        wanted = values_read(TS.read_points(TS.points_long(points), start, "m", n, as_of))
+        first = TS.first_points(points, start, "m", n, as_of, limit)
+        assert first.columns == points.columns
+        assert values_read(TS.read_points(TS.points_long(first), start, "m", n, as_of)) == wanted
+    assert len(wanted) > 20 * n
+    points.unpersist()
+
+
+def test_first_points_are_few(spark):
+    """Of each series those of some 1.4 n points, whether their times are apart or one second."""
+    rows = spark.range(40_000).select(
+        F.timestamp_seconds(1704067200 + F.when(F.col("id") % 2 == 0, F.col("id")).otherwise(0)).alias("timestamp"),
+        (F.col("id") % 2).cast("string").alias("event_type"),
+        F.xxhash64("id").cast("double").alias("value"),
+    )
+    points = TS.to_points(rows, "m", ["event_type"], ["value"], "timestamp")
+    for n, most in ((1, 15), (10, 60), (100, 600)):
+        first = TS.points_long(TS.first_points(points, "5 minutes", "m", n, "2024-01-01 00:05:00"))
+        assert 2 * n <= first.count() <= most
+    # series of a point each are all kept
+    alone = TS.to_points(rows.withColumn("event_type", F.col("value").cast("string")), "m", ["event_type"], ["value"], "timestamp")
+    assert TS.first_points(alone, "5 minutes", "m", 10, "2024-01-01 00:05:00").count() == 40_000
+    assert TS.first_points(points.limit(0), "5 minutes", "m", 10, "2024-01-01 00:05:00").count() == 0
+
+
+def test_first_points_need_a_fixed_moment(spark):
+    for moving in (None, F.current_timestamp()):
+        with pytest.raises(ValueError):
+            TS.first_points(points_frame(spark, []), "5 minutes", "m", 10, moving)
+
+
+def test_the_range_read_sorts_few_values(spark, sf_dir, tmp_path, monkeypatch):
+    """Sixty times the events, apart in time, give the sort a small part of their values and the same result."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    copy = F.explode(F.sequence(F.lit(0), F.lit(59))).alias("__copy")
+    copies = events.select("*", copy).withColumns(
+        {"event_id": F.col("event_id") + F.col("__copy") * 10_000_000, "ts": F.col("ts") + F.make_dt_interval(secs=F.col("__copy") * 7)}
+    )
+    copies.drop("__copy").write.parquet(str(tmp_path / "events.parquet"))
+    spark.read.parquet(f"{sf_dir}/customer.parquet").write.parquet(str(tmp_path / "customer.parquet"))
+    whole = TS.points_long(TS.event_points(catalogue._shaped(spark, str(tmp_path))))
+    whole = whole.filter(F.col("time") >= F.lit(X.AS_OF).cast("timestamp") - F.expr("interval 20 days"))
+    sorted_rows = []
+
+    def read(long, *args):
+        sorted_rows.append(long.count())
+        return plain(long, *args)
+
+    plain = TS.read_points
+    monkeypatch.setattr(TS, "read_points", read)
+    got = catalogue.QUERIES["point_range_read"](spark, str(tmp_path))
+    wanted = catalogue.portable(catalogue._long(plain(whole, "20 days", "user_events", 10, X.AS_OF), TS.EVENT_TAGS))
+    assert sorted(map(str, got.collect())) == sorted(map(str, wanted.collect()))
+    assert sorted_rows[0] < whole.count() / 3
+
+
 def test_lines(spark):
     point = TS.to_points(
         frame(spark, [(T0, "click", "a b,c=d", 1.5, 1, 'say "hi"')]),
