@@ -420,3 +420,87 @@ def test_look_ups_do_not_depend_on_their_parts(monkeypatch):
     monkeypatch.setattr(lm, "LOOKUP", 7)
     assert (filters.levels(hashes, shard) == whole).all() and (whole >= lm.levels_of(counts)).all()
     assert len(filters.levels(hashes[:0], shard[:0])) == 0
+
+
+def calls_in(fn):
+    """How many functions are called, those in C included."""
+    import sys
+
+    n = 0
+
+    def seen(frame, event, arg):
+        nonlocal n
+        n += event in ("call", "c_call")
+
+    sys.setprofile(seen)
+    try:
+        fn()
+    finally:
+        sys.setprofile(None)
+    return n
+
+
+def test_a_group_is_dealt_without_a_step_for_each_shard():
+    """Groups and shards both grow with the input, so steps for each of both would grow with its square."""
+    import pyarrow as pa
+
+    batch = pa.record_batch([pa.array([" ".join(f"w{n}" for n in range(5000))])], names=["text"])
+    few, many = (calls_in(lambda: list(lm._count_pass(shards)(iter([batch])))) for shards in (10, 3000))
+    assert many < few + 100
+
+
+def counted_and_built(texts, shards):
+    import pyarrow as pa
+
+    batches = [pa.record_batch([pa.array(t)], names=["text"]) for t in texts]
+    rows = pa.Table.from_batches(list(lm._count_pass(shards)(iter(batches)))).sort_by("shard")
+    parts = rows.to_batches(max_chunksize=3)
+    return pa.Table.from_batches(list(lm._build_pass(200)(iter(parts)))).to_pylist()
+
+
+def test_counts_beyond_a_byte_are_whole():
+    texts = [["a " * 254 + "b", "a " * 256], ["a " * 70_000 + "c " * 255, "c b c"]]
+    single = collections.Counter(w for t in sum(texts, []) for w in t.split())
+    rows = counted_and_built(texts, 7)
+    held = {h: n for r in rows for h, n in zip(np.frombuffer(r["hashes"], np.uint64).tolist(), np.frombuffer(r["counts"], np.int64).tolist())}
+    hashes = dict(zip(single, word_hashes([w.encode() for w in single]).tolist()))
+    assert held == {**{hashes[w]: n for w, n in single.items()}, int(lm.END): 4}
+    assert sum(r["tokens"] for r in rows) == sum(single.values()) + 4
+
+
+@pytest.mark.parametrize("asked", [1, 40, lm.ASKED])
+def test_answers_look_up_what_several_groups_ask_once(monkeypatch, asked):
+    import pyarrow as pa
+
+    texts = [[f"a b c d{k}"] for k in range(30)]
+    (row,) = counted_and_built([*texts, texts[0]], 1)
+    own = {n: row[n] for n in ("shard", "hashes", "counts", "bits")}
+    groups = [lm._grouped(iter([t[0].encode()])) for t in texts] + [lm._grouped(iter([b"never met"]))]
+    questions = [{"shard": s, "key": k, "words": g.words.tobytes(), "pairs": lm._narrow(g.pairs, 5).tobytes()} for s in (0, 4) for k, g in enumerate(groups)]
+    schema = pa.schema([("shard", pa.int32()), ("hashes", pa.binary()), ("counts", pa.binary()), ("bits", pa.binary()), ("key", pa.int64()), ("words", pa.binary()), ("pairs", pa.binary())])
+    batches = pa.Table.from_pylist([own, *questions], schema=schema).to_batches(max_chunksize=20)
+    probed, plain = [], lm.Filters._levels
+    monkeypatch.setattr(lm, "ASKED", asked)
+    monkeypatch.setattr(lm.Filters, "_levels", lambda self, hashes, shard: probed.append(len(hashes)) or plain(self, hashes, shard))
+    rows = [r for b in lm._answer_pass(2)(iter(batches)) for r in b.to_pylist()]
+    assert [(r["shard"], r["key"]) for r in rows] == [(q["shard"], q["key"]) for q in questions]
+    for r, group in zip(rows, groups * 2):
+        known = r["shard"] == 0 and r["key"] < 30
+        # begin and end, a, b and c come in all 31 texts, the first text twice
+        once = 2 if r["key"] == 0 else 1
+        exact = np.frombuffer(r["exact"], np.uint16)
+        unknown = [0] * (len(group.words) - 1) + [31 * (r["shard"] == 0)]
+        assert sorted(exact) == ([0, once, *[31] * 4] if known else unknown)
+        assert sorted(r["pair_near"]) == ([once] * 2 + [5] * 3 if known else [0] * len(group.pairs))
+    if asked > 10_000:
+        assert sum(probed) < 0.5 * sum(len(g.words) + len(g.pairs) for g in groups * 2)
+
+
+def test_scores_of_many_groups_by_both_ways(frame, documents):
+    """Groups of few texts, ids and texts that are null or come twice."""
+    rows = [*documents[:200], (None, None), (None, "a b"), documents[0]]
+    model = lm.fit_language_model(frame(documents[:150]), shard_chars=9_000)
+    docs = frame(rows).repartition(9)
+    one, other = (sorted(map(tuple, lm.score_texts(docs, model, broadcast_bytes=n).collect()), key=str) for n in (1 << 40, 0))
+    assert model.shards > 5 and len(one) == len(other) == len(rows)
+    assert all(a[0] == b[0] and close(a[1:], b[1:]) for a, b in zip(one, other))
